@@ -18,21 +18,27 @@ from .common import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 _BETWEEN = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
+#: A word of letters, with an apostrophe or hyphen inside and a mark behind it at most.
+PLAIN = r"(?<![^\x20\x09-\x0D])\p{L}++(?:['’-]\p{L}++)*+[.,;:!?]?(?![^\x20\x09-\x0D])"
 
-#: (name, measure, good if at most / at least, bad beyond): a rule abstains between its two limits.
+#: (name, measure, side, good limit, bad limit): good up to (at_most) or from (at_least) the good limit, bad beyond
+#: the bad one, else abstaining. Without a good limit a rule only warns: it votes bad or abstains.
 RULES = (
-    ("length", "n_words", "at_least", 60, 30),
-    ("word_chars", "mean_chars", "at_most", 8.0, 12.0),
-    ("symbols", "symbol_share", "at_most", 0.05, 0.3),
-    ("line_copies", "dup_line_share", "at_most", 0.02, 0.2),
-    ("repeats", "repeat_share", "at_most", 0.15, 0.4),
-    ("capitals", "capital_share", "at_most", 0.10, 0.4),
-    ("shouts", "shout_share", "at_most", 0.05, 0.3),
-    ("stops", "stop_share", "at_least", 0.02, 0.005),
+    ("plain", "plain_share", "at_least", 0.9, 0.7),
+    ("short_words", "short_share", "at_least", 0.1, 0.02),
+    ("word_chars", "mean_chars", "at_most", None, 12.0),
+    ("symbols", "symbol_share", "at_most", None, 0.1),
+    ("line_copies", "dup_line_share", "at_most", None, 0.2),
+    ("repeats", "repeat_share", "at_most", None, 0.3),
+    ("capitals", "capital_share", "at_most", None, 0.4),
+    ("shouts", "shout_share", "at_most", None, 0.3),
 )
 EM_ROUNDS = 50
-#: Before any evidence: share of good documents, and how votes (bad, abstaining, good) fall on bad and on good ones.
-PRIOR_GOOD, PRIOR_BAD_VOTES, PRIOR_GOOD_VOTES = 0.8, (0.3, 0.2, 0.5), (0.01, 0.1, 0.89)
+#: Before any evidence: share of good documents, and how votes (bad, abstaining, good) fall on bad and on good ones,
+#: for rules that may vote good and for those that only warn.
+PRIOR_GOOD = 0.8
+PRIOR_VOTES = ((0.5, 0.3, 0.2), (0.01, 0.1, 0.89))
+PRIOR_WARNINGS = ((0.4, 0.59, 0.01), (0.01, 0.98, 0.01))
 #: Weight of these beliefs, as a share of the documents.
 PRIOR_STRENGTH = 0.02
 
@@ -108,28 +114,30 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         repeated_words(F.col("words")).alias("n_repeat_words"),
         _without(F.col("text"), upper).cast("long").alias("n_upper"),
         _without(F.col("text"), "!?").cast("long").alias("n_shouts"),
+        _count(F.col("text"), PLAIN).alias("n_plain"),
         (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("long").alias("n_breaks"),
         F.size(F.filter("words", lambda w: F.length(w) <= 3)).cast("long").alias("n_short"),
     )
 
 
 def votes(measured: DataFrame) -> DataFrame:
-    """``measured`` with a column v_<rule> for each rule; an empty text gets no votes but that on its length."""
+    """``measured`` with a column v_<rule> for each rule; of an empty text all rules abstain but the one on lines."""
     n, chars = F.nullif(F.col("n_words"), F.lit(0)), F.nullif(F.col("word_chars"), F.lit(0))
     shares = {
-        "n_words": F.col("n_words"),
+        "plain_share": F.col("n_plain") / n,
+        "short_share": F.col("n_short") / n,
         "mean_chars": F.col("word_chars") / n,
         "symbol_share": F.col("n_symbols") / n,
         "dup_line_share": F.col("n_dup_lines") / (F.col("n_breaks") + 1),
         "repeat_share": F.col("n_repeat_words") / n,
         "capital_share": F.col("n_upper") / chars,
         "shout_share": F.col("n_shouts") / n,
-        "stop_share": F.col("n_short") / n,
     }
     out = {}
     for name, what, side, good, bad in RULES:
         x = shares[what]
-        yes, no = (x <= good, x > bad) if side == "at_most" else (x >= good, x < bad)
+        no = x > bad if side == "at_most" else x < bad
+        yes = F.lit(False) if good is None else x <= good if side == "at_most" else x >= good
         out[f"v_{name}"] = F.when(yes, 1).when(no, -1).otherwise(0)
     return measured.withColumns(out)
 
@@ -147,13 +155,14 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = EM_ROUNDS) ->
         return 0.0, []
     extra = total * PRIOR_STRENGTH
     good = PRIOR_GOOD
-    chances = [[list(PRIOR_BAD_VOTES), list(PRIOR_GOOD_VOTES)] for _ in patterns[0][0]]
+    beliefs = [PRIOR_VOTES if r[3] is not None else PRIOR_WARNINGS for r in RULES]
+    chances = [[list(x) for x in b] for b in beliefs]
     for _ in range(rounds):
         post = [_sigmoid(_log_odds(v, good, chances)) for v, _ in patterns]
         mass = [sum((1 - p) * c for p, (_, c) in zip(post, patterns, strict=True)), sum(p * c for p, (_, c) in zip(post, patterns, strict=True))]
         good = (mass[1] + extra * PRIOR_GOOD) / (total + extra)
         for j, own in enumerate(chances):
-            for side, belief in enumerate((PRIOR_BAD_VOTES, PRIOR_GOOD_VOTES)):
+            for side, belief in enumerate(beliefs[j]):
                 for k, vote in enumerate((-1, 0, 1)):
                     seen = sum((p if side else 1 - p) * c for p, (v, c) in zip(post, patterns, strict=True) if v[j] == vote)
                     own[side][k] = (seen + extra * belief[k]) / (mass[side] + extra)
