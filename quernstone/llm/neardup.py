@@ -38,7 +38,9 @@ _CHOSEN = np.concatenate([np.random.RandomState(seed).permutation(COMPONENTS)[:
 #: 4.8; pairs that agree in fewer than the least number are not compared (one true pair in 10**6).
 SKETCH_WORDS, SKETCH_LEAST = 4, 206
 #: Times that texts without a possible link are put aside before pairs are made.
-NARROWINGS = 3
+NARROWINGS = 2
+#: Parts of the hash space in which overlaps are bounded before pairs are made; a power of two.
+PARTS = 64
 
 _ONE = float(1 << 32)
 _NEVER = np.int64((1 << 63) - 1)
@@ -179,6 +181,23 @@ def _multisets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "node long, shingles array<long>")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """(node, spread): how many of a text's shingles, but for its own ones, lie in each part of the hash space."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            out = np.zeros(n * PARTS, np.int64)
+            for c, sign in ((1, 1), (2, -1)):
+                lists = batch.column(c)
+                row = np.repeat(np.arange(n), lists.value_lengths().fill_null(0).to_numpy())
+                out += sign * np.bincount(row * PARTS + (lists.flatten().to_numpy() & (PARTS - 1)), minlength=n * PARTS)
+            ends = pa.array(np.arange(n + 1, dtype=np.int32) * PARTS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(out.astype(np.int32)))], ["node", "spread"])
+
+    return rows.mapInArrow(run, "node long, spread array<int>")
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Weighted Jaccard similarity of two sorted arrays without repeats."""
     if not len(a) or not len(b):
@@ -282,20 +301,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for _ in range(NARROWINGS):
         own = asked.join(multisets, "node").select("node", F.explode("shingles").alias("shingle"))
         own = own.groupBy("shingle").agg(F.min("node").alias("node"), F.count("*").alias("n")).where("n = 1")
-        own = materialize(own.groupBy("node").agg(F.count("*").alias("own")), "own")
-        asked = asked.drop("rest").join(own, "node", "left").withColumn("rest", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
+        own = materialize(own.groupBy("node").agg(F.count("*").alias("n"), F.collect_list("shingle").alias("own")), "own")
+        asked = asked.drop("rest").join(own.select("node", "n"), "node", "left").withColumn("rest", F.col("size") - F.coalesce("n", F.lit(0))).drop("n")
         asked = materialize(asked.where(F.col("rest") >= threshold * F.col("size")), "asked")
+    asked = asked.join(_spread(asked.join(multisets, "node").join(own, "node", "left").select("node", "shingles", "own")), "node")
     inside = inside.join(asked, "node").withColumn("step", F.floor(F.log("size") / -math.log(threshold)).cast("int"))
     inside = materialize(inside, "measured")
     # sizes within the threshold of each other are in the same step or in neighbouring ones
-    a = inside.where("label != main").select("key", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)).alias("step"), *(F.col(c).alias(f"a_{c}") for c in ("node", "label", "size", "rest", *words)))
-    b = inside.select("key", "step", (F.col("label") == F.col("main")).alias("b_main"), *(F.col(c).alias(f"b_{c}") for c in ("node", "label", "size", "rest", *words)))
+    a = inside.where("label != main").select("key", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)).alias("step"), *(F.col(c).alias(f"a_{c}") for c in ("node", "label", "size", "rest", "spread", *words)))
+    b = inside.select("key", "step", (F.col("label") == F.col("main")).alias("b_main"), *(F.col(c).alias(f"b_{c}") for c in ("node", "label", "size", "rest", "spread", *words)))
     agree = F.lit(64 * SKETCH_WORDS)
     for w in words:
         agree = agree - F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}")))
     most = F.least("a_rest", "b_rest")
     once = F.col("b_main") | (F.col("a_node") < F.col("b_node"))
-    fits = once & (F.col("a_label") != F.col("b_label")) & (most >= threshold * (F.col("a_size") + F.col("b_size") - most)) & (agree >= SKETCH_LEAST)
+    total = F.col("a_size") + F.col("b_size")
+    fits = once & (F.col("a_label") != F.col("b_label")) & (most >= threshold * (total - most)) & (agree >= SKETCH_LEAST)
+    # the overlap within each part of the hash space is bounded too
+    most = F.aggregate(F.zip_with("a_spread", "b_spread", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    fits = fits & (most >= threshold * (total - most))
     a, b = a.alias("a"), b.alias("b")
     more = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.step") == F.col("b.step")) & fits).select(F.col("a_node").alias("u"), F.col("b_node").alias("v"))
     more = materialize(_once(more).join(pairs, ["u", "v"], "left_anti"), "more")
