@@ -35,7 +35,7 @@ ROWS_PER_LANG, CHARS_PER_ROW, CHARS_PER_LANG = 200, 2000, 24_000
 CHARS_IN_ALL = 240_000
 #: Letters with a code of their own; others count as unseen.
 LETTERS = 250
-_CHUNK_CHARS = 2 << 20
+_CHUNK_CHARS = 1 << 20
 
 
 @dataclass(frozen=True)

@@ -21,7 +21,7 @@ FOLD[65:91] = np.arange(97, 123)
 FOLD[128:] = np.arange(128, 256)
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_CHUNK_BYTES = 4 << 20
+_CHUNK_BYTES = 1 << 20
 _powers: dict[str, np.ndarray] = {}
 
 
