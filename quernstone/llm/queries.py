@@ -75,14 +75,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
-
-
 def queries() -> dict:
-    found = [op1_language_id, op2_decontamination, op3_chat_formatting, op4_sharding, op5_mixing, op6_url_filters, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_license_scan, op10_quality_rules, pipeline]
+    found = [op1_language_id, op2_decontamination, op3_chat_formatting, op4_sharding, op5_mixing, op6_url_filters, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_license_scan, op10_quality_rules]
     return {f.__name__: f for f in found}
 
 
