@@ -8,14 +8,18 @@ import pandas as pd
 import yaml
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .rules import apply_rules, replace_all, strip
 
 PREVIEW_CHARS, CONTENT_CHARS = 200, 1500
-FIELDS = "title string, url string, revision bigint, updated string, categories array<string>, image string"
+#: Types are objects, not text: executors import this module without a session.
+FIELDS = T.StructType(
+    [T.StructField(n, T.LongType() if n == "revision" else T.ArrayType(T.StringType()) if n == "categories" else T.StringType()) for n in ("title", "url", "revision", "updated", "categories", "image")]
+)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _dump(rows: pd.DataFrame) -> pd.Series:
     def one(title, url, revision, updated, categories):
         data = {"title": title, "url": url}

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import BASE_URL
 from .rules import strip
@@ -18,7 +19,7 @@ STRIP_PREFIXES = ("Category:", "Template:", "Module:", "Help:", "File:")
 MOST_NAME = 200
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(names: pd.Series) -> pd.Series:
     return names.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
 

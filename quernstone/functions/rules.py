@@ -21,6 +21,11 @@ def java(pattern: str) -> str:
     return ("(?dU)" if r"\s" in pattern else "(?d)") + pattern
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, with ``value`` computed once however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def replace_all(col: Column, pattern: str, replacement: str) -> Column:
     return F.regexp_replace(col, F.lit(java(pattern)), F.lit(re.sub(r"\\(\d)", r"$\1", replacement.replace("$", r"\$"))))
 

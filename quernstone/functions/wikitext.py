@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import REDIRECT
-from .rules import Rule, apply_rules, java, lstrip, quote, replace_all, rstrip, sql_lstrip, sql_replace, sql_rstrip, sql_rules, sql_strip, strip
+from .rules import Rule, apply_rules, java, let, lstrip, quote, replace_all, rstrip, sql_lstrip, sql_replace, sql_rstrip, sql_rules, sql_strip, strip
 
 # The patterns of the markup.
 COMMENT = (r"(?s)<!--.*?-->", "")
@@ -120,23 +120,30 @@ _MARK = "\x01"
 
 def split_by_heading(markdown: Column, level: int) -> Column:
     """Sections as an array of (heading, text); text before the first heading has a null heading."""
-    sign = "#" * level + " "
-    parts = F.split(replace_all(markdown, rf"(?m)^({sign}.+)$", _MARK + r"\1"), _MARK, -1)
+    return let(markdown, lambda md: _sections(md, level))
+
+
+_SECTIONS = "array<struct<heading:string,text:string>>"
+
+
+def _sections(markdown: Column, level: int) -> Column:
+    sign, none = "#" * level + " ", F.lit(None).cast("string")
 
     def section(part: Column) -> Column:
         head = F.substring_index(part, "\n", 1)
-        body = strip(F.substring(part, F.length(head) + 1, F.length(part)))
-        own = strip(head)
-        return F.struct(
-            F.regexp_replace(own, F.lit(r"(?U)^#+\s*"), F.lit("")).alias("heading"),
-            F.when(body != "", F.concat(own, F.lit("\n\n"), body)).otherwise(own).alias("text"),
-        )
+        return let(F.struct(strip(head).alias("h"), strip(F.substring(part, F.length(head) + 1, F.length(part))).alias("b")), titled)
+
+    def titled(x: Column) -> Column:
+        text = F.when(x["b"] != "", F.concat(x["h"], F.lit("\n\n"), x["b"])).otherwise(x["h"])
+        return F.struct(F.regexp_replace(x["h"], F.lit(r"(?U)^#+\s*"), F.lit("")).alias("heading"), text.alias("text"))
+
+    def all_of(parts: Column) -> Column:
+        first = F.filter(F.array(F.struct(none.alias("heading"), strip(F.get(parts, F.lit(0))).alias("text"))), lambda x: x["text"] != "")
+        return F.concat(first, F.transform(F.slice(parts, F.lit(2), F.size(parts)), section))
 
-    first = strip(F.get(parts, F.lit(0)))
-    none = F.lit(None).cast("string")
-    before = F.when(first != "", F.array(F.struct(none.alias("heading"), first.alias("text")))).otherwise(F.array().cast("array<struct<heading:string,text:string>>"))
-    found = F.concat(before, F.transform(F.slice(parts, F.lit(2), F.size(parts)), section))
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.struct(none.alias("heading"), markdown.alias("text"))))
+    parts = F.split(replace_all(markdown, rf"(?m)^({sign}.+)$", _MARK + r"\1"), _MARK, -1)
+    whole = F.array(F.struct(none.alias("heading"), markdown.alias("text")))
+    return let(let(parts, all_of), lambda found: F.when(F.size(found) > 0, found).otherwise(whole)).cast(_SECTIONS)
 
 
 def split_long_pages(pages: DataFrame, threshold: int = 5000, title_col: str = "display_title", markdown_col: str = "markdown") -> DataFrame:
@@ -147,37 +154,42 @@ def split_long_pages(pages: DataFrame, threshold: int = 5000, title_col: str = "
     threshold are split at level 3. The sections are one array expression per
     page with one generator: no shuffle.
     """
-    md, title = F.col(markdown_col), F.col(title_col)
-    names = {n: f"{n}_{'_' * max(map(len, pages.columns))}" for n in ("second", "third", "sections", "chunks", "chunk")}
-    second, third, sections, chunks, chunk = names.values()
-    long = F.length(md) > threshold
-    out = pages.withColumn(second, F.when(long, split_by_heading(md, 2)))
-    out = out.withColumn(third, F.when(long & (F.size(second) <= 1), split_by_heading(md, 3)).otherwise(F.col(second)))
-    s = F.col(third)
-    first, following = F.get(s, F.lit(0)), F.get(s, F.lit(1))
-    merged = F.concat(
-        F.array(F.struct(following["heading"].alias("heading"), F.concat(first["text"], F.lit("\n\n"), following["text"]).alias("text"))),
-        F.slice(s, F.lit(3), F.size(s)),
-    )
-    out = out.withColumn(sections, F.when(long & (F.size(s) > 1), F.when(first["heading"].isNull(), merged).otherwise(s)))
+    title = F.col(title_col)
+    tail = "_" * (1 + max(map(len, pages.columns)))
+    place, chunk = f"place{tail}", f"chunk{tail}"
 
     def chunk_of(t: Column, text: Column, level: int) -> Column:
         return F.struct(t.alias("title"), text.alias("text"), F.lit(level).alias("level"))
 
     def cut(section: Column, i: Column) -> Column:
-        subs = split_by_heading(section["text"], 3)
-        name = F.concat(title, F.lit(" - "), section["heading"])
-        plain = F.array(chunk_of(name, section["text"], 2))
+        plain = F.array(chunk_of(F.concat(title, F.lit(" - "), section["heading"]), section["text"], 2))
         number = F.concat(F.lit(" ("), (i + 1).cast("string"), F.lit("-"))
-        deep = F.transform(subs, lambda x, j: chunk_of(F.coalesce(F.concat(title, F.lit(" - "), x["heading"]), F.concat(title, number, (j + 1).cast("string"), F.lit(")"))), x["text"], 3))
-        return F.when((F.length(section["text"]) > threshold * 1.5) & (F.size(subs) > 1), deep).otherwise(plain)
 
-    whole = F.array(chunk_of(title, md, 2))
-    out = out.withColumn(chunks, F.when(F.col(sections).isNull(), whole).otherwise(F.flatten(F.transform(sections, cut))))
-    out = out.select(*pages.columns, F.size(chunks).cast("long").alias("n_chunks"), F.posexplode(chunks).alias("pos_" + chunk, chunk))
+        def deep(subs: Column) -> Column:
+            below = F.transform(subs, lambda x, j: chunk_of(F.coalesce(F.concat(title, F.lit(" - "), x["heading"]), F.concat(title, number, (j + 1).cast("string"), F.lit(")"))), x["text"], 3))
+            return F.when(F.size(subs) > 1, below).otherwise(plain)
+
+        return F.when(F.length(section["text"]) > threshold * 1.5, let(split_by_heading(section["text"], 3), deep)).otherwise(plain)
+
+    def merged(s: Column) -> Column:
+        first, following = F.get(s, F.lit(0)), F.get(s, F.lit(1))
+        joined = F.array(F.struct(following["heading"].alias("heading"), F.concat(first["text"], F.lit("\n\n"), following["text"]).alias("text")))
+        return F.when(first["heading"].isNull(), F.concat(joined, F.slice(s, F.lit(3), F.size(s)))).otherwise(s)
+
+    def chunks_of(md: Column) -> Column:
+        whole = F.array(chunk_of(title, md, 2))
+
+        def from_sections(s: Column) -> Column:
+            return F.when(F.size(s) > 1, F.flatten(F.transform(merged(s), cut))).otherwise(whole)
+
+        sections = let(split_by_heading(md, 2), lambda s: F.when(F.size(s) > 1, s).otherwise(split_by_heading(md, 3)))
+        return F.when(F.length(md) > threshold, let(sections, from_sections)).otherwise(whole)
+
+    out = pages.withColumn(chunk, let(F.col(markdown_col), chunks_of))
+    out = out.select(*pages.columns, F.posexplode(F.transform(chunk, lambda c: F.struct(c.alias("c"), F.size(chunk).cast("long").alias("n")))).alias(place, chunk))
     return out.select(
-        *pages.columns, (F.col("pos_" + chunk) + 1).cast("long").alias("chunk_no"), "n_chunks",
-        F.col(f"{chunk}.title").alias("chunk_title"), F.col(f"{chunk}.text").alias("chunk_markdown"), F.col(f"{chunk}.level").cast("long").alias("section_level"),
+        *pages.columns, (F.col(place) + 1).cast("long").alias("chunk_no"), F.col(f"{chunk}.n").alias("n_chunks"),
+        F.col(f"{chunk}.c.title").alias("chunk_title"), F.col(f"{chunk}.c.text").alias("chunk_markdown"), F.col(f"{chunk}.c.level").cast("long").alias("section_level"),
     )
 
 
