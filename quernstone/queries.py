@@ -641,3 +641,90 @@ def quality_report(spark, sf_dir):
     return quality.quality_report(quality.file_metrics(_flawed_files(spark, sf_dir)))
 
 
+
+
+# ── listings and answers made from the tables ───────────────────────────────
+
+
+def _listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category listing pages (category, html) with sub-categories, articles, pages that are filtered, and a next link."""
+    p = fx.wiki_pages(spark, sf_dir)
+    li = F.concat(F.lit('<li><a href="/x" title="'), F.col("title"), F.lit('">t</a></li>'))
+    sub = F.concat(F.lit('<a title="Category:s'), F.col("page_id").cast("string"), F.lit('">s</a>'))
+    html = F.concat(F.lit('<div id="mw-subcategories">'), sub, F.lit('</div><div id="mw-pages"><ul>'), li, F.lit('</ul></div><a href="/Category:c?pagefrom=n'), F.col("page_id").cast("string"), F.lit('">下一页</a>'))
+    return p.select(F.concat(F.lit("Category:c"), F.col("page_id").cast("string")).alias("category"), html.alias("html"))
+
+
+@query(PARSED + f""" SELECT 'Category:c' || page_id AS parent, 'Category:s' || page_id AS title, 'subcat' AS page_type FROM parsed
+  UNION ALL SELECT 'Category:c' || page_id, title, 'page' FROM parsed WHERE {_TITLE_SQL} IS NULL""")
+def listing_members(spark, sf_dir):
+    from .sources.listing import members
+
+    return members(_listings(spark, sf_dir))
+
+
+@query(f"SELECT 'Category:c' || doc_id AS category, '{C.BASE_URL}/Category:c?pagefrom=n' || doc_id AS next_url, 'n' || doc_id AS pagefrom FROM documents")
+def listing_next(spark, sf_dir):
+    from .sources.listing import next_url, page_from
+
+    n = _listings(spark, sf_dir).select("category", next_url(F.col("html")).alias("next_url"))
+    return n.withColumn("pagefrom", page_from(F.col("next_url")))
+
+
+@query(PARSED + " SELECT title, page_id, revision_id, updated, array_to_string(categories, '|') AS categories, wikitext, url, CASE WHEN starts_with(wikitext, 'Redirect to:') THEN redirect_target END AS redirect_target FROM parsed WHERE page_id % 9 <> 0")
+def api_pages(spark, sf_dir):
+    """API answers made of the pages, read back."""
+    from .sources.api import pages_from_json
+
+    p = fx.parsed_pages(spark, sf_dir)
+    cats = F.transform("categories", lambda c: F.struct(F.concat(F.lit("Category:"), c).alias("title")))
+    page = F.struct("title", F.col("page_id").alias("pageid"), F.col("revision_id").alias("lastrevid"), F.date_format("updated", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("touched"), F.when(F.col("page_id") % 9 == 0, "").alias("missing"), cats.alias("categories"), F.col("wikitext").alias("extract"))
+    answers = p.select(F.to_json(F.struct(F.struct(F.create_map(F.col("page_id").cast("string"), page).alias("pages")).alias("query"))).alias("json"))
+    return pages_from_json(answers).withColumn("categories", F.array_join("categories", "|"))
+
+
+@query("SELECT o_orderkey, CASE WHEN s = 429 THEN 'rate_limit' WHEN s >= 500 THEN 'server_error' WHEN s <> 200 THEN 'http_error' ELSE 'ok' END AS outcome FROM (SELECT o_orderkey, [200, 404, 429, 503, 200][CAST(o_orderkey % 5 AS INTEGER) + 1] AS s FROM orders)")
+def answer_outcomes(spark, sf_dir):
+    from .sources.api import classify
+
+    s = F.element_at(F.lit([200, 404, 429, 503, 200]), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    return _docs(spark, sf_dir, "orders").select("o_orderkey", classify(s, F.lit("body")).alias("outcome"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'own.png' WHEN doc_id % 3 = 1 THEN 'b' || doc_id || '.jpg' END AS image FROM documents")
+def image_choice(spark, sf_dir):
+    from .sources.files import image_choice as choose
+
+    k = F.col("doc_id") % 3
+    listed = F.when(k == 2, F.array(F.lit("a.svg"), F.lit("Site-LOGO.png"), F.lit("Icon1.png"), F.lit("late.png"))).otherwise(F.array(F.lit("logo.png"), F.concat(F.lit("b"), F.col("doc_id").cast("string"), F.lit(".jpg"))))
+    return _docs(spark, sf_dir).select("doc_id", choose(F.when(k == 0, "own.png"), listed).alias("image"))
+
+
+@query(_TAGGED.replace("skip_reason", "skip_reason") + " SELECT count(*) FILTER (skip_reason IS NULL AND redirect_target IS NULL AND trim(markdown) <> '') AS exported_files, count(*) FILTER (skip_reason IS NULL AND (redirect_target IS NOT NULL OR trim(markdown) = '')) AS skipped_files FROM tagged")
+def export_counts(spark, sf_dir):
+    p = filters.tag_pages(fx.parsed_pages(spark, sf_dir)).where("skip_reason IS NULL")
+    return render.export_counts(p, render.render_files(p, threshold=1 << 30, plain_yaml=True))
+
+
+@query(_TAGGED + _SNAPSHOT + ", c AS (SELECT t.title, CASE WHEN s.title IS NULL THEN 'missing' WHEN NOT s.revision_id > t.revision_id THEN 'unchanged' WHEN s.wikitext IS NULL THEN 'filtered' ELSE 'updated' END AS action FROM tagged t LEFT JOIN snapshot s USING (title) WHERE t.skip_reason IS NULL) SELECT action, count(*) AS n_pages FROM c GROUP BY 1")
+def update_job(spark, sf_dir):
+    """The whole incremental update: actions by number of pages."""
+    from .plans.crawl import action_counts, process, update
+
+    p = fx.parsed_pages(spark, sf_dir).drop("markdown", "display_title")
+    day = F.lit("2026-01-01").cast("timestamp")
+    cached = process(p).select("title", "page_id", "revision_id", "updated", "categories", "wikitext", "markdown", "url", "redirect_target", "status", "error", day.alias("created_at"), day.alias("updated_at"))
+    fresh = _snapshot(p).join(p.select("title", "updated", "categories", "url", "redirect_target"), "title")
+    return action_counts(update(cached, fresh, F.lit("2026-02-02").cast("timestamp"))[1])
+
+
+@query(f"WITH {fx.SQL_EDGES} SELECT count(DISTINCT title) AS total_pages, count(DISTINCT title) AS pages_crawled, 0::BIGINT AS pages_failed, 0::BIGINT AS pages_skipped, 0::BIGINT AS pages_filtered FROM edges WHERE page_type = 'page'")
+def crawl_job(spark, sf_dir):
+    """Discovery, fetch join, filters and counters over the category graph."""
+    from .config import Settings
+    from .plans.crawl import crawl
+
+    e = fx.category_edges(spark, sf_dir)
+    pages = e.where("page_type = 'page'").select("title").distinct()
+    fetched = pages.select("title", F.lit(1).cast("long").alias("page_id"), F.lit(1).cast("long").alias("revision_id"), F.lit(None).cast("timestamp").alias("updated"), F.array(F.lit("角色")).alias("categories"), F.concat(F.lit("== A ==\n"), F.col("title")).alias("wikitext"), names.page_url(F.col("title")).alias("url"), F.lit(None).cast("string").alias("redirect_target"))
+    return crawl(e, fetched, Settings(root_category="Category:root")).counters
