@@ -76,6 +76,7 @@ class Settings:
     titles_per_request: int = 20
     output_dir: str = "output"
     cache_dir: str = "cache"
+    http2: bool = True
     log_level: str = "INFO"
     strict: bool = True
     directories: tuple[tuple[str, str], ...] = field(default=DIRECTORIES)
@@ -83,13 +84,13 @@ class Settings:
 
 #: Environment variables and the settings that they override.
 ENVIRONMENT = {
-    "KB_API_URL": "api_url",
-    "KB_ROOT_CATEGORY": "root_category",
     "KB_RATE_LIMIT": "rate_limit",
     "KB_MAX_CONCURRENT": "max_concurrent",
-    "KB_SPLIT_THRESHOLD": "split_threshold",
+    "KB_CACHE_DIR": "cache_dir",
     "KB_OUTPUT_DIR": "output_dir",
-    "KB_STRICT": "strict",
+    "KB_ROOT_CATEGORY": "root_category",
+    "KB_HTTP2": "http2",
+    "KB_LOG_LEVEL": "log_level",
 }
 
 
@@ -98,9 +99,11 @@ def from_env(environ: dict[str, str] | None = None) -> Settings:
     environ = os.environ if environ is None else environ
     settings, changes = Settings(), {}
     for name, key in ENVIRONMENT.items():
-        if name in environ:
+        if environ.get(name):
             old, text = getattr(settings, key), environ[name]
             changes[key] = text.lower() in ("true", "1", "yes") if isinstance(old, bool) else type(old)(text)
+    if "log_level" in changes:
+        changes["log_level"] = changes["log_level"].upper()
     return replace(settings, **changes)
 
 

@@ -48,7 +48,7 @@ def render_files(pages: DataFrame, threshold: int = 5000, root: str = "output",
     return chunks.select("title", "chunk_no", "n_chunks", "directory", path.alias("path"), content.alias("content"))
 
 
-def actor_files(fetched: DataFrame, root: str = "output", tags: tuple[str, ...] = (), plain_yaml: bool = False) -> DataFrame:
+def actor_files(fetched: DataFrame, root: str = "output", tags: tuple[str, ...] = ("BanG Dream!", "声优"), plain_yaml: bool = False) -> DataFrame:
     """Files of voice actors: two more categories, their own directory, never split; redirects are not looked for."""
     p = fetched.withColumn("categories", F.concat("categories", F.array(*(F.lit(t) for t in tags)).cast("array<string>"))).withColumn("redirect_target", F.lit(None).cast("string"))
     return render_files(p, root=root, plain_yaml=plain_yaml, directory=F.lit(C.ACTOR_DIR), split=False)

@@ -24,7 +24,7 @@ Get = Callable[[str], tuple[int, dict, str]]
 
 #: API errors that stand for an empty answer, and the sign of a log-in page (within its first characters): fixed values.
 TOLERATED = ("missingtitle", "nosuchpageid")
-AUTH_MARK, AUTH_CHARS = "萌百娘", 500
+AUTH_MARK, AUTH_CHARS, RETRY_AFTER = "未授权操作", 500, 5.0
 
 PAGE_JSON = (
     "struct<query:struct<redirects:array<struct<`from`:string,`to`:string>>,pages:map<string,struct<title:string,pageid:bigint,lastrevid:bigint,touched:string,"
@@ -100,7 +100,7 @@ def with_retries(get: Get, url: str, settings: C.Settings = C.Settings(), sleep=
             break
         if attempt + 1 < settings.attempts:
             wait = min(settings.longest_wait, settings.first_wait * 2**attempt + random.uniform(0, settings.retry_jitter))
-            sleep(max(wait, float(headers.get("Retry-After", 0) or 0)))
+            sleep(max(wait, float(headers.get("Retry-After") or RETRY_AFTER)) if status == 429 else wait)
     return status, text
 
 

@@ -16,7 +16,8 @@ from ..functions.names import percent_decode
 #: Parts of names of images that are no pictures of the subject, and how many images of a page are looked at: fixed values.
 NO_PICTURE, IMAGES_TRIED = (".svg", "logo", "icon", "symbol"), 3
 LARGE_FILE = 20 << 20
-#: Folders that a manifest leaves out.
+#: Files that are uploaded by name, and folders that a manifest leaves out.
+UPLOADED = (".gitignore", "LICENSE", "README.md", "requirements.txt", "requirements-dev.txt")
 IGNORED = (".git", "__pycache__", ".pytest_cache", "node_modules", ".venv")
 
 
@@ -111,13 +112,19 @@ def image_extension(url: Column) -> Column:
     return F.when(found == "", ".jpg").otherwise(F.regexp_replace(found, r"[?#].*$", ""))
 
 
-def manifest(spark: SparkSession, root: str) -> DataFrame:
-    """(path, size, kind, is_large) of a tree: code, docs, data, other; contents are not read."""
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(percent_decode(F.col("path")).alias("path"), F.col("length").alias("size"))
+def manifest(spark: SparkSession, root: str, code_dirs: tuple[str, ...] = ("tools/",)) -> DataFrame:
+    """(path, size, kind, is_large) of a tree: ignored, uploadable or review; paths are below ``root``. Contents are not read."""
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    full = F.regexp_replace(percent_decode(F.col("path")), "^file:/+", "/")
+    rows = rows.select(F.substring(full, F.lit(len(root.rstrip("/")) + 2), F.length(full)).alias("path"), F.col("length").alias("size"))
     rows = rows.where(~F.exists(F.split("path", "/"), lambda p: p.isin(*IGNORED)))
-    name = F.lower(F.substring_index("path", "/", -1))
-    kind = F.when(F.endswith(name, F.lit(".py")), "code").when(F.regexp_like(name, F.lit(r"\.(md|txt|rst)$")), "docs").when(F.regexp_like(name, F.lit(r"\.(json|db|csv|parquet|yml|yaml)$")), "data").otherwise("other")
-    return rows.select("path", "size", kind.alias("kind"), (F.col("size") > LARGE_FILE).alias("is_large"))
+    path = F.col("path")
+    ignored = F.regexp_like(path, F.lit(r"quality_report|deep_scan_report|auto_fix_report|\.(pyc|db|sqlite|log)$"))
+    upload = F.endswith(path, F.lit(".py")) | path.isin(*UPLOADED)
+    for d in code_dirs:
+        upload = upload | F.startswith(path, F.lit(d))
+    kind = F.when(ignored, "ignored").when(upload, "uploadable").otherwise("review")
+    return rows.select("path", "size", kind.alias("kind"), ((kind != "ignored") & (F.col("size") > LARGE_FILE)).alias("is_large"))
 
 
 def rewrite(candidates: DataFrame, model: Callable[[str], str]) -> DataFrame:
