@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import FOLD, string_parts, words_of
+from .words import FOLD, frugal, string_parts, words_of
 
 WINDOW = 13
 #: Bytes of item texts in one automaton. Items beyond it go to further automata, each scanning the texts once.
@@ -132,7 +132,7 @@ def _pass_over(docs: DataFrame, text: str, items: DataFrame, window: int, item_b
                     state = [_pairs(spans), pa.array(ids, pa.list_(pa.string()))]
                     yield pa.RecordBatch.from_arrays([*batch.columns[:n_columns], *state], batch.schema.names)
 
-        out = out.mapInArrow(run, schema if last else carried)
+        out = out.mapInArrow(frugal(run), schema if last else carried)
     return out
 
 

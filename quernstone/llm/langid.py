@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .words import string_parts
+from .words import frugal, string_parts
 
 BLOCK = 256
 UNKNOWN = "und"
@@ -238,7 +238,7 @@ def identify(docs: DataFrame, samples: Samples, id_col: str = "doc_id", text_col
             langs, scores = predict(batch.column(1), samples)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [id_col, "lang_pred", "score"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(frugal(run), schema)
 
 
 def keep_identified(docs: DataFrame, samples: Samples, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -253,4 +253,4 @@ def keep_identified(docs: DataFrame, samples: Samples, text_col: str = "text", l
             columns[l] = pa.array([x if x is not None else y for x, y in zip(columns[l].to_pylist(), langs, strict=True)], columns[l].type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names).filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal(run), docs.schema)

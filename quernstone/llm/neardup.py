@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .words import FOLD, chunks, mix, words_of
+from .words import FOLD, chunks, frugal, mix, words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bands overlap: 36 disjoint ones fit into the components, and two orders of the components give 32 each.
@@ -163,7 +163,7 @@ def _signed(docs: DataFrame) -> DataFrame:
 
     words = [f"w{i}" for i in range(SKETCH_WORDS)]
     names = ["id", "text_hash", "node", "bands", "size", *words]
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, text_hash long, node long, bands array<long>, size long, {', '.join(f'{w} long' for w in words)}")
+    return docs.mapInArrow(frugal(run), f"id {docs.schema['id'].dataType.simpleString()}, text_hash long, node long, bands array<long>, size long, {', '.join(f'{w} long' for w in words)}")
 
 
 def _multisets(rows: DataFrame) -> DataFrame:
@@ -178,7 +178,7 @@ def _multisets(rows: DataFrame) -> DataFrame:
                 ends = np.searchsorted(texts, np.arange(b - a + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.ListArray.from_arrays(pa.array(ends), pa.array(own[order]))], ["node", "shingles"])
 
-    return rows.mapInArrow(run, "node long, shingles array<long>")
+    return rows.mapInArrow(frugal(run), "node long, shingles array<long>")
 
 
 def _spread(rows: DataFrame) -> DataFrame:
@@ -195,7 +195,7 @@ def _spread(rows: DataFrame) -> DataFrame:
             ends = pa.array(np.arange(n + 1, dtype=np.int32) * PARTS)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(out.astype(np.int32)))], ["node", "spread"])
 
-    return rows.mapInArrow(run, "node long, spread array<int>")
+    return rows.mapInArrow(frugal(run), "node long, spread array<int>")
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -222,7 +222,7 @@ def _verify(pairs: DataFrame, multisets: DataFrame, threshold: float) -> DataFra
 
     one = multisets.select(F.col("node").alias("u"), F.col("shingles").alias("s"))
     two = multisets.select(F.col("node").alias("v"), F.col("shingles").alias("t"))
-    return pairs.join(one, "u").join(two, "v").select("u", "v", "s", "t").mapInArrow(run, "u long, v long")
+    return pairs.join(one, "u").join(two, "v").select("u", "v", "s", "t").mapInArrow(frugal(run), "u long, v long")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import materialize
-from .words import _power, chunks, mix, words_of
+from .words import chunks, frugal, mix, _power, words_of
 
 MIN_WORDS, K = 50, 12
 #: Stands for a null id.
@@ -101,7 +101,7 @@ def _blocks(docs: DataFrame, min_words: int, k: int) -> DataFrame:
                 rows = [x["fp"], x["big"], ids[a + x["text"]], x["low"] << 16 | (x["high"] - x["low"]), x["char"] << 32 | x["chars"]]
                 yield pa.RecordBatch.from_arrays([pa.array(r.astype(np.int64)) for r in rows], ["fp", "big", "doc", "at", "chars"])
 
-    return docs.mapInArrow(run, "fp long, big long, doc long, at long, chars long")
+    return docs.mapInArrow(frugal(run), "fp long, big long, doc long, at long, chars long")
 
 
 def _compare(rows: list[np.ndarray], edge: bool) -> list[np.ndarray]:
@@ -167,7 +167,7 @@ def _matches(blocks: DataFrame) -> DataFrame:
 
     schema = "doc long, at long, chars long, first long, last long, whole boolean, extend boolean"
     ordered = blocks.repartitionByRange("fp", "big", "doc", "at").sortWithinPartitions("fp", "big", "doc", "at")
-    return ordered.mapInArrow(run, schema)
+    return ordered.mapInArrow(frugal(run), schema)
 
 
 def windows_of(data: np.ndarray, low: np.ndarray, high: np.ndarray, min_words: int) -> tuple[np.ndarray, ...]:
@@ -199,7 +199,7 @@ def _windows(wanted: DataFrame, min_words: int) -> DataFrame:
                     ["hash", "doc", "at", "chars", "first", "last", "whole"],
                 )
 
-    return wanted.mapInArrow(run, "hash long, doc long, at long, chars long, first long, last long, whole boolean")
+    return wanted.mapInArrow(frugal(run), "hash long, doc long, at long, chars long, first long, last long, whole boolean")
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, k: int = K) -> DataFrame:
