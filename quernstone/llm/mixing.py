@@ -8,7 +8,8 @@ random and without bias, so that the words taken stay the same, until one of
 the two is 0 or 1. What is left of a bucket of
 documents, at most one fraction, goes up a reduction tree to be paired with
 what other buckets left; the last fraction of a source is decided by chance.
-So a source's words miss its target by less than one of its small documents.
+So a source's words miss its target by less than one of its small documents,
+unless one document outweighs all smaller ones of its bucket.
 """
 
 from __future__ import annotations
