@@ -411,13 +411,13 @@ def upsert_pages(spark, sf_dir):
 
 
 @query(PARSED + _SNAPSHOT + f""", fresh AS (SELECT s.title, s.revision_id, {_REASON_SQL.replace("title", "s.title").replace("categories", "p.categories").replace("wikitext", "p.wikitext")} AS reason FROM snapshot s JOIN parsed p USING (title))
-  SELECT p.title, p.revision_id, f.revision_id AS fresh_revision, CASE WHEN f.title IS NULL THEN 'missing' WHEN NOT f.revision_id > p.revision_id THEN 'unchanged' WHEN f.reason IS NOT NULL THEN 'filtered' ELSE 'updated' END AS action
+  SELECT p.title, p.revision_id, coalesce(f.revision_id, -1) AS fresh_revision, CASE WHEN f.title IS NULL THEN 'missing' WHEN NOT f.revision_id > p.revision_id THEN 'unchanged' WHEN f.reason IS NOT NULL THEN 'filtered' ELSE 'updated' END AS action
   FROM parsed p LEFT JOIN fresh f ON p.title = f.title""")
 def incremental_actions(spark, sf_dir):
     p = fx.wiki_pages(spark, sf_dir)
     fresh = _snapshot(p).select("title", "revision_id").join(p.select("title", "categories", F.col("wikitext").alias("text")), "title")
     out = merge.update_actions(p, fresh, filters.skip_reason(F.col("title"), F.col("categories"), F.col("text")))
-    return out.select("title", "revision_id", "fresh_revision", "action")
+    return out.select("title", "revision_id", F.coalesce("fresh_revision", F.lit(-1)).alias("fresh_revision"), "action")
 
 
 @query(PARSED + ", r AS (SELECT title AS f, redirect_target AS t FROM parsed WHERE redirect_target IS NOT NULL) SELECT title, coalesce(r.t, title) AS resolved_title FROM parsed LEFT JOIN r ON r.f = title")
