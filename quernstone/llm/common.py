@@ -1,14 +1,14 @@
-"""Helpers shared by the corpus operators: tables, scratch tables, sizes."""
+"""Helpers shared by the corpus operators."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import materialize
+
+__all__ = ["lower_ascii", "materialize", "table"]
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -21,40 +21,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def lower_ascii(col: Column) -> Column:
     """``col`` with A-Z lower-cased and every other character unchanged."""
     return F.translate(col, UPPER, LOWER)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of our own only where it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="quernstone-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
-_scratch: dict[str, object] = {}
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the session has ended already; the folder is the cluster's to clear
-        pass
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
-
-    This cuts lineage: the files are on storage that all executors share, so a
-    lost executor costs no recomputation. The application's folder is removed
-    when Python exits.
-    """
-    spark = df.sparkSession
-    root = f"{shared_dir(spark)}/quernstone/{spark.sparkContext.applicationId}"
-    if root not in _scratch:
-        _scratch[root] = atexit.register(_delete, spark, root)
-    path = f"{root}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
