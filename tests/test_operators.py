@@ -257,3 +257,17 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
     merged = spark.read.parquet(f"{tmp_path}/table/v1").drop("updated_at")
     batch, _ = update(cached, fresh, F.current_timestamp())
     assert sorted(map(str, merged.collect())) == sorted(map(str, batch.drop("updated_at").collect()))
+
+
+def test_sqlite_round_trip(spark, tmp_path):
+    from quernstone.sources import sqlite
+
+    path = f"{tmp_path}/pages.db"
+    pages = spark.createDataFrame([(f"t{i}", i, i, datetime.datetime(2026, 7, 1), ["角色", "x"], "w", None, "u", None, "completed", None) for i in range(20)], "title string, page_id long, revision_id long, updated timestamp, categories array<string>, wikitext string, markdown string, url string, redirect_target string, status string, error string")
+    assert sqlite.write_pages(pages, path) == 20
+    back = sqlite.read_pages(spark, path, 3)
+    assert sorted(map(str, back.select(*pages.columns).collect())) == sorted(map(str, pages.collect()))
+    sqlite.write_pages(pages.where("page_id < 3").withColumn("status", F.lit("failed")), path)
+    assert {r["status"]: r["n_pages"] for r in stats.status_counts(sqlite.read_pages(spark, path)).collect()} == {"completed": 17, "failed": 3}
+    sqlite.clean(path)
+    assert sqlite.read_pages(spark, path).count() == 0
