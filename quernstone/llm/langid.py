@@ -209,6 +209,9 @@ def predict(texts: pa.Array, samples: Samples) -> tuple[list[str], np.ndarray]:
         points = np.frombuffer(part.tobytes().decode("utf-8", "replace").encode("utf-32-le", "replace"), np.uint32)
         begins = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)])
         at = begins[offsets[a : b + 1] - offsets[a]]
+        if begins[-1] != len(points):  # bytes that are no UTF-8: each text by itself
+            own = [part[x - offsets[a] : y - offsets[a]].tobytes().decode("utf-8", "replace") for x, y in zip(offsets[a:b], offsets[a + 1 : b + 1], strict=True)]
+            points, at = np.frombuffer("".join(own).encode("utf-32-le"), np.uint32), np.cumsum([0, *map(len, own)])
         cost = p.phrases(points, at) * p.bits
         has = np.concatenate([[0], np.cumsum(_tables()[0][points])])
         has = has[at[1:]] > has[at[:-1]]

@@ -80,6 +80,8 @@ def test_language_id_odd_rows(spark):
     assert all((r["lang_pred"] == "und") == (not any(map(str.isalpha, t or ""))) for r, t in zip(rows[: len(ODD_TEXTS)], ODD_TEXTS, strict=True))
     assert langid.identify(empty_docs(spark), langid.collect_samples(empty_docs(spark))).count() == 0
     assert [r["lang_pred"] for r in langid.identify(docs.where("doc_id = 4"), langid.Samples((), ())).collect()] == ["und"]
+    broken = spark.range(1).select(F.col("id").alias("doc_id"), F.expr("CAST(X'80616280FF' AS STRING)").alias("text"))
+    assert langid.identify(broken, samples).count() == 1
     kept = langid.keep_identified(docs, samples)
     assert kept.columns == docs.columns and kept.where("lang IS NULL").count() == 0
 
