@@ -216,7 +216,7 @@ def render_files(spark, sf_dir):
     return out.select("title", "directory", "path", "content")
 
 
-@query(_CHUNKS.replace("parsed AS MATERIALIZED", "parsed AS MATERIALIZED") + f""" SELECT title, chunk_no, {names.sql_sanitize("sectioned.display_title")} || CASE WHEN n_chunks > 1 THEN '_' || chunk_no ELSE '' END || '.md' AS file_name
+@query(_CHUNKS + f""" SELECT title, chunk_no, {names.sql_sanitize("sectioned.display_title")} || CASE WHEN n_chunks > 1 THEN '_' || chunk_no ELSE '' END || '.md' AS file_name
   FROM chunks JOIN sectioned USING (page_id) WHERE redirect_target IS NULL AND trim(markdown) <> ''""")
 def chunk_files(spark, sf_dir):
     out = render.render_files(fx.sectioned_pages(spark, sf_dir), threshold=SPLIT_AT)
@@ -336,7 +336,7 @@ def actor_names(spark, sf_dir):
 def actor_files(spark, sf_dir):
     p = _plain_pages(spark, sf_dir).where("page_id % 5 = 0")
     out = render.actor_files(p, tags=("声优", "BanG Dream"), plain_yaml=True).select("title", "path", fm.split_file(F.col("content")).alias("f"))
-    tags = F.array_join(F.transform(F.regexp_extract_all("f.front", F.lit(r"(?m)^- (.+)$"), F.lit(1)), lambda x: x), "|")
+    tags = F.array_join(F.regexp_extract_all("f.front", F.lit(r"(?m)^- (.+)$"), F.lit(1)), "|")
     body = F.regexp_replace("f.body", r"\A\n\n# [^\n]*\n\n", "")
     return out.select("title", "path", (F.length(body) - 1).cast("long").alias("n_chars"), tags.alias("tags"))
 
@@ -700,7 +700,7 @@ def image_choice(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", choose(F.when(k == 0, "own.png"), listed).alias("image"))
 
 
-@query(_TAGGED.replace("skip_reason", "skip_reason") + " SELECT count(*) FILTER (skip_reason IS NULL AND redirect_target IS NULL AND trim(markdown) <> '') AS exported_files, count(*) FILTER (skip_reason IS NULL AND (redirect_target IS NOT NULL OR trim(markdown) = '')) AS skipped_files FROM tagged")
+@query(_TAGGED + " SELECT count(*) FILTER (skip_reason IS NULL AND redirect_target IS NULL AND trim(markdown) <> '') AS exported_files, count(*) FILTER (skip_reason IS NULL AND (redirect_target IS NOT NULL OR trim(markdown) = '')) AS skipped_files FROM tagged")
 def export_counts(spark, sf_dir):
     p = filters.tag_pages(fx.parsed_pages(spark, sf_dir)).where("skip_reason IS NULL")
     return render.export_counts(p, render.render_files(p, threshold=1 << 30, plain_yaml=True))
