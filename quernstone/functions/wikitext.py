@@ -146,13 +146,14 @@ def _sections(markdown: Column, level: int) -> Column:
     return let(let(parts, all_of), lambda found: F.when(F.size(found) > 0, found).otherwise(whole)).cast(_SECTIONS)
 
 
-def split_long_pages(pages: DataFrame, threshold: int = 5000, title_col: str = "display_title", markdown_col: str = "markdown") -> DataFrame:
+def split_long_pages(pages: DataFrame, threshold: int = 5000, title_col: str = "display_title", markdown_col: str = "markdown", skip_empty: bool = False) -> DataFrame:
     """A row for each chunk of each page: all columns, and chunk_no, n_chunks, chunk_title, chunk_markdown, section_level.
 
     Long pages are split at level-2 headings, else at level 3; text before the
     first heading joins the first section; sections half as long again as the
     threshold are split at level 3. The sections are one array expression per
-    page with one generator: no shuffle.
+    page with one generator: no shuffle. ``skip_empty`` leaves pages without
+    text out, here rather than by a filter, which would parse them once more.
     """
     title = F.col(title_col)
     tail = "_" * (1 + max(map(len, pages.columns)))
@@ -183,7 +184,8 @@ def split_long_pages(pages: DataFrame, threshold: int = 5000, title_col: str = "
             return F.when(F.size(s) > 1, F.flatten(F.transform(merged(s), cut))).otherwise(whole)
 
         sections = let(split_by_heading(md, 2), lambda s: F.when(F.size(s) > 1, s).otherwise(split_by_heading(md, 3)))
-        return F.when(F.length(md) > threshold, let(sections, from_sections)).otherwise(whole)
+        found = F.when(F.length(md) > threshold, let(sections, from_sections)).otherwise(whole)
+        return F.filter(found, lambda _: F.trim(md) != "") if skip_empty else found
 
     out = pages.withColumn(chunk, let(F.col(markdown_col), chunks_of))
     out = out.select(*pages.columns, F.posexplode(F.transform(chunk, lambda c: F.struct(c.alias("c"), F.size(chunk).cast("long").alias("n")))).alias(place, chunk))

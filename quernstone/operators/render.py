@@ -37,9 +37,9 @@ def render_files(pages: DataFrame, threshold: int = 5000, root: str = "output",
     redirect_target and markdown. ``plain_yaml`` keeps the front matter in the
     JVM, for values that YAML does not quote.
     """
-    p = pages.where("redirect_target IS NULL AND markdown IS NOT NULL AND trim(markdown) <> ''")
+    p = pages.where("redirect_target IS NULL")
     p = p.withColumn("directory", directory if directory is not None else directory_of(F.col("categories")))
-    chunks = split_long_pages(p, threshold if split else (1 << 31) - 1)
+    chunks = split_long_pages(p, threshold if split else (1 << 31) - 1, skip_empty=True)
     dump = fm.dump_plain if plain_yaml else fm.dump
     front = dump(F.col("chunk_title"), F.col("url"), F.col("revision_id"), names.short_date(F.col("updated")), F.col("categories"))
     content = F.concat(F.lit("---\n"), front, F.lit("---\n\n# "), F.col("chunk_title"), F.lit("\n\n"), F.col("chunk_markdown"), F.lit("\n"))

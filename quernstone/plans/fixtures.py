@@ -42,9 +42,15 @@ SPARK_PAGES = _HEAD.format(a="array(", z=")") + "array_join(transform(split(text
 DUCKDB_PAGES = _HEAD.format(a="[", z="]") + "array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: CASE (i - 1) % 10" + _SHAPES + "), chr(10)) END AS wikitext FROM documents"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of fewer files than there are cores, dealt out to all of them; a table of many files stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, title, revision_id, categories, redirect_target, wikitext)."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source"))
     docs.createOrReplaceTempView("quernstone_documents")
     return spark.sql(SPARK_PAGES.replace("FROM documents", "FROM quernstone_documents"))
 

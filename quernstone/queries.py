@@ -510,7 +510,7 @@ def html_titles(spark, sf_dir):
 
 def _doc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw documents as files, named by their sources: they hold real copies."""
-    d = _docs(spark, sf_dir)
+    d = fx.spread(_docs(spark, sf_dir))
     return d.select(F.format_string("%09d", "doc_id").alias("path"), F.concat("source", F.lit("-"), F.col("lang"), (F.col("doc_id") % 50).cast("string")).alias("file_name"), F.col("lang").alias("directory"), F.col("text").alias("raw"))
 
 
