@@ -506,3 +506,17 @@ def test_pipeline_stages(spark, sf_dir, tmp_path):
     rows = docs.collect()
     assert len({(r["shard"], r["slot"]) for r in rows}) == len(rows)
     assert cp.run(spark, sf_dir).count() == len(rows)
+
+
+@pytest.mark.parametrize("make", [odd_docs, empty_docs])
+def test_pipeline_stages_take_odd_rows(spark, sf_dir, make):
+    import corpus_pipeline as cp
+
+    docs = make(spark)
+    columns = docs.columns
+    for name, stage in cp.STAGES:
+        docs = stage(spark, docs, sf_dir)
+        if name != "shard":
+            assert docs.columns == columns
+    rows = docs.collect()
+    assert len({(r["shard"], r["slot"]) for r in rows}) == len(rows) and (rows or make is empty_docs)
