@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -433,6 +434,39 @@ def test_licenses(spark):
     assert licenses.scan_licenses(odd_docs(spark), licenses.known_digests(spark, license_texts.LICENSES)).count() == odd_docs(spark).count()
 
 
+def license_ids(spark, texts):
+    known = licenses.known_digests(spark, license_texts.LICENSES)
+    found = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), known)
+    return [r["license_id"] for r in found.orderBy("doc_id").collect()]
+
+
+def layouts(text):
+    """The text re-wrapped at several widths, on one line, and as comments."""
+    words = text.split()
+    for width in (20, 33, 47, 60, 72, 79, 100, 1 << 20):
+        lines = textwrap.wrap(" ".join(words), width, break_long_words=False)
+        yield "\n".join(lines)
+        yield "\r\n".join(" * " + x for x in lines)
+    yield "\n".join(words)
+
+
+def test_licenses_in_any_layout(spark):
+    short = [(i, t) for i, t in license_texts.LICENSES]
+    got = license_ids(spark, [x for _, t in short for x in layouts(t)])
+    assert got == [i for i, t in short for _ in layouts(t)]
+    for notice in ("Copyright (c) 2020 X", "Copyright 2019-2021, Some One <a@b.c>. All rights reserved.", "(c) 2020 X\nCopyright (c) 2021 Y\nAll rights reserved."):
+        noticed = [(i, notice + "\n\n" + t) for i, t in short]
+        got = license_ids(spark, [x for _, t in noticed for x in (t, *layouts(t))])
+        assert got == [i for i, t in noticed for _ in (t, *layouts(t))]
+
+
+def test_only_notices_are_dropped(spark):
+    texts = ["Copyright (c) 2020 X\nCopyright holders may object.", "copyright notice and this permission", "Copyright (c) 2020 X. All rights reserved. Do not copy.", "Copyright (c) 2020 X " + "word " * 60]
+    texts += ["Copyright (c) 2020 X\n\nSome prose of a document.\n\nReleased under the MIT License.", "a\n(c) You must retain all notices"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(licenses.canonical(F.col("t")).alias("c")).collect()
+    assert [r["c"] for r in rows] == ["copyright owners may object", "copyright notice and this permission", "do not copy", "copyright c 2020 x " + "word " * 59 + "word", "some prose of a document released under the mit license", "a c you must retain all notices"]
+
+
 # ── 10 ──────────────────────────────────────────────────────────────────────
 
 
