@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii
+from .common import LOWER, UPPER
 
 #: Equivalent spellings, after lower-casing: fixed values, taken in this order.
 SPELLINGS = (
@@ -50,9 +50,25 @@ SPELLINGS = (
 
 #: Of the query's SQL alone, which drops whole lines that begin like a notice. RE2 and Java read it alike.
 NOTICE_LINE = r"\n[ \t#*/;-]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*"
-#: What separates words: anything but a-z, digits and non-ASCII characters.
+#: Of the query's SQL alone, to which every non-ASCII character is part of a word.
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+#: What separates words, code point by code point: ASCII but letters and digits, and the punctuation, symbols and spaces
+#: of Latin-1, of the blocks of general, supplemental, CJK, small and full-width punctuation, of currency, arrows,
+#: mathematics and shapes, trade marks, the replacement character and the private bullets of word processors.
+SEPARATORS = (
+    r"[\x00-\x2F\x3A-\x60\x7B-\xA9\xAB-\xB1\xB4\xB6-\xB8\xBB\xBF\xD7\xF7\x{1680}\x{180E}\x{2000}-\x{206F}\x{20A0}-\x{20CF}\x{2117}\x{2120}\x{2122}"
+    r"\x{2190}-\x{245F}\x{2500}-\x{2BFF}\x{2E00}-\x{2E7F}\x{3000}-\x{3004}\x{3008}-\x{3020}\x{3030}\x{30FB}\x{F000}-\x{F0FF}\x{FE10}-\x{FE1F}\x{FE30}-\x{FE6B}"
+    r"\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}\x{FF3B}-\x{FF40}\x{FF5B}-\x{FF65}\x{FFFD}]+"
+)
+_SPACES = "\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+_HYPHENS = "\u2010\u2011\u2012\u2013\u2014\u2015\u2212\ufe58\ufe63\uff0d"
+_BULLETS = "\xb7\u2022\u2023\u2043\u25aa\u25cf\u25e6\uf0b7"
+_LINE_ENDS = "\x85\u2028\u2029"
+#: No width and no meaning: soft hyphen, joiners, marks of direction and of byte order.
+_INVISIBLE = "\xad\u200b\u200c\u200d\u200e\u200f\u2060\ufeff"
+_PLAIN = UPPER + _SPACES + _HYPHENS + _BULLETS + _LINE_ENDS + _INVISIBLE, LOWER + " " * len(_SPACES) + "-" * len(_HYPHENS) + "*" * len(_BULLETS) + "\n" * len(_LINE_ENDS)
+
 #: What may lie between two words of a notice, a line's end and comment marks included.
 _GAP = r"[\s#*/;:-]{1,20}"
 #: A copyright mark: "copyright" before (c) or a year, or (c) before a year; years may be placeholders.
@@ -103,15 +119,15 @@ def canonical(text: Column) -> Column:
 
     Words are separated before spellings are replaced, so a spelling of two words may be wrapped.
     """
-    out = F.regexp_replace(F.concat(F.lit("\n"), lower_ascii(text)), NOTICE, " ")
-    out = F.regexp_replace(out, BETWEEN_WORDS, " ")
+    out = F.replace(F.translate(text, *_PLAIN), F.lit("©"), F.lit("(c)"))
+    out = F.regexp_replace(F.regexp_replace(F.concat(F.lit("\n"), out), NOTICE, " "), SEPARATORS, " ")
     for a, b in SPELLINGS:
         out = F.replace(out, F.lit(_words(a)), F.lit(_words(b)))
     return F.trim(out)
 
 
 def _words(text: str) -> str:
-    return re.sub(BETWEEN_WORDS, " ", text).strip()
+    return re.sub("[^a-z0-9]+", " ", text).strip()
 
 
 def digest(text: Column) -> Column:

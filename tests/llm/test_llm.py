@@ -460,6 +460,17 @@ def test_licenses_in_any_layout(spark):
         assert got == [i for i, t in noticed for _ in (t, *layouts(t))]
 
 
+def test_licenses_in_typographic_punctuation(spark):
+    def curly(text, quotes, dash, space, bullet):
+        text = re.sub(r'"([^"]*)"', quotes[0] + r"\1" + quotes[1], text).replace("'", "\u2019").replace("-", dash).replace("...", "\u2026")
+        return f"\ufeff{bullet}{space}\xa9 2020 X\u2028" + "\n".join(bullet + space + x.replace("  ", space * 2).replace("software", "soft\xadware") for x in text.split("\n"))
+
+    styles = [("\u201c\u201d", "\u2013", "\xa0", "\u2022"), ("\u201e\u201c", "\u2014", "\u3000", "\xb7"), ("\xab\xbb", "\u2011", "\u2009", "\u25e6"), ("\u300c\u300d", "\u2010", "\u202f", "\uf0b7")]
+    assert license_ids(spark, [curly(t, *x) for _, t in license_texts.LICENSES for x in styles]) == [i for i, _ in license_texts.LICENSES for _ in styles]
+    words = spark.createDataFrame([("Ünï-cödé ªº ²³ Ж 字々 한 ｶ",)], "t string").select(licenses.canonical(F.col("t"))).first()[0]
+    assert words == "Ünï cödé ªº ²³ Ж 字々 한 ｶ"
+
+
 def test_only_notices_are_dropped(spark):
     texts = ["Copyright (c) 2020 X\nCopyright holders may object.", "copyright notice and this permission", "Copyright (c) 2020 X. All rights reserved. Do not copy.", "Copyright (c) 2020 X " + "word " * 60]
     texts += ["Copyright (c) 2020 X\n\nSome prose of a document.\n\nReleased under the MIT License.", "a\n(c) You must retain all notices"]
