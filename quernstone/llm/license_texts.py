@@ -1,4 +1,4 @@
-"""Texts of short public licences and common notices: fixed values."""
+"""Texts of short public licences and common notices, digests of long ones: fixed values."""
 
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
@@ -134,3 +134,28 @@ LICENSES = (
     ("MIT-notice", "Released under the MIT License."),
     ("Zlib", ZLIB),
 )
+
+#: Digests of the canonical forms (``licenses.digest``) of longer texts, as Debian's /usr/share/common-licenses has
+#: them; where an appendix follows the words "END OF TERMS AND CONDITIONS", also of the text up to there.
+DIGESTS = (
+    ("Apache-2.0", "dbb777d3ad1fb948fbe99e6748cbd3fea3f269381f3f7efe3f4259a28a9269c9"),
+    ("Apache-2.0", "37aa90548985ac0057637d42c3153e8b5d107a21d9556d7fbe60e3e426fdacaa"),
+    ("Artistic-1.0-Perl", "64e91f5cc481723b420f8e1ecf131ec7eba02da96cf0a78bb4b764fb30984f7a"),
+    ("BSD-3-Clause", "21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "3178a7b2a9e4008f52f1a3992385b6071e9df05bdb9cd45b47673da8b411c518"),
+    ("GFDL-1.3", "33d036ee806929f616407b9542edbc6fd32856e5d66bbd054fd5cc76e6b4702a"),
+    ("GPL-1.0", "521b83ac564113a4efdfc9ad0b62c96219c6524be95331fb96aa1633159fa3fd"),
+    ("GPL-1.0", "38e3a35959fa4735cd867e5fe8e8f5d183f5a19d771360189b83e89391ef7950"),
+    ("GPL-2.0", "cb508ac34d9ef9f37632146605678355b432f030f52246904b1fdd3f6c9902c5"),
+    ("GPL-2.0", "6186c2b9e1fbbfe994a454357b050eab51d49760436171460ff3d09dc6877fd1"),
+    ("GPL-3.0", "540216558538b46eebd56524a755a4204a6e6368931310e8ae32ad66501fbab5"),
+    ("GPL-3.0", "4a9083dfa89bea4f460e373a4c7a4645205d5e3d3be775d544b10357e357f57b"),
+    ("LGPL-2.0", "d7232ca9704d546f0fd1db40781abf8dd7caaf5c6ac27fcfe68cfe4c8d92a88e"),
+    ("LGPL-2.0", "5ca4718fa3c5d8f13b6eba5034273a44e7fef83cc37e1b5ef87856eb562f184e"),
+    ("LGPL-2.1", "375ce461f0b787eeda0905b1ad7a1786a036013f293b25fa84eaa110cf42228c"),
+    ("LGPL-2.1", "51d50a2196491ba81648d8d09aa62ccd2d644f63f7d0f0ce90d473c641fb2010"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "d610395f65da394137e7346ecc99abcfa57d69324e5dafe4ad3ba7f3d7934056"),
+    ("MPL-2.0", "2ae5d4417f09cff2e3412d0e35c4ee2439f6c18ca69d7d9cc799b33614c368a5"),
+)

@@ -134,10 +134,11 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
 
-def known_digests(spark: SparkSession, licenses: tuple[tuple[str, str], ...]) -> DataFrame:
-    """(license_id, digest) of licence texts; the same canonical text under two ids keeps the first id."""
-    rows = spark.createDataFrame(list(licenses), "license_id string, text string")
-    return rows.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license_id").alias("license_id"))
+def known_digests(spark: SparkSession, licenses: tuple[tuple[str, str], ...], digests: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    """(license_id, digest) of licence texts and of given digests; the same digest under two ids keeps the first id."""
+    rows = spark.createDataFrame(list(licenses), "license_id string, text string").select("license_id", digest(F.col("text")).alias("digest"))
+    rows = rows.union(spark.createDataFrame(list(digests), "license_id string, digest string"))
+    return rows.groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -67,7 +67,7 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = licenses.known_digests(spark, license_texts.LICENSES)
+    known = licenses.known_digests(spark, license_texts.LICENSES, license_texts.DIGESTS)
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), known)
 
 

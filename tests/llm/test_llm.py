@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pathlib
 import random
 import re
 import textwrap
@@ -471,6 +472,25 @@ def test_licenses_in_typographic_punctuation(spark):
     assert words == "Ünï cödé ªº ²³ Ж 字々 한 ｶ"
 
 
+def test_long_licenses(spark, tmp_path):
+    """The query itself finds the whole texts that Debian ships, in any layout, and not parts of them."""
+    files = {"Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0"}
+    files |= {"GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
+    folder = pathlib.Path("/usr/share/common-licenses")
+    if not all((folder / f).exists() for f in files):
+        pytest.skip("no licence texts")
+    assert {i for i, _ in license_texts.DIGESTS} == set(files.values())
+    rows = []
+    for f, i in files.items():
+        text = (folder / f).read_text(encoding="utf-8")
+        terms, mark, _ = text.partition("END OF TERMS AND CONDITIONS")
+        rows += [(x, i) for x in [text, *layouts(text), terms + mark, text.replace("[yyyy] [name of copyright owner]", "2020 Some One")]]
+        rows += [(text + "\nand more", None), (text[: len(text) // 2], None)]
+    spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["license_id"] for r in queries.op9_license_scan(spark, str(tmp_path)).collect()}
+    assert [got[k] for k in range(len(rows))] == [i for _, i in rows]
+
+
 def test_only_notices_are_dropped(spark):
     texts = ["Copyright (c) 2020 X\nCopyright holders may object.", "copyright notice and this permission", "Copyright (c) 2020 X. All rights reserved. Do not copy.", "Copyright (c) 2020 X " + "word " * 60]
     texts += ["Copyright (c) 2020 X\n\nSome prose of a document.\n\nReleased under the MIT License.", "a\n(c) You must retain all notices"]
