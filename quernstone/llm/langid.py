@@ -7,7 +7,8 @@ that occurs in the language's sample (at least one character). A language costs
 
 Texts are parsed in blocks of ``BLOCK`` characters (a phrase ends at a block's
 end), which lets numpy advance thousands of blocks of whole texts at once
-through one dense transition table.
+through one dense transition table; letters beyond the most frequent ones have
+their transitions in sorted arrays, one a language.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ UNKNOWN = "und"
 ROWS_PER_LANG, CHARS_PER_ROW, CHARS_PER_LANG = 200, 2000, 24_000
 #: Bound of the whole sample; with more than ten languages each gets an equal part of it.
 CHARS_IN_ALL = 240_000
-#: Letters with a code of their own; others count as unseen.
+#: Letters with a column in the dense table; the other letters of the samples are looked up in sorted arrays.
 LETTERS = 250
 _CHUNK_CHARS = 1 << 20
 
@@ -137,30 +138,52 @@ class Parser:
         texts = [normalize(np.frombuffer(t.encode("utf-32-le", "replace"), np.uint32)) for t in samples.texts]
         seen = Counter(int(x) for t in texts for x in t)
         seen.pop(32, None)
-        self.code = np.full(0x110000, len(seen := sorted(seen, key=lambda x: (-seen[x], x))[:LETTERS]) + 1, np.uint8)
+        seen = sorted(seen, key=lambda x: (-seen[x], x))
+        common, rare = seen[:LETTERS], seen[LETTERS:]
+        unseen = len(common) + 1
+        self.code = np.full(0x110000, unseen, np.uint8)
         self.code[32] = 0
-        self.code[seen] = np.arange(1, len(seen) + 1)
-        width = len(seen) + 3  # a space, the letters, unseen, padding
-        self.pad = width - 1
-        parts, self.roots, at = [], [], 0
+        self.code[common] = np.arange(1, unseen)
+        self.n_rare = len(rare)
+        self.rare = np.full(0x110000 if rare else 0, -1, np.int32)
+        self.rare[rare] = np.arange(len(rare))
+        width = unseen + 2  # a space, the common letters, unseen or rare, padding
+        self.width, self.pad = width, width - 1
+        parts, self.roots, self.rare_steps, at = [], [], [], 0
         for t in texts:
-            step = suffix_automaton(self.code[t].tolist())
+            codes = self.code[t].astype(np.int64)
+            if rare:
+                codes = np.where(self.rare[t] >= 0, self.rare[t] + width, codes)
+            step = suffix_automaton(codes.tolist())
             to = np.zeros((len(step), width), np.int64)
             new = np.ones((len(step), width), np.int64)
             root = np.zeros(width, np.int64)
-            root[list(step[0])] = list(step[0].values())
+            first = [c for c in step[0] if c < width]
+            root[first] = [step[0][c] for c in first]
             to[:] = root  # a phrase that can't go on ends; its next character begins another
             for s, out in enumerate(step):
-                if s and out:
-                    to[s, list(out)] = list(out.values())
-                    new[s, list(out)] = 0
+                keys = [c for c in out if c < width]
+                if s and keys:
+                    to[s, keys] = [out[c] for c in keys]
+                    new[s, keys] = 0
             to[:, self.pad], new[:, self.pad] = np.arange(len(step)), 0
             parts.append(((at + to) * width << 1 | new).astype(np.int32).ravel())
             self.roots.append(at * width)
+            self.rare_steps.append(self._rare_steps(step, at))
             at += len(step)
         self.table = np.concatenate(parts) if parts else np.zeros(0, np.int32)
         self.bits = np.array([math.log2(max(2, len(t))) for t in texts])
 
+    def _rare_steps(self, step: list[dict[int, int]], at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys (state, rare letter), where they lead, and where a phrase that begins with a rare letter leads (-1: not in the sample)."""
+        width = self.width
+        keys = sorted(((at + s) * width * self.n_rare + c - width, (at + q) * width) for s, out in enumerate(step) if s for c, q in out.items() if c >= width)
+        begin = np.full(self.n_rare, -1, np.int32)
+        for c, q in step[0].items():
+            if c >= width:
+                begin[c - width] = (at + q) * width
+        return np.array([k for k, _ in keys], np.int64), np.array([q for _, q in keys], np.int32), begin
+
     def phrases(self, points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Phrases of each text (rows) in each language (columns)."""
         sizes = np.diff(offsets)
@@ -171,17 +194,40 @@ class Parser:
             return out
         grid = np.full(first[-1] * BLOCK, self.pad, np.uint8)
         place = np.arange(len(points)) + np.repeat(first[:-1] * BLOCK - offsets[:-1], sizes)
-        grid[place] = self.code[normalize(points)]
+        points = normalize(points)
+        grid[place] = self.code[points]
         grid = np.ascontiguousarray(grid.reshape(-1, BLOCK).T).astype(np.int32)
         some = blocks > 0
+        # rare letters in the order in which the rows of ``grid`` come to them
+        rare = self.rare[points] if self.n_rare else np.zeros(0, np.int32)
+        at = np.flatnonzero(rare >= 0)
+        letter, spot = rare[at], place[at]
+        order = np.argsort(spot % BLOCK, kind="stable")
+        letter, line, column = letter[order], spot[order] % BLOCK, spot[order] // BLOCK
         for k, root in enumerate(self.roots):
             state = np.full(grid.shape[1], root, np.int32)
             count = np.zeros(grid.shape[1], np.int32)
-            for row in grid:
+            keys, targets, begin = self.rare_steps[k]
+            own = np.flatnonzero(begin[letter] >= 0)
+            letters, columns = letter[own].astype(np.int64), column[own]
+            bounds = np.searchsorted(line[own], np.arange(BLOCK + 1)).tolist() if len(own) else [0] * (BLOCK + 1)
+            for i, row in enumerate(grid):
+                a, b = bounds[i], bounds[i + 1]
+                if a < b:
+                    x, c = letters[a:b], columns[a:b]
+                    key = state[c].astype(np.int64) * self.n_rare + x
+                    found = np.searchsorted(keys, key)
+                    goes_on = np.zeros(b - a, np.bool_)
+                    if len(keys):
+                        found[found == len(keys)] = 0
+                        goes_on = keys[found] == key
                 state += row
                 state = self.table[state]
                 count += state & 1
                 state >>= 1
+                if a < b:  # the dense table took them for unseen: each a phrase of its own
+                    count[c] -= goes_on
+                    state[c] = np.where(goes_on, targets[found], begin[x]) if len(keys) else begin[x]
             out[some, k] = np.add.reduceat(count, first[:-1][some])
         return out
 

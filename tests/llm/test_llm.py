@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,25 @@ def test_cross_parsing_against_brute_force():
     assert got.tolist() == [[brute_phrases(t, s) for s in samples.texts] for t in texts]
 
 
+def test_cross_parsing_of_large_alphabets():
+    rng = random.Random(2)
+    alphabets = [[chr(0xAC00 + i) for i in range(1500)], [chr(0x4E00 + i) for i in range(2000)], [chr(0x4E00 + i) for i in range(1000, 3000)], list("abcdefg ")]
+    samples = langid.Samples(("ko", "zh", "ja", "en"), tuple("".join(rng.choice(x) for _ in range(3000)) for x in alphabets))
+    p = langid.parser(samples)
+    texts = [s[i : i + n] for s in samples.texts for i, n in ((0, 40), (700, 300), (2990, 10))]
+    texts += ["".join(rng.choice(rng.choice(alphabets) + list(" é가힣龜")) for _ in range(n)) for n in (1, 2, 255, 256, 257, 900)] + [""]
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    got = p.phrases(points, np.cumsum([0, *map(len, texts)]))
+    assert got.tolist() == [[brute_phrases(t, s) for s in samples.texts] for t in texts]
+
+
+def test_rare_letters_tell_a_language():
+    rng = random.Random(3)
+    samples = langid.Samples(("ja", "ko", "zh"), tuple("".join(chr(a + min(rng.randrange(2000), rng.randrange(2000))) for _ in range(6000)) for a in (0x4E00, 0xAC00, 0x6E00)))
+    texts = [x[i : i + 5] for x in samples.texts for i in range(0, 6000, 300)]
+    assert langid.predict(pa.array(texts), samples)[0] == [l for l in samples.langs for _ in range(20)]
+
+
 def test_language_id_on_held_out_rows(spark, sf_dir):
     rows = queries.op1_language_id(spark, sf_dir).collect()
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
