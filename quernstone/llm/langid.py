@@ -55,12 +55,12 @@ def held_out(doc_id):
 def collect_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Samples:
     """A bounded sample of labelled rows, the same for any partitioning.
 
-    Rows with a null id, text or language and held-out rows are not learned
-    from. Rows are taken in the order of a hash of their ids; a row gives at
+    Rows with a null id, text or language, letterless texts and held-out rows
+    are not learned from. Rows are taken in the order of a hash of their ids; a row gives at
     most ``CHARS_PER_ROW`` characters, from a place that the hash picks.
     """
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
-    rows = rows.where("i IS NOT NULL AND l IS NOT NULL").where(~held_out(F.col("i"))).withColumn("h", F.xxhash64("i"))
+    rows = rows.where("i IS NOT NULL AND l IS NOT NULL").where(~held_out(F.col("i"))).where(F.col("t").rlike(r"\p{L}")).withColumn("h", F.xxhash64("i"))
     counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Samples((), ())
@@ -68,8 +68,7 @@ def collect_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     share = F.create_map(*(F.lit(x) for l, n in counts.items() for x in (l, min(1.0, 4 * ROWS_PER_LANG / n))))
     piece = F.greatest(F.lit(1), (F.pmod(F.shiftright("h", 20), F.greatest(F.length("t") - CHARS_PER_ROW, F.lit(1))) + 1).cast("int"))
     picked = (
-        rows.where("t IS NOT NULL")
-        .where(F.pmod("h", F.lit(1 << 20)) < F.try_element_at(share, F.col("l")) * (1 << 20))
+        rows.where(F.pmod("h", F.lit(1 << 20)) < F.try_element_at(share, F.col("l")) * (1 << 20))
         .select("l", "h", "i", F.substring("t", piece, F.lit(CHARS_PER_ROW)).alias("t"))
         .withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h", "i", "t")))
         .where(F.col("k") <= ROWS_PER_LANG)

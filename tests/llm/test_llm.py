@@ -94,6 +94,12 @@ def test_language_id_on_held_out_rows(spark, sf_dir):
     assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) >= 0.97 * len(held)
 
 
+def test_rare_texts_are_learned_from(spark):
+    rows = spark.range(200_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 20_000 == 0, "some words").otherwise(F.when(F.col("id") % 2 == 0, "!? 12")).alias("text"), F.lit("xx").alias("lang"))
+    assert langid.collect_samples(rows) == langid.collect_samples(rows.where("text = 'some words'"))
+    assert langid.collect_samples(rows).langs == ("xx",)
+
+
 def test_language_id_odd_rows(spark):
     docs = odd_docs(spark)
     samples = langid.collect_samples(docs)
