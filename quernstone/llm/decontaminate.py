@@ -26,7 +26,7 @@ ITEM_BYTES = 8 << 20
 ONE_IN = 20
 
 _TABLE = bytes(int(x) or 32 for x in FOLD)
-Items = tuple[tuple[str, str], ...]
+Items = tuple[tuple[str | None, str], ...]
 
 
 def _joined(text: bytes) -> bytes:
@@ -36,9 +36,9 @@ def _joined(text: bytes) -> bytes:
 def item_batches(items: DataFrame, id_col: str = "item_id", text_col: str = "text", most_bytes: int = ITEM_BYTES) -> Iterator[Items]:
     """The items as (id, text) tuples, in batches of at most ``most_bytes`` (a longer item is a batch of its own).
 
-    Items with a null id or text have no windows.
+    Items with a null text have no windows; those with a null id count together as one item without an id.
     """
-    rows = items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).where("i IS NOT NULL AND t IS NOT NULL")
+    rows = items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).where("t IS NOT NULL")
     batch, size, some = [], 0, False
     for r in rows.toLocalIterator():
         n = len(r["t"].encode())
@@ -54,7 +54,7 @@ def item_batches(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
 @lru_cache(maxsize=1)
 def automaton(items: Items, window: int) -> tuple[ahocorasick.Automaton, bool]:
     """The automaton over the windows of ``items``; a pattern holds its word count and the ids of its items."""
-    found: dict[str, tuple[int, set[str]]] = {}
+    found: dict[str, tuple[int, set[str | None]]] = {}
     for item_id, text in items:
         words = _joined(text.encode("utf-8", "replace")).split()
         for i in range(max(1, len(words) - window + 1) if words else 0):
@@ -68,7 +68,7 @@ def automaton(items: Items, window: int) -> tuple[ahocorasick.Automaton, bool]:
     return out, bool(found)
 
 
-def hits(text: bytes, machine: tuple[ahocorasick.Automaton, bool]) -> tuple[int, list[tuple[int, int, set[str]]]]:
+def hits(text: bytes, machine: tuple[ahocorasick.Automaton, bool]) -> tuple[int, list[tuple[int, int, set[str | None]]]]:
     """The number of words of ``text`` and its hits: (first word, word after the last, item ids)."""
     joined = _joined(text)
     if not joined:
@@ -125,7 +125,7 @@ def _pass_over(docs: DataFrame, text: str, items: DataFrame, window: int, item_b
                     counts.append(n)
                     if found:
                         spans[i] = _merge(spans[i] + [(a, b) for a, b, _ in found])
-                        ids[i] = sorted(set(ids[i]).union(*(x for _, _, x in found)))
+                        ids[i] = sorted(set(ids[i]).union(*(x for _, _, x in found)), key=lambda x: (x is None, x or ""))
                 if last:
                     yield finish(batch, texts, counts, spans, ids)
                 else:
@@ -149,7 +149,7 @@ def _bytes(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, item_bytes: int = ITEM_BYTES) -> DataFrame:
-    """For each row of ``docs``: id, n_words, hit word spans (merged), the same as byte spans of the original, item_ids (sorted).
+    """For each row of ``docs``: id, n_words, hit word spans (merged), the same as byte spans of the original, item_ids (sorted, null last).
 
     A null or empty text has no words; repeated rows give repeated rows; an
     empty table on either side gives no rows or no hits; other columns are not
@@ -171,7 +171,7 @@ def is_contaminated(n_hit: int, n_words: int) -> bool:
 
 
 def digests(scanned: DataFrame) -> DataFrame:
-    """Counts and the digest of the items of a scan; n_hit counts each word once."""
+    """Counts and the digest of the items of a scan; n_hit counts each word once, n_items counts a null id as one item, which the digest leaves out."""
     n_hit = F.aggregate("word_spans", F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["start"]))
     ids = F.concat_ws(",", "item_ids")
     return scanned.select(

@@ -9,6 +9,7 @@ import textwrap
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -149,6 +150,23 @@ def test_decontamination_against_brute_force(spark):
             assert word_list(text.encode()[b["start"] : b["end"]].decode()) == word_list(text)[a["start"] : a["end"]]
 
 
+def test_decontamination_by_items_without_id(spark, tmp_path):
+    """Code and SQL agree that items with a null id are hit, and that they count as one item together."""
+    items = spark.createDataFrame([(None, "one two three"), (None, "four five"), (7, "four five"), (8, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x one two three y"), (2, "four five one two three"), (3, "nothing here"), (4, None)], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    expected = sorted(con.execute(queries.oracle_sql()["op2_decontamination"]).fetchall())
+    assert sorted(map(tuple, queries.op2_decontamination(spark, str(tmp_path)).collect())) == expected
+    assert [r[2:4] for r in expected] == [(3, 1), (5, 2), (0, 0), (0, 0)]
+    for most in (1 << 20, 10):  # one automaton, and several
+        assert sorted(map(tuple, decontaminate.digests(decontaminate.scan(docs, items, item_bytes=most)).collect())) == expected
+        assert {r["doc_id"] for r in decontaminate.remove_contaminated(docs, items, item_bytes=most).collect()} == {3, 4}
+
+
 def test_decontamination_odd_rows(spark):
     items = spark.createDataFrame([(None, "x"), (1, None)], "item_id long, text string")
     assert decontaminate.scan(odd_docs(spark), items).count() == odd_docs(spark).count()
