@@ -219,23 +219,68 @@ def brute_capacity(sizes, shards):
 
 def test_capacity_is_least():
     rng = random.Random(4)
-    for _ in range(30):
-        sizes = [rng.randrange(1, 50) for _ in range(rng.randrange(1, 40))]
+    for _ in range(200):
+        sizes = [rng.randrange(1, 100) for _ in range(rng.randrange(1, 40))]
         for shards in (1, 3, 16):
-            assert sharding.capacity_of(sizes, shards)[0] == brute_capacity(sizes, shards)
+            c = sharding.capacity_of(sizes, shards)
+            assert c == brute_capacity(sizes, shards)
+            cuts = [0, *sharding.even_cuts(sizes, c, shards), len(sizes)]
+            parts = [sum(sizes[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+            assert max(parts) <= c and sum(parts) == sum(sizes) and len(parts) == min(shards, len(sizes)) and min(parts) > 0
 
 
-@pytest.mark.parametrize("cells", [8, 64])
-def test_cuts_from_histograms(spark, cells):
-    rng = random.Random(5)
-    keys = sorted(rng.randrange(-(1 << 63), 1 << 63) for _ in range(3000)) + [(1 << 63) - 1]
+def shards_of(plan, keys):
+    return [plan.heavy.index(k) if k in plan.heavy else len(plan.heavy) + sum(k + (1 << 63) >= x for x in plan.cuts) for k in keys]
+
+
+@pytest.mark.parametrize("cells", [64, sharding.CELLS])
+@pytest.mark.parametrize("part", [0, 5, 10, 30, 60])
+def test_cuts_from_histograms(spark, cells, part):
+    rng = random.Random(5 + part)
+    n = 40_000 if cells == sharding.CELLS else 3000
+    keys = sorted(rng.randrange(-(1 << 63), 1 << 63) for _ in range(n)) + [(1 << 63) - 1]
     sizes = [rng.randrange(1, 1000) for _ in keys]
-    sizes[7] = 400_000
-    c, cuts = sharding.find_cuts(spark.createDataFrame(list(zip(keys, sizes, strict=True)), "key long, bytes long"), 16, cells)
-    assert c == sharding.capacity_of(sizes, 16)[0]
-    shard = [sum(k + (1 << 63) >= x for x in cuts) for k in keys]
-    assert max(sum(z for z, t in zip(sizes, shard, strict=True) if t == s) for s in set(shard)) == c
-    assert max(shard) < 16
+    sizes[n // 3] = max(1, sum(sizes) * part // (100 - part))
+    sizes[n // 3 + 1] = sizes[n // 3] // 3 + 1
+    plan = sharding.plan_shards(spark.createDataFrame(list(zip(keys, sizes, strict=True)), "key long, bytes long"), 16, cells)
+    top = sorted(((z, k) for z, k in zip(sizes, keys, strict=True)), reverse=True)[: len(plan.heavy)]
+    assert plan.heavy == [k for _, k in top]
+    rest = [z for z, k in zip(sizes, keys, strict=True) if k not in plan.heavy]
+    left = 16 - len(top)
+    assert (part < 10 or top) and max(rest) * left < sum(rest)
+    least = sharding.capacity_of(rest, left)  # itself held against brute force
+    assert plan.capacity == max([least, *(z for z, _ in top)])
+    total = Counter()
+    for z, s in zip(sizes, shards_of(plan, keys), strict=True):
+        total[s] += z
+    assert set(total) == set(range(16)) and max(total[s] for s in range(len(top), 16)) <= least
+    assert [total[i] for i in range(len(top))] == [z for z, _ in top]
+    if not part:
+        assert max(total.values()) < 1.03 * min(total.values())
+
+
+def test_few_groups_leave_no_shard_empty(spark):
+    for sizes in ([7] * 20, [1000] + [1] * 16, [60] * 15 + [1] * 5, [5], [3, 3]):
+        keys = [k * 10**17 for k in range(len(sizes))]
+        plan = sharding.plan_shards(spark.createDataFrame(list(zip(keys, sizes, strict=True)), "key long, bytes long"))
+        assert len(set(shards_of(plan, keys))) == min(16, len(sizes))
+
+
+@pytest.mark.parametrize("ids", ["string", "null", "outlier", "same"])
+def test_slots_of_any_ids(spark, monkeypatch, ids):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 50)
+    rows = [(1 << 60 if i == 0 else i, "common" if i % 3 == 0 else f"text {i % 700}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    if ids == "string":
+        docs = docs.withColumn("doc_id", F.concat(F.lit("x"), F.col("doc_id")))
+    if ids == "null":
+        docs = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    if ids == "same":
+        docs = docs.withColumn("doc_id", F.lit(1)).withColumn("text", F.lit("t"))
+    by = defaultdict(list)
+    for r in sharding.shard_documents(docs).collect():
+        by[r["shard"]].append(r["slot"])
+    assert sum(map(len, by.values())) == 2000 and all(sorted(s) == list(range(len(s))) for s in by.values())
 
 
 def test_sharding_query(spark, sf_dir):
