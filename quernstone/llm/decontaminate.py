@@ -17,11 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import materialize
 from .words import FOLD, frugal, string_parts, words_of
 
 WINDOW = 13
-#: Bytes of item texts in one automaton. Items beyond it go to further automata, each scanning the texts once.
-ITEM_BYTES = 8 << 20
+#: Bytes of item texts in one automaton, which takes up to 540 times that memory in each Python worker (measured with
+#: random words, which share no prefixes). Items beyond it go to further automata, each scanning the texts once.
+ITEM_BYTES = 512 << 10
 #: A document is contaminated if at least one in so many of its words is hit.
 ONE_IN = 20
 
@@ -100,11 +102,14 @@ _PAIRS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 def _pass_over(docs: DataFrame, text: str, items: DataFrame, window: int, item_bytes: int, finish, schema: T.StructType) -> DataFrame:
     """Stream ``docs`` past each automaton in turn; ``finish`` makes the last pass's batches.
 
+    The driver reads the items one batch at a time and hands each on as a
+    broadcast. Passes but the last are written as tables, so that a worker
+    holds one automaton.
     ``finish`` gets the batch, the text of each row, its word count, its merged hit spans and its item ids.
     """
     own = [f"{name}{'_' * (1 + max(map(len, docs.columns)))}" for name in ("spans", "ids")]
     t, n_columns = docs.columns.index(text), len(docs.columns)
-    parts = list(item_batches(items, most_bytes=item_bytes))
+    parts = [docs.sparkSession.sparkContext.broadcast(x) for x in item_batches(items, most_bytes=item_bytes)]
     out = docs.withColumns({own[0]: F.from_json(F.lit("[]"), _SPAN), own[1]: F.from_json(F.lit("[]"), "array<string>")}) if len(parts) > 1 else docs
     carried = out.schema
     for k, some in enumerate(parts):
@@ -112,7 +117,7 @@ def _pass_over(docs: DataFrame, text: str, items: DataFrame, window: int, item_b
 
         def run(batches: Iterator[pa.RecordBatch], some=some, last=last) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                machine = automaton(some, window)
+                machine = automaton(some.value, window)
                 data, offsets = string_parts(batch.column(t))
                 raw = data.tobytes()
                 texts = [raw[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
@@ -132,7 +137,7 @@ def _pass_over(docs: DataFrame, text: str, items: DataFrame, window: int, item_b
                     state = [_pairs(spans), pa.array(ids, pa.list_(pa.string()))]
                     yield pa.RecordBatch.from_arrays([*batch.columns[:n_columns], *state], batch.schema.names)
 
-        out = out.mapInArrow(frugal(run), schema if last else carried)
+        out = out.mapInArrow(frugal(run), schema) if last else materialize(out.mapInArrow(frugal(run), carried), "pass")
     return out
 
 
