@@ -28,6 +28,10 @@ WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2
 #: Documents of a bucket, about, and buckets whose remainders meet in one at the next level.
 BUCKET_ROWS, FAN_IN = 2048, 1024
+#: Sources that one task puts in order.
+SOURCES_AT_ONCE = 1 << 16
+#: Repeated rows are made out of their number in runs of so many.
+RUN = 4096
 SEED = 20240229
 
 
@@ -36,32 +40,49 @@ def count_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def source_targets(sizes: DataFrame) -> DataFrame:
-    """(source, source_size, n_docs, target) from a row (source, size) for each document.
+def _before(rows: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """``rows`` with the sum of each of ``sums`` over the rows before, in an order, in parallel: ranges are summed up first."""
+    ranged = materialize(rows.withColumns(sums).repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ranges")
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("range").agg(*(F.sum(c).alias(c) for c in sums)).select("range", *(F.sum(c).over(earlier).alias(f"{c}_0") for c in sums))
+    within = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = ranged.withColumns({c: F.coalesce(F.sum(c).over(within), F.lit(0)) for c in sums}).join(totals, "range")
+    return out.select(*rows.columns, *((F.col(c) + F.coalesce(F.col(f"{c}_0"), F.lit(0))).alias(c) for c in sums))
+
+
+def source_targets(sizes: DataFrame, at_once: int = SOURCES_AT_ONCE) -> DataFrame:
+    """(source, source_size, n_docs, target) from a row (source, size) for each document; no documents: no rows.
 
     The targets fill up by weight: a source stops at ``MOST`` times its size
     and its excess is shared by weight among the others. That is the level
     ``x`` with ``sum(min(MOST * size, weight * x)) = SHARE * sum(size)``, found
     over the sources in the order in which they fill. Only one row for each
-    source takes part.
+    source takes part; up to ``at_once`` of them are put in order by one task,
+    more by ranges.
     """
-    s = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    w = F.lit(list(WEIGHTS)).cast("array<double>")
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    s = s.withColumn("weight", F.get(w, F.pmod(rank, F.lit(len(WEIGHTS))))).withColumn("most", F.col("source_size") * float(MOST))
-    order = Window.orderBy(F.col("most") / F.col("weight"), F.col("source").asc_nulls_last())
-    earlier, all_rows = order.rowsBetween(Window.unboundedPreceding, -1), Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    s = s.withColumns(
-        {
-            "left_words": F.sum("source_size").over(all_rows) * SHARE - F.coalesce(F.sum("most").over(earlier), F.lit(0.0)),
-            "left_weight": F.sum("weight").over(all_rows) - F.coalesce(F.sum("weight").over(earlier), F.lit(0.0)),
-        }
-    )
-    level = F.col("left_words") / F.col("left_weight")
+    s = materialize(sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs")), "sources")
+    of = s.agg(F.count("*").alias("n"), F.sum("source_size").alias("words")).first()
+    few = of["n"] <= at_once
+    by_name = [F.col("source").asc_nulls_last()]
+    if few:
+        s = s.withColumn("place", F.row_number().over(Window.orderBy(*by_name)) - 1)
+    else:
+        s = _before(s, by_name, {"place": F.lit(1)})
+    s = s.withColumn("weight", F.get(F.lit(list(WEIGHTS)).cast("array<double>"), F.pmod(F.col("place"), F.lit(len(WEIGHTS))).cast("int"))).withColumn("most", F.col("source_size") * float(MOST)).drop("place")
+    fills = [F.col("most") / F.col("weight"), *by_name]
+    if few:
+        earlier = Window.orderBy(*fills).rowsBetween(Window.unboundedPreceding, -1)
+        s = s.withColumns({"full": F.coalesce(F.sum("most").over(earlier), F.lit(0.0)), "gone": F.coalesce(F.sum("weight").over(earlier), F.lit(0.0))})
+    else:
+        s = _before(s, fills, {"full": F.col("most"), "gone": F.col("weight")})
     # the level of the first source that does not fill; those after it would give a lower one
-    level = F.max(F.when(level <= F.col("most") / F.col("weight"), level)).over(all_rows)
+    weights = sum(WEIGHTS) * (of["n"] // len(WEIGHTS)) + sum(WEIGHTS[: of["n"] % len(WEIGHTS)])
+    level = (F.lit(float((of["words"] or 0) * SHARE)) - F.col("full")) / (F.lit(float(weights)) - F.col("gone"))
+    s = materialize(s, "filled")
+    level = s.agg(F.max(F.when(level <= F.col("most") / F.col("weight"), level))).first()[0]
     # all the sources fill up only if there are no words at all
-    return s.withColumn("target", F.least(F.col("most"), F.coalesce(level * F.col("weight"), F.col("most")))).select("source", "source_size", "n_docs", "target")
+    target = F.least(F.col("most"), F.lit(level) * F.col("weight")) if level is not None else F.col("most")
+    return s.select("source", "source_size", "n_docs", target.alias("target"))
 
 
 def _unit(ids: np.ndarray, salt: int) -> np.ndarray:
@@ -145,24 +166,36 @@ def _level(rows: DataFrame, level: int) -> DataFrame:
     return rows.groupBy("source", "bucket").applyInPandas(run, rows.schema)
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows``, each with the number ``k`` of the repeat; repeats are counted, so a row that fills the table is no large group."""
+    names = rows.columns
+    counted = rows.groupBy(*names).agg(F.count("*").alias("n"))
+    few = counted.where(F.col("n") <= RUN).withColumn("run", F.lit(0).cast("long"))
+    many = counted.where(F.col("n") > RUN).withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / RUN)))).repartition(F.xxhash64(*names, "run"))
+    last = F.least(F.col("n"), (F.col("run") + 1) * RUN)
+    return few.unionByName(many).select(*names, F.explode(F.sequence(F.col("run") * RUN + 1, last)).alias("k"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", size: Column | None = None, text_col: str = "text") -> DataFrame:
-    """For each row of ``docs``: id, source, size, source_size, target, copies.
+    """For each row of ``docs``: id, source, size, key (a hash of the text), source_size, target, copies.
 
     Empty documents take no part in the rounding and are taken by chance at
     the source's rate (they have no words to miss a target by). A null source
     is a source of its own. Reruns agree for any partitioning: chance depends
-    on ids and sizes only. Repeated rows are documents of their own.
+    on id, source, text, size and, of repeated rows, their number. Repeated
+    rows are documents of their own; null ids are like any others.
     """
     size = size if size is not None else count_words(F.col(text_col))
-    slim = materialize(docs.select(F.col(id_col).cast("string").alias("id"), F.col(source_col).alias("source"), size.cast("long").alias("size")), "sizes")
+    slim = materialize(docs.select(F.col(id_col).cast("string").alias("id"), F.col(source_col).alias("source"), size.cast("long").alias("size"), F.xxhash64(text_col).alias("key")), "sizes")
     targets = source_targets(slim)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.least(F.floor(rate), F.lit(MOST)).cast("long")
-    rows = slim.join(targets, slim["source"].eqNullSafe(targets["source"]), "left").drop(targets["source"])
-    rank = F.xxhash64(F.col("id"), F.lit(SEED))
-    rows = rows.select("id", "source", "size", "source_size", "target", rank.alias("rank"), whole.alias("whole"), (rate - whole).alias("p"), "n_docs")
+    rows = _numbered(slim)
+    rows = rows.join(targets, rows["source"].eqNullSafe(targets["source"]), "left").drop(targets["source"])
+    rank = F.xxhash64("id", "source", "size", "key", "k", F.lit(SEED))
+    rows = rows.select("id", "source", "size", "key", "source_size", "target", rank.alias("rank"), whole.alias("whole"), (rate - whole).alias("p"), "n_docs")
     bucket = F.pmod(F.xxhash64("rank"), F.ceil(F.col("n_docs") / BUCKET_ROWS).cast("long"))
-    rows = rows.withColumn("buckets", F.ceil(F.col("n_docs") / BUCKET_ROWS).cast("long")).withColumn("bucket", bucket).drop("n_docs")
+    rows = rows.withColumn("bucket", bucket).drop("n_docs")
     chance = (F.pmod(F.xxhash64("rank", F.lit(1)), F.lit(1 << 30)) / (1 << 30)) < F.col("p")
     rows = rows.withColumn("p", F.when(F.col("size") == 0, chance.cast("double")).otherwise(F.col("p")))
     most = targets.agg(F.max("n_docs")).first()[0] or 0
@@ -179,23 +212,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", siz
     out = rows.withColumn("p", last)
     for d in done:
         out = out.unionByName(d)
-    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias("id"), "source", "size", "source_size", "target", (F.col("whole") + F.col("p").cast("long")).alias("copies"))
+    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias("id"), "source", "size", "key", "source_size", "target", (F.col("whole") + F.col("p").cast("long")).alias("copies"))
 
 
 def repeat_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """``docs`` as the mix takes them: each row as many times as it is taken, all columns kept.
 
-    Copies are joined back by id, source and size; rows that agree in these
-    are numbered by their texts, and what the mix takes of them is dealt out
-    evenly, the first ones getting what is left over.
+    Copies are joined back by id, source and text; what the mix takes of rows
+    that agree in all of these is dealt out evenly among them, those that come
+    first by a hash of all their columns getting what is left over.
     """
-    copies = mix(docs, id_col, source_col, text_col=text_col).groupBy("id", "source", "size").agg(F.sum("copies").alias("all"), F.count("*").alias("n"))
+    copies = mix(docs, id_col, source_col, text_col=text_col).groupBy("id", "source", "key").agg(F.sum("copies").alias("all"), F.count("*").alias("n"))
     tail = "_" * (1 + max(map(len, docs.columns)))
     copies = copies.select(*(F.col(c).alias(f"{c}{tail}") for c in copies.columns)).where(F.col(f"all{tail}") > 0)
-    own, i, src, size, n, k, times = (F.col(f"{x}{tail}") for x in ("own", "id", "source", "size", "n", "k", "times"))
-    rows = docs.withColumn(f"own{tail}", count_words(F.col(text_col)))
-    rows = rows.join(copies, F.col(id_col).eqNullSafe(i) & (own == size) & F.col(source_col).eqNullSafe(src))
-    number = F.row_number().over(Window.partitionBy(id_col, f"own{tail}", source_col).orderBy(text_col))
+    own, i, src, key, n, k, times = (F.col(f"{x}{tail}") for x in ("own", "id", "source", "key", "n", "k", "times"))
+    rows = docs.withColumn(f"own{tail}", F.xxhash64(text_col))
+    rows = rows.join(copies, F.col(id_col).eqNullSafe(i) & (own == key) & F.col(source_col).eqNullSafe(src))
+    number = F.row_number().over(Window.partitionBy(id_col, f"own{tail}", source_col).orderBy(F.xxhash64(*docs.columns)))
     rows = rows.withColumn(f"k{tail}", F.when(n > 1, number).otherwise(1))
     rows = rows.withColumn(f"times{tail}", F.floor((F.col(f"all{tail}") + n - k) / n).cast("int")).where(times > 0)
     return rows.withColumn(f"k{tail}", F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)

@@ -370,6 +370,32 @@ def test_mix_odd_rows(spark):
 
 # ── 6 ───────────────────────────────────────────────────────────────────────
 
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 300])
+def test_targets_of_many_sources_by_ranges(spark, n):
+    rng = random.Random(n)
+    rows = [(None if i == 5 else f"s{i}", rng.randrange(1, 1000) ** 2) for i in range(n)]
+    docs = spark.createDataFrame(rows * 2, "source string, size long")
+    one, ranges = ({r["source"]: tuple(r)[1:] for r in mixing.source_targets(docs, k).collect()} for k in (1000, 0))
+    expected = brute_targets({a: 2 * b for a, b in rows}) if rows else {}
+    for got in (one, ranges):
+        assert {a: x[:2] for a, x in got.items()} == {a: (2 * b, 2) for a, b in rows} and {a: x[2] for a, x in got.items()} == pytest.approx(expected)
+
+
+def test_null_ids_and_repeated_rows_fill_no_bucket(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RUN", 100)
+    rows = [(None, "w " * (1 + i % 7)) for i in range(30_000)] + [(4, "the same row")] * 10_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("s"))
+    seen = []
+    level = mixing._level
+    monkeypatch.setattr(mixing, "_level", lambda r, k: seen.append(r.groupBy("source", "bucket").count().agg(F.max("count")).first()[0]) or level(r, k))
+    found = mixing.mix(docs).collect()
+    assert len(found) == len(rows) and seen[0] < 1.3 * mixing.BUCKET_ROWS
+    assert Counter(r["id"] for r in found) == Counter(i for i, _ in rows)
+    assert abs(sum(r["size"] * r["copies"] for r in found) - found[0]["target"]) < 20 and {r["copies"] for r in found} == {1, 2}
+    taken = Counter(r["doc_id"] for r in mixing.repeat_rows(docs).collect())
+    assert taken == Counter({k: sum(r["copies"] for r in found if r["id"] == k) for k in (None, 4)})
+
+
 
 def test_urls_against_brute_force(spark):
     rng = random.Random(8)
