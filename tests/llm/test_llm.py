@@ -478,10 +478,52 @@ def brute_classes(docs, threshold=0.8):
 
     for k, (i, a) in enumerate(sets):
         for j, b in sets[:k]:
+def brute_removal(docs, n):
+    """Words that stay of each document if every window that a lesser id has goes."""
+    least, out = {}, []
+    rank = lambda i: (i is not None, i or 0)
+    for i, t in docs:
+        w = word_list(t)
+        for k in range(len(w) - n + 1):
+            g = tuple(w[k : k + n])
+            least[g] = min(least.get(g, rank(i)), rank(i))
+    for i, t in docs:
+        w = word_list(t)
+        gone = {x for k in range(len(w) - n + 1) if least[tuple(w[k : k + n])] < rank(i) for x in range(k, k + n)}
+        out.append((i, [x for k, x in enumerate(w) if k not in gone]))
+    return out
+
+
+@pytest.mark.parametrize("ids", ["distinct", "repeated", "null", "string"])
+def test_repeats_by_row_and_their_removal(spark, ids):
+    """Rows that share an id are one document as to repeats, and yet each has its own spans."""
+    rng = random.Random(71)
+    parts = [prose(rng, rng.randrange(5, 40), 300) for _ in range(12)]
+    of = {"distinct": lambda i: i, "repeated": lambda i: i % 13, "null": lambda i: i if i % 4 else None, "string": lambda i: f"d{i:03}" if i % 9 else None}[ids]
+    docs = [(of(i), " ".join(rng.choice(parts) if rng.random() < 0.4 else prose(rng, rng.randrange(1, 25), 300) for _ in range(rng.randrange(1, 12)))) for i in range(80)]
+    docs += docs[:3] + [(of(90), docs[5][1]), (of(91), None), (of(92), "É, x " * 40)]
+    table = spark.createDataFrame(docs, f"doc_id {'string' if ids == 'string' else 'long'}, text string").withColumn("first_doc_id", F.lit(1)).withColumn("key", F.lit("x"))
+    found = repeats.find_repeats(table, min_words=12, k=4).collect()
+    rows = Counter((r["doc_id"], r["start_word"], r["end_word"]) for r in found)
+    assert set(rows) == brute_repeats(docs, 12)
+    left = [(r["doc_id"], word_list(r["text"])) for r in repeats.remove_repeats(table, min_words=12, k=4).collect()]
+    assert sorted(map(str, left)) == sorted(map(str, brute_removal(docs, 12)))
+    assert repeats.remove_repeats(table, min_words=12, k=4).columns == table.columns
+
+
+def test_spans_of_rows_with_null_ids_stay_apart(spark):
+    rng = random.Random(72)
+    a, b = prose(rng, 60, 10**6), prose(rng, 60, 10**6)
+    docs = [(None, a + " " + prose(rng, 70, 10**6)), (None, prose(rng, 55, 10**6) + " " + b), (1, a), (2, b)]
+    rows = repeats.find_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["start_word"], r["end_word"]) for r in rows} == {(None, 0, 60), (None, 55, 115), (1, 0, 60), (2, 0, 60)}
+
+
             if a and b and sum((a & b).values()) >= threshold * sum((a | b).values()):
                 x, y = sorted((root(i), root(j)))
                 parent[y] = x
     return {i: root(i) for i, _ in docs}
+    assert repeats.remove_repeats(odd_docs(spark)).count() == odd_docs(spark).count() and repeats.remove_repeats(empty_docs(spark)).count() == 0
 
 
 def near_docs():
