@@ -5,10 +5,12 @@ text. A text is parsed from left to right into phrases, each the longest string
 that occurs in the language's sample (at least one character). A language costs
 ``phrases * log2(sample length)`` bits; the cheapest language wins.
 
-Texts are parsed in blocks of ``BLOCK`` characters (a phrase ends at a block's
-end), which lets numpy advance thousands of blocks of whole texts at once
-through one dense transition table; letters beyond the most frequent ones have
-their transitions in sorted arrays, one a language.
+Texts are parsed in blocks of ``BLOCK`` characters, which lets numpy advance
+thousands of blocks of whole texts at once through one dense transition table.
+Then each block is taken up again with the phrase in which the block before it
+ended, up to the place where both parses meet, so the phrases are those of the
+whole text. Letters beyond the most frequent ones have their transitions in
+sorted arrays, one a language.
 """
 
 from __future__ import annotations
@@ -35,7 +37,9 @@ ROWS_PER_LANG, CHARS_PER_ROW, CHARS_PER_LANG = 200, 2000, 24_000
 #: Bound of the whole sample; with more than ten languages each gets an equal part of it.
 CHARS_IN_ALL = 240_000
 #: Letters with a column in the dense table; the other letters of the samples are looked up in sorted arrays.
-LETTERS = 250
+LETTERS = 100
+#: Languages learned at most, those with the most labelled texts: a bound of the sample, as each needs its part of it.
+LANGS = 1000
 _CHUNK_CHARS = 1 << 20
 
 
@@ -61,7 +65,7 @@ def collect_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
     rows = rows.where("i IS NOT NULL AND l IS NOT NULL").where(~held_out(F.col("i"))).where(F.col("t").rlike(r"\p{L}")).withColumn("h", F.xxhash64("i"))
-    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(LANGS).collect()}
     if not counts:
         return Samples((), ())
     # four times the rows wanted are kept before any shuffle, so the sort below is over a bounded number of rows
@@ -196,40 +200,57 @@ class Parser:
         points = normalize(points)
         grid[place] = self.code[points]
         grid = np.ascontiguousarray(grid.reshape(-1, BLOCK).T).astype(np.int32)
+        letters = None
+        if self.n_rare:
+            letters = np.full(first[-1] * BLOCK, -1, np.int32)
+            letters[place] = self.rare[points]
+            letters = np.ascontiguousarray(letters.reshape(-1, BLOCK).T)
         some = blocks > 0
-        # rare letters in the order in which the rows of ``grid`` come to them
-        rare = self.rare[points] if self.n_rare else np.zeros(0, np.int32)
-        at = np.flatnonzero(rare >= 0)
-        letter, spot = rare[at], place[at]
-        order = np.argsort(spot % BLOCK, kind="stable")
-        letter, line, column = letter[order], spot[order] % BLOCK, spot[order] // BLOCK
+        goes_on = np.ones(first[-1], np.bool_)  # blocks that go on from the one before
+        goes_on[first[:-1][some]] = False
+        states, marks = np.empty(grid.shape, np.int32), np.empty(grid.shape, np.uint8)
         for k, root in enumerate(self.roots):
             state = np.full(grid.shape[1], root, np.int32)
-            count = np.zeros(grid.shape[1], np.int32)
-            keys, targets, begin = self.rare_steps[k]
-            own = np.flatnonzero(begin[letter] >= 0)
-            letters, columns = letter[own].astype(np.int64), column[own]
-            bounds = np.searchsorted(line[own], np.arange(BLOCK + 1)).tolist() if len(own) else [0] * (BLOCK + 1)
             for i, row in enumerate(grid):
-                a, b = bounds[i], bounds[i + 1]
-                if a < b:
-                    x, c = letters[a:b], columns[a:b]
-                    key = state[c].astype(np.int64) * self.n_rare + x
-                    found = np.searchsorted(keys, key)
-                    goes_on = np.zeros(b - a, np.bool_)
-                    if len(keys):
-                        found[found == len(keys)] = 0
-                        goes_on = keys[found] == key
-                state += row
-                state = self.table[state]
-                count += state & 1
-                state >>= 1
-                if a < b:  # the dense table took them for unseen: each a phrase of its own
-                    count[c] -= goes_on
-                    state[c] = np.where(goes_on, targets[found], begin[x]) if len(keys) else begin[x]
-            out[some, k] = np.add.reduceat(count, first[:-1][some])
+                state, mark = self._advance(k, state, row, None if letters is None else letters[i])
+                states[i], marks[i] = state, mark
+            # every block began a phrase; now those that go on take over the state of the one before, until nothing changes
+            todo = np.flatnonzero(goes_on)
+            while len(todo):
+                state = states[-1, todo - 1]
+                at, state = todo[state != root], state[state != root]
+                for i, row in enumerate(grid):
+                    if not len(at):
+                        break
+                    state, mark = self._advance(k, state, row[at], None if letters is None else letters[i, at])
+                    differ = state != states[i, at]
+                    states[i, at], marks[i, at] = state, mark
+                    at, state = at[differ], state[differ]
+                todo = at + 1
+                todo = todo[todo < len(goes_on)]
+                todo = todo[goes_on[todo]]
+            out[some, k] = np.add.reduceat(marks.sum(0, dtype=np.int64), first[:-1][some])
         return out
 
+    def _advance(self, k: int, state: np.ndarray, codes: np.ndarray, letters: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """The states of language ``k`` after one more character, and whether a phrase began with it."""
+        to = self.table[state + codes]
+        after, mark = to >> 1, to & 1
+        if letters is not None:
+            keys, targets, begin = self.rare_steps[k]
+            c = np.flatnonzero(letters >= 0)
+            c = c[begin[letters[c]] >= 0]
+            if len(c):  # the dense table took them for unseen: each a phrase of its own
+                x = letters[c].astype(np.int64)
+                after[c] = begin[x]
+                if len(keys):
+                    key = state[c].astype(np.int64) * self.n_rare + x
+                    found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                    on = keys[found] == key
+                    after[c[on]] = targets[found[on]]
+                    mark[c[on]] = 0
+        return after, mark
+
 
 @lru_cache(maxsize=2)
 def parser(samples: Samples) -> Parser:

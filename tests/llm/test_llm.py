@@ -46,14 +46,12 @@ def test_sql(spark, oracle, name):
 
 def brute_phrases(text, sample):
     norm = lambda t: "".join(c.lower() if c.isalpha() else " " for c in t)
-    text, sample, n = norm(text), norm(sample), 0
-    for a in range(0, len(text), langid.BLOCK):
-        block, i = text[a : a + langid.BLOCK], 0
-        while i < len(block):
-            k = 1
-            while i + k < len(block) and block[i : i + k + 1] in sample:
-                k += 1
-            i, n = i + k, n + 1
+    text, sample, n, i = norm(text), norm(sample), 0, 0
+    while i < len(text):
+        k = 1
+        while i + k < len(text) and text[i : i + k + 1] in sample:
+            k += 1
+        i, n = i + k, n + 1
     return n
 
 
@@ -62,17 +60,25 @@ def test_cross_parsing_against_brute_force():
     samples = langid.Samples(("a", "b"), tuple("".join(rng.choice(x) for _ in range(800)) for x in ("abc de", "bcéfg ")))
     p = langid.parser(samples)
     texts = ["".join(rng.choice("abcdefgé ZÉ!9") for _ in range(n)) for n in (1, 7, 255, 256, 257, 900)] + [""]
+    # phrases over several blocks, and a text that only meets the block-wise parse far behind
+    texts += [samples.texts[0], samples.texts[0][100:700] * 2, "x" * 200 + samples.texts[1][3:] + samples.texts[0][5:], "ab" * 700]
     points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     got = p.phrases(points, np.cumsum([0, *map(len, texts)]))
     assert got.tolist() == [[brute_phrases(t, s) for s in samples.texts] for t in texts]
 
 
+def test_table_at_the_bound_of_the_sample_is_small():
+    rng = random.Random(8)
+    samples = langid.Samples(tuple("abcdefghij"), tuple("".join(chr(97 + rng.randrange(120)) for _ in range(24_000)) for _ in range(10)))
+    assert langid.Parser(samples).table.nbytes < 200 << 20
+
+
 def test_cross_parsing_of_large_alphabets():
     rng = random.Random(2)
     alphabets = [[chr(0xAC00 + i) for i in range(1500)], [chr(0x4E00 + i) for i in range(2000)], [chr(0x4E00 + i) for i in range(1000, 3000)], list("abcdefg ")]
     samples = langid.Samples(("ko", "zh", "ja", "en"), tuple("".join(rng.choice(x) for _ in range(3000)) for x in alphabets))
     p = langid.parser(samples)
-    texts = [s[i : i + n] for s in samples.texts for i, n in ((0, 40), (700, 300), (2990, 10))]
+    texts = [s[i : i + n] for s in samples.texts for i, n in ((0, 40), (700, 300), (2990, 10), (100, 2000))]
     texts += ["".join(rng.choice(rng.choice(alphabets) + list(" é가힣龜")) for _ in range(n)) for n in (1, 2, 255, 256, 257, 900)] + [""]
     points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     got = p.phrases(points, np.cumsum([0, *map(len, texts)]))
