@@ -192,12 +192,13 @@ def test_chat_folds_events_and_round_trips(spark):
         (1, 5, "m2", "delta", "assistant", "par"), (1, 3, "m2", "delta", "assistant", "first "), (1, 6, "m2", "regenerate", "assistant", None), (1, 7, "m2", "delta", "assistant", "new "), (1, 8, "m2", "delta", "assistant", "answer<"),
         (1, 9, "m1", "edit", "user", nasty + "!"),
         (1, 20, None, "message", "assistant", "same"), (1, 20, None, "message", "assistant", "same"), (1, 300, None, "message", "role\nwith\nlines", None),
-        (None, None, None, "message", None, None),
+        (1, 7, "m2", "delta", "assistant", "new "), (None, None, None, "message", None, None), (None, 1, "m1", None, "", ""),
     ]
-    rows = {r["conv_id"]: r for r in chat.format_conversations(spark.createDataFrame(log, EVENTS)).select("conv_id", "segments", "formatted", chat.parse(F.col("formatted")).alias("turns"), chat.loss_text(F.col("segments")).alias("loss")).collect()}
+    events = spark.createDataFrame(log, EVENTS).withColumn("formatted", F.lit(1)).withColumn("piece", F.lit("x"))
+    rows = {r["conv_id"]: r for r in chat.format_conversations(events).select("conv_id", "loss", "formatted", chat.parse(F.col("formatted")).alias("turns"), chat.loss_text(F.col("formatted"), F.col("loss")).alias("said")).collect()}
     assert [tuple(t) for t in rows[1]["turns"]] == [("user", nasty + "!"), ("assistant", "new answer<"), ("assistant", "same"), ("assistant", "same"), ("role\nwith\nlines", "")]
-    assert rows[1]["loss"] == "new answer<samesame" and "".join(s["text"] for s in rows[1]["segments"]) == rows[1]["formatted"]
-    assert [tuple(t) for t in rows[None]["turns"]] == [("", "")]
+    assert rows[1]["said"] == "new answer<samesame" and [s["turn"] for s in rows[1]["loss"]] == [1, 2, 3]
+    assert [tuple(t) for t in rows[None]["turns"]] == [("", ""), ("", "")] and not rows[None]["loss"]
     assert chat.format_conversations(spark.createDataFrame([], EVENTS)).count() == 0
 
 
@@ -207,6 +208,23 @@ def test_long_conversation_stays_in_order(spark):
     assert [t["text"] for t in row["t"]] == [str(i) for i in range(1000)]
 
 
+def test_chat_rows_go_through_the_fold(spark):
+    rng = random.Random(31)
+    long = "".join(rng.choice("ab<&\n\r é€😀 ") for _ in range(300_000))
+    rows = [(1, 0, "user", None), (1, 1, "assistant", long), (1, 1, "assistant", "x" * 256), (1, 1, "assistant", "x" * 256), (1, 2, None, ""), (1, None, "", "😀" * 257), (None, -3, "assistant", "</turn>\n"), (None, 1 << 62, "assistant", "a"), (None, (1 << 62) - 1, "", "b")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("seq", F.lit(1)).withColumn("part", F.lit("x"))
+    log = chat.events_of(table)
+    assert {r["kind"] for r in log.collect()} == {"message", "delta"}
+    found = chat.digests(chat.format_conversations(log, F.floor(F.col("seq.turn") / chat.PIECE))).collect()
+    for r in found:
+        turns = sorted(((t is not None, t or 0), role or "", x or "") for c, t, role, x in rows if c == r["conv_id"])
+        loss = "".join(x for _, role, x in turns if role == "assistant")
+        said = "".join(f"{role}\n{x}\n" for _, role, x in turns)
+        assert (r["n_turns"], r["loss_chars"]) == (len(turns), len(loss))
+        assert r["turns_sha256"] == hashlib.sha256(said.encode()).hexdigest() and r["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+    assert len(found) == 2 and chat.events_of(table.limit(0)).count() == 0
+
+
 # ── 4 ───────────────────────────────────────────────────────────────────────
 
 
