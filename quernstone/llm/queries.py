@@ -33,9 +33,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(EXTRA_CONVERSATION, 0, "user", EXTRA_TEXT), (EXTRA_CONVERSATION, 1, "assistant", EXTRA_TEXT)], "conv_id long, turn long, role string, text string")
-    rows = rows.unionByName(extra)
-    log = rows.select("conv_id", F.col("turn").alias("seq"), F.lit(None).cast("string").alias("message_id"), F.lit("message").alias("kind"), "role", "text")
-    return chat.digests(chat.format_conversations(log))
+    log = chat.events_of(rows.unionByName(extra))
+    return chat.digests(chat.format_conversations(log, F.floor(F.col("seq.turn") / chat.PIECE)))
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
