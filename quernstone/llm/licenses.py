@@ -12,46 +12,39 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rules import let
 from .common import LOWER, UPPER
 
-#: Equivalent spellings, after lower-casing: fixed values, taken in this order.
+#: Equivalent spellings of whole words, after lower-casing: fixed values (pattern, replacement), taken in this order.
+#: Each word has a space on either side.
 SPELLINGS = (
-    ("licence", "license"),
-    ("acknowledgement", "acknowledgment"),
-    ("analogue", "analog"),
-    ("analyse", "analyze"),
-    ("artefact", "artifact"),
-    ("authorisation", "authorization"),
-    ("authorised", "authorized"),
-    ("calibre", "caliber"),
-    ("cancelled", "canceled"),
-    ("catalogue", "catalog"),
-    ("centre", "center"),
-    ("copyright holder", "copyright owner"),
-    ("emphasised", "emphasized"),
-    ("favour", "favor"),
-    ("fulfilment", "fulfillment"),
-    ("initialise", "initialize"),
-    ("judgement", "judgment"),
-    ("labelling", "labeling"),
-    ("merchantible", "merchantable"),
-    ("non-commercial", "noncommercial"),
-    ("organisation", "organization"),
-    ("percent", "per cent"),
-    ("practise", "practice"),
-    ("programme", "program"),
-    ("recognise", "recognize"),
-    ("sub-license", "sublicense"),
-    ("utilisation", "utilization"),
-    ("whilst", "while"),
-    ("wilful", "willful"),
-    ("https://", "http://"),
+    (" (re|sub|un|)licenc(e|es|ed|ing|ee|ees|or|ors) ", " $1licens$2 "),
+    (" sub  licens(e|es|ed|ing|able) ", " sublicens$1 "),
+    (" (abridg|acknowledg|judg)ement(s|) ", " $1ment$2 "),
+    (" (analog|catalog)ue(s|) ", " $1$2 "),
+    (" (author|custom|emphas|initial|maxim|minim|organ|real|recogn|special|util)is(e|es|ed|er|ers|ing|ation|ations) ", " $1iz$2 "),
+    (" analys(e|es|ed|ing) ", " analyz$1 "),
+    (" artefact(s|) ", " artifact$1 "),
+    (" (calib|cent)re(s|) ", " $1er$2 "),
+    (" (cancel|label)l(ed|ing) ", " $1$2 "),
+    (" copyright  holder(s|) ", " copyright  owner$1 "),
+    (" (behavi|endeav|fav|hon)our(s|ed|ing|able|ably|) ", " $1or$2 "),
+    (" fulfil(s|ment|) ", " fulfill$1 "),
+    (" merchantib(le|ility) ", " merchantab$1 "),
+    (" non  commercial(ly|) ", " noncommercial$1 "),
+    (" percent ", " per  cent "),
+    (" practis(e|es|ed|ing) ", " practic$1 "),
+    (" programme(s|) ", " program$1 "),
+    (" whilst ", " while "),
+    (" wilful(ly|) ", " willful$1 "),
+    (" https ", " http "),
+)
+#: What a text must hold for any of the spellings to occur: texts without are left as they are. Fixed values.
+_SPELLING_PARTS = (
+    *("licenc", "sub  licens", "gement", "ogue", "authoris", "customis", "emphasis", "initialis", "maximis", "minimis", "organis", "realis", "recognis", "specialis", "utilis"),
+    *("analys", "artefact", "calibre", "centre", "cancell", "labell", "copyright  holder", "behaviour", "endeavour", "favour", "honour", "fulfil", "merchantib", "non  commercial"),
+    *("percent", "practis", "programme", "whilst", "wilful", "https"),
 )
-
-#: Of the query's SQL alone, which drops whole lines that begin like a notice. RE2 and Java read it alike.
-NOTICE_LINE = r"\n[ \t#*/;-]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*"
-#: Of the query's SQL alone, to which every non-ASCII character is part of a word.
-BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: What separates words, code point by code point: ASCII but letters and digits, and the punctuation, symbols and spaces
 #: of Latin-1, of the blocks of general, supplemental, CJK, small and full-width punctuation, of currency, arrows,
@@ -67,13 +60,18 @@ _BULLETS = "\xb7\u2022\u2023\u2043\u25aa\u25cf\u25e6\uf0b7"
 _LINE_ENDS = "\x85\u2028\u2029"
 #: No width and no meaning: soft hyphen, joiners, marks of direction and of byte order.
 _INVISIBLE = "\xad\u200b\u200c\u200d\u200e\u200f\u2060\ufeff"
-_PLAIN = UPPER + _SPACES + _HYPHENS + _BULLETS + _LINE_ENDS + _INVISIBLE, LOWER + " " * len(_SPACES) + "-" * len(_HYPHENS) + "*" * len(_BULLETS) + "\n" * len(_LINE_ENDS)
+#: Marks that are put into the text on the way: where a notice begins, where a paragraph ends, where a notice may end.
+_BEGIN, _PARAGRAPH, _END = "\x02", "\x05", "\x06"
+_PLAIN = (
+    UPPER + _SPACES + _BEGIN + _PARAGRAPH + _END + _HYPHENS + _BULLETS + _LINE_ENDS + _INVISIBLE,
+    LOWER + " " * (len(_SPACES) + 3) + "-" * len(_HYPHENS) + "*" * len(_BULLETS) + "\n" * len(_LINE_ENDS),
+)
 
 #: What may lie between two words of a notice, a line's end and comment marks included.
-_GAP = r"[\s#*/;:-]{1,20}"
+_GAP = r"[\x09-\x0D #*/;:-]{1,20}"
 #: A copyright mark: "copyright" before (c) or a year, or (c) before a year; years may be placeholders.
-_YEAR = r"[\[<{(]?(?:(?:19|20)[0-9y]{2}|yyyy\b|year\b)"
-_MARK = rf"(?:\bcopyright(?:{_GAP})?(?:\(c\)|{_YEAR})|\(c\)(?:{_GAP})?(?:copyright\b(?:{_GAP})?)?{_YEAR})"
+_YEAR = r"[\[<{(]?(?:(?:19|20)[0-9y]{2}|yyyy|year)"
+_MARK = rf"copyright(?:{_GAP})?(?:\(c\)|{_YEAR})|\(c\)(?:{_GAP})?(?:copyright(?:{_GAP})?)?{_YEAR}"
 #: Words that follow a notice: titles and first words of licences.
 _OPENINGS = (
     "permission is hereby granted",
@@ -81,6 +79,7 @@ _OPENINGS = (
     "permission to use",
     "redistribution and use",
     "this software is provided",
+    "this is free and unencumbered software",
     "this program is free software",
     "this library is free software",
     "this program comes with",
@@ -89,6 +88,7 @@ _OPENINGS = (
     "licensed under",
     "released under",
     "this work is licensed",
+    "boost software license",
     "mit license",
     "mit licence",
     "the mit license",
@@ -102,32 +102,52 @@ _OPENINGS = (
     "zlib license",
     "zlib licence",
 )
-_RESERVED = rf"\ball{_GAP}rights{_GAP}reserved\b"
-_NEXT = "|".join(rf"\b{re.sub('[ -]', lambda _: _GAP, x)}\b" for x in _OPENINGS)
-#: A notice with its holder (160 characters of one paragraph at most), in lower case: up to "all rights reserved", to
-#: an opening or to another notice, wherever it stands; otherwise a whole line that has no more than the notice. Text
-#: behind a notice stays. Lookahead: Java reads it, RE2 doesn't.
-NOTICE = (
-    rf"(?:(?<=\n)[ \t#*/;-]{{0,40}})?{_MARK}(?:(?!\n[ \t\r#*/;-]*\n)[\s\S]){{0,160}}?(?:{_RESERVED}|(?=[\s#*/;-]{{0,40}}(?:{_NEXT}|{_MARK})))"
-    rf"|(?<=\n)[ \t#*/;-]{{0,40}}{_MARK}[^\n]{{0,160}}(?=\n|\z)"
-    rf"|{_RESERVED}"
+_NEXT = "|".join(re.sub("[ -]", lambda _: _GAP, x) for x in _OPENINGS)
+#: Texts without any of these have no notice.
+_NOTICE_PARTS = ("copyright", "(c)", "reserved")
+#: Steps (pattern, replacement) that take notices off a text in lower case that begins with a line's end. A notice with
+#: its holder (160 characters of one paragraph at most) goes up to "all rights reserved", to an opening or to another
+#: notice, wherever it stands; otherwise a whole line goes that has no more than the notice. Text behind a notice
+#: stays. No look-around: Java and RE2 read the patterns alike.
+NOTICE_STEPS = (
+    (rf"([^a-z0-9])all{_GAP}rights{_GAP}reserved", f"$1{_END}"),
+    (rf"([^a-z0-9])({_MARK})", f"$1{_END}{_BEGIN}$2"),
+    (rf"([^a-z0-9])({_NEXT})", f"$1{_END}$2"),
+    (r"\n[ \t\r#*/;-]*\n", f"\n{_PARAGRAPH}\n"),
+    (r"\x02[^\x02\x05\x06]{0,160}?(\n?)[\x05\x09-\x0D #*/;-]{0,40}\x06", " $1"),
+    (r"\n[ \t#*/;-]{0,40}\x06?\x02[^\n\x02\x05\x06]{0,160}(?:\n|\z)", "\n"),
 )
 
 
+def _any_of(text: Column, parts: tuple[str, ...]) -> Column:
+    found = F.lit(False)
+    for x in parts:
+        found = found | F.contains(text, F.lit(x))
+    return found
+
+
+def _without_notices(text: Column) -> Column:
+    out = text
+    for pattern, replacement in NOTICE_STEPS:
+        out = F.regexp_replace(out, pattern, replacement)
+    return F.when(_any_of(text, _NOTICE_PARTS), out).otherwise(text)
+
+
+def _respelled(words: Column) -> Column:
+    out = words
+    for pattern, replacement in SPELLINGS:
+        out = F.regexp_replace(out, pattern, replacement)
+    return F.when(_any_of(words, _SPELLING_PARTS), out).otherwise(words)
+
+
 def canonical(text: Column) -> Column:
     """The canonical form of a text; null for null, empty if it has no word outside notices.
 
     Words are separated before spellings are replaced, so a spelling of two words may be wrapped.
     """
-    out = F.replace(F.translate(text, *_PLAIN), F.lit("©"), F.lit("(c)"))
-    out = F.regexp_replace(F.regexp_replace(F.concat(F.lit("\n"), out), NOTICE, " "), SEPARATORS, " ")
-    for a, b in SPELLINGS:
-        out = F.replace(out, F.lit(_words(a)), F.lit(_words(b)))
-    return F.trim(out)
-
-
-def _words(text: str) -> str:
-    return re.sub("[^a-z0-9]+", " ", text).strip()
+    plain = F.concat(F.lit("\n"), F.replace(F.translate(text, *_PLAIN), F.lit("©"), F.lit("(c)")))
+    words = F.concat(F.lit(" "), F.trim(F.regexp_replace(let(plain, _without_notices), SEPARATORS, "  ")), F.lit(" "))
+    return F.trim(F.replace(let(words, _respelled), F.lit("  "), F.lit(" ")))
 
 
 def digest(text: Column) -> Column:

@@ -132,10 +132,60 @@ SELECT doc_id, least(doc_id, coalesce(m, doc_id)) AS class_id FROM documents LEF
 
 
 def _canonical_sql(text: str) -> str:
-    out = f"regexp_replace(chr(10) || translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{licenses.NOTICE_LINE}', '', 'g')"
-    for a, b in licenses.SPELLINGS:
-        out = f"replace({out}, '{a}', '{b}')"
-    return f"trim(regexp_replace({out}, '{licenses.BETWEEN_WORDS}', ' ', 'g'))"
+    """The canonical form of a licence in DuckDB's SQL, by its own statement of the rules."""
+    gap, year = r"[\t\n\x0B\f\r #*/;:-]{1,20}", r"[\[<{(]?((19|20)[0-9y][0-9y]|yyyy|year)"
+    blank = "chr(160) || chr(5760) || chr(8192) || chr(8193) || chr(8194) || chr(8195) || chr(8196) || chr(8197) || chr(8198) || chr(8199) || chr(8200) || chr(8201) || chr(8202) || chr(8239) || chr(8287) || chr(12288) || chr(2) || chr(5) || chr(6)"
+    dash = "chr(8208) || chr(8209) || chr(8210) || chr(8211) || chr(8212) || chr(8213) || chr(8722) || chr(65112) || chr(65123) || chr(65293)"
+    bullet = "chr(183) || chr(8226) || chr(8227) || chr(8259) || chr(9642) || chr(9679) || chr(9702) || chr(61623)"
+    line = "chr(133) || chr(8232) || chr(8233)"
+    gone = "chr(173) || chr(8203) || chr(8204) || chr(8205) || chr(8206) || chr(8207) || chr(8288) || chr(65279)"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    out = f"translate({text}, '{upper}' || {blank} || {dash} || {bullet} || {line} || {gone}, '{lower}' || repeat(' ', 19) || repeat('-', 10) || repeat('*', 8) || repeat(chr(10), 3))"
+    out = f"chr(10) || replace({out}, chr(169), '(c)')"
+    opening = """permission is hereby granted;permission is granted;permission to use;redistribution and use;this software is provided;this is free and unencumbered software;
+        this program is free software;this library is free software;this program comes with;gnomovision comes with;everyone is permitted;licensed under;released under;this work is licensed;
+        boost software license;mit license;mit licence;the mit license;the mit licence;mit no attribution;isc license;isc licence;bsd zero clause;bsd 2-clause;bsd 3-clause;zlib license;zlib licence"""
+    opening = "|".join(" ".join(x.split()).replace("-", " ").replace(" ", gap) for x in opening.split(";"))
+    mark = rf"copyright({gap})?(\(c\)|{year})|\(c\)({gap})?(copyright({gap})?)?{year}"
+    for pattern, by in (
+        (rf"([^a-z0-9])all{gap}rights{gap}reserved", r"'\1' || chr(6)"),
+        (rf"([^a-z0-9])({mark})", r"'\1' || chr(6) || chr(2) || '\2'"),
+        (rf"([^a-z0-9])({opening})", r"'\1' || chr(6) || '\2'"),
+        (r"\n[ \t\r#*/;-]*\n", "chr(10) || chr(5) || chr(10)"),
+        (r"\x02[^\x02\x05\x06]{0,160}?(\n?)[\x05\t\n\x0B\f\r #*/;-]{0,40}\x06", r"' \1'"),
+        (r"\n[ \t#*/;-]{0,40}\x06?\x02[^\n\x02\x05\x06]{0,160}(\n|\z)", "chr(10)"),
+        (
+            r"[\x00-\x2F\x3A-\x60\x7B-\xA9\xAB-\xB1\xB4\xB6-\xB8\xBB\xBF\xD7\xF7\x{1680}\x{180E}\x{2000}-\x{206F}\x{20A0}-\x{20CF}\x{2117}\x{2120}\x{2122}\x{2190}-\x{245F}\x{2500}-\x{2BFF}\x{2E00}-\x{2E7F}"
+            r"\x{3000}-\x{3004}\x{3008}-\x{3020}\x{3030}\x{30FB}\x{F000}-\x{F0FF}\x{FE10}-\x{FE1F}\x{FE30}-\x{FE6B}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}\x{FF3B}-\x{FF40}\x{FF5B}-\x{FF65}\x{FFFD}]+",
+            "'  '",
+        ),
+    ):
+        out = f"regexp_replace({out}, '{pattern}', {by}, 'g')"
+    out = f"' ' || trim({out}) || ' '"
+    for pattern, by in (
+        ("(re|sub|un|)licenc(e|es|ed|ing|ee|ees|or|ors)", r"\1licens\2"),
+        ("sub  licens(e|es|ed|ing|able)", r"sublicens\1"),
+        ("(abridgement|acknowledgement|judgement)(s|)", r"\1#\2"),
+        ("(analog|catalog)ue(s|)", r"\1\2"),
+        ("(author|custom|emphas|initial|maxim|minim|organ|real|recogn|special|util)is(e|es|ed|er|ers|ing|ation|ations)", r"\1iz\2"),
+        ("analys(e|es|ed|ing)", r"analyz\1"),
+        ("artefact(s|)", r"artifact\1"),
+        ("(calib|cent)re(s|)", r"\1er\2"),
+        ("(cancel|label)l(ed|ing)", r"\1\2"),
+        ("copyright  holder(s|)", r"copyright  owner\1"),
+        ("(behavi|endeav|fav|hon)our(s|ed|ing|able|ably|)", r"\1or\2"),
+        ("fulfil(s|ment|)", r"fulfill\1"),
+        ("merchantib(le|ility)", r"merchantab\1"),
+        ("non  commercial(ly|)", r"noncommercial\1"),
+        ("percent", "per  cent"),
+        ("practis(e|es|ed|ing)", r"practic\1"),
+        ("programme(s|)", r"program\1"),
+        ("whilst", "while"),
+        ("wilful(ly|)", r"willful\1"),
+        ("https", "http"),
+    ):
+        out = f"regexp_replace({out}, ' {pattern} ', ' {by} ', 'g')"
+    return f"trim(replace(replace({out}, 'ement#', 'ment'), '  ', ' '))"
 
 
 def _quoted(text: str) -> str:
@@ -144,7 +194,8 @@ def _quoted(text: str) -> str:
 
 _OP9 = f"""
 WITH k AS (SELECT digest, min(license_id) AS license_id FROM (
-    SELECT license_id, sha256({_canonical_sql("text")}) AS digest FROM (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in license_texts.LICENSES)}) AS t(license_id, text)) GROUP BY 1)
+    SELECT license_id, sha256({_canonical_sql("text")}) AS digest FROM (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in license_texts.LICENSES)}) AS t(license_id, text)
+    UNION ALL VALUES {", ".join(f"('{a}', '{b}')" for a, b in license_texts.DIGESTS)}) GROUP BY 1)
 SELECT doc_id, text_digest, license_id FROM (SELECT doc_id, sha256({_canonical_sql("text")}) AS text_digest FROM documents) LEFT JOIN k ON digest = text_digest
 """
 

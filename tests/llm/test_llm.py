@@ -370,30 +370,6 @@ def test_mix_targets_and_totals(spark, monkeypatch):
     assert Counter(r["doc_id"] for r in mixing.repeat_rows(docs).collect()) == copies
 
 
-def test_pivotal_rounding_is_fair_and_keeps_sums():
-    rng = np.random.default_rng(7)
-    size = np.sort(rng.integers(1, 100, 40))[::-1].astype(float)
-    total, mean = [], np.zeros(40)
-    for _ in range(4000):
-        p = mixing.pivot_pool(size, 0.3, rng.random(40))
-        assert ((p > 0) & (p < 1)).sum() <= 1
-        total.append(p @ size)
-        mean += p / 4000
-        q = mixing.pivot(size, rng.random(40), rng.random(40))
-        assert ((q > 0) & (q < 1)).sum() <= 1
-    assert np.allclose(total, 0.3 * size.sum()) and np.abs(mean - 0.3).max() < 0.05
-
-
-def test_mix_odd_rows(spark):
-    docs = odd_docs(spark)
-    assert mixing.mix(docs).count() == docs.count()
-    assert mixing.mix(empty_docs(spark)).count() == 0
-    assert mixing.repeat_rows(docs).columns == docs.columns
-    assert mixing.mix(docs.where("text IS NULL")).first()["copies"] == 0
-
-
-# ── 6 ───────────────────────────────────────────────────────────────────────
-
 @pytest.mark.parametrize("n", [0, 1, 2, 7, 300])
 def test_targets_of_many_sources_by_ranges(spark, n):
     rng = random.Random(n)
@@ -420,6 +396,30 @@ def test_null_ids_and_repeated_rows_fill_no_bucket(spark, monkeypatch):
     assert taken == Counter({k: sum(r["copies"] for r in found if r["id"] == k) for k in (None, 4)})
 
 
+def test_pivotal_rounding_is_fair_and_keeps_sums():
+    rng = np.random.default_rng(7)
+    size = np.sort(rng.integers(1, 100, 40))[::-1].astype(float)
+    total, mean = [], np.zeros(40)
+    for _ in range(4000):
+        p = mixing.pivot_pool(size, 0.3, rng.random(40))
+        assert ((p > 0) & (p < 1)).sum() <= 1
+        total.append(p @ size)
+        mean += p / 4000
+        q = mixing.pivot(size, rng.random(40), rng.random(40))
+        assert ((q > 0) & (q < 1)).sum() <= 1
+    assert np.allclose(total, 0.3 * size.sum()) and np.abs(mean - 0.3).max() < 0.05
+
+
+def test_mix_odd_rows(spark):
+    docs = odd_docs(spark)
+    assert mixing.mix(docs).count() == docs.count()
+    assert mixing.mix(empty_docs(spark)).count() == 0
+    assert mixing.repeat_rows(docs).columns == docs.columns
+    assert mixing.mix(docs.where("text IS NULL")).first()["copies"] == 0
+
+
+# ── 6 ───────────────────────────────────────────────────────────────────────
+
 
 def test_urls_against_brute_force(spark):
     rng = random.Random(8)
@@ -478,30 +478,6 @@ def test_repeats_against_brute_force(spark, seed):
         assert word_list(text[r["doc_id"]][r["start_char"] : r["end_char"]]) == word_list(text[r["doc_id"]])[r["start_word"] : r["end_word"]]
 
 
-def test_repeats_odd_rows(spark):
-    rows = repeats.find_repeats(odd_docs(spark)).collect()
-    assert {r["doc_id"] for r in rows} == {7, 8}
-    assert repeats.find_repeats(empty_docs(spark)).count() == 0
-
-
-# ── 8 ───────────────────────────────────────────────────────────────────────
-
-
-def multiset(text):
-    w = word_list(text)
-    return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
-
-
-def brute_classes(docs, threshold=0.8):
-    sets, parent = [(i, multiset(t)) for i, t in docs], {i: i for i, _ in docs}
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for k, (i, a) in enumerate(sets):
-        for j, b in sets[:k]:
 def brute_removal(docs, n):
     """Words that stay of each document if every window that a lesser id has goes."""
     least, out = {}, []
@@ -543,11 +519,35 @@ def test_spans_of_rows_with_null_ids_stay_apart(spark):
     assert {(r["doc_id"], r["start_word"], r["end_word"]) for r in rows} == {(None, 0, 60), (None, 55, 115), (1, 0, 60), (2, 0, 60)}
 
 
+def test_repeats_odd_rows(spark):
+    rows = repeats.find_repeats(odd_docs(spark)).collect()
+    assert {r["doc_id"] for r in rows} == {7, 8}
+    assert repeats.find_repeats(empty_docs(spark)).count() == 0
+    assert repeats.remove_repeats(odd_docs(spark)).count() == odd_docs(spark).count() and repeats.remove_repeats(empty_docs(spark)).count() == 0
+
+
+# ── 8 ───────────────────────────────────────────────────────────────────────
+
+
+def multiset(text):
+    w = word_list(text)
+    return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+
+
+def brute_classes(docs, threshold=0.8):
+    sets, parent = [(i, multiset(t)) for i, t in docs], {i: i for i, _ in docs}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
             if a and b and sum((a & b).values()) >= threshold * sum((a | b).values()):
                 x, y = sorted((root(i), root(j)))
                 parent[y] = x
     return {i: root(i) for i, _ in docs}
-    assert repeats.remove_repeats(odd_docs(spark)).count() == odd_docs(spark).count() and repeats.remove_repeats(empty_docs(spark)).count() == 0
 
 
 def near_docs():
@@ -625,7 +625,7 @@ def license_ids(spark, texts):
 def layouts(text):
     """The text re-wrapped at several widths, on one line, and as comments."""
     words = text.split()
-    for width in (20, 33, 47, 60, 72, 79, 100, 1 << 20):
+    for width in (20, 33, *range(40, 121, 5), 1 << 20):
         lines = textwrap.wrap(" ".join(words), width, break_long_words=False)
         yield "\n".join(lines)
         yield "\r\n".join(" * " + x for x in lines)
@@ -672,6 +672,36 @@ def test_long_licenses(spark, tmp_path):
     assert [got[k] for k in range(len(rows))] == [i for _, i in rows]
 
 
+def test_license_spellings_are_of_whole_words(spark):
+    texts = ["The programmer's percentage of centred licences: sub-licensed, sub-\nlicensing", "licence licence Programmes WILFULLY non-commercial, COPYRIGHT\n * HOLDERS' organisations"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(licenses.canonical(F.col("t")).alias("c")).collect()
+    assert [r["c"] for r in rows] == ["the programmer s percentage of centred licenses sublicensed sublicensing", "license license programs willfully noncommercial copyright owners organizations"]
+
+
+def test_planted_licenses_by_query_and_sql(spark, tmp_path):
+    """The query and its SQL agree on licences of all kinds among other texts."""
+    rng = random.Random(9)
+    texts, planted = [], []
+    for i, t in license_texts.LICENSES:
+        for notice in ("", "Copyright (c) 2020 X\n\n", "(c) 2001-2020 A\nCopyright 2021 B. All rights reserved.\n\n", "\u00a9 Copyright [yyyy] [name]\n"):
+            for shape in (t, t.upper(), "\n".join("# " + x for x in textwrap.wrap(t, rng.randrange(40, 120), break_long_words=False)), t.replace('"', "\u201d").replace(" ", "\u00a0"), t.replace("license", "licence").replace("-", "\u2013")):
+                texts.append(notice + shape)
+                planted.append(i)
+    n = len(texts)
+    british = """relicenced sublicencees licencors sub-licensed abridgements judgement catalogues authorisations customiser emphasised initialising maximise minimises organisers realises recognised
+        specialisation utilise analysed artefacts calibre centres cancelled labelling copyright-holders behaviours endeavoured favourably honours fulfilment merchantibility non commercially percent practising
+        programmes whilst wilfully https"""
+    texts += british.split() + [british, british.replace("\n", " * \n")]
+    texts += ["x" + texts[rng.randrange(n)] for _ in range(40)] + [None, "", "word " * 400_000, "\x02\x06\x05 (c) 2020", "\u9fa5" * 100, "(c) 2020 a\n(c) 2021 b\nAuthorised programme, whilst judgements hon our Honours"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["text_digest"], r["license_id"]) for r in queries.op9_license_scan(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    exp = {r[0]: (r[1], r[2]) for r in con.execute(f"SELECT doc_id, text_digest, license_id FROM ({queries.oracle_sql()['op9_license_scan']})").fetchall()}
+    assert [k for k in got if got[k] != exp[k]] == []
+    assert [got[k][1] for k in range(n)] == planted and [got[k][1] for k in range(n, len(texts))] == [None] * (len(texts) - n)
+
+
 def test_only_notices_are_dropped(spark):
     texts = ["Copyright (c) 2020 X\nCopyright holders may object.", "copyright notice and this permission", "Copyright (c) 2020 X. All rights reserved. Do not copy.", "Copyright (c) 2020 X " + "word " * 60]
     texts += ["Copyright (c) 2020 X\n\nSome prose of a document.\n\nReleased under the MIT License.", "a\n(c) You must retain all notices"]
