@@ -39,21 +39,19 @@ SPELLINGS = (
     (" wilful(ly|) ", " willful$1 "),
     (" https ", " http "),
 )
-#: What a text must hold for any of the spellings to occur: texts without are left as they are. Fixed values.
-_SPELLING_PARTS = (
-    *("licenc", "sub  licens", "gement", "ogue", "authoris", "customis", "emphasis", "initialis", "maximis", "minimis", "organis", "realis", "recognis", "specialis", "utilis"),
-    *("analys", "artefact", "calibre", "centre", "cancell", "labell", "copyright  holder", "behaviour", "endeavour", "favour", "honour", "fulfil", "merchantib", "non  commercial"),
-    *("percent", "practis", "programme", "whilst", "wilful", "https"),
-)
+#: What a text must hold for any of the spellings to occur: texts without are left as they are.
+_ANY_SPELLING = f" (?:{'|'.join(a[1:] for a, _ in SPELLINGS)})"
 
-#: What separates words, code point by code point: ASCII but letters and digits, and the punctuation, symbols and spaces
-#: of Latin-1, of the blocks of general, supplemental, CJK, small and full-width punctuation, of currency, arrows,
-#: mathematics and shapes, trade marks, the replacement character and the private bullets of word processors.
+#: What separates words besides ASCII (all of it but letters and digits), as first and last code points: punctuation,
+#: symbols and spaces of Latin-1, the blocks of general, supplemental, CJK, small and full-width punctuation, of
+#: currency, arrows, mathematics and shapes, trade marks, the replacement character and the private bullets of word
+#: processors. Fixed values.
 SEPARATORS = (
-    r"[\x00-\x2F\x3A-\x60\x7B-\xA9\xAB-\xB1\xB4\xB6-\xB8\xBB\xBF\xD7\xF7\x{1680}\x{180E}\x{2000}-\x{206F}\x{20A0}-\x{20CF}\x{2117}\x{2120}\x{2122}"
-    r"\x{2190}-\x{245F}\x{2500}-\x{2BFF}\x{2E00}-\x{2E7F}\x{3000}-\x{3004}\x{3008}-\x{3020}\x{3030}\x{30FB}\x{F000}-\x{F0FF}\x{FE10}-\x{FE1F}\x{FE30}-\x{FE6B}"
-    r"\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}\x{FF3B}-\x{FF40}\x{FF5B}-\x{FF65}\x{FFFD}]+"
+    *((0x80, 0xA9), (0xAB, 0xB1), (0xB4, 0xB4), (0xB6, 0xB8), (0xBB, 0xBB), (0xBF, 0xBF), (0xD7, 0xD7), (0xF7, 0xF7), (0x1680, 0x1680), (0x180E, 0x180E), (0x2000, 0x206F)),
+    *((0x20A0, 0x20CF), (0x2117, 0x2117), (0x2120, 0x2120), (0x2122, 0x2122), (0x2190, 0x245F), (0x2500, 0x2BFF), (0x2E00, 0x2E7F), (0x3000, 0x3004), (0x3008, 0x3020)),
+    *((0x3030, 0x3030), (0x30FB, 0x30FB), (0xF000, 0xF0FF), (0xFE10, 0xFE1F), (0xFE30, 0xFE6B), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65), (0xFFFD, 0xFFFD)),
 )
+_BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SPACES = "\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 _HYPHENS = "\u2010\u2011\u2012\u2013\u2014\u2015\u2212\ufe58\ufe63\uff0d"
 _BULLETS = "\xb7\u2022\u2023\u2043\u25aa\u25cf\u25e6\uf0b7"
@@ -62,9 +60,12 @@ _LINE_ENDS = "\x85\u2028\u2029"
 _INVISIBLE = "\xad\u200b\u200c\u200d\u200e\u200f\u2060\ufeff"
 #: Marks that are put into the text on the way: where a notice begins, where a paragraph ends, where a notice may end.
 _BEGIN, _PARAGRAPH, _END = "\x02", "\x05", "\x06"
+_MAPPED = UPPER + _SPACES + _BEGIN + _PARAGRAPH + _END + _HYPHENS + _BULLETS + _LINE_ENDS
+#: Other separators than those become a bar, which stands for none of the marks that notices are told by.
+_OTHERS = "".join(c for a, b in SEPARATORS for c in map(chr, range(a, b + 1)) if c not in _MAPPED + _INVISIBLE + "©")
 _PLAIN = (
-    UPPER + _SPACES + _BEGIN + _PARAGRAPH + _END + _HYPHENS + _BULLETS + _LINE_ENDS + _INVISIBLE,
-    LOWER + " " * (len(_SPACES) + 3) + "-" * len(_HYPHENS) + "*" * len(_BULLETS) + "\n" * len(_LINE_ENDS),
+    _MAPPED + _OTHERS + _INVISIBLE,
+    LOWER + " " * (len(_SPACES) + 3) + "-" * len(_HYPHENS) + "*" * len(_BULLETS) + "\n" * len(_LINE_ENDS) + "|" * len(_OTHERS),
 )
 
 #: What may lie between two words of a notice, a line's end and comment marks included.
@@ -137,7 +138,7 @@ def _respelled(words: Column) -> Column:
     out = words
     for pattern, replacement in SPELLINGS:
         out = F.regexp_replace(out, pattern, replacement)
-    return F.when(_any_of(words, _SPELLING_PARTS), out).otherwise(words)
+    return F.when(words.rlike(_ANY_SPELLING), out).otherwise(words)
 
 
 def canonical(text: Column) -> Column:
@@ -145,9 +146,15 @@ def canonical(text: Column) -> Column:
 
     Words are separated before spellings are replaced, so a spelling of two words may be wrapped.
     """
-    plain = F.concat(F.lit("\n"), F.replace(F.translate(text, *_PLAIN), F.lit("©"), F.lit("(c)")))
-    words = F.concat(F.lit(" "), F.trim(F.regexp_replace(let(plain, _without_notices), SEPARATORS, "  ")), F.lit(" "))
-    return F.trim(F.replace(let(words, _respelled), F.lit("  "), F.lit(" ")))
+    ascii_ = F.length(text) == F.octet_length(text)
+    lower = F.when(ascii_ & ~_any_of(text, (_BEGIN, _PARAGRAPH, _END)), F.lower(text)).otherwise(F.replace(F.translate(text, *_PLAIN), F.lit("©"), F.lit("(c)")))
+    plain = let(F.concat(F.lit("\n"), lower), _without_notices)
+    words = F.regexp_replace(plain, _BETWEEN_WORDS, "  ")
+    return F.trim(F.replace(let(F.concat(F.lit(" "), F.trim(words), F.lit(" ")), _respelled), F.lit("  "), F.lit(" ")))
+
+
+#: Known digests that are sent to every executor, at 100 bytes each; more are joined by a shuffle.
+BROADCAST_ROWS = 1 << 16
 
 
 def digest(text: Column) -> Column:
@@ -165,7 +172,9 @@ def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     """(id, text_digest, license_id) for each row of ``docs``; license_id is null for other than known licences.
 
     A null text has no digest; a text without words is no licence. The join is
-    on digests of whole texts; ``known`` may be of any size.
+    on digests of whole texts; ``known`` may be of any size, and is broadcast
+    only up to ``BROADCAST_ROWS`` rows.
     """
+    few = known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     k = known.select(F.col("digest").alias("text_digest"), "license_id").where(F.col("text_digest") != F.sha2(F.lit("").cast("binary"), 256))
-    return docs.select(F.col(id_col), digest(F.col(text_col)).alias("text_digest")).join(k, "text_digest", "left").select(id_col, "text_digest", "license_id")
+    return docs.select(F.col(id_col), digest(F.col(text_col)).alias("text_digest")).join(F.broadcast(k) if few else k, "text_digest", "left").select(id_col, "text_digest", "license_id")
