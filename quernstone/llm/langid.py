@@ -211,9 +211,15 @@ class Parser:
         states, marks = np.empty(grid.shape, np.int32), np.empty(grid.shape, np.uint8)
         for k, root in enumerate(self.roots):
             state = np.full(grid.shape[1], root, np.int32)
+            to = np.empty_like(state)
             for i, row in enumerate(grid):
-                state, mark = self._advance(k, state, row, None if letters is None else letters[i])
-                states[i], marks[i] = state, mark
+                if letters is None:  # as in _advance, without new arrays
+                    np.add(state, row, out=to)
+                    to = self.table.take(to, out=to, mode="clip")
+                    state = np.right_shift(to, 1, out=states[i])
+                    np.bitwise_and(to, 1, out=marks[i], casting="unsafe")
+                else:
+                    states[i], marks[i] = state, _ = self._advance(k, state, row, letters[i])
             # every block began a phrase; now those that go on take over the state of the one before, until nothing changes
             todo = np.flatnonzero(goes_on)
             while len(todo):
