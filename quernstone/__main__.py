@@ -1,35 +1,91 @@
-"""``python -m quernstone ask KB_DIR MESSAGE | stats KB_DIR | quality KB_DIR REPORT_DIR | clean DIR``."""
+"""``python -m quernstone crawl CLIENT CACHE | update CLIENT CACHE | clean-cache CACHE | cache-stats CACHE | ask KB_DIR MESSAGE | stats KB_DIR | quality KB_DIR REPORT_DIR | clean DIR``.
+
+CLIENT is ``module:function``, a callable ``get(url) -> (status, headers, text)``; CACHE is a folder of Parquet tables.
+"""
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import config
-from .operators import index, quality
+from .operators import index, reports, stats
+from .plans import crawl as jobs
+from .plans import live
 from .services import Engine
 from .sources import files
+from .streaming import updates
+
+COMMANDS = (
+    ("crawl", ("client", "cache")), ("update", ("client", "cache")), ("clean-cache", ("cache",)), ("cache-stats", ("cache",)),
+    ("ask", ("kb", "message")), ("stats", ("kb",)), ("quality", ("kb", "report")), ("clean", ("dir",)),
+)
+
+
+def cached_pages(spark: SparkSession, cache: str) -> DataFrame | None:
+    """The latest complete version of the page table; None for an empty cache."""
+    have = updates.versions(cache, spark)
+    return spark.read.parquet(f"{cache}/v{have[-1]}") if have else None
+
+
+def store(pages: DataFrame, spark: SparkSession, cache: str) -> None:
+    have = updates.versions(cache, spark)
+    pages.write.mode("overwrite").parquet(f"{cache}/v{(have[-1] + 1) if have else 0}")
+
+
+def crawl(spark: SparkSession, client: str, cache: str, settings: config.Settings) -> DataFrame:
+    """A crawl into cache and output folder, or what an interrupted one left; (position, metric, value) of the run."""
+    with live.Interrupt() as stop:
+        result = live.run_crawl(spark, client, settings, cached_pages(spark, cache), stop)
+        store(result.pages.withColumns({c: F.coalesce(F.col(c), F.current_timestamp()) if c in result.pages.columns else F.current_timestamp() for c in ("created_at", "updated_at")}), spark, cache)
+        if not stop.asked:
+            live.save(result, settings)
+    return stats.summary(result.counters)
+
+
+def update(spark: SparkSession, client: str, cache: str, settings: config.Settings) -> DataFrame:
+    """An incremental update of the cache (a full crawl if it is empty); actions by number of pages."""
+    cached = cached_pages(spark, cache)
+    if cached is None:
+        return crawl(spark, client, cache, settings)
+    fresh = live.fetch_pages(cached.where("status = 'completed'").select("title"), client, settings)
+    merged, actions = jobs.update(cached, fresh, F.current_timestamp(), settings)
+    store(merged, spark, cache)
+    return jobs.action_counts(actions)
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="quernstone", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
-    for name, args in (("ask", ("kb", "message")), ("stats", ("kb",)), ("quality", ("kb", "report")), ("clean", ("dir",))):
+    for name, args in COMMANDS:
         sub = commands.add_parser(name)
         for a in args:
             sub.add_argument(a)
     a = parser.parse_args(argv)
     spark = SparkSession.builder.appName("quernstone").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    if a.command == "ask":
+    settings = config.from_env()
+    if a.command == "crawl":
+        crawl(spark, a.client, a.cache, settings).show(truncate=False)
+    elif a.command == "update":
+        update(spark, a.client, a.cache, settings).show(truncate=False)
+    elif a.command == "cache-stats":
+        pages = cached_pages(spark, a.cache)
+        if pages is not None:
+            categories = pages.select(F.explode("categories").alias("title")).distinct()
+            stats.summary(stats.table_counts(pages, categories), stats.CACHE_SUMMARY).show(truncate=False)
+    elif a.command == "ask":
         entries = index.build_index(files.read_markdown(spark, config.resolve_kb_path(a.kb)))
         print(Engine(entries).ask(a.message)[1])
     elif a.command == "stats":
         index.bucket_counts(index.build_index(files.read_markdown(spark, a.kb))).show()
     elif a.command == "quality":
-        files.write_report(quality.quality_report(quality.file_metrics(files.read_markdown(spark, a.kb, None))), a.report)
+        found = files.read_markdown(spark, a.kb, None)
+        for name, report in (("quality_report", reports.scan_report), ("deep_scan_report", reports.deep_report), ("auto_fix_report", reports.repair_log)):
+            files.write_report(reports.numbered(report(found)), f"{a.report}/{name}")
     else:
-        files.clean_output(spark, a.dir)
+        files.clean_output(spark, a.cache if a.command == "clean-cache" else a.dir)
     return 0
 
 

@@ -32,7 +32,14 @@ PLAIN_LINK = (r"\[\[([^\]|]+)\]\]", r"\1")
 BARE_URL_LINK = (r"\[(https?://[^\s\]]+)\s+\]", r"[\1](\1)")
 URL_LINK = (r"\[(https?://[^\s\]]+)\s+([^\]]*)\]", r"[\2](\1)")
 RULER = (r"(?m)^-{4,}$", "---")
-DEFINITION = (r"(?m)^;\s*(.+?)\s*:\s*(.+)$", r"**\1**: \2")
+#: Marks around term and definition, so that white space at their ends can go.
+_TERM, _TERM_END, _MEANING_END = "\x02", "\x03", "\x04"
+DEFINITIONS = (
+    (r"(?m)^;(.+?):\s*(.+)$", rf"{_TERM}\1{_TERM_END}\2{_MEANING_END}"),
+    (rf"{_TERM}\s*", "**"),
+    (rf"\s*{_TERM_END}\s*", "**: "),
+    (rf"\s*{_MEANING_END}", ""),
+)
 BLANK_LINES = (r"\n{3,}", "\n\n")
 LEADING_BLANKS = (r"(?m)^[ \t]+", "")
 EMPTY_ITEM = (r"(?m)^\s*[-*]\s*$", "")
@@ -41,7 +48,7 @@ LIST_ITEM = r"^([*#;:]+)\s*(.+)$"
 UNWANTED: tuple[Rule, ...] = (COMMENT, REF_PAIR, REF_SINGLE, CATEGORY_LINK, FILE_LINK, INVOKE, TEMPLATE, TABLE, ATTRIBUTE, HTML_TAG)
 EMPHASIS: tuple[Rule, ...] = (BOLD, ITALIC)
 LINKS: tuple[Rule, ...] = (NAMESPACE_LINK, PIPED_LINK, PLAIN_LINK, BARE_URL_LINK, URL_LINK)
-#: Headings have one rule for each level, the deepest first; there is no cap in the markup, so well above what pages use.
+#: Headings have one rule for each level, the deepest first; beyond these levels rules are made for the levels that a text has.
 HEADING_LEVELS = 9
 HEADINGS: tuple[Rule, ...] = tuple((rf"(?m)^={{{n}}}\s*(.+?)\s*={{{n}}}\s*$", rf"\n\n{'#' * n} \1\n\n".replace(r"\n", "\n")) for n in range(HEADING_LEVELS, 0, -1))
 
@@ -76,7 +83,20 @@ def convert_lists(text: Column, strict: bool = True) -> Column:
 
 
 def convert_headings(text: Column) -> Column:
-    return apply_rules(text, HEADINGS)
+    """Headings of any level."""
+
+    def deeper(t: Column) -> Column:
+        longest = F.array_max(F.transform(F.regexp_extract_all(t, F.lit("=+"), F.lit(0)), F.length))
+
+        def one(x: Column, n: Column) -> Column:
+            marks = F.concat(F.lit("={"), n.cast("string"), F.lit("}"))
+            pattern = F.concat(F.lit("(?dUm)^"), marks, F.lit(r"\s*(.+?)\s*"), marks, F.lit(r"\s*$"))
+            return F.regexp_replace(x, pattern, F.concat(F.lit("\n\n"), F.repeat(F.lit("#"), n), F.lit(" $1\n\n")))
+
+        return F.aggregate(F.sequence(longest, F.lit(HEADING_LEVELS + 1), F.lit(-1)), t, one)
+
+    deep = let(text, lambda t: F.when(F.contains(t, F.lit("=" * (HEADING_LEVELS + 1))), deeper(t)).otherwise(t))
+    return apply_rules(deep, HEADINGS)
 
 
 def convert_rulers(text: Column) -> Column:
@@ -85,7 +105,7 @@ def convert_rulers(text: Column) -> Column:
 
 def convert_definitions(text: Column) -> Column:
     """``;term : definition`` lines."""
-    return apply_rules(text, (DEFINITION,))
+    return apply_rules(text, DEFINITIONS)
 
 
 def _rstrip_lines(text: Column) -> Column:
@@ -209,7 +229,7 @@ def sql_lists(text: str) -> str:
 
 def sql_markdown(text: str) -> str:
     out = sql_rules(text, UNWANTED + EMPHASIS + LINKS)
-    out = sql_rules(sql_lists(out), (*HEADINGS, RULER, DEFINITION, BLANK_LINES, LEADING_BLANKS, EMPTY_ITEM))
+    out = sql_rules(sql_lists(out), (*HEADINGS, RULER, *DEFINITIONS, BLANK_LINES, LEADING_BLANKS, EMPTY_ITEM))
     out = f"array_to_string(list_transform(string_split({out}, chr(10)), lambda l: {sql_rstrip('l')}), chr(10))"
     return f"CASE WHEN {text} IS NULL OR {text} = '' OR starts_with({text}, '{REDIRECT}') THEN '' ELSE {sql_strip(out)} END"
 

@@ -85,3 +85,7 @@ def page_exists(pages: DataFrame, title: str) -> DataFrame:
 
 def pages_by_status(pages: DataFrame, status: str) -> DataFrame:
     return pages.where(F.col("status") == status)
+
+
+def distinct_titles(pages: DataFrame, title_col: str = "title") -> DataFrame:
+    return pages.select(title_col).distinct()

@@ -30,6 +30,11 @@ def upsert(old: DataFrame, new: DataFrame, key: str, now: Column, created: str =
     return both.select(*out)
 
 
+def upsert_categories(old: DataFrame, new: DataFrame, now: Column) -> DataFrame:
+    """The category table (title, page_id, depth, parent, crawled, created_at) with new rows merged in; there is no time of change."""
+    return upsert(old, new, "title", now, updated=None)
+
+
 def update_actions(cached: DataFrame, fresh: DataFrame, skip_reason: Column | None = None) -> DataFrame:
     """What an incremental update does with each cached page: missing, unchanged, filtered or updated.
 

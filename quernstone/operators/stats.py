@@ -54,6 +54,22 @@ def stats_json(counters: DataFrame) -> DataFrame:
     return counters.select(F.to_json(F.struct(*counters.columns), {"pretty": "true", "ignoreNullFields": "false"}).alias("json"))
 
 
+def run_document(counters: DataFrame, exported: DataFrame) -> DataFrame:
+    """(json): the counters of a run with the files that were written and skipped."""
+    return stats_json(counters.join(F.broadcast(exported), F.lit(True)))  # one row each
+
+
+#: Labels of the summary of a run, and of what a cache holds: fixed values.
+SUMMARY = (("total_pages", "发现页面"), ("pages_crawled", "成功爬取"), ("pages_skipped", "跳过（未变更）"), ("pages_filtered", "过滤（非内容）"), ("pages_failed", "失败"))
+CACHE_SUMMARY = (("n_pages", "已缓存页面数"), ("n_completed", "已完成页面数"), ("n_failed", "失败页面数"), ("n_categories", "已发现分类数"))
+
+
+def summary(counts: DataFrame, labels: tuple[tuple[str, str], ...] = SUMMARY) -> DataFrame:
+    """(position, metric, value): a table to show, labelled."""
+    rows = F.array(*(F.struct(F.lit(label).alias("metric"), F.col(c).cast("string").alias("value")) for c, label in labels))
+    return counts.select(F.posexplode(rows).alias("position", "x")).select(F.col("position").cast("long").alias("position"), "x.*")
+
+
 def report(counters: DataFrame, names: tuple[str, ...] = COUNTERS) -> DataFrame:
     """(metric, value) for a summary table."""
     return to_key_values(counters, names).withColumnsRenamed({"key": "metric"})

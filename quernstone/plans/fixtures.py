@@ -43,9 +43,9 @@ DUCKDB_PAGES = _HEAD.format(a="[", z="]") + "array_to_string(list_transform(stri
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of fewer files than there are cores, dealt out to all of them; a table of many files stays as it is."""
+    """Rows of a scan of fewer splits than there are cores, so of a small table, dealt out to all of them; a larger one stays as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
 
 
 def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

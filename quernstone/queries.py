@@ -34,10 +34,14 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
+    from . import queries_io  # noqa: F401  registers more
+
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import queries_io  # noqa: F401
+
     return dict(_sql)
 
 
@@ -127,7 +131,7 @@ def parse_fallback(spark, sf_dir):
     return fx.wiki_pages(spark, sf_dir).select("page_id", fallback_clean(F.col("wikitext")).alias("markdown"))
 
 
-@query(f"WITH wiki_pages AS ({fx.DUCKDB_PAGES}) SELECT page_id, {sql_rules('wikitext', ((r'(?m)^;\s*(.+?)\s*:\s*(.+)$', r'**\1**: \2'),))} AS text FROM wiki_pages")
+@query(f"WITH wiki_pages AS ({fx.DUCKDB_PAGES}) SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(wikitext, '(?m)^;(.+?):\\s*(.+)$', chr(2) || '\\1' || chr(3) || '\\2' || chr(4), 'g'), '\\s*' || chr(4), '', 'g'), '\\s*' || chr(3) || '\\s*', '**: ', 'g'), chr(2) || '\\s*', '**', 'g') AS text FROM wiki_pages")
 def definition_lists(spark, sf_dir):
     return fx.wiki_pages(spark, sf_dir).select("page_id", convert_definitions(F.col("wikitext")).alias("text"))
 
@@ -162,10 +166,10 @@ def split_pages(spark, sf_dir):
 # ── names ───────────────────────────────────────────────────────────────────
 
 
-@query(f"WITH wiki_pages AS ({fx.DUCKDB_PAGES}), n AS (SELECT page_id, title || ' :*?  ' || substr(wikitext, 1, 230) || ' ..' AS name FROM wiki_pages) SELECT page_id, {names.sql_sanitize('name')} AS file_name FROM n")
+@query(f"WITH wiki_pages AS ({fx.DUCKDB_PAGES}), n AS (SELECT page_id, title || ' :*?  ' || coalesce(wikitext, '') || ' ..' AS name FROM wiki_pages) SELECT page_id, {names.sql_sanitize('name')} AS file_name FROM n")
 def sanitize_names(spark, sf_dir):
     p = fx.wiki_pages(spark, sf_dir)
-    return p.select("page_id", names.sanitize_filename(F.concat("title", F.lit(" :*?  "), F.substring("wikitext", 1, 230), F.lit(" .."))).alias("file_name"))
+    return p.select("page_id", names.sanitize_filename(F.concat("title", F.lit(" :*?  "), F.coalesce("wikitext", F.lit("")), F.lit(" .."))).alias("file_name"))
 
 
 @query(PARSED + f""" SELECT page_id, display_title, regexp_replace(title, '^({"|".join(names.STRIP_PREFIXES)})', '') AS bare, CASE WHEN starts_with(title, 'Category:') THEN title ELSE 'Category:' || title END AS category FROM parsed""")
@@ -332,9 +336,11 @@ def actor_names(spark, sf_dir):
 
 
 @query(f"""{PARSED}, {_PLAIN} SELECT title, 'output/声优/' || {names.sql_sanitize("display_title")} || '.md' AS path, length(markdown) AS n_chars, array_to_string(list_concat(categories, ['声优', 'BanG Dream']), '|') AS tags
-  FROM doc_plain WHERE page_id % 5 = 0 AND trim(markdown) <> ''""")
+  FROM doc_plain WHERE trim(markdown) <> '' AND string_split(title, ' p')[1] IN (SELECT {sql_strip(f"replace(c, {quote(C.ACTOR_MARK)}, '')")} FROM (SELECT unnest(categories) AS c FROM parsed) WHERE contains(c, '{C.ACTOR_MARK}'))""")
 def actor_files(spark, sf_dir):
-    p = _plain_pages(spark, sf_dir).where("page_id % 5 = 0")
+    """Files of the pages that a fetch by the actors' names finds."""
+    actors = index.actor_names(fx.wiki_pages(spark, sf_dir))
+    p = _plain_pages(spark, sf_dir).withColumn("actor", F.substring_index("title", " p", 1)).join(actors, "actor", "left_semi")
     out = render.actor_files(p, tags=("声优", "BanG Dream"), plain_yaml=True).select("title", "path", fm.split_file(F.col("content")).alias("f"))
     tags = F.array_join(F.regexp_extract_all("f.front", F.lit(r"(?m)^- (.+)$"), F.lit(1)), "|")
     body = F.regexp_replace("f.body", r"\A\n\n# [^\n]*\n\n", "")
@@ -375,19 +381,6 @@ def random_card(spark, sf_dir):
     return p.select("page_id", render.random_card(F.col("display_title"), filters.directory_of(F.col("categories")), F.col("markdown")).alias("card"))
 
 
-@query()
-def character_query(spark, sf_dir):
-    """One row (mode, text, image); tests hold it against worked examples."""
-    from .services import entry_query
-
-    return entry_query(_index(spark, sf_dir), "src1 p1", "角色")
-
-
-@query()
-def result_list(spark, sf_dir):
-    return render.result_list(index.search(_index(spark, sf_dir), "p31", limit=8), "p31")
-
-
 # ── merges, counters ────────────────────────────────────────────────────────
 
 _SNAPSHOT = ", snapshot AS (SELECT title, page_id, revision_id + CASE WHEN page_id % 3 = 0 THEN 7 ELSE 0 END AS revision_id, CASE WHEN page_id % 4 = 0 THEN NULL ELSE 'new ' || wikitext END AS wikitext FROM parsed WHERE page_id % 11 <> 0)"
@@ -485,10 +478,10 @@ def uncrawled_categories(spark, sf_dir):
     return graph.uncrawled(cats.withColumn("crawled", F.length("title") % 2 == 1)).select("title", "depth")
 
 
-@query(f"WITH {fx.SQL_EDGES} SELECT DISTINCT title FROM edges WHERE page_type = 'subcat' AND title NOT IN (SELECT parent FROM edges WHERE page_type = 'page')")
+@query(f"WITH {fx.SQL_EDGES} SELECT DISTINCT title FROM edges WHERE page_type = 'subcat' AND title NOT IN (SELECT parent FROM edges WHERE page_type = 'page' AND starts_with(parent, 'Category:n'))")
 def unvisited(spark, sf_dir):
     e = fx.category_edges(spark, sf_dir)
-    seen = e.where("page_type = 'page'").select(F.col("parent").alias("title")).distinct()
+    seen = e.where("page_type = 'page' AND startswith(parent, 'Category:n')").select(F.col("parent").alias("title")).distinct()
     return merge.without_visited(e.where("page_type = 'subcat'").select("title").distinct(), seen)
 
 
@@ -635,14 +628,14 @@ def llm_candidates(spark, sf_dir):
     return quality.llm_candidates(_flawed_files(spark, sf_dir)).select("path", "front", "request")
 
 
-@query()
+@query(_FLAWED + f""", c AS (SELECT count(*) AS files, count(*) FILTER (is_empty) AS is_empty, count(*) FILTER (NOT is_empty AND {quality.sql_word_count("body")} < 300) AS is_short,
+  count(*) FILTER (NOT is_empty AND length(no_h1) < 10) AS is_title_only, count(*) FILTER (NOT is_empty AND plain < 5) AS is_empty_body, count(*) FILTER (NOT is_empty AND regexp_matches(st, {quote(quality.REFERENCE_HEADING)}) AND plain < 10) AS is_reference_only,
+  count(*) FILTER (NOT is_empty AND regexp_matches(string_split(st, chr(10))[-1], '^#{{1,6}}\\s+')) AS is_truncated, count(*) FILTER (NOT is_empty AND regexp_matches(coalesce(front, ''), {quote(quality.DANGLING_LOOSE)})) AS has_dangling FROM g)
+  SELECT CAST(i - 1 AS INTEGER) AS line_no, ['files', 'is_empty', 'is_short', 'is_title_only', 'is_empty_body', 'is_reference_only', 'is_truncated', 'has_dangling'][i] || ': ' || [files, is_empty, is_short, is_title_only, is_empty_body, is_reference_only, is_truncated, has_dangling][i] AS line FROM c, generate_series(1, 8) t(i)""")
 def quality_report(spark, sf_dir):
-    """A text report; tests hold it against the counts."""
     return quality.quality_report(quality.file_metrics(_flawed_files(spark, sf_dir)))
 
 
-
-
 # ── listings and answers made from the tables ───────────────────────────────
 
 
@@ -683,12 +676,15 @@ def api_pages(spark, sf_dir):
     return pages_from_json(answers).withColumn("categories", F.array_join("categories", "|"))
 
 
-@query("SELECT o_orderkey, CASE WHEN s = 429 THEN 'rate_limit' WHEN s >= 500 THEN 'server_error' WHEN s <> 200 THEN 'http_error' ELSE 'ok' END AS outcome FROM (SELECT o_orderkey, [200, 404, 429, 503, 200][CAST(o_orderkey % 5 AS INTEGER) + 1] AS s FROM orders)")
+@query("""SELECT doc_id, CASE WHEN s = 429 THEN 'rate_limit' WHEN s >= 500 THEN 'server_error' WHEN s <> 200 THEN 'http_error' WHEN contains(substr(body, 1, 500), '未授权操作') THEN 'auth_page' ELSE 'ok' END AS outcome
+  FROM (SELECT doc_id, [200, 404, 429, 503, 200][CAST(doc_id % 5 AS INTEGER) + 1] AS s, CASE WHEN doc_id % 3 = 0 THEN coalesce(text, '') || '未授权操作' ELSE coalesce(text, '') END AS body FROM documents)""")
 def answer_outcomes(spark, sf_dir):
+    """Statuses, and bodies that hold the mark of a log-in page among their first characters, behind them or not at all."""
     from .sources.api import classify
 
-    s = F.element_at(F.lit([200, 404, 429, 503, 200]), (F.col("o_orderkey") % 5 + 1).cast("int"))
-    return _docs(spark, sf_dir, "orders").select("o_orderkey", classify(s, F.lit("body")).alias("outcome"))
+    s, text = F.element_at(F.lit([200, 404, 429, 503, 200]), (F.col("doc_id") % 5 + 1).cast("int")), F.coalesce("text", F.lit(""))
+    body = F.when(F.col("doc_id") % 3 == 0, F.concat(text, F.lit("未授权操作"))).otherwise(text)
+    return _docs(spark, sf_dir).select("doc_id", classify(s, body).alias("outcome"))
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'own.png' WHEN doc_id % 3 = 1 THEN 'b' || doc_id || '.jpg' END AS image FROM documents")
@@ -718,13 +714,13 @@ def update_job(spark, sf_dir):
     return action_counts(update(cached, fresh, F.lit("2026-02-02").cast("timestamp"))[1])
 
 
-@query(f"WITH {fx.SQL_EDGES} SELECT count(DISTINCT title) AS total_pages, count(DISTINCT title) AS pages_crawled, 0::BIGINT AS pages_failed, 0::BIGINT AS pages_skipped, 0::BIGINT AS pages_filtered FROM edges WHERE page_type = 'page'")
+@query(_COUNTERS + " SELECT * FROM k")
 def crawl_job(spark, sf_dir):
-    """Discovery, fetch join, filters and counters over the category graph."""
+    """Discovery, fetch join, filters, parsing and counters: all pages hang below the nations of the category graph."""
     from .config import Settings
     from .plans.crawl import crawl
 
-    e = fx.category_edges(spark, sf_dir)
-    pages = e.where("page_type = 'page'").select("title").distinct()
-    fetched = pages.select("title", F.lit(1).cast("long").alias("page_id"), F.lit(1).cast("long").alias("revision_id"), F.lit(None).cast("timestamp").alias("updated"), F.array(F.lit("角色")).alias("categories"), F.concat(F.lit("== A ==\n"), F.col("title")).alias("wikitext"), names.page_url(F.col("title")).alias("url"), F.lit(None).cast("string").alias("redirect_target"))
-    return crawl(e, fetched, Settings(root_category="Category:root")).counters
+    p = fx.parsed_pages(spark, sf_dir).drop("markdown", "display_title")
+    listed = p.select(F.concat(F.lit("Category:n"), (F.col("page_id") % 25).cast("string")).alias("parent"), "title", F.lit("page").alias("page_type"))
+    edges = fx.category_edges(spark, sf_dir).unionByName(listed)
+    return crawl(edges, p, Settings(root_category="Category:root")).counters

@@ -54,6 +54,13 @@ def random_query(index: DataFrame, bucket: str, chars: int = 1200, seed: int | N
     return out.select(F.when(F.col("card").isNotNull(), "random").otherwise(F.col("mode")).alias("mode"), F.coalesce("card", "text").alias("text"), F.coalesce("own", "image").alias("image"))
 
 
+def messages(answers: DataFrame, images: DataFrame) -> DataFrame:
+    """Answers (mode, text, image) as messages (text, image, is_plain): an image that is not among ``images`` (path) leaves plain text."""
+    there = images.select(F.col("path").alias("image")).distinct().withColumn("there", F.lit(True))
+    out = answers.join(there, "image", "left").withColumn("image", F.when(F.col("there"), F.col("image")).otherwise(""))
+    return out.select("mode", "text", "image", (F.col("image") == "").alias("is_plain"))
+
+
 class Engine:
     """``ask`` takes a chat message and gives an answer."""
 

@@ -11,6 +11,8 @@ import json
 import random
 import time
 from collections.abc import Callable, Iterator
+from datetime import datetime, timezone
+from email.utils import parsedate_to_datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +72,12 @@ def prefer_batch(batch: DataFrame, single: DataFrame) -> DataFrame:
     return out.withColumn("wikitext", F.when(F.coalesce("wikitext", F.lit("")) == "", F.coalesce("single_text", F.lit(""))).otherwise(F.col("wikitext"))).select(*batch.columns)
 
 
+def refetched(answers: DataFrame, single: DataFrame) -> DataFrame:
+    """Pages of batch answers (json), redirects resolved: what came back empty is taken from single answers (title, json)."""
+    batch = pages_from_json(answers)
+    return prefer_batch(batch, pages_from_json(single))
+
+
 class Limiter:
     """A least gap between requests with jitter, within one reader."""
 
@@ -100,10 +108,34 @@ def with_retries(get: Get, url: str, settings: C.Settings = C.Settings(), sleep=
             break
         if attempt + 1 < settings.attempts:
             wait = min(settings.longest_wait, settings.first_wait * 2**attempt + random.uniform(0, settings.retry_jitter))
-            sleep(max(wait, float(headers.get("Retry-After") or RETRY_AFTER)) if status == 429 else wait)
+            sleep(max(wait, retry_after(headers.get("Retry-After"))) if status == 429 else wait)
     return status, text
 
 
+def retry_after(value: str | None, now: datetime | None = None) -> float:
+    """Seconds that a Retry-After header asks for, as a number or as a date; the usual pause if it is missing or unreadable."""
+    if not value:
+        return RETRY_AFTER
+    try:
+        return max(0.0, float(value))
+    except ValueError:
+        pass
+    try:
+        when = parsedate_to_datetime(value)
+    except ValueError:
+        return RETRY_AFTER
+    when = when if when.tzinfo else when.replace(tzinfo=timezone.utc)
+    return max(0.0, (when - (now or datetime.now(timezone.utc))).total_seconds())
+
+
+def retry_waits(spark: SparkSession, settings: C.Settings = C.Settings()) -> DataFrame:
+    """(attempt, least, most): seconds that are waited after a failed attempt, but for the last."""
+    steps = spark.range(1, settings.attempts).withColumnRenamed("id", "attempt")
+    least = F.pow(F.lit(2.0), F.col("attempt") - 1) * settings.first_wait
+    cap = F.lit(float(settings.longest_wait))
+    return steps.select("attempt", F.least(least, cap).alias("least"), F.least(least + settings.retry_jitter, cap).alias("most"))
+
+
 def _client(path: str) -> Get:
     module, _, name = path.partition(":")
     return getattr(importlib.import_module(module), name)
@@ -131,7 +163,7 @@ class WikiReader(DataSourceReader):
         limiter = Limiter(float(self.options.get("gap", 0.5)), float(self.options.get("jitter", 0.5)))
         for url in partition.urls:
             limiter.wait()
-            status, text = with_retries(get, url, sleep=time.sleep)
+            status, text = with_retries(get, url)
             yield (url, status, text)
 
 
@@ -158,17 +190,24 @@ def fetch(spark: SparkSession, urls: list[str], client: str, **options) -> DataF
     return reader.load().withColumn("outcome", classify(F.col("status"), F.col("body")))
 
 
-def listing_members(get: Get, category: str, settings: C.Settings = C.Settings(), parse=None) -> Iterator[dict]:
+def listing_members(get: Get, category: str, settings: C.Settings = C.Settings(), parse=None, sleep=time.sleep, limiter: Limiter | None = None) -> Iterator[dict]:
     """The members of a category, page by page, until there is no next page, no member, no mark to go on from, or an error.
 
     ``parse(html) -> (members, next address)``. A page whose members are all
-    filtered ends the listing in strict mode.
+    filtered ends the listing in strict mode. Every request waits for the
+    limiter, and a repeated one as long as retries do.
     """
     from urllib.parse import parse_qs, quote, urlsplit
 
+    limiter = limiter or Limiter(settings.rate_limit, sleep=sleep)
+
+    def paced(address: str) -> tuple[int, dict, str]:
+        limiter.wait()
+        return get(address)
+
     url = f"{settings.base_url}/{category.replace(' ', '_')}"
     while url:
-        status, text = with_retries(get, url, settings, sleep=lambda _: None)
+        status, text = with_retries(paced, url, settings, sleep=sleep)
         if status != 200:
             return
         members, following = parse(text)

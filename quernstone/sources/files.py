@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
@@ -47,6 +50,35 @@ class _Done(WriterCommitMessage):
         self.files = files
 
 
+def inside(path: str | None) -> str:
+    """A path below the root, tidied; an error if it is absolute, empty or leaves the root."""
+    parts = [p for p in (path or "").split("/") if p not in ("", ".")]
+    if not parts or path.startswith("/") or ".." in parts:
+        raise ValueError(f"outside of the folder: {path!r}")
+    return "/".join(parts)
+
+
+def put(root: str, path: str, content: str | bytes) -> str:
+    """Write a file below ``root``, a local folder or an address of any file system that Arrow knows; complete or absent, however many tasks write it."""
+    target = inside(path)
+    fs, base = _file_system(root)
+    full = f"{base}/{target}"
+    fs.create_dir(full.rsplit("/", 1)[0], recursive=True)
+    part = f"{full}.{uuid.uuid4().hex}.part"
+    with fs.open_output_stream(part) as f:
+        f.write(content.encode() if isinstance(content, str) else content)
+    fs.move(part, full)
+    return full
+
+
+def _file_system(root: str) -> tuple[pafs.FileSystem, str]:
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", root):
+        fs, base = pafs.FileSystem.from_uri(root if "://" in root else root.replace(":", "://", 1))
+    else:
+        fs, base = pafs.LocalFileSystem(), os.path.abspath(root)
+    return fs, base.rstrip("/")
+
+
 class FileWriter(DataSourceWriter):
     """Writes rows (path, content) as files under a root; a file is complete or absent, and a retried task writes the same."""
 
@@ -56,11 +88,7 @@ class FileWriter(DataSourceWriter):
     def write(self, rows: Iterator) -> WriterCommitMessage:
         n = 0
         for row in rows:
-            target = os.path.join(self.root, row["path"])
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            with open(f"{target}.part", "w", encoding="utf-8", newline="") as f:
-                f.write(row["content"])
-            os.replace(f"{target}.part", target)
+            put(self.root, row["path"], row["content"])
             n += 1
         return _Done(n)
 
@@ -85,6 +113,64 @@ def write_files(files: DataFrame, root: str) -> None:
     files.select("path", "content").write.format("quernstone_files").mode("append").save(root)
 
 
+def export_files(files: DataFrame, root: str) -> DataFrame:
+    """(path, error) of files (path, content) as they are written: a file that can't be written has an error and stops no other.
+
+    Errors are ``no content``, ``outside`` for paths that leave the folder, or
+    the system's message; null is success.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            errors = []
+            for path, content in zip(rows["path"], rows["content"], strict=True):
+                try:
+                    inside(path)
+                    errors.append("no content" if content is None else None)
+                    if content is not None:
+                        put(root, path, content)
+                except ValueError:
+                    errors.append("outside")
+                except OSError as e:
+                    errors[-1] = str(e)
+            yield pd.DataFrame({"path": rows["path"], "error": pd.Series(errors, dtype=object)})
+
+    return files.select("path", "content").mapInPandas(run, "path string, error string")
+
+
+def download_images(wanted: DataFrame, client: str, root: str) -> DataFrame:
+    """(title, path, outcome) of images (title, path, url) that are stored below ``root``.
+
+    ``client`` names a callable ``get(url) -> (status, headers, body)`` that
+    executors can import. Outcomes are ``none`` without an address, ``exists``
+    for a file that is there already, ``stored``, or ``failed``.
+    """
+    from .api import _client
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        get = _client(client)
+        fs, base = _file_system(root)
+        for rows in batches:
+            outcomes = []
+            for path, url in zip(rows["path"], rows["url"], strict=True):
+                if not url:
+                    outcomes.append("none")
+                    continue
+                try:
+                    if fs.get_file_info(f"{base}/{inside(path)}").type == pafs.FileType.File:
+                        outcomes.append("exists")
+                        continue
+                    status, _, body = get(url)
+                    if status == 200:
+                        put(root, path, body)
+                    outcomes.append("stored" if status == 200 else "failed")
+                except (OSError, ValueError):
+                    outcomes.append("failed")
+            yield pd.DataFrame({"title": rows["title"], "path": rows["path"], "outcome": outcomes})
+
+    return wanted.select("title", "path", "url").mapInPandas(run, "title string, path string, outcome string")
+
+
 def clean_output(spark: SparkSession, root: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     hadoop(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop(root), True)
@@ -113,7 +199,7 @@ def image_extension(url: Column) -> Column:
 
 
 def manifest(spark: SparkSession, root: str, code_dirs: tuple[str, ...] = ("tools/",)) -> DataFrame:
-    """(path, size, kind, is_large) of a tree: ignored, uploadable or review; paths are below ``root``. Contents are not read."""
+    """(path, size, kind, is_large) of a tree: ignored, uploadable or review; paths are below ``root``. Contents are not read; Spark's scans leave empty files out."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     full = F.regexp_replace(percent_decode(F.col("path")), "^file:/+", "/")
     rows = rows.select(F.substring(full, F.lit(len(root.rstrip("/")) + 2), F.length(full)).alias("path"), F.col("length").alias("size"))
@@ -137,7 +223,15 @@ def rewrite(candidates: DataFrame, model: Callable[[str], str]) -> DataFrame:
     return candidates.select("path", "front", "request").mapInPandas(run, "path string, front string, new_body string")
 
 
-def rewritten_files(rewritten: DataFrame) -> DataFrame:
-    """(path, content) of answered candidates."""
+def without_tags(front: Column, tags: tuple[str, ...]) -> Column:
+    """Front matter (as YAML writes it) without the items of lists that are any of ``tags``."""
+    return F.array_join(F.filter(F.split(front, "\n", -1), lambda l: ~F.regexp_replace(l, r"^\s*-\s+['\"]?(.*?)['\"]?\s*$", "$1").isin(*tags) | ~F.regexp_like(l, F.lit(r"^\s*-\s"))), "\n")
+
+
+def rewritten_files(rewritten: DataFrame, drop_tags: tuple[str, ...] = (), dry: bool = False) -> DataFrame:
+    """(path, content) of answered candidates, without the categories ``drop_tags``; a dry run gives (path, n_chars) and no contents."""
     rows = rewritten.where("new_body IS NOT NULL")
-    return rows.select("path", F.concat(F.lit("---\n"), F.regexp_replace("front", r"\A\n+", ""), F.lit("---\n\n"), F.col("new_body"), F.lit("\n")).alias("content"))
+    if dry:
+        return rows.select("path", F.length("new_body").cast("long").alias("n_chars"))
+    front = without_tags(F.col("front"), drop_tags) if drop_tags else F.col("front")
+    return rows.select("path", F.concat(F.lit("---\n"), F.regexp_replace(front, r"\A\n+", ""), F.lit("---\n\n"), F.col("new_body"), F.lit("\n")).alias("content"))

@@ -29,8 +29,15 @@ COLUMNS = (
     ("created_at", "TEXT"),
     ("updated_at", "TEXT"),
 )
-INDEXED = ("status", "revision_id")
-SCHEMA = ", ".join(f"{n} {'bigint' if t == 'INTEGER' else 'string'}" for n, t in COLUMNS)
+#: Columns of the other two tables, and the indexes: fixed values.
+CATEGORY_COLUMNS = (("title", "TEXT PRIMARY KEY"), ("page_id", "INTEGER"), ("depth", "INTEGER"), ("parent", "TEXT"), ("crawled", "INTEGER"), ("created_at", "TEXT"))
+STAT_COLUMNS = (("key", "TEXT PRIMARY KEY"), ("value", "TEXT"))
+TABLES = {"pages": COLUMNS, "categories": CATEGORY_COLUMNS, "stats": STAT_COLUMNS}
+INDEXES = (("idx_pages_status", "pages", "status"), ("idx_pages_revision", "pages", "revision_id"), ("idx_categories_depth", "categories", "depth"), ("idx_categories_crawled", "categories", "crawled"))
+
+
+def _schema(table: str) -> str:
+    return ", ".join(f"{n} {'bigint' if t == 'INTEGER' else 'string'}" for n, t in TABLES[table])
 
 
 class _Range(InputPartition):
@@ -41,61 +48,80 @@ class _Range(InputPartition):
 
 class SqliteReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.path, self.parts = options["path"], int(options.get("partitions", 4))
+        self.path, self.parts, self.table = options["path"], int(options.get("partitions", 4)), options.get("table", "pages")
 
     def partitions(self) -> list[InputPartition]:
         with sqlite3.connect(self.path) as db:
-            low, high = db.execute("SELECT coalesce(min(rowid), 0), coalesce(max(rowid), -1) FROM pages").fetchone()
+            low, high = db.execute(f"SELECT coalesce(min(rowid), 0), coalesce(max(rowid), -1) FROM {self.table}").fetchone()
         step = max(1, -(-(high - low + 1) // self.parts))
         return [_Range(a, min(high + 1, a + step)) for a in range(low, high + 1, step)] or [_Range(0, 0)]
 
     def read(self, partition: _Range) -> Iterator[tuple]:
         with sqlite3.connect(self.path) as db:
-            have = {r[1] for r in db.execute("PRAGMA table_info(pages)")}
-            names = ", ".join(n if n in have else f"NULL AS {n}" for n, _ in COLUMNS)
-            yield from db.execute(f"SELECT {names} FROM pages WHERE rowid >= ? AND rowid < ?", (partition.low, partition.high))
+            have = {r[1] for r in db.execute(f"PRAGMA table_info({self.table})")}
+            names = ", ".join(n if n in have else f"NULL AS {n}" for n, _ in TABLES[self.table])
+            yield from db.execute(f"SELECT {names} FROM {self.table} WHERE rowid >= ? AND rowid < ?", (partition.low, partition.high))
 
 
 class SqliteSource(DataSource):
-    """``spark.read.format("quernstone_sqlite").option("path", file)``."""
+    """``spark.read.format("quernstone_sqlite").option("path", file).option("table", "pages")``; tables are pages, categories and stats."""
 
     @classmethod
     def name(cls) -> str:
         return "quernstone_sqlite"
 
     def schema(self) -> str:
-        return SCHEMA
+        return _schema(self.options.get("table", "pages"))
 
     def reader(self, schema) -> DataSourceReader:
         return SqliteReader(self.options)
 
 
+def read_table(spark: SparkSession, path: str, table: str, partitions: int = 4) -> DataFrame:
+    """A table of the cache as it is stored."""
+    spark.dataSource.register(SqliteSource)
+    return spark.read.format("quernstone_sqlite").option("path", path).option("table", table).option("partitions", str(partitions)).load()
+
+
 def read_pages(spark: SparkSession, path: str, partitions: int = 4) -> DataFrame:
     """Cached pages, typed; broken JSON and times are null."""
-    spark.dataSource.register(SqliteSource)
-    raw = spark.read.format("quernstone_sqlite").option("path", path).option("partitions", str(partitions)).load()
+    raw = read_table(spark, path, "pages", partitions)
     times = {c: F.try_to_timestamp(c) for c in ("updated", "created_at", "updated_at")}
     return raw.withColumns(times | {"categories": F.from_json("categories", "array<string>")})
 
 
-def write_pages(pages: DataFrame, path: str) -> int:
-    """Upsert pages into an SQLite file; a row's creation time survives. Rows stream through the driver, one batch at a time."""
-    names = [n for n, _ in COLUMNS if n in pages.columns]
-    changes = ", ".join(f"{n} = excluded.{n}" for n in names if n not in ("title", "created_at"))
-    rows = pages.select(*(F.to_json(n).alias(n) if n == "categories" else F.col(n).cast("string").alias(n) if n in ("updated", "created_at", "updated_at") else F.col(n) for n in names))
+def create(db: sqlite3.Connection) -> None:
+    """The three tables and their indexes, where they are missing."""
+    db.execute("PRAGMA journal_mode = WAL")
+    for table, columns in TABLES.items():
+        db.execute(f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(f'{a} {b}' for a, b in columns)})")
+    for name, table, column in INDEXES:
+        db.execute(f"CREATE INDEX IF NOT EXISTS {name} ON {table} ({column})")
+
+
+def write_table(rows: DataFrame, path: str, table: str = "pages") -> int:
+    """Upsert rows into a table of an SQLite file by its key; a row's creation time survives. Rows stream through the driver, one partition at a time."""
+    names = [n for n, _ in TABLES[table] if n in rows.columns]
+    key = TABLES[table][0][0]
+    changes = ", ".join(f"{n} = excluded.{n}" for n in names if n not in (key, "created_at"))
+    changes = f"UPDATE SET {changes}" if changes else "NOTHING"
+    rows = rows.select(*(F.to_json(n).alias(n) if n == "categories" else F.col(n).cast("string").alias(n) if n in ("updated", "created_at", "updated_at") else F.col(n).cast("int").alias(n) if n == "crawled" else F.col(n) for n in names))
     n = 0
     with sqlite3.connect(path) as db:
-        db.execute("PRAGMA journal_mode = WAL")
-        db.execute(f"CREATE TABLE IF NOT EXISTS pages ({', '.join(f'{a} {b}' for a, b in COLUMNS)})")
-        for c in INDEXED:
-            db.execute(f"CREATE INDEX IF NOT EXISTS pages_{c} ON pages ({c})")
+        create(db)
         for row in rows.toLocalIterator():
-            db.execute(f"INSERT INTO pages ({', '.join(names)}) VALUES ({', '.join('?' * len(names))}) ON CONFLICT (title) DO UPDATE SET {changes}", tuple(row))
+            db.execute(f"INSERT INTO {table} ({', '.join(names)}) VALUES ({', '.join('?' * len(names))}) ON CONFLICT ({key}) DO {changes}", tuple(row))
             n += 1
     return n
 
 
+def write_pages(pages: DataFrame, path: str) -> int:
+    return write_table(pages, path, "pages")
+
+
 def clean(path: str) -> None:
-    """Delete all cached pages."""
+    """Delete all that is cached: pages, categories and statistics."""
     with sqlite3.connect(path) as db:
-        db.execute("DELETE FROM pages")
+        create(db)
+        for table in TABLES:
+            db.execute(f"DELETE FROM {table}")

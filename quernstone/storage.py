@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,11 @@ _roots: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of our own only where it is unset."""
+    """The folder in ``spark.checkpoint.dir``; one of our own only where it is unset and all runs in this one process."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="quernstone-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

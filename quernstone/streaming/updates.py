@@ -10,6 +10,9 @@ from ..config import Settings
 from ..operators.merge import latest
 from ..plans.crawl import update
 
+#: Versions before the latest one that stay for readers that are at work.
+KEPT = 2
+
 
 def versions(path: str, spark) -> list[int]:
     """Numbers of the table's versions that are complete, in order."""
@@ -31,6 +34,11 @@ def merge_batch(snapshots: DataFrame, batch: int, path: str, settings: Settings
     fresh = latest(snapshots, "title", "revision_id")
     merged, _ = update(cached, fresh, F.current_timestamp(), settings)
     merged.write.mode("overwrite").parquet(f"{path}/v{batch + 1}")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for v in have:
+        if v <= batch - KEPT:
+            fs.delete(hadoop(f"{path}/v{v}"), True)
 
 
 def start_updates(snapshots: DataFrame, path: str, checkpoint: str, settings: Settings = Settings()) -> StreamingQuery:

@@ -10,8 +10,10 @@ from quernstone import config as C
 from quernstone.functions import frontmatter as fm
 from quernstone.functions import names
 from quernstone.operators import filters, graph, index, merge, quality, render, stats
+from quernstone.plans import live
 from quernstone.services import Engine
 from quernstone.sources import api, files, listing
+from quernstone.streaming import updates
 
 
 def one(spark, f, *values):
@@ -228,6 +230,46 @@ def test_api(spark):
     assert one(spark, api.api_error, '{"error": {"code": "bad"}}') == "bad"
 
 
+def test_waits(spark):
+    now = datetime.datetime(2026, 1, 1, 10, tzinfo=datetime.timezone.utc)
+    assert [api.retry_after(x, now) for x in ("3", "Thu, 01 Jan 2026 10:00:09 GMT", "Thu, 01 Jan 2026 09:00:00 GMT", "soon", "", None)] == [3.0, 9.0, 0.0, api.RETRY_AFTER, api.RETRY_AFTER, api.RETRY_AFTER]
+    waits, answers = [], [(429, {"Retry-After": "Thu, 01 Jan 1970 00:00:00 GMT"}, ""), (200, {}, "a"), (503, {}, ""), (200, {}, "b")]
+    pages = {"a": ([1], "/x?pagefrom=q"), "b": ([2], None)}
+    limiter = api.Limiter(7.0, 0.0, clock=lambda: 0.0, sleep=waits.append)
+    assert list(api.listing_members(lambda u: answers.pop(0), "Category:A", parse=lambda t: pages[t], sleep=waits.append, limiter=limiter)) == [1, 2]
+    assert waits.count(7.0) == 3 and len(waits) == 5  # a gap before each request but the first, a pause after each failure
+
+
+def test_files_stay_inside(spark, tmp_path):
+    for bad in ("../a", "/etc/a", "a/../../b", "", None):
+        with pytest.raises(ValueError):
+            files.put(str(tmp_path / "root"), bad, "x")
+    files.put(f"file://{tmp_path}/root", "d/a.txt", "one")
+    files.put(str(tmp_path / "root"), "./d//a.txt", "two")
+    assert [str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_file()] == ["root/d/a.txt"] and (tmp_path / "root/d/a.txt").read_text() == "two"
+
+
+def test_crawl_by_command_line(spark, tmp_path, monkeypatch):
+    from quernstone import __main__ as cli
+
+    settings = C.Settings(rate_limit=0, jitter=0, strict=False, output_dir=str(tmp_path / "out"))
+    cache, client = str(tmp_path / "cache"), "quernstone.sources.offline:wiki"
+    shown = {r["metric"]: r["value"] for r in cli.crawl(spark, client, cache, settings).collect()}
+    assert (shown["成功爬取"], shown["失败"]) == ("11", "1")
+    assert sorted(p.name for p in (tmp_path / "out/乐队").iterdir()) == [f"Band_{i}.md" for i in range(7)] + ["Overview.md"]
+    assert "About Band 1." in (tmp_path / "out/乐队/Band_1.md").read_text()
+    assert len(list((tmp_path / "out").glob("_crawl_stats/part-*"))) == 1
+    assert {r["action"]: r["n_pages"] for r in cli.update(spark, client, cache, settings).collect()} == {"unchanged": 11}
+    pages = cli.cached_pages(spark, cache)
+    assert pages.count() == 12 and updates.versions(cache, spark) == [0, 1]
+    stop = live.Interrupt()
+    stop()
+    again = live.run_crawl(spark, client, settings, pages, stop)
+    assert again.pages.count() == 12 and again.pages.where("status = 'completed'").count() == 11
+    with pytest.raises(SystemExit):
+        stop()
+
+
 def test_rewrite(spark):
     rows = spark.createDataFrame([("a", "\nt: 1\n", "ask"), ("b", "", "no")], "path string, front string, request string")
     out = files.rewritten_files(files.rewrite(rows, lambda r: "new" if r == "ask" else "")).collect()

@@ -63,7 +63,14 @@ def test_fallback(spark):
 
 
 def test_definitions(spark):
-    assert column(spark, ["; term : def ", "x"], w.convert_definitions) == ["**term**: def ", "x"]
+    texts = ["; term : def ", "x", ";\nfoo:bar", ";a:\n b c \nd", ";a:b:c", "; : x", "a ;b:c"]
+    assert column(spark, texts, w.convert_definitions) == ["**term**: def", "x", ";\nfoo:bar", "**a**: b c\nd", "**a**: b:c", "****: x", "a ;b:c"]
+
+
+def test_headings_of_any_level(spark):
+    text = "\n".join(f"{'=' * n} H{n} {'=' * n}" for n in (1, 2, 9, 10, 12, 30)) + "\na == b"
+    got = [x for x in column(spark, [text], w.convert_headings)[0].split("\n") if x]
+    assert got == [f"{'#' * n} H{n}" for n in (1, 2, 9, 10, 12, 30)] + ["a == b"]
 
 
 def chunks(spark, markdown, threshold):
