@@ -76,7 +76,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     blocks = max(1, min(MOST_BLOCKS, seen["n"] // RULES_PER_BLOCK))
     bloom = bloom_filter(listed, "key", blocks)
 
-    urls = pages.select(F.col(url_col).alias("url")).where(F.instr(F.col("url"), "://") > 0)
+    # a URL is judged once, however often it stands in the table
+    urls = pages.select(F.col(url_col).alias("url")).where(F.instr(F.col("url"), "://") > 0).distinct()
     urls = urls.select("url", host_of(F.col("url")).alias("h"), path_of(F.col("url")).alias("p"))
     labels = F.split("h", r"\.", -1)
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
@@ -89,5 +90,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     best = exact.groupBy("url").agg(F.max(F.struct(size, F.length("rule_host"), "rule_host", "rule_path", "rule_verdict")).alias("best"))
     best = best.select(F.col("url").alias("judged_url"), F.concat("best.rule_host", "best.rule_path").alias("rule"), F.col("best.rule_verdict").alias("verdict"))
     out = pages.withColumn("host", host_of(F.col(url_col))).withColumn("path", path_of(F.col(url_col)))
-    out = out.join(best, F.col(url_col) == F.col("judged_url"), "left").drop("judged_url")
-    return out.withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    # rows without a host take no part in the join: their nulls would all meet in one task
+    has = F.coalesce(F.instr(F.col(url_col), "://") > 0, F.lit(False))
+    judged = out.where(has).join(best, F.col(url_col) == F.col("judged_url"), "left").drop("judged_url")
+    others = out.where(~has).withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(None).cast("string")})
+    return judged.unionByName(others).withColumn("verdict", F.coalesce("verdict", F.lit(default)))

@@ -440,6 +440,18 @@ def test_urls_against_brute_force(spark):
     assert urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame([], "host string, path string, verdict string")).where("verdict = 'allow'").count() == len(pages)
 
 
+def test_long_and_common_urls(spark):
+    rules = spark.createDataFrame([("a.b", "/x", "block")], "host string, path string, verdict string")
+    long = "http://c.a.b/x" + "y/é" * 200_000
+    pages = [(i, long if i % 3 else None) for i in range(90)] + [(100, "http://" + "a." * 300 + "b/xx"), (101, "")]
+    table = spark.createDataFrame(pages, "page_id long, url string").withColumns({c: F.lit("clash") for c in ("host", "rule", "verdict", "key", "block", "h")})
+    got = urls.judge_urls(table, rules)
+    assert set(got.columns) == {"page_id", "url", "host", "path", "rule", "verdict", "key", "block", "h"}
+    rows = {r["page_id"]: (r["host"], r["rule"], r["verdict"], len(r["path"])) for r in got.collect()}
+    assert all(rows[i] == (("c.a.b", "a.b/x", "block", len(long) - 12) if i % 3 else ("", None, "allow", 0)) for i in range(90))
+    assert rows[100][1:3] == ("a.b/x", "block") and rows[101] == ("", None, "allow", 0) and len(rows) == 92
+
+
 # ── 7 ───────────────────────────────────────────────────────────────────────
 
 
