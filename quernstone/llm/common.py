@@ -14,8 +14,13 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the corpus, read by Spark so that any file system works."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the corpus, read by Spark so that any file system works.
+
+    A scan of fewer splits than there are cores, so a small table, is dealt
+    out to all of them; a larger one stays as it is.
+    """
+    rows, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows._jdf.rdd().getNumPartitions() < cores else rows
 
 
 def lower_ascii(col: Column) -> Column:

@@ -13,6 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rules import let
 from .common import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,42 +57,30 @@ def _without(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(F.translate(text, chars, ""))
 
 
-def repeated_words(words: Column, name: str = "grams") -> Column:
+def repeated_words(words: Column) -> Column:
     """Words that stand in some three-word window that the text has twice or more.
 
-    Windows are compared by 64-bit hashes: the hashes are sorted, those equal
-    to a neighbour are the repeated ones, dealt into about sqrt(n) lists so
-    that looking a window up stays cheap in very long texts.
+    Windows are compared by 64-bit hashes. Of a text that has repeated ones,
+    hashes are sorted with their places; those equal to a neighbour are the
+    repeated ones. No step takes more than n log n, so very long texts are fine.
     """
     n = F.size(words)
-    places = F.sequence(F.lit(0), n - 3)
-    grams = F.transform(places, lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
-    return F.when(n < 3, F.lit(0).cast("long")).otherwise(_covered(grams))
+    grams = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
+    return F.when(n < 3, F.lit(0).cast("long")).otherwise(let(grams, _covered))
 
 
 def _covered(grams: Column) -> Column:
-    def let(value: Column, body) -> Column:
-        """``body`` of ``value``, computed once."""
-        return F.get(F.transform(F.array(value), body), F.lit(0))
+    def marked(s: Column) -> Column:
+        again = F.filter(s, lambda x, k: (x["h"] == F.get(s, k + 1)["h"]) | (x["h"] == F.get(s, k - 1)["h"]))
+        return let(F.sort_array(F.transform(again, lambda x: x["i"])), covered)
 
-    def of(g: Column) -> Column:
-        return let(F.sort_array(g), lambda s: with_sorted(g, s))
-
-    def with_sorted(g: Column, s: Column) -> Column:
-        repeated = F.array_distinct(F.filter(s, lambda x, i: x == F.get(s, i + 1)))
-        return let(repeated, lambda r: F.when(F.size(r) == 0, F.lit(0).cast("long")).otherwise(with_repeated(g, r)))
-
-    def with_repeated(g: Column, r: Column) -> Column:
-        lists = F.sqrt(F.size(r)).cast("int") + 1
-        dealt = F.transform(F.sequence(F.lit(0), lists - 1), lambda k: F.filter(r, lambda x: F.pmod(x, lists) == k))
-        return let(dealt, lambda d: marked(g, d, lists))
-
-    def marked(g: Column, d: Column, lists: Column) -> Column:
-        hit = F.filter(F.sequence(F.lit(0), F.size(g) - 1), lambda i: F.array_contains(F.get(d, F.pmod(F.get(g, i), lists).cast("int")), F.get(g, i)))
+    def covered(places: Column) -> Column:
         # a window adds its three words, less those that the window before has added
-        return let(hit, lambda h: F.aggregate(F.transform(h, lambda p, k: F.when(k == 0, 3).otherwise(F.least(F.lit(3), p - F.get(h, k - 1)))), F.lit(0).cast("long"), lambda a, x: a + x))
+        new = F.transform(places, lambda p, k: F.when(k == 0, 3).otherwise(F.least(F.lit(3), p - F.get(places, k - 1))))
+        return F.aggregate(new, F.lit(0).cast("long"), lambda a, x: a + x)
 
-    return let(grams, of)
+    placed = F.transform(grams, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    return F.when(F.size(F.array_distinct(grams)) == F.size(grams), F.lit(0).cast("long")).otherwise(let(F.sort_array(placed), marked))
 
 
 def duplicate_lines(text: Column) -> Column:
