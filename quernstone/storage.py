@@ -7,6 +7,7 @@ import contextlib
 import re
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,30 @@ def _delete(spark: SparkSession, path: str) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Tables written inside are deleted at the end, but for those that the callable it gives was asked to keep."""
+    outer, own, kept = _made.get(), [], set()
+    token = _made.set(own)
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(own[-1])
+        return df
+
+    try:
+        yield keep
+    finally:
+        _made.reset(token)
+        for path in own:
+            if path not in kept:
+                _delete(spark, path)
+            elif outer is not None:
+                outer.append(path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
@@ -39,4 +64,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         atexit.register(_delete, spark, root)
     path = f"{root}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if (made := _made.get()) is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)

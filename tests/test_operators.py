@@ -270,6 +270,21 @@ def test_crawl_by_command_line(spark, tmp_path, monkeypatch):
         stop()
 
 
+def test_scratch_tables_go(spark):
+    from quernstone import storage
+
+    with storage.scratch(spark) as outer:
+        with storage.scratch(spark) as keep:
+            gone = storage.materialize(spark.range(3), "gone")
+            kept = keep(storage.materialize(spark.range(4), "kept"))
+        assert kept.count() == 4
+        last = outer(storage.materialize(kept, "last"))
+    assert last.count() == 4
+    for df in (gone, kept):
+        with pytest.raises(Exception, match="(?s)FILE_NOT_EXIST|does not exist|No such file"):
+            df.collect()
+
+
 def test_rewrite(spark):
     rows = spark.createDataFrame([("a", "\nt: 1\n", "ask"), ("b", "", "no")], "path string, front string, request string")
     out = files.rewritten_files(files.rewrite(rows, lambda r: "new" if r == "ask" else "")).collect()
