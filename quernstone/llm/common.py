@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import materialize
+from ..storage import materialize, scratch
 
-__all__ = ["lower_ascii", "materialize", "table"]
+__all__ = ["lower_ascii", "materialize", "scratch", "table"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"

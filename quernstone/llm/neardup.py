@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, scratch
 from .words import FOLD, chunks, frugal, mix, words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -256,17 +256,8 @@ def _once(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
-    """One row (id, class_id, class_node, text_hash) for each row of ``docs``.
-
-    ``class_id`` is the least id of the documents that links join, exact copies
-    (of the words) included. A text without words, or a null one, is a class by
-    itself: its class_id is its id. A null id takes part; a class of null ids
-    only has a null class_id. Repeated rows are copies. An empty table gives no
-    rows; other columns are not read.
-    """
-    slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    signed = materialize(_signed(slim), "signed")
+def _classes(slim: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
+    """(node, label, class_id) of all nodes; written last of all tables."""
     # copies of the same words become one node; the row with the least id stands for it
     stands = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash"))
     words = [f"w{i}" for i in range(SKETCH_WORDS)]
@@ -332,7 +323,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = nodes.select("node", "id").join(labels, "node", "left").select("node", "id", label.alias("label"))
     labelled = materialize(labelled, "labelled")
     least = materialize(labelled.groupBy("label").agg(F.min("id").alias("class_id")), "least")
-    classes = materialize(labelled.join(least, "label").select("node", "label", "class_id"), "classes")
+    return materialize(labelled.join(least, "label").select("node", "label", "class_id"), "classes")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
+    """One row (id, class_id, class_node, text_hash) for each row of ``docs``.
+
+    ``class_id`` is the least id of the documents that links join, exact copies
+    (of the words) included. A text without words, or a null one, is a class by
+    itself: its class_id is its id. A null id takes part; a class of null ids
+    only has a null class_id. Repeated rows are copies. An empty table gives no
+    rows; other columns are not read.
+    """
+    slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    signed = materialize(_signed(slim), "signed")
+    with scratch(docs.sparkSession) as keep:
+        classes = keep(_classes(slim, signed, threshold))
     out = signed.select("id", "text_hash", "node").join(classes, "node", "left")
     alone = F.col("node").isNull()
     return out.select(F.col("id").alias(id_col), F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.col("label").alias("class_node"), "text_hash")

@@ -762,6 +762,36 @@ def test_em_finds_the_accuracies():
     assert ((odds > 0) == good).mean() > 0.97
 
 
+# ── all: very long texts ────────────────────────────────────────────────────
+
+
+def test_very_long_texts(spark, tmp_path):
+    """Texts far above the batches' sizes, in whole: every operator gives what the same text gives in theory."""
+    rng = random.Random(99)
+    words = [f"w{rng.randrange(10**7)}x" for _ in range(300_000)]
+    long, near = " ".join(words), " ".join([*words[:299_990], *"some other words at the end of this one copy".split()])
+    item = " ".join(words[150_000:150_030])
+    rows = [(1, long, "en", "a", 1), (2, near, "en", "a", 1), (3, long.upper(), "en", "b", 1), (4, prose(rng, 80), "en", "b", 1), (5, "short", "fr", None, 1)]
+    docs = spark.createDataFrame(rows, DOC)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert len(long) > 2 << 20
+    found = {r["doc_id"]: r for r in decontaminate.scan(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert [(s["start"], s["end"]) for s in found[3]["word_spans"]] == [(150_000, 150_030)] and not found[4]["word_spans"] and found[1]["n_words"] == 300_000
+    spans = {(r["doc_id"], r["start_word"], r["end_word"]) for r in repeats.find_repeats(docs).collect()}
+    assert spans == {(1, 0, 300_000), (2, 0, 299_990), (3, 0, 300_000)}
+    left = {r["doc_id"]: r["text"] for r in repeats.remove_repeats(docs).collect()}
+    assert left[1] == long and len(word_list(left[2])) == 10 and not word_list(left[3])
+    classes = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(docs).collect()}
+    assert classes == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5}
+    counted = {r["doc_id"]: (r["n_words"], r["n_repeat_words"]) for r in quality.judge(docs).collect()}
+    assert counted[1] == (300_000, brute_counts(long)[4])
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, langid.collect_samples(docs)).collect()}.keys() == {1, 2, 3, 4, 5}
+    mixed = {r["id"]: (r["size"], r["copies"]) for r in mixing.mix(docs).collect()}
+    assert mixed[1][0] == 300_000 and all(n in (0, 1, 2) for _, n in mixed.values())
+    assert {r["doc_id"]: r["size"] for r in queries.op4_sharding(spark, str(tmp_path)).collect()}[1] == len(long) + 1
+    assert {r["license_id"] for r in queries.op9_license_scan(spark, str(tmp_path)).collect()} == {None}
+
+
 # ── pipeline ────────────────────────────────────────────────────────────────
 
 
