@@ -220,11 +220,11 @@ def render_files(spark, sf_dir):
     return out.select("title", "directory", "path", "content")
 
 
-@query(_CHUNKS + f""" SELECT title, chunk_no, {names.sql_sanitize("sectioned.display_title")} || CASE WHEN n_chunks > 1 THEN '_' || chunk_no ELSE '' END || '.md' AS file_name
+@query(_CHUNKS + f""" SELECT title, chunk_no, {names.sql_sanitize("sectioned.display_title")} || CASE WHEN n_chunks > 1 THEN '_' || chunk_no ELSE '' END || '.md' AS file_name, chr(10) || chr(10) || '# ' || chunk_title || chr(10) || chr(10) || chunk_markdown || chr(10) AS body
   FROM chunks JOIN sectioned USING (page_id) WHERE redirect_target IS NULL AND trim(markdown) <> ''""")
 def chunk_files(spark, sf_dir):
     out = render.render_files(fx.sectioned_pages(spark, sf_dir), threshold=SPLIT_AT)
-    return out.select("title", "chunk_no", F.substring_index("path", "/", -1).alias("file_name"))
+    return out.select("title", "chunk_no", F.substring_index("path", "/", -1).alias("file_name"), fm.split_file(F.col("content"))["body"].alias("body"))
 
 
 @query(PARSED + f""" SELECT title, url, array_to_string(categories, '|') AS categories, revision_id AS revision, strftime(updated, '%Y-%m-%d') AS updated, {_DIR_SQL} AS directory
