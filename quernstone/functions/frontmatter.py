@@ -66,13 +66,17 @@ def _text(value) -> str | None:
     return value if isinstance(value, str) else value.isoformat() if isinstance(value, datetime.date) else str(value)
 
 
+#: The safe loader in C, where it is there.
+_LOADER = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+
+
 @F.pandas_udf(FIELDS)
 def parse(front: pd.Series) -> pd.DataFrame:
     """Front matter as a struct; all null if it is missing, broken or no mapping. Categories count only as a list."""
     rows = []
     for text in front:
         try:
-            data = yaml.safe_load(text) if isinstance(text, str) else None
+            data = yaml.load(text, Loader=_LOADER) if isinstance(text, str) else None
         except yaml.YAMLError:
             data = None
         data = data if isinstance(data, dict) else {}
