@@ -218,17 +218,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", siz
 def repeat_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """``docs`` as the mix takes them: each row as many times as it is taken, all columns kept.
 
-    Copies are joined back by id, source and text; what the mix takes of rows
-    that agree in all of these is dealt out evenly among them, those that come
-    first by a hash of all their columns getting what is left over.
+    Copies are joined back by id, source and text, with the slim side hashed,
+    so that no texts are sorted; what the mix takes of rows that agree in all
+    of these is dealt out evenly among them, those that come first by a hash
+    of all their columns getting what is left over. Only if there are such
+    rows, rows are numbered.
     """
     copies = mix(docs, id_col, source_col, text_col=text_col).groupBy("id", "source", "key").agg(F.sum("copies").alias("all"), F.count("*").alias("n"))
+    copies = materialize(copies, "copies")
+    repeated = not copies.where("n > 1").isEmpty()
     tail = "_" * (1 + max(map(len, docs.columns)))
     copies = copies.select(*(F.col(c).alias(f"{c}{tail}") for c in copies.columns)).where(F.col(f"all{tail}") > 0)
     own, i, src, key, n, k, times = (F.col(f"{x}{tail}") for x in ("own", "id", "source", "key", "n", "k", "times"))
     rows = docs.withColumn(f"own{tail}", F.xxhash64(text_col))
-    rows = rows.join(copies, F.col(id_col).eqNullSafe(i) & (own == key) & F.col(source_col).eqNullSafe(src))
+    rows = rows.join(copies.hint("shuffle_hash"), F.col(id_col).eqNullSafe(i) & (own == key) & F.col(source_col).eqNullSafe(src))
     number = F.row_number().over(Window.partitionBy(id_col, f"own{tail}", source_col).orderBy(F.xxhash64(*docs.columns)))
-    rows = rows.withColumn(f"k{tail}", F.when(n > 1, number).otherwise(1))
+    rows = rows.withColumn(f"k{tail}", F.when(n > 1, number).otherwise(1) if repeated else F.lit(1))
     rows = rows.withColumn(f"times{tail}", F.floor((F.col(f"all{tail}") + n - k) / n).cast("int")).where(times > 0)
     return rows.withColumn(f"k{tail}", F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
