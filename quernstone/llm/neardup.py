@@ -256,6 +256,11 @@ def _once(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
+def _repeats(rows: DataFrame) -> bool:
+    """Whether rows agree in id and text: only then whole rows have to be sorted to keep one of each."""
+    return not rows.groupBy("id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+
+
 def _classes(slim: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
     """(node, label, class_id) of all nodes; written last of all tables."""
     # copies of the same words become one node; the row with the least id stands for it
@@ -273,8 +278,8 @@ def _classes(slim: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
     pairs = shared.join(leaders, "key").where("rank != leader").select(F.col("node").alias("u"), F.col("leader.node").alias("v"))
     pairs = materialize(_once(pairs), "pairs")
     proposed = shared.select("node").distinct().join(nodes.select("node", "id", "text_hash"), "node").select("node", F.col("id").alias("own_id"), F.col("text_hash").alias("own_hash"))
-    texts = slim.join(proposed, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
-    texts = texts.dropDuplicates(["own_id", "own_hash"]).select("node", "text")
+    texts = slim.join(proposed.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
+    texts = (texts.dropDuplicates(["own_id", "own_hash"]) if _repeats(signed) else texts).select("node", "text")
     multisets = materialize(_multisets(texts), "multisets")
     links = materialize(_verify(pairs, multisets, threshold), "links")
     labels = components(links)
@@ -352,9 +357,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     """
     tail = "_" * (1 + max(map(len, docs.columns)))
     own, own_hash = f"id{tail}", f"hash{tail}"
-    found = near_duplicates(docs, id_col, text_col, threshold).select(F.col(id_col).alias("id"), "class_id", "class_node", "text_hash").where(F.col("id").eqNullSafe(F.col("class_id")))
+    found = near_duplicates(docs, id_col, text_col, threshold).select(F.col(id_col).alias("id"), "class_id", "class_node", "text_hash")
+    repeated = _repeats(found)
+    found = found.where(F.col("id").eqNullSafe(F.col("class_id")))
     of_class = found.where("class_node IS NOT NULL").groupBy("class_node").agg(F.min(F.struct("id", "text_hash")).alias("row")).select("row.id", "row.text_hash")
     alone = found.where("class_node IS NULL").select("id", "text_hash").distinct()
     kept = materialize(of_class.unionByName(alone).select(F.col("id").alias(own), F.col("text_hash").alias(own_hash)), "kept")
-    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col(own)) & (F.xxhash64(text_col) == F.col(own_hash)))
-    return rows.dropDuplicates([own, own_hash]).select(*docs.columns)
+    rows = docs.join(kept.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col(own)) & (F.xxhash64(text_col) == F.col(own_hash)))
+    return (rows.dropDuplicates([own, own_hash]) if repeated else rows).select(*docs.columns)
