@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import materialize, scratch
+from ..storage import materialize, read_table, scratch
 
 __all__ = ["lower_ascii", "materialize", "scratch", "table"]
 
@@ -16,11 +16,9 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the corpus, read by Spark so that any file system works.
 
-    A scan of fewer splits than there are cores, so a small table, is dealt
-    out to all of them; a larger one stays as it is.
+    A small one is dealt out to all cores (:func:`quernstone.storage.read_table`).
     """
-    rows, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows._jdf.rdd().getNumPartitions() < cores else rows
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def lower_ascii(col: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, license_texts, licenses, mixing, neardup, quality, repeats, sharding, urls
+from . import chat, decontaminate, divergence, embeddings, langid, license_texts, licenses, mixing, neardup, quality, repair, repeats, sharding, urls
 from .common import table
 
 #: Rules of the URL query (host, path, verdict): fixed values.
@@ -74,8 +74,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.with_all(repair.repair(repair.damage(rows)), rows)
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     found = [op1_language_id, op2_decontamination, op3_chat_formatting, op4_sharding, op5_mixing, op6_url_filters, op7_suffix_array_dedup, op8_minhash_near_dedup, op9_license_scan, op10_quality_rules]
+    found += [op11_source_divergence, op12_conversation_repair, op13_embedding_near_dedup]
     return {f.__name__: f for f in found}
 
 
@@ -200,6 +214,84 @@ SELECT doc_id, text_digest, license_id FROM (SELECT doc_id, sha256({_canonical_s
 """
 
 
+_OP11 = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+o AS MATERIALIZED (SELECT k, lang, source, unnest(w) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term FROM o GROUP BY ALL HAVING count(DISTINCT k) >= {divergence.MIN_DOCS}),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY 1),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM o JOIN kept USING (lang, term) GROUP BY ALL),
+n AS (SELECT lang, source, CAST(coalesce(sum(n), 0) AS HUGEINT) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+ln AS (SELECT lang, sum(n) AS n FROM n GROUP BY 1),
+p AS MATERIALIZED (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, 1 + {divergence.ONE}::HUGEINT * (coalesce(c.n, 0) + {divergence.EXTRA}) // (n.n + {divergence.EXTRA} * v.v) AS p
+    FROM g JOIN kept USING (lang) JOIN v USING (lang) JOIN n ON n.lang = g.lang AND n.source = g.source LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+q AS MATERIALIZED (SELECT p.lang, p.term, 1 + {divergence.ONE}::HUGEINT * (sum(p.n) + {divergence.EXTRA}) // (any_value(ln.n) + {divergence.EXTRA} * any_value(v.v)) AS q FROM p JOIN ln USING (lang) JOIN v USING (lang) GROUP BY 1, 2),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, (a.p - b.p) * (a.p - b.p) // (a.p + b.p) AS f FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source),
+pairs AS (SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(sum(f), 0) AS value FROM g JOIN g h ON g.lang = h.lang AND g.source <> h.source
+    LEFT JOIN pair ON pair.lang = g.lang AND pair.source = g.source AND pair.item = h.source GROUP BY 1, 2, 4),
+terms AS (SELECT p.lang, p.source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}
+"""
+
+#: CRC-32 in SQL: its table by eight halvings of each byte, then a fold over the bytes of an ASCII string.
+_CRC = "SELECT list(c ORDER BY b) AS crc FROM (SELECT b, {} AS c FROM (SELECT unnest(generate_series(0, 255)) AS b))"
+_HALF = "b::BIGINT"
+for _ in range(8):
+    _HALF = f"(SELECT CASE x & 1 WHEN 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END FROM (SELECT {_HALF} AS x))"
+_CRC = _CRC.format(_HALF)
+
+_OP12 = rf"""
+WITH RECURSIVE t AS MATERIALIZED ({_CRC}),
+r AS MATERIALIZED (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: ascii(c)::BIGINT)),
+      lambda a, c: xor(a >> 8, crc[(xor(a, c) & 255) + 1]))) % {repair.FATES} AS fate FROM conversations, t),
+m AS MATERIALIZED (SELECT conv_id, turn, CASE fate WHEN {repair.TO_USER} THEN 'user' ELSE role END AS role,
+    CASE fate WHEN {repair.EMPTY} THEN '' WHEN {repair.UNSTOP} THEN regexp_replace(text, '[{repair.STOPS}]', '', 'g') ELSE text END AS text
+  FROM r, generate_series(1, 2) AS x(copy) WHERE fate <> {repair.DROP} AND (copy = 1 OR fate = {repair.TWICE})),
+s AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM m),
+k AS MATERIALIZED (SELECT *, substr(role, 1, 1) AS c, CASE WHEN NOT regexp_matches(text, '{repair.INK}') THEN 'b'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd' WHEN NOT regexp_matches(text, '[{repair.STOPS}][\x20\x09-\x0D]*\z') THEN 't' ELSE '' END AS fault FROM s),
+stats AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+    count(*) FILTER (fault = 't') AS truncated, max(i) AS n FROM k GROUP BY 1),
+bad AS (SELECT conv_id, count(*) FILTER (before IS NOT NULL AND before || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT conv_id, c, lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM k) GROUP BY 1),
+-- what stands so far ends in: '' nothing, s, u or a; up to two turns may be inserted before a row or the end
+ins(a, b, w, lines) AS (SELECT * FROM (VALUES ('', '', '', []::VARCHAR[]), ('s', 's', '', []), ('u', 'u', '', []), ('a', 'a', '', []), ('', 'u', 'I', ['user:']), ('s', 'u', 'I', ['user:']), ('u', 'a', 'I', ['assistant:']),
+    ('a', 'u', 'I', ['user:']), ('', 'a', 'II', ['user:', 'assistant:']), ('s', 'a', 'II', ['user:', 'assistant:']), ('u', 'u', 'II', ['assistant:', 'user:']), ('a', 'a', 'II', ['user:', 'assistant:'])) AS z(a, b, w, l)),
+dp(conv_id, i, q, cost, audit, lines) AS (
+  SELECT conv_id, 0::BIGINT, '', 0::BIGINT, '', []::VARCHAR[] FROM stats
+  UNION ALL
+  SELECT conv_id, i, q, cost, audit, lines FROM (
+    SELECT dp.conv_id, k.i, CASE e WHEN 'D' THEN ins.b WHEN 'R' THEN CASE ins.b WHEN 'u' THEN 'a' ELSE 'u' END ELSE k.c END AS q,
+      dp.cost + {repair.INSERT} * length(ins.w) + CASE e WHEN 'D' THEN {repair.DELETE} WHEN 'R' THEN {repair.RETITLE} ELSE 0 END + CASE WHEN e <> 'D' AND fault = 't' THEN {repair.TRUNCATED} ELSE 0 END AS cost,
+      dp.audit || ins.w || e AS audit,
+      dp.lines || ins.lines || CASE e WHEN 'D' THEN []::VARCHAR[] WHEN 'R' THEN [CASE ins.b WHEN 'u' THEN 'assistant' ELSE 'user' END || ':' || text] ELSE [role || ':' || text] END AS lines,
+    FROM dp JOIN k ON k.conv_id IS NOT DISTINCT FROM dp.conv_id AND k.i = dp.i + 1 JOIN ins ON ins.a = dp.q, (VALUES ('D'), ('R'), ('K')) AS edits(e)
+    WHERE e = 'D' OR fault NOT IN ('b', 'd') AND (e = 'R' OR (ins.b = '' AND k.c = 's') OR ins.b || '-' || k.c IN ('-u', 's-u', 'u-a', 'a-u'))
+  ) QUALIFY row_number() OVER (PARTITION BY conv_id, i, q ORDER BY cost, audit) = 1),
+best AS (SELECT dp.conv_id, cost + {repair.INSERT} * length(ins.w) AS cost, audit || ins.w AS audit, dp.lines || ins.lines AS lines
+  FROM dp JOIN stats ON stats.conv_id IS NOT DISTINCT FROM dp.conv_id AND dp.i = n JOIN ins ON ins.a = dp.q WHERE ins.b = 'a' OR ins.b = ''
+  QUALIFY row_number() OVER (PARTITION BY dp.conv_id ORDER BY cost + {repair.INSERT} * length(ins.w), audit || ins.w) = 1)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN stats ON stats.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN bad ON bad.conv_id IS NOT DISTINCT FROM o.conv_id
+  LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+_OP13 = f"""
+WITH RECURSIVE v AS MATERIALIZED (SELECT row_number() OVER () AS k, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS MATERIALIZED (SELECT * FROM v WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS MATERIALIZED (SELECT a.k AS a, b.k AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e) AND a.k <> b.k WHERE list_cosine_similarity(a.e, b.e) >= {embeddings.SIMILARITY}),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+n AS (SELECT a AS k, count(*) AS n_links FROM link GROUP BY 1),
+c AS (SELECT a AS k, min(vec_id) AS least FROM reach JOIN v ON v.k = b GROUP BY 1)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, CASE WHEN c.k IS NULL THEN vec_id ELSE least END AS component_id, CASE WHEN c.k IS NULL THEN vec_id ELSE least END IS NOT DISTINCT FROM vec_id AS kept
+FROM v LEFT JOIN n USING (k) LEFT JOIN c USING (k)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Queries that learn, draw lots or search for a capacity have none: tests hold them against brute force."""
-    return {"op2_decontamination": _OP2, "op3_chat_formatting": _OP3, "op6_url_filters": _OP6, "op8_minhash_near_dedup": _OP8, "op9_license_scan": _OP9}
+    return {"op2_decontamination": _OP2, "op3_chat_formatting": _OP3, "op6_url_filters": _OP6, "op8_minhash_near_dedup": _OP8, "op9_license_scan": _OP9, "op11_source_divergence": _OP11, "op12_conversation_repair": _OP12, "op13_embedding_near_dedup": _OP13}
