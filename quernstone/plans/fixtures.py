@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import BASE_URL
 from ..functions import names
 from ..functions.wikitext import parse_markdown, sql_markdown
+from ..storage import read_table
 
 _HEAD = """SELECT doc_id AS page_id,
   CASE doc_id % 13 WHEN 0 THEN 'Category:' WHEN 1 THEN 'Help:' ELSE '' END || source || ' p' || doc_id
@@ -42,15 +43,9 @@ SPARK_PAGES = _HEAD.format(a="array(", z=")") + "array_join(transform(split(text
 DUCKDB_PAGES = _HEAD.format(a="[", z="]") + "array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: CASE (i - 1) % 10" + _SHAPES + "), chr(10)) END AS wikitext FROM documents"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a scan of fewer splits than there are cores, so of a small table, dealt out to all of them; a larger one stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
-
-
 def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, title, revision_id, categories, redirect_target, wikitext)."""
-    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source"))
+    docs = read_table(spark, f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
     docs.createOrReplaceTempView("quernstone_documents")
     return spark.sql(SPARK_PAGES.replace("FROM documents", "FROM quernstone_documents"))
 

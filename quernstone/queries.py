@@ -14,6 +14,7 @@ from .functions.rules import quote, sql_rules, sql_strip
 from .functions.wikitext import convert_definitions, fallback_clean, split_by_heading, split_long_pages, sql_fallback, sql_sections
 from .operators import filters, graph, index, merge, quality, render, stats
 from .plans import fixtures as fx
+from .storage import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -46,7 +47,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _docs(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 PARSED = "WITH " + fx.sql_parsed()
@@ -503,7 +504,7 @@ def html_titles(spark, sf_dir):
 
 def _doc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw documents as files, named by their sources: they hold real copies."""
-    d = fx.spread(_docs(spark, sf_dir))
+    d = _docs(spark, sf_dir)
     return d.select(F.format_string("%09d", "doc_id").alias("path"), F.concat("source", F.lit("-"), F.col("lang"), (F.col("doc_id") % 50).cast("string")).alias("file_name"), F.col("lang").alias("directory"), F.col("text").alias("raw"))
 
 

@@ -31,6 +31,19 @@ def _delete(spark: SparkSession, path: str) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Bytes of a table for each core below which its rows are dealt out: a scan has no more tasks with rows than there are
+#: row groups, and small tables have few.
+DEAL_BYTES = 8 << 20
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table; the rows of a small one, which may be a single row group, are dealt out to all cores."""
+    rows, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+    return rows.repartition(cores) if size <= DEAL_BYTES * cores else rows
+
+
 _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
