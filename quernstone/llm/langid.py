@@ -9,7 +9,8 @@ Texts are parsed in blocks of ``BLOCK`` characters, which lets numpy advance
 thousands of blocks of whole texts at once through one dense transition table.
 Then each block is taken up again with the phrase in which the block before it
 ended, up to the place where both parses meet, so the phrases are those of the
-whole text. Letters beyond the most frequent ones have their transitions in
+whole text; where they do not meet, as in periodic text, each content of a block
+is parsed once for each state in which it is entered. Letters beyond the most frequent ones have their transitions in
 sorted arrays, one a language.
 """
 
@@ -40,6 +41,8 @@ CHARS_IN_ALL = 240_000
 LETTERS = 100
 #: Languages learned at most, those with the most labelled texts: a bound of the sample, as each needs its part of it.
 LANGS = 1000
+#: Times that all blocks are taken up again together before the rest is settled in order.
+ROUNDS = 4
 _CHUNK_CHARS = 1 << 20
 
 
@@ -221,10 +224,13 @@ class Parser:
                 else:
                     states[i], marks[i] = state, _ = self._advance(k, state, row, letters[i])
             # every block began a phrase; now those that go on take over the state of the one before, until nothing changes
+            counts, entry = marks.sum(0, dtype=np.int64), np.full(grid.shape[1], root, np.int32)
             todo = np.flatnonzero(goes_on)
-            while len(todo):
+            for _ in range(ROUNDS):
                 state = states[-1, todo - 1]
-                at, state = todo[state != root], state[state != root]
+                changed = state != entry[todo]
+                at = todo = todo[changed]
+                state = entry[todo] = state[changed]
                 for i, row in enumerate(grid):
                     if not len(at):
                         break
@@ -232,12 +238,50 @@ class Parser:
                     differ = state != states[i, at]
                     states[i, at], marks[i, at] = state, mark
                     at, state = at[differ], state[differ]
+                counts[todo] = marks[:, todo].sum(0, dtype=np.int64)
                 todo = at + 1
                 todo = todo[todo < len(goes_on)]
                 todo = todo[goes_on[todo]]
-            out[some, k] = np.add.reduceat(marks.sum(0, dtype=np.int64), first[:-1][some])
+                if not len(todo):
+                    break
+            self._in_order(k, todo, grid, letters, states[-1], entry, counts, goes_on)
+            out[some, k] = np.add.reduceat(counts, first[:-1][some])
         return out
 
+    def _in_order(self, k: int, todo: np.ndarray, grid: np.ndarray, letters: np.ndarray | None, exits: np.ndarray, entry: np.ndarray, counts: np.ndarray, goes_on: np.ndarray) -> None:
+        """Settle the blocks ``todo`` and those that follow from them one after the other.
+
+        Parses of periodic text may never meet. There equal blocks are entered
+        in equal states, so each (content, state) is parsed once; at worst each
+        block is parsed once more.
+        """
+        known: dict[tuple, tuple[int, int]] = {}
+        done = -1
+        for b in todo.tolist():
+            if b <= done:
+                continue
+            while b < len(goes_on) and goes_on[b] and exits[b - 1] != entry[b]:
+                state = int(exits[b - 1])
+                content = np.ascontiguousarray(grid[:, b]).tobytes(), None if letters is None else np.ascontiguousarray(letters[:, b]).tobytes()
+                if (content, state) not in known:
+                    known[content, state] = self._block(k, state, grid[:, b], None if letters is None else letters[:, b])
+                entry[b] = state
+                exits[b], counts[b] = known[content, state]
+                done = b
+                b += 1
+
+    def _block(self, k: int, state: int, codes: np.ndarray, letters: np.ndarray | None) -> tuple[int, int]:
+        """The state after a block, and the phrases that begin in it."""
+        n, step = 0, self.table.item
+        for i, c in enumerate(codes.tolist()):
+            if letters is not None and letters[i] >= 0:
+                after, mark = self._advance(k, np.array([state], np.int32), codes[i : i + 1], letters[i : i + 1])
+                state, n = int(after[0]), n + int(mark[0])
+            else:
+                to = step(state + c)
+                state, n = to >> 1, n + (to & 1)
+        return state, n
+
     def _advance(self, k: int, state: np.ndarray, codes: np.ndarray, letters: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """The states of language ``k`` after one more character, and whether a phrase began with it."""
         to = self.table[state + codes]
