@@ -224,6 +224,8 @@ def _windows_found(slim: DataFrame, min_words: int, k: int) -> tuple[DataFrame,
     The second frame has the windows of whole blocks that were looked up as
     well, as ``first`` the least id that has the window in any block.
     """
+    if not slim.groupBy("doc", "key").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        slim = materialize(slim.dropDuplicates(["doc", "key"]), "rows")  # else each copy's blocks would be looked up for all copies
     blocks = materialize(_blocks(slim, min_words, k), "blocks")
     matches = materialize(_matches(blocks), "matches")
     wanted = matches.where("extend").groupBy("doc", "key").agg(F.collect_list(F.struct("at", "first", "last", "whole")).alias("blocks"))

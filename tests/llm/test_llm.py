@@ -6,6 +6,7 @@ import pathlib
 import random
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -67,6 +68,25 @@ def test_cross_parsing_against_brute_force():
     assert got.tolist() == [[brute_phrases(t, s) for s in samples.texts] for t in texts]
 
 
+PERIODIC = ["a", "0 1 2 ", " ", "ab", "abc de", "\u00e9", "a" * 7 + "b" * 5]
+
+
+@pytest.mark.parametrize("unit", PERIODIC)
+def test_cross_parsing_of_periodic_text(unit):
+    """The phrases are those of brute force, and 10 MB take seconds."""
+    rng = random.Random(2)
+    texts = tuple("".join(rng.choice(x) for _ in range(900)) for x in ("abc de", "bc\u00e9fg a"))
+    p = langid.Parser(langid.Samples(("a", "b"), texts))
+    for n in (langid.BLOCK - 1, 3000, 5001):
+        text = (unit * n)[:n] + rng.choice(["", "b", "xyz"])
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        assert p.phrases(points, np.array([0, len(points)]))[0].tolist() == [brute_phrases(text, t) for t in texts]
+    points = np.frombuffer((unit * 10_000_000)[:10_000_000].encode("utf-32-le"), np.uint32)
+    began = time.perf_counter()
+    p.phrases(points, np.array([0, len(points)]))
+    assert time.perf_counter() - began < 20
+
+
 def test_table_at_the_bound_of_the_sample_is_small():
     rng = random.Random(8)
     samples = langid.Samples(tuple("abcdefghij"), tuple("".join(chr(97 + rng.randrange(120)) for _ in range(24_000)) for _ in range(10)))
@@ -531,6 +551,15 @@ def test_spans_of_rows_with_null_ids_stay_apart(spark):
     assert {(r["doc_id"], r["start_word"], r["end_word"]) for r in rows} == {(None, 0, 60), (None, 55, 115), (1, 0, 60), (2, 0, 60)}
 
 
+def test_many_copies_of_a_row_take_linear_time(spark):
+    rng = random.Random(6)
+    passage, own = prose(rng, 80), [prose(rng, 300) for _ in range(2)]
+    rows = [(1, f"{own[0]} {passage}")] * 10_000 + [(2, f"{own[1]} {passage}")]
+    began = time.perf_counter()
+    found = repeats.find_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_words"]) for r in found) == [(1, 80), (2, 80)] and time.perf_counter() - began < 60
+
+
 def test_repeats_odd_rows(spark):
     rows = repeats.find_repeats(odd_docs(spark)).collect()
     assert {r["doc_id"] for r in rows} == {7, 8}
