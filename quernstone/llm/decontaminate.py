@@ -8,7 +8,6 @@ scanned once, and hits are mapped back to words and to bytes of the original.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import materialize
-from .words import FOLD, frugal, string_parts, words_of
+from .words import FOLD, frugal, one_model, string_parts, words_of
 
 WINDOW = 13
 #: Bytes of item texts in one automaton, which takes up to 540 times that memory in each Python worker (measured with
@@ -53,8 +52,11 @@ def item_batches(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
         yield tuple(batch)
 
 
-@lru_cache(maxsize=1)
 def automaton(items: Items, window: int) -> tuple[ahocorasick.Automaton, bool]:
+    return one_model((items, window), lambda: _automaton(items, window))
+
+
+def _automaton(items: Items, window: int) -> tuple[ahocorasick.Automaton, bool]:
     """The automaton over the windows of ``items``; a pattern holds its word count and the ids of its items."""
     found: dict[str, tuple[int, set[str | None]]] = {}
     for item_id, text in items:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .words import frugal, string_parts
+from .words import frugal, one_model, string_parts
 
 BLOCK = 256
 UNKNOWN = "und"
@@ -302,9 +302,8 @@ class Parser:
         return after, mark
 
 
-@lru_cache(maxsize=2)
 def parser(samples: Samples) -> Parser:
-    return Parser(samples)
+    return one_model(samples, lambda: Parser(samples))
 
 
 def predict(texts: pa.Array, samples: Samples) -> tuple[list[str], np.ndarray]:

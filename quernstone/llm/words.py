@@ -70,6 +70,18 @@ def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator
     return wrapped
 
 
+_model: dict[object, object] = {}
+
+
+def one_model(key: object, make: Callable[[], object]) -> object:
+    """The model of a key. A process keeps the latest only: workers go from operator to operator, and models may be large."""
+    if key not in _model:
+        _model.clear()
+        _trim()()
+        _model[key] = make()
+    return _model[key]
+
+
 class Words(NamedTuple):
     """Words of several texts: word w is bytes start[w]:end[w]; text t has words first[t]:first[t+1]."""
 
