@@ -1,6 +1,6 @@
-"""``python -m quernstone crawl CLIENT CACHE | update CLIENT CACHE | clean-cache CACHE | cache-stats CACHE | ask KB_DIR MESSAGE | stats KB_DIR | quality KB_DIR REPORT_DIR | clean DIR``.
+"""``python -m quernstone crawl CLIENT CACHE | update CLIENT CACHE | clean-cache CACHE | cache-stats CACHE | index KB_DIR INDEX | ask KB_DIR_OR_INDEX MESSAGE | stats KB_DIR | quality KB_DIR REPORT_DIR | clean DIR``.
 
-CLIENT is ``module:function``, a callable ``get(url) -> (status, headers, text)``; CACHE is a folder of Parquet tables.
+CLIENT is ``module:function``, a callable ``get(url) -> (status, headers, text)``; CACHE is a folder that holds the page table; INDEX one that holds a search index.
 """
 
 from __future__ import annotations
@@ -10,36 +10,28 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import config
-from .operators import index, reports, stats
+from . import config, storage
+from .operators import index, postings, reports, stats
 from .plans import crawl as jobs
 from .plans import live
 from .services import Engine
 from .sources import files
-from .streaming import updates
 
 COMMANDS = (
     ("crawl", ("client", "cache")), ("update", ("client", "cache")), ("clean-cache", ("cache",)), ("cache-stats", ("cache",)),
-    ("ask", ("kb", "message")), ("stats", ("kb",)), ("quality", ("kb", "report")), ("clean", ("dir",)),
+    ("index", ("kb", "index")), ("ask", ("kb", "message")), ("stats", ("kb",)), ("quality", ("kb", "report")), ("clean", ("dir",)),
 )
 
 
 def cached_pages(spark: SparkSession, cache: str) -> DataFrame | None:
-    """The latest complete version of the page table; None for an empty cache."""
-    have = updates.versions(cache, spark)
-    return spark.read.parquet(f"{cache}/v{have[-1]}") if have else None
-
-
-def store(pages: DataFrame, spark: SparkSession, cache: str) -> None:
-    have = updates.versions(cache, spark)
-    pages.write.mode("overwrite").parquet(f"{cache}/v{(have[-1] + 1) if have else 0}")
+    """The cached pages; None for an empty cache."""
+    return live.Cache(spark, cache).pages()
 
 
 def crawl(spark: SparkSession, client: str, cache: str, settings: config.Settings) -> DataFrame:
     """A crawl into cache and output folder, or what an interrupted one left; (position, metric, value) of the run."""
-    with live.Interrupt() as stop:
-        result = live.run_crawl(spark, client, settings, cached_pages(spark, cache), stop)
-        store(result.pages.withColumns({c: F.coalesce(F.col(c), F.current_timestamp()) if c in result.pages.columns else F.current_timestamp() for c in ("created_at", "updated_at")}), spark, cache)
+    with live.Interrupt(spark) as stop:
+        result = live.run_crawl(spark, client, settings, cache, stop)
         if not stop.asked:
             live.save(result, settings)
     return stats.summary(result.counters)
@@ -47,13 +39,9 @@ def crawl(spark: SparkSession, client: str, cache: str, settings: config.Setting
 
 def update(spark: SparkSession, client: str, cache: str, settings: config.Settings) -> DataFrame:
     """An incremental update of the cache (a full crawl if it is empty); actions by number of pages."""
-    cached = cached_pages(spark, cache)
-    if cached is None:
+    if cached_pages(spark, cache) is None:
         return crawl(spark, client, cache, settings)
-    fresh = live.fetch_pages(cached.where("status = 'completed'").select("title"), client, settings)
-    merged, actions = jobs.update(cached, fresh, F.current_timestamp(), settings)
-    store(merged, spark, cache)
-    return jobs.action_counts(actions)
+    return jobs.action_counts(live.run_update(spark, client, settings, cache))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -76,8 +64,12 @@ def main(argv: list[str] | None = None) -> int:
             categories = pages.select(F.explode("categories").alias("title")).distinct()
             stats.summary(stats.table_counts(pages, categories), stats.CACHE_SUMMARY).show(truncate=False)
     elif a.command == "ask":
-        entries = index.build_index(files.read_markdown(spark, config.resolve_kb_path(a.kb)))
+        stored = storage.Manifests(spark, a.kb).versions()
+        entries = postings.StoredIndex(spark, a.kb) if stored else index.build_index(files.read_markdown(spark, config.resolve_kb_path(a.kb)))
         print(Engine(entries).ask(a.message)[1])
+    elif a.command == "index":
+        print(postings.build(index.build_index(files.read_markdown(spark, a.kb)), a.index))
+        postings.remove_old(spark, a.index)
     elif a.command == "stats":
         index.bucket_counts(index.build_index(files.read_markdown(spark, a.kb))).show()
     elif a.command == "quality":

@@ -60,6 +60,8 @@ def score(title: Column, categories: Column, preview: Column, query: str) -> Col
 
 def search(index: DataFrame, query: str, bucket: str = "", limit: int = 5) -> DataFrame:
     """The best entries with score and rank: a filter and one top-k, no full sort. A blank query or unknown bucket finds nothing."""
+    if not isinstance(index, DataFrame):
+        return index.search(query, bucket, limit)
     if not query.strip() or (bucket and bucket not in C.BUCKETS):
         return index.limit(0).withColumns({"score": F.lit(0.0), "rank": F.lit(0)})
     rows = index.where(F.col("category_dir") == bucket) if bucket else index
@@ -69,13 +71,15 @@ def search(index: DataFrame, query: str, bucket: str = "", limit: int = 5) -> Da
 
 
 def get_by_title(index: DataFrame, title: str, bucket: str = "") -> DataFrame:
+    if not isinstance(index, DataFrame):
+        return index.get_by_title(title, bucket)
     rows = index.where(F.col("category_dir") == bucket) if bucket else index
     return rows.where(F.lower("title") == title.lower().strip()).orderBy("dir_rank", "file_name").limit(1)
 
 
 def random_pool(index: DataFrame, bucket: str) -> DataFrame:
     """The entries that a random pick draws from: those with over 50 characters of preview, else over 10, else all."""
-    n = F.length("preview")
+    index, n = index if isinstance(index, DataFrame) else index.entries(), F.length("preview")
     rows = index.where(F.col("category_dir") == bucket).withColumn("tier", F.when(n > 50, 1).when(n > 10, 2).otherwise(3))
     least = rows.agg(F.min("tier").alias("least"))
     return rows.join(F.broadcast(least), F.col("tier") == F.col("least")).drop("least")  # one row is broadcast

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..storage import materialize
+
 
 def latest(rows: DataFrame, key: str, order: str) -> DataFrame:
     """One row for each key: that with the greatest ``order`` (arrival)."""
@@ -64,21 +66,29 @@ def without_visited(rows: DataFrame, visited: DataFrame, key: str = "title") ->
     return rows.join(visited.select(key), key, "left_anti")
 
 
-def batches(titles: DataFrame, size: int = 20, title_col: str = "title", order_col: str = "page_id", hint_rows: int = 1_000_000) -> DataFrame:
+def numbered(rows: DataFrame, *order: Column, name: str = "place") -> DataFrame:
+    """``rows`` with their places from 0 in the given order, which should leave no ties.
+
+    Rows are cut into ranges by the order itself, numbered within their range,
+    and the counts of the ranges before are added: as many as there are
+    partitions. No task sorts all rows, and nulls have places like all others.
+    """
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at__", F.monotonically_increasing_id())
+    ranged = materialize(ranged, "ranged")
+    rows, part = ranged, F.shiftright("at__", 33)
+    counts = rows.groupBy(part.alias("part__")).agg(F.count("*").alias("n__"))
+    before = counts.select("part__", F.coalesce(F.sum("n__").over(Window.orderBy("part__").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before__"))
+    out = rows.withColumn("part__", part).join(F.broadcast(before), "part__")  # a row for each partition
+    return out.withColumn(name, F.col("at__").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("before__")).drop("part__", "at__", "before__")
+
+
+def batches(titles: DataFrame, size: int = 20, title_col: str = "title", order_col: str = "page_id") -> DataFrame:
     """Requests for ``size`` titles at a time, in order: (batch_no, n_titles, titles joined by ``|``).
 
-    Numbering all rows needs their places in a total order. They are numbered
-    within ranges of the order column; the rows of the ranges before are added,
-    so that no task sorts all rows.
+    Titles without an order are last, by title; repeated rows are asked for
+    again. An empty table gives no batches.
     """
-    seen = titles.agg(F.min(order_col).alias("a"), F.max(order_col).alias("b"), F.count("*").alias("n")).first()
-    width = max(1, -(-((seen["b"] or 0) - (seen["a"] or 0) + 1) // max(1, seen["n"] // hint_rows + 8)))
-    rows = titles.withColumn("range__", F.floor((F.col(order_col) - (seen["a"] or 0)) / width))
-    counts = rows.groupBy("range__").agg(F.count("*").alias("c"))
-    before = counts.select("range__", F.coalesce(F.sum("c").over(Window.orderBy("range__").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before__"))
-    place = F.row_number().over(Window.partitionBy("range__").orderBy(order_col, title_col)) - 1
-    rows = rows.withColumn("place__", place).join(before, "range__")
-    place = F.col("place__") + F.col("before__")
-    out = rows.select(F.floor(place / size).cast("long").alias("batch_no"), place.alias("p"), F.col(title_col).alias("t"))
+    rows = numbered(titles.select(F.col(order_col).alias("o"), F.col(title_col).alias("t")), F.col("o").asc_nulls_last(), F.col("t").asc_nulls_first())
+    out = rows.select(F.floor(F.col("place") / size).cast("long").alias("batch_no"), F.col("place").alias("p"), "t")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "t"))), lambda x: x["t"]), "|")
     return out.groupBy("batch_no").agg(F.count("*").alias("n_titles"), joined.alias("titles"))

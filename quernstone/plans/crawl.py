@@ -68,7 +68,9 @@ def update(cached: DataFrame, fresh: DataFrame, now: Column, settings: Settings
     actions = merge.update_actions(completed.select("title", "revision_id"), fresh, filters.skip_reason(F.col("title"), F.col("categories"), F.col("wikitext"))).select("title", "action")
     actions = materialize(actions, "actions")
     changed = fresh.join(actions.where("action IN ('updated', 'filtered')").select("title"), "title", "left_semi")
-    new = process(changed, settings).select(*(c for c in PAGE_COLUMNS if c in cached.columns))
+    new = process(changed, settings)
+    kinds = {f.name: f.dataType for f in cached.schema if f.name not in ("created_at", "updated_at")}
+    new = new.select(*(F.col(c) if c in new.columns else F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()))
     return merge.upsert(cached, new, "title", now), actions
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
+from urllib.parse import parse_qs, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +15,15 @@ from . import services
 from .functions import frontmatter as fm
 from .functions import names
 from .functions.rules import quote, sql_strip
-from .operators import filters, index, merge, quality, render, reports, stats
+from .operators import filters, index, merge, postings, quality, render, reports, stats
+from .operators.postings import StoredIndex
 from .plans import fixtures as fx
 from .plans import live
 from .queries import (
-    _COUNTERS, _EMOJI_SQL, _FILES, _FLAWED, _INDEX, _REPAIR, _TAGGED, PARSED, _cut_sql, _counters, _docs, _files, _flawed_files, _index, _score_sql, query,
+    SEARCHES, _COUNTERS, _EMOJI_SQL, _FILES, _FLAWED, _INDEX, _REPAIR, _TAGGED, PARSED, _cut_sql, _counters, _docs, _files, _flawed_files, _index, _score_sql, query,
 )
-from .sources import api, files, offline, sqlite
+from .sources import api, files, sqlite
+from .sources.pagetable import PageTable
 from .storage import materialize, shared_dir
 
 
@@ -26,10 +31,6 @@ def _folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/quernstone/{spark.sparkContext.applicationId}/files-{uuid.uuid4().hex}"
 
 
-def _local(path: str) -> str:
-    return "/" + path.removeprefix("file:").lstrip("/")
-
-
 # ── table look-ups and merges ───────────────────────────────────────────────
 
 
@@ -42,7 +43,87 @@ def distinct_titles(spark, sf_dir):
 
 @query(_TAGGED + " SELECT page_id, title FROM tagged WHERE skip_reason IS NOT NULL")
 def pages_by_status(spark, sf_dir):
-    return filters.pages_by_status(filters.tag_pages(fx.wiki_pages(spark, sf_dir)), "skipped").select("page_id", "title")
+    """The skipped pages out of the stored page table: a scan of their files alone."""
+    table = PageTable(spark, _folder(spark))
+    table.replace(filters.tag_pages(fx.wiki_pages(spark, sf_dir)))
+    return table.by_status("skipped").select("page_id", "title")
+
+
+def _page_table(spark: SparkSession, sf_dir: str) -> PageTable:
+    table, day = PageTable(spark, _folder(spark)), F.lit("2026-01-01").cast("timestamp")
+    p = fx.wiki_pages(spark, sf_dir).select("title", "page_id", "revision_id", F.when(F.col("page_id") % 4 == 0, "pending").otherwise("completed").alias("status"), "wikitext")
+    table.replace(p.withColumns({"created_at": day, "updated_at": day}))
+    return table
+
+
+def _table_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, k = fx.wiki_pages(spark, sf_dir), F.col("page_id") % 6
+    changed = p.where(k < 2).select("title", "page_id", (F.col("revision_id") + 1).alias("revision_id"), F.when(k == 0, "failed").otherwise("completed").alias("status"), F.when(k == 1, F.col("wikitext")).alias("wikitext"))
+    new = p.where(k == 5).select(F.concat(F.lit("new "), F.col("title")).alias("title"), "page_id", "revision_id", F.lit("pending").alias("status"), "wikitext")
+    return changed.unionByName(new)
+
+
+_MERGED = f"""WITH p AS ({fx.DUCKDB_PAGES}), m AS (SELECT title, page_id, revision_id + CASE WHEN page_id % 6 < 2 THEN 1 ELSE 0 END AS revision_id,
+  CASE WHEN page_id % 6 = 0 THEN 'failed' WHEN page_id % 6 = 1 THEN 'completed' WHEN page_id % 4 = 0 THEN 'pending' ELSE 'completed' END AS status, CASE WHEN page_id % 6 > 0 THEN wikitext END AS wikitext,
+  TIMESTAMP '2026-01-01' AS created_at, CASE WHEN page_id % 6 < 2 THEN TIMESTAMP '2026-02-02' ELSE TIMESTAMP '2026-01-01' END AS updated_at FROM p
+  UNION ALL SELECT 'new ' || title, page_id, revision_id, 'pending', wikitext, TIMESTAMP '2026-02-02', TIMESTAMP '2026-02-02' FROM p WHERE page_id % 6 = 5)"""
+
+
+@query(_MERGED + " SELECT * FROM m")
+def page_table_merge(spark, sf_dir):
+    """The stored page table after changed and new pages were merged in, bucket by bucket."""
+    table, now = _page_table(spark, sf_dir), F.lit("2026-02-02").cast("timestamp")
+    table.merge(_table_changes(spark, sf_dir), lambda old, new: merge.upsert(old, new, "title", now))
+    return table.read().select("title", "page_id", "revision_id", "status", "wikitext", "created_at", "updated_at")
+
+
+@query(_MERGED + " SELECT 'src3 p3' AS asked, title, revision_id, status FROM m WHERE title = 'src3 p3' UNION ALL SELECT 'new src5 p5', title, revision_id, status FROM m WHERE title = 'new src5 p5'")
+def page_table_lookup(spark, sf_dir):
+    """Two pages by title, each out of its bucket, after a merge."""
+    table, now = _page_table(spark, sf_dir), F.lit("2026-02-02").cast("timestamp")
+    table.merge(_table_changes(spark, sf_dir), lambda old, new: merge.upsert(old, new, "title", now))
+    found = [table.get(t).select(F.lit(t).alias("asked"), "title", "revision_id", "status") for t in ("src3 p3", "new src5 p5")]
+    return found[0].unionByName(found[1])
+
+
+# ── the stored index ────────────────────────────────────────────────────────
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> StoredIndex:
+    path = _folder(spark)
+    postings.build(_index(spark, sf_dir), path)
+    return StoredIndex(spark, path)
+
+
+_STORED = [(q, b, 8) for q in SEARCHES for b in ("", "角色")]
+
+
+@query(
+    _INDEX
+    + "".join(f", s{i} AS (SELECT row_number() OVER (ORDER BY score DESC, dir_rank, file_name) AS rank, * FROM (SELECT *, {_score_sql(q)} AS score FROM idx{f' WHERE category_dir = {quote(b)}' if b else ''}) WHERE score > 0)" for i, (q, b, _) in enumerate(_STORED))
+    + " UNION ALL ".join(f" SELECT {quote(q)} AS query, {quote(b)} AS bucket, rank, title, path, score FROM s{i} WHERE rank <= {n}" for i, (q, b, n) in enumerate(_STORED))
+)
+def stored_search(spark, sf_dir):
+    """All searches over the stored index, in all buckets and in one: postings give the candidates, and these alone are scored."""
+    stored, out = _stored(spark, sf_dir), None
+    for q, b, n in _STORED:
+        found = stored.search(q, b, n).select(F.lit(q).alias("query"), F.lit(b).alias("bucket"), F.col("rank").cast("long").alias("rank"), "title", F.col("filepath").alias("path"), "score")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@query(_INDEX + " SELECT title, path FROM idx WHERE lower(title) = 'src3 p3' ORDER BY dir_rank, file_name LIMIT 1")
+def stored_title_lookup(spark, sf_dir):
+    return _stored(spark, sf_dir).get_by_title(" SRC3 P3 ").select("title", F.col("filepath").alias("path"))
+
+
+@query(_INDEX + """, t AS (SELECT lower(title) AS title, category_dir, list_distinct(string_split(lower(title), '')) AS letters FROM idx)
+SELECT c AS letter, category_dir, count(*) AS entries FROM (SELECT category_dir, unnest(letters) AS c FROM t) GROUP BY ALL""")
+def posting_counts(spark, sf_dir):
+    """How many entries the posting lists of the titles' letters hold."""
+    index_ = _index(spark, sf_dir).withColumn("entry", F.monotonically_increasing_id())
+    lists = postings.postings_of(materialize(index_, "numbered")).where(F.startswith("token", F.lit(postings.TITLE_LETTER)))
+    return lists.groupBy(F.substring("token", 2, 1).alias("letter"), "category_dir").agg(F.sum(F.size("entries")).alias("entries"))
 
 
 @query(f"""WITH {fx.SQL_EDGES}, o AS (SELECT title, CAST(length(title) AS BIGINT) AS page_id, 1 AS depth, min(parent) AS parent, false AS crawled FROM edges WHERE page_type = 'subcat' AND length(title) % 2 = 0 GROUP BY title),
@@ -75,15 +156,48 @@ def refetched_pages(spark, sf_dir):
     return api.prefer_batch(batch, p.where("page_id % 2 = 0").select("title", F.concat(F.lit("single "), F.col("title")).alias("wikitext")))
 
 
-@query("SELECT CAST(a AS BIGINT) AS attempt, CAST(l AS DOUBLE) AS least, CAST(m AS DOUBLE) AS most FROM (VALUES (1, 1, 3), (2, 2, 4), (3, 4, 6), (4, 8, 10)) t(a, l, m)")
+@query("""SELECT doc_id, doc_id % 6 + 1 AS attempt, CASE WHEN doc_id % 6 < 4 THEN CAST(power(2, doc_id % 6) AS DOUBLE) END AS least, CASE WHEN doc_id % 6 < 4 THEN CAST(power(2, doc_id % 6) + 2 AS DOUBLE) END AS most FROM documents""")
 def retry_waits(spark, sf_dir):
-    return api.retry_waits(spark)
+    """How long a request of each row waits after its failed attempt."""
+    attempt = F.col("doc_id") % 6 + 1
+    least, most = api.wait_bounds(attempt)
+    return _docs(spark, sf_dir).select("doc_id", attempt.alias("attempt"), least.alias("least"), most.alias("most"))
+
+
+def _answer(url: str) -> tuple[int, dict, str]:
+    """A wiki of all titles, in which the number at a title's end decides what a request for it alone gets."""
+    title = parse_qs(urlsplit(url).query)["titles"][0]
+    k = int(re.search(r"p(\d+)", title)[1]) % 8
+    if k in (3, 4):
+        return (503, {}, "") if k == 3 else (429, {"Retry-After": "0"}, "")
+    if k == 5:
+        return 200, {}, f"<html>{api.AUTH_MARK}</html>"
+    if k == 6:
+        return 404, {}, ""
+    if k == 2:
+        return 200, {}, json.dumps({"error": {"code": "badtoken"}})
+    found = {"title": title, "missing": ""} if k == 1 else {"title": title, "pageid": 7, "lastrevid": 8, "touched": "2026-01-02T03:04:05Z", "extract": f"About {title}."}
+    return 200, {}, json.dumps({"query": {"pages": {"1": found}}})
+
+
+_QUICK = C.Settings(rate_limit=0, jitter=0, titles_per_request=1, attempts=2, first_wait=0, retry_jitter=0)
+
 
+@query(PARSED + """ SELECT title, CASE page_id % 8 WHEN 0 THEN 'completed' WHEN 7 THEN 'completed' ELSE 'failed' END AS status, CASE page_id % 8 WHEN 1 THEN 'missing' WHEN 2 THEN 'badtoken' WHEN 3 THEN 'server_error'
+  WHEN 4 THEN 'rate_limit' WHEN 5 THEN 'auth_page' WHEN 6 THEN 'http_error' END AS error, CAST(CASE WHEN page_id % 8 IN (0, 7) THEN NULL WHEN page_id % 8 IN (3, 4) THEN 2 ELSE 1 END AS BIGINT) AS attempts FROM parsed WHERE NOT regexp_matches(title, '^(Category|Help):') AND NOT contains(title, '/')""")
+def fetch_failures(spark, sf_dir):
+    """Titles fetched by API, each with its status, and the cause and number of attempts where it failed."""
+    titles = fx.wiki_pages(spark, sf_dir).where("NOT title RLIKE '^(Category|Help):' AND NOT contains(title, '/')").select("title")
+    return live.fetch_wave(titles, f"{__name__}:_answer", _QUICK).select("title", "status", "error", F.col("attempts").cast("long").alias("attempts"))
 
-@query("SELECT CAST(12 AS BIGINT) AS total_pages, CAST(11 AS BIGINT) AS pages_crawled, CAST(1 AS BIGINT) AS pages_failed, CAST(0 AS BIGINT) AS pages_skipped, CAST(0 AS BIGINT) AS pages_filtered")
-def live_crawl(spark, sf_dir):
-    """Listings, batches, single fetches and parsing over the wiki that needs no network; its members are independent of the tables: an overview, seven bands, four songs, one of which no request gives."""
-    return live.run_crawl(spark, f"{offline.__name__}:wiki", C.Settings(rate_limit=0, jitter=0, strict=False)).counters
+
+@query(PARSED + """, w AS (SELECT title, CASE WHEN page_id % 5 = 1 THEN page_id % 3 END AS tries FROM parsed WHERE page_id % 5 < 3)
+SELECT title, row_number() OVER (ORDER BY tries NULLS LAST, title) - 1 AS turn FROM w""")
+def crawl_order(spark, sf_dir):
+    """What a run asks for when it is taken up again: failed pages first, by attempts, then new ones; completed and skipped ones are done."""
+    p, k = fx.wiki_pages(spark, sf_dir).select("title", "page_id"), F.col("page_id") % 5
+    cached = p.where(k != 2).where(k != 0).select("title", F.when(k == 1, "failed").when(k == 3, "completed").otherwise("skipped").alias("status"), F.when(k == 1, F.col("page_id") % 3).cast("int").alias("attempts"))
+    return live.wanted_titles(p.select("title"), cached)
 
 
 # ── files in and out ────────────────────────────────────────────────────────
@@ -129,35 +243,34 @@ def cleaned_output(spark, sf_dir):
 
 @query(PARSED + " SELECT title, page_id, revision_id, updated, array_to_string(categories, '|') AS categories, wikitext, redirect_target, 'completed' AS status FROM parsed")
 def sqlite_pages(spark, sf_dir):
-    """The page table through an SQLite file and back."""
-    root = _local(_folder(spark))
+    """The page table through SQLite files, one for each task, and back."""
+    root = _folder(spark)
     p = fx.parsed_pages(spark, sf_dir).withColumn("status", F.lit("completed"))
-    files.put(root, "made", "")
-    sqlite.write_pages(p.drop("markdown"), f"{root}/cache.db")
-    back = sqlite.read_pages(spark, f"{root}/cache.db")
+    materialize(sqlite.write_shards(p.drop("markdown"), root), "shards")
+    back = sqlite.typed(sqlite.read_shards(spark, root))
     return back.select("title", "page_id", "revision_id", "updated", F.array_join("categories", "|").alias("categories"), "wikitext", "redirect_target", "status")
 
 
-@query(f"WITH {fx.SQL_EDGES}, c AS (SELECT count(DISTINCT title) AS n FROM edges WHERE page_type = 'subcat') SELECT 'categories' AS cached, n AS n_before, CAST(0 AS BIGINT) AS n_after FROM c UNION ALL SELECT 'pages', 2, 0 UNION ALL SELECT 'stats', 5, 0")
+@query(f"WITH wiki_pages AS ({fx.DUCKDB_PAGES}), {fx.SQL_EDGES}, c AS (SELECT count(DISTINCT title) AS n FROM edges WHERE page_type = 'subcat') SELECT 'categories' AS cached, n AS n_before, CAST(0 AS BIGINT) AS n_after FROM c UNION ALL SELECT 'pages', count(*), 0 FROM wiki_pages")
 def cleaned_cache(spark, sf_dir):
-    """All three tables of a cache, before and after everything is deleted."""
-    root = _local(_folder(spark))
-    files.put(root, "made", "")
-    path = f"{root}/cache.db"
+    """The cached tables as files, before and after everything is deleted."""
+    root = _folder(spark)
     cats = fx.category_edges(spark, sf_dir).where("page_type = 'subcat'").groupBy("title").agg(F.min("parent").alias("parent")).withColumn("crawled", F.lit(True))
-    sqlite.write_table(cats, path, "categories")
-    sqlite.write_pages(spark.createDataFrame([("a",), ("b",)], "title string"), path)
-    sqlite.write_table(stats.to_key_values(_counters(spark, sf_dir)), path, "stats")
+    materialize(sqlite.write_shards(cats, root, "categories").unionByName(sqlite.write_shards(fx.wiki_pages(spark, sf_dir).select("title", "wikitext"), root)), "shards")
 
     def counts(name: str) -> DataFrame:
-        parts = [sqlite.read_table(spark, path, t).agg(F.count("*").alias(name)).select(F.lit(t).alias("cached"), name) for t in sorted(sqlite.TABLES)]
-        return materialize(parts[0].unionByName(parts[1]).unionByName(parts[2]), name)
+        parts = [sqlite.read_shards(spark, root, t).agg(F.count("*").alias(name)).select(F.lit(t).alias("cached"), name) for t in ("categories", "pages")]
+        return materialize(parts[0].unionByName(parts[1]), name)
 
     before = counts("n_before")
-    sqlite.clean(path)
+    materialize(sqlite.remove_shards(spark, root), "removed")
     return before.join(counts("n_after"), "cached")
 
 
+def _image(url: str) -> tuple[int, dict, bytes]:
+    return (404, {}, b"") if url.endswith("gone.png") else (200, {}, url.encode())
+
+
 @query("SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '.png' WHEN 1 THEN '.jpeg' WHEN 2 THEN '.webp' ELSE '.jpg' END AS extension, CASE doc_id % 4 WHEN 0 THEN 'none' WHEN 1 THEN 'failed' WHEN 2 THEN 'exists' ELSE 'stored' END AS outcome FROM documents")
 def image_downloads(spark, sf_dir):
     """Images fetched by a client without network: without address, gone, there already, stored."""
@@ -167,7 +280,7 @@ def image_downloads(spark, sf_dir):
     url = F.when(F.col("doc_id") % 4 == 1, "http://e.com/gone.png").when(F.col("doc_id") % 4 != 0, F.concat(F.lit("http://e.com/"), i))
     extension = files.image_extension(F.concat(F.lit("http://e.com/"), named))
     wanted = _docs(spark, sf_dir).select("doc_id", i.alias("title"), extension.alias("extension"), F.concat(F.lit("images/"), i, extension).alias("path"), url.alias("url"))
-    root, client = _folder(spark), f"{offline.__name__}:image"
+    root, client = _folder(spark), f"{__name__}:_image"
     materialize(files.download_images(wanted.where("doc_id % 4 = 2"), client, root), "first")
     out = files.download_images(wanted, client, root)
     return wanted.select("doc_id", "title", "extension").join(out.select("title", "outcome"), "title").drop("title")
@@ -192,7 +305,7 @@ def rewritten_dry(spark, sf_dir):
     return files.rewritten_files(files.rewrite(quality.llm_candidates(_flawed_files(spark, sf_dir)), _model), dry=True)
 
 
-@query("""SELECT p AS path, CAST(doc_id % 7 + 1 AS BIGINT) AS size, CASE WHEN k = 1 THEN 'ignored' WHEN k IN (0, 3) THEN 'uploadable' ELSE 'review' END AS kind, false AS is_large FROM (SELECT doc_id, doc_id % 5 AS k,
+@query("""SELECT p AS path, CAST(doc_id % 7 AS BIGINT) AS size, CASE WHEN k = 1 THEN 'ignored' WHEN k IN (0, 3) THEN 'uploadable' ELSE 'review' END AS kind, false AS is_large FROM (SELECT doc_id, doc_id % 5 AS k,
   CASE doc_id % 5 WHEN 0 THEN 'd' || doc_id || '/a.py' WHEN 1 THEN 'd' || doc_id || '/b.db' WHEN 2 THEN 'd' || doc_id || '/notes.md' WHEN 3 THEN 'tools/x' || doc_id || '.sh' ELSE '__pycache__/c' || doc_id || '.pyc' END AS p FROM documents) WHERE k <> 4""")
 def release_manifest(spark, sf_dir):
     k, i = F.col("doc_id") % 5, F.col("doc_id").cast("string")
@@ -200,8 +313,8 @@ def release_manifest(spark, sf_dir):
         F.when(k == 0, F.concat(F.lit("d"), i, F.lit("/a.py"))).when(k == 1, F.concat(F.lit("d"), i, F.lit("/b.db"))).when(k == 2, F.concat(F.lit("d"), i, F.lit("/notes.md")))
         .when(k == 3, F.concat(F.lit("tools/x"), i, F.lit(".sh"))).otherwise(F.concat(F.lit("__pycache__/c"), i, F.lit(".pyc")))
     )
-    root = _written(spark, _docs(spark, sf_dir).select(path.alias("path"), F.repeat(F.lit("x"), (F.col("doc_id") % 7 + 1).cast("int")).alias("content")))
-    return files.manifest(spark, _local(root))
+    root = _written(spark, _docs(spark, sf_dir).select(path.alias("path"), F.repeat(F.lit("x"), (F.col("doc_id") % 7).cast("int")).alias("content")))
+    return files.manifest(spark, root)
 
 
 # ── reports ─────────────────────────────────────────────────────────────────
@@ -377,13 +490,27 @@ def random_answers(spark, sf_dir):
     return out
 
 
-@query("""SELECT * FROM (VALUES ('/bandori', 'help'), ('hello', 'help'), ('/角色', 'help'), ('/乐队 zzzz qqqq', 'none'), ('萌百搜索 p31', 'list'), ('/随机声优', 'error'), ('(before loading)', 'error')) t(message, mode)""")
+_MESSAGES = ("/角色 {}", " 角色{}", "歌曲", "/乐队  {} ", "萌百搜索 {}", "/萌百搜索 ", "随机歌曲{}", "/随机声优", "/bandori", "{}", "//角色 {}")
+_ASKED = (("entry", "角色", True), ("entry", "角色", True), ("help", "歌曲", False), ("entry", "乐队", True), ("search", "萌百搜索", True), ("help", "萌百搜索", False), ("random", "随机歌曲", True), ("random", "随机声优", False), ("help", "bandori", False), ("help", "", None), ("help", "", None))
+
+
+@query(
+    PARSED
+    + " SELECT page_id, CASE page_id % 11 "
+    + " ".join(f"WHEN {i} THEN {quote(c)}" for i, (_, c, _) in enumerate(_ASKED))
+    + " END AS command, CASE page_id % 11 "
+    + " ".join(f"WHEN {i} THEN {quote(k)}" for i, (k, _, _) in enumerate(_ASKED))
+    + " END AS kind, CASE WHEN page_id % 11 IN ("
+    + ", ".join(str(i) for i, x in enumerate(_ASKED) if x[2])
+    + ") THEN title ELSE '' END AS argument FROM parsed"
+)
 def command_modes(spark, sf_dir):
-    engine = services.Engine(None)
-    rows = [("(before loading)", engine.ask("/bandori")[0])]
-    engine.reload(materialize(_index(spark, sf_dir).where("category_dir <> '声优'"), "index"))
-    rows += [(m, engine.ask(m)[0]) for m in ("/bandori", "hello", "/角色", "/乐队 zzzz qqqq", "萌百搜索 p31", "/随机声优")]
-    return spark.createDataFrame(rows, "message string, mode string")
+    """What chat messages made of the pages' titles ask for."""
+    t, said = F.col("title"), F.lit("")
+    for i, m in enumerate(_MESSAGES):
+        before, _, after = m.partition("{}")
+        said = F.when(F.col("page_id") % len(_MESSAGES) == i, F.concat(F.lit(before), t, F.lit(after)) if "{}" in m else F.lit(m)).otherwise(said)
+    return fx.wiki_pages(spark, sf_dir).select("page_id", services.dispatch(said).alias("asked")).select("page_id", "asked.command", "asked.kind", "asked.argument")
 
 
 @query("SELECT 'm' AS mode, 't' || doc_id AS text, CASE WHEN doc_id % 3 = 0 THEN 'i' || doc_id ELSE '' END AS image, doc_id % 3 <> 0 AS is_plain FROM documents")
@@ -397,10 +524,3 @@ def command_arguments(spark, sf_dir):
     t, k = F.col("title"), F.col("page_id") % 4
     said = F.when(k == 0, F.concat(F.lit("/角色 "), t)).when(k == 1, F.concat(F.lit(" 角色"), t)).when(k == 2, F.concat(F.lit("  "), t, F.lit("\t"))).otherwise(F.concat(F.lit("/"), t))
     return fx.wiki_pages(spark, sf_dir).select("page_id", names.command_argument(said, "角色").alias("argument"))
-
-
-@query("SELECT * FROM (VALUES ('rate_limit', '2.0'), ('http2', 'False'), ('max_concurrent', '7'), ('log_level', 'DEBUG'), ('output_dir', 'output'), ('kb_path', '/kb')) t(name, value)")
-def settings_from_env(spark, sf_dir):
-    s = C.from_env({"KB_RATE_LIMIT": "2", "KB_HTTP2": "No", "KB_MAX_CONCURRENT": "7", "KB_LOG_LEVEL": "debug", "KB_OUTPUT_DIR": ""})
-    rows = [(n, str(getattr(s, n))) for n in ("rate_limit", "http2", "max_concurrent", "log_level", "output_dir")]
-    return spark.createDataFrame([*rows, ("kb_path", C.resolve_kb_path("/nowhere", {"KB_PATH": "/kb"}, exists=lambda p: p == "/kb"))], "name string, value string")

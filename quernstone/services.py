@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .functions.rules import strip
 from .operators import index as ix
 from .operators import render
+from .operators.postings import StoredIndex
 
 # Commands and what they ask for.
 COMMANDS = {"角色": "角色", "歌曲": "歌曲", "乐队": "乐队", "声优": "声优"}
@@ -15,11 +17,14 @@ SEARCH_COMMAND, HELP_COMMAND = "萌百搜索", "bandori"
 NOT_READY = "知识库未加载"
 
 
-def _row(index: DataFrame, mode: str, text: str) -> DataFrame:
+Index = DataFrame | StoredIndex
+
+
+def _row(index: Index, mode: str, text: str) -> DataFrame:
     return index.sparkSession.createDataFrame([(mode, text, "")], "mode string, text string, image string")
 
 
-def entry_query(index: DataFrame, name: str, bucket: str) -> DataFrame:
+def entry_query(index: Index, name: str, bucket: str) -> DataFrame:
     """The best entry's card if its score is high enough, else a list, else a sentence; help for a blank name."""
     if not name.strip():
         return _row(index, "help", render.HELP)
@@ -38,7 +43,7 @@ def entry_query(index: DataFrame, name: str, bucket: str) -> DataFrame:
     )
 
 
-def search_query(index: DataFrame, keyword: str) -> DataFrame:
+def search_query(index: Index, keyword: str) -> DataFrame:
     """A list over all buckets, eight at most."""
     if not keyword.strip():
         return _row(index, "help", render.HELP)
@@ -46,7 +51,7 @@ def search_query(index: DataFrame, keyword: str) -> DataFrame:
     return out.select(F.lit("list").alias("mode"), "text", F.lit("").alias("image"))
 
 
-def random_query(index: DataFrame, bucket: str, chars: int = 1200, seed: int | None = None) -> DataFrame:
+def random_query(index: Index, bucket: str, chars: int = 1200, seed: int | None = None) -> DataFrame:
     """A random entry's card, or that the bucket is empty."""
     pick = ix.random_pick(index, bucket, seed).select(render.random_card(F.col("title"), F.col("category_dir"), F.substring("content", 1, chars)).alias("card"), "image")
     empty = _row(index, "error", render.error_text(f"{bucket}库为空"))
@@ -61,13 +66,36 @@ def messages(answers: DataFrame, images: DataFrame) -> DataFrame:
     return out.select("mode", "text", "image", (F.col("image") == "").alias("is_plain"))
 
 
+def dispatch(message: Column) -> Column:
+    """What a chat message asks for: (command, kind, bucket, argument).
+
+    Kinds are entry, search, random and help; the longest command that the
+    message begins with counts, whatever follows it is the argument. Blank
+    arguments of entry and search ask for help, and so do unknown commands;
+    nulls are blank.
+    """
+    text = F.regexp_replace(strip(F.coalesce(message, F.lit(""))), "^/", "")
+    out = F.struct(F.lit("").alias("command"), F.lit("help").alias("kind"), F.lit("").alias("bucket"), F.lit("").alias("argument"))
+    for command in sorted([*COMMANDS, *RANDOM_COMMANDS, SEARCH_COMMAND, HELP_COMMAND], key=len):
+        rest = strip(F.substring(text, F.lit(len(command) + 1), F.length(text)))
+        if command in RANDOM_COMMANDS:
+            kind, bucket = F.lit("random"), RANDOM_COMMANDS[command][0]
+        elif command == HELP_COMMAND:
+            kind, bucket = F.lit("help"), ""
+        else:
+            kind, bucket = F.when(rest == "", "help").otherwise("search" if command == SEARCH_COMMAND else "entry"), COMMANDS.get(command, "")
+        asked = F.struct(F.lit(command).alias("command"), kind.alias("kind"), F.lit(bucket).alias("bucket"), rest.alias("argument"))
+        out = F.when(F.startswith(text, F.lit(command)), asked).otherwise(out)
+    return out
+
+
 class Engine:
     """``ask`` takes a chat message and gives an answer."""
 
-    def __init__(self, index: DataFrame | None):
+    def __init__(self, index: Index | None):
         self.index = index
 
-    def reload(self, index: DataFrame) -> None:
+    def reload(self, index: Index) -> None:
         self.index = index
 
     def ask(self, message: str, seed: int | None = None) -> tuple[str, str, str]:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import importlib
 import json
+import math
 import random
 import time
 from collections.abc import Callable, Iterator
@@ -48,6 +49,12 @@ def api_error(body: Column) -> Column:
     return F.when(~code.isin(*TOLERATED), code)
 
 
+def failure(status: Column, body: Column) -> Column:
+    """Why an answer is none: rate_limit, server_error, http_error, auth_page, or the code of an API error; null if it is one."""
+    kind = classify(status, body)
+    return F.when(kind != "ok", kind).otherwise(api_error(body))
+
+
 def pages_from_json(answers: DataFrame, json_col: str = "json", base: str = C.BASE_URL) -> DataFrame:
     """Pages of API answers; missing pages give no row, bad dates are null, redirects show their target."""
     p = answers.select(F.from_json(json_col, PAGE_JSON).alias("a")).select(F.explode(F.map_values("a.query.pages")).alias("p")).where("p.missing IS NULL")
@@ -92,24 +99,57 @@ class Limiter:
         return pause
 
 
-def with_retries(get: Get, url: str, settings: C.Settings = C.Settings(), sleep=time.sleep) -> tuple[int, str]:
-    """Ask until the answer is neither a rate limit nor a server error, at most ``attempts`` times.
+class Slots:
+    """One rate for several streams of requests, wherever they run.
+
+    Time from a common start is cut into slots, dealt out to the streams in
+    turn; a stream asks once in a slot of its own, and one that is late takes
+    its next. A slot is a gap long and half the jitter, and the moment within
+    that half is random, so no two requests of all streams are closer than the
+    gap, and on average they are as far apart as with one limiter. The clocks
+    of the machines are taken to agree.
+    """
+
+    def __init__(self, start: float, stream: int = 0, streams: int = 1, gap: float = 0.5, jitter: float = 0.5, clock=time.time, sleep=time.sleep):
+        self.jitter, self.clock, self.sleep = jitter / 2, clock, sleep
+        slot = gap + self.jitter
+        self.first, self.period, self.next = start + stream * slot, streams * slot, 0
+
+    def wait(self) -> float:
+        if self.period <= 0:
+            return 0.0
+        now = self.clock()
+        k = max(self.next, math.ceil((now - self.first) / self.period))
+        self.next = k + 1
+        pause = max(0.0, self.first + k * self.period + random.uniform(0, self.jitter) - now)
+        if pause:
+            self.sleep(pause)
+        return pause
+
+
+def ask(get: Get, url: str, settings: C.Settings = C.Settings(), sleep=time.sleep) -> tuple[int, str, int]:
+    """(status, text, attempts) of a request that is repeated until the answer is neither a rate limit nor a server error, at most ``attempts`` times.
 
     Waits double from one second up to the longest wait, with jitter; a rate
     limit's Retry-After is heeded. Connection errors count as server errors.
     """
-    status, text = 0, ""
-    for attempt in range(settings.attempts):
+    status, text, attempt = 0, "", 0
+    while attempt < settings.attempts:
+        attempt += 1
         try:
             status, headers, text = get(url)
         except OSError:
             status, headers, text = 599, {}, ""
         if status != 429 and status < 500:
             break
-        if attempt + 1 < settings.attempts:
-            wait = min(settings.longest_wait, settings.first_wait * 2**attempt + random.uniform(0, settings.retry_jitter))
+        if attempt < settings.attempts:
+            wait = min(settings.longest_wait, settings.first_wait * 2 ** (attempt - 1) + random.uniform(0, settings.retry_jitter))
             sleep(max(wait, retry_after(headers.get("Retry-After"))) if status == 429 else wait)
-    return status, text
+    return status, text, attempt
+
+
+def with_retries(get: Get, url: str, settings: C.Settings = C.Settings(), sleep=time.sleep) -> tuple[int, str]:
+    return ask(get, url, settings, sleep)[:2]
 
 
 def retry_after(value: str | None, now: datetime | None = None) -> float:
@@ -128,12 +168,11 @@ def retry_after(value: str | None, now: datetime | None = None) -> float:
     return max(0.0, (when - (now or datetime.now(timezone.utc))).total_seconds())
 
 
-def retry_waits(spark: SparkSession, settings: C.Settings = C.Settings()) -> DataFrame:
-    """(attempt, least, most): seconds that are waited after a failed attempt, but for the last."""
-    steps = spark.range(1, settings.attempts).withColumnRenamed("id", "attempt")
-    least = F.pow(F.lit(2.0), F.col("attempt") - 1) * settings.first_wait
-    cap = F.lit(float(settings.longest_wait))
-    return steps.select("attempt", F.least(least, cap).alias("least"), F.least(least + settings.retry_jitter, cap).alias("most"))
+def wait_bounds(attempt: Column, settings: C.Settings = C.Settings()) -> tuple[Column, Column]:
+    """The least and the greatest number of seconds that are waited after a failed attempt, counted from 1; none after the last."""
+    least, cap = F.pow(F.lit(2.0), attempt - 1) * settings.first_wait, F.lit(float(settings.longest_wait))
+    more = attempt < settings.attempts
+    return F.when(more, F.least(least, cap)), F.when(more, F.least(least + settings.retry_jitter, cap))
 
 
 def _client(path: str) -> Get:
@@ -142,29 +181,34 @@ def _client(path: str) -> Get:
 
 
 class _Titles(InputPartition):
-    def __init__(self, urls: list[str]):
+    def __init__(self, urls: list[str], stream: int, streams: int):
         super().__init__(urls)
-        self.urls = urls
+        self.urls, self.stream, self.streams = urls, stream, streams
 
 
 class WikiReader(DataSourceReader):
-    """Fetches addresses, a bounded number of partitions at a time, each with its own limiter."""
+    """Fetches addresses, a bounded number of partitions at a time, all at one rate."""
 
     def __init__(self, options: dict):
         self.options = options
+        self.gap, self.jitter = float(options.get("gap", 0.5)), float(options.get("jitter", 0.5))
+        self.start = time.time() + self.gap
 
     def partitions(self) -> list[InputPartition]:
         urls = json.loads(self.options["urls"])
         n = max(1, min(int(self.options.get("concurrent", C.Settings().max_concurrent)), len(urls)))
-        return [_Titles(urls[i::n]) for i in range(n)]
+        return [_Titles(urls[i::n], i, n) for i in range(n)]
 
     def read(self, partition: _Titles) -> Iterator[tuple]:
         get = _client(self.options["client"])
-        limiter = Limiter(float(self.options.get("gap", 0.5)), float(self.options.get("jitter", 0.5)))
+        slots = Slots(self.start, partition.stream, partition.streams, self.gap, self.jitter)
+
+        def paced(url: str) -> tuple[int, dict, str]:
+            slots.wait()
+            return get(url)
+
         for url in partition.urls:
-            limiter.wait()
-            status, text = with_retries(get, url)
-            yield (url, status, text)
+            yield (url, *with_retries(paced, url))
 
 
 class WikiSource(DataSource):

@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from .. import config as C
 from ..functions.names import percent_decode
@@ -24,12 +24,57 @@ UPLOADED = (".gitignore", "LICENSE", "README.md", "requirements.txt", "requireme
 IGNORED = (".git", "__pycache__", ".pytest_cache", "node_modules", ".venv")
 
 
+class _Folder(InputPartition):
+    def __init__(self, path: str, deep: bool):
+        super().__init__(path)
+        self.path, self.deep = path, deep
+
+
+class ListingReader(DataSourceReader):
+    """Names and sizes of the files of a tree: a task for each folder below the root, and one for the files in it."""
+
+    def __init__(self, options: dict):
+        self.root = options["path"]
+
+    def partitions(self) -> list[InputPartition]:
+        fs, base = _file_system(self.root)
+        found = fs.get_file_info(pafs.FileSelector(base))
+        return [_Folder("", False), *(_Folder(f.base_name, True) for f in sorted(found, key=lambda f: f.path) if f.type == pafs.FileType.Directory)]
+
+    def read(self, partition: _Folder) -> Iterator[tuple]:
+        fs, base = _file_system(self.root)
+        for f in fs.get_file_info(pafs.FileSelector(f"{base}/{partition.path}".rstrip("/"), recursive=partition.deep)):
+            if f.type == pafs.FileType.File:
+                yield (f.path[len(base) + 1 :], f.size)
+
+
+class ListingSource(DataSource):
+    """``spark.read.format("quernstone_listing").load(root)``: path below the root and size of all files, empty ones included."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "quernstone_listing"
+
+    def schema(self) -> str:
+        return "path string, size long"
+
+    def reader(self, schema) -> DataSourceReader:
+        return ListingReader(self.options)
+
+
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, size) of all files below ``root``, contents unread; Spark's own scans leave out files of no bytes."""
+    spark.dataSource.register(ListingSource)
+    return spark.read.format("quernstone_listing").load(root)
+
+
 def read_markdown(spark: SparkSession, root: str, dirs: tuple[str, ...] | None = C.INDEX_DIRS) -> DataFrame:
     """(path, directory, file_name, raw) of ``*.md`` files.
 
     With ``dirs`` only these folders count, without their sub-folders; those
     that are missing are left out, but a missing root is an error. With None
-    the whole tree is read.
+    the whole tree is read. Empty files are rows with an empty text: scans
+    pass them over, so they are added from a listing.
     """
     schema = "path string, directory string, file_name string, raw string"
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
@@ -42,6 +87,11 @@ def read_markdown(spark: SparkSession, root: str, dirs: tuple[str, ...] | None =
     rows = spark.read.text(paths, wholetext=True, pathGlobFilter="*.md", recursiveFileLookup=dirs is None)
     path = percent_decode(F.col("_metadata.file_path"))
     rows = rows.select(F.regexp_replace(path, "^file:/+", "/").alias("path"), F.col("value").alias("raw"))
+    empty = list_files(spark, root).where((F.col("size") == 0) & F.endswith("path", F.lit(".md")))
+    if dirs is not None:
+        empty = empty.where(F.substring_index("path", "/", 1).isin(*dirs) & (F.size(F.split("path", "/")) == 2))
+    top = F.lit(re.sub("^file:/+", "/", root).rstrip("/") + "/")
+    rows = rows.unionByName(empty.select(F.concat(top, F.col("path")).alias("path"), F.lit("").alias("raw")))
     return rows.select("path", F.element_at(F.split("path", "/"), -2).alias("directory"), F.substring_index("path", "/", -1).alias("file_name"), "raw")
 
 
@@ -71,6 +121,22 @@ def put(root: str, path: str, content: str | bytes) -> str:
     return full
 
 
+def get(root: str, path: str) -> bytes:
+    """The contents of a file below ``root``."""
+    fs, base = _file_system(root)
+    with fs.open_input_stream(f"{base}/{inside(path)}") as f:
+        return f.read()
+
+
+def remove(root: str, path: str) -> bool:
+    """Delete a file below ``root``; whether it was there."""
+    fs, base = _file_system(root)
+    there = fs.get_file_info(f"{base}/{inside(path)}").type == pafs.FileType.File
+    if there:
+        fs.delete_file(f"{base}/{inside(path)}")
+    return there
+
+
 def _file_system(root: str) -> tuple[pafs.FileSystem, str]:
     if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", root):
         fs, base = pafs.FileSystem.from_uri(root if "://" in root else root.replace(":", "://", 1))
@@ -199,10 +265,8 @@ def image_extension(url: Column) -> Column:
 
 
 def manifest(spark: SparkSession, root: str, code_dirs: tuple[str, ...] = ("tools/",)) -> DataFrame:
-    """(path, size, kind, is_large) of a tree: ignored, uploadable or review; paths are below ``root``. Contents are not read; Spark's scans leave empty files out."""
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    full = F.regexp_replace(percent_decode(F.col("path")), "^file:/+", "/")
-    rows = rows.select(F.substring(full, F.lit(len(root.rstrip("/")) + 2), F.length(full)).alias("path"), F.col("length").alias("size"))
+    """(path, size, kind, is_large) of a tree: ignored, uploadable or review; paths are below ``root``. Contents are not read; empty files are listed, too."""
+    rows = list_files(spark, root)
     rows = rows.where(~F.exists(F.split("path", "/"), lambda p: p.isin(*IGNORED)))
     path = F.col("path")
     ignored = F.regexp_like(path, F.lit(r"quality_report|deep_scan_report|auto_fix_report|\.(pyc|db|sqlite|log)$"))

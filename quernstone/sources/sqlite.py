@@ -1,18 +1,25 @@
 """The page cache as an SQLite file: a data source that reads it in ranges of row ids, and a sink.
 
 SQLite is a file on one machine; this is for exchanging caches. The engine's
-own tables are Parquet.
+own tables are Parquet. A large table is exchanged as many files, each written
+and read by a task (:func:`write_shards`, :func:`read_shards`).
 """
 
 from __future__ import annotations
 
+import contextlib
 import sqlite3
+import tempfile
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from . import files
+
 #: Columns of the cached pages with their SQLite types; categories are a JSON list, times ISO text: fixed values.
 COLUMNS = (
     ("title", "TEXT PRIMARY KEY"),
@@ -85,9 +92,14 @@ def read_table(spark: SparkSession, path: str, table: str, partitions: int = 4)
 
 def read_pages(spark: SparkSession, path: str, partitions: int = 4) -> DataFrame:
     """Cached pages, typed; broken JSON and times are null."""
-    raw = read_table(spark, path, "pages", partitions)
-    times = {c: F.try_to_timestamp(c) for c in ("updated", "created_at", "updated_at")}
-    return raw.withColumns(times | {"categories": F.from_json("categories", "array<string>")})
+    return typed(read_table(spark, path, "pages", partitions))
+
+
+def _stored(name: str) -> Column:
+    """A column as SQLite stores it: categories are a JSON list, times ISO text, truths 0 and 1."""
+    if name == "categories":
+        return F.to_json(name).alias(name)
+    return F.col(name).cast({"crawled": "int", "updated": "string", "created_at": "string", "updated_at": "string"}[name]).alias(name) if name in ("crawled", "updated", "created_at", "updated_at") else F.col(name)
 
 
 def create(db: sqlite3.Connection) -> None:
@@ -105,7 +117,7 @@ def write_table(rows: DataFrame, path: str, table: str = "pages") -> int:
     key = TABLES[table][0][0]
     changes = ", ".join(f"{n} = excluded.{n}" for n in names if n not in (key, "created_at"))
     changes = f"UPDATE SET {changes}" if changes else "NOTHING"
-    rows = rows.select(*(F.to_json(n).alias(n) if n == "categories" else F.col(n).cast("string").alias(n) if n in ("updated", "created_at", "updated_at") else F.col(n).cast("int").alias(n) if n == "crawled" else F.col(n) for n in names))
+    rows = rows.select(*(_stored(n) for n in names))
     n = 0
     with sqlite3.connect(path) as db:
         create(db)
@@ -115,6 +127,74 @@ def write_table(rows: DataFrame, path: str, table: str = "pages") -> int:
     return n
 
 
+# ── one file for each task ──────────────────────────────────────────────────
+
+
+def write_shards(rows: DataFrame, root: str, table: str = "pages") -> DataFrame:
+    """Write rows as SQLite files below ``root``, one for each partition, made by the tasks: (path, n_rows).
+
+    Rows of a key go to one file (the last one counts), so files can be merged
+    by upsert in any order. The root is on any file system that Arrow knows.
+    """
+    names = [n for n, _ in TABLES[table] if n in rows.columns]
+    key = TABLES[table][0][0]
+    slim = rows.select(*(_stored(n) for n in names)).repartition(key)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with tempfile.TemporaryDirectory() as folder:
+            part, n = f"{folder}/part.db", 0
+            with contextlib.closing(sqlite3.connect(part)) as db:
+                create(db)
+                db.execute("PRAGMA journal_mode = DELETE")
+                for batch in batches:
+                    values = batch.astype(object).where(batch.notna(), None)
+                    db.executemany(f"INSERT OR REPLACE INTO {table} ({', '.join(names)}) VALUES ({', '.join('?' * len(names))})", values.itertuples(index=False, name=None))
+                    n += len(batch)
+                db.commit()
+            if n:
+                name = f"{table}-{TaskContext.get().partitionId():05d}.db"
+                with open(part, "rb") as f:
+                    files.put(root, name, f.read())
+                yield pd.DataFrame({"path": [name], "n_rows": [n]})
+
+    return slim.mapInPandas(run, "path string, n_rows long")
+
+
+def read_shards(spark: SparkSession, root: str, table: str = "pages") -> DataFrame:
+    """A table out of all files of :func:`write_shards` below ``root``, a task for some of the files each."""
+    paths = files.list_files(spark, root).where(F.col("path").rlike(rf"(^|/){table}-\d+\.db$")).select("path")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = [n for n, _ in TABLES[table]]
+        for batch in batches:
+            for path in batch["path"]:
+                with tempfile.TemporaryDirectory() as folder:
+                    with open(f"{folder}/part.db", "wb") as f:
+                        f.write(files.get(root, path))
+                    with contextlib.closing(sqlite3.connect(f"{folder}/part.db")) as db:
+                        found = db.execute(f"SELECT {', '.join(columns)} FROM {table}")
+                        while rows := found.fetchmany(10_000):
+                            yield pd.DataFrame(rows, columns=columns).astype({n: "Int64" for n, t in TABLES[table] if t == "INTEGER"})
+
+    return paths.repartition(spark.sparkContext.defaultParallelism).mapInPandas(run, _schema(table))
+
+
+def remove_shards(spark: SparkSession, root: str) -> DataFrame:
+    """Delete all files of :func:`write_shards` below ``root``: (path, removed)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"path": batch["path"], "removed": [files.remove(root, p) for p in batch["path"]]})
+
+    return files.list_files(spark, root).where(F.endswith("path", F.lit(".db"))).select("path").mapInPandas(run, "path string, removed boolean")
+
+
+def typed(raw: DataFrame) -> DataFrame:
+    """Pages as they are stored, typed; broken JSON and times are null."""
+    times = {c: F.try_to_timestamp(c) for c in ("updated", "created_at", "updated_at")}
+    return raw.withColumns(times | {"categories": F.from_json("categories", "array<string>")})
+
+
 def write_pages(pages: DataFrame, path: str) -> int:
     return write_table(pages, path, "pages")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import json
 import re
 import tempfile
 import uuid
@@ -25,10 +26,70 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     with contextlib.suppress(Exception):  # the session may have ended; the folder is the cluster's to clear then
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        delete(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, in order; none if there is no such folder."""
+    fs, target = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+class Manifests:
+    """Numbered versions of a stored structure: small JSON documents, each complete or absent.
+
+    A version counts from the moment its document is there, and a number is
+    given once: of two writers of the same version the second fails.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, f"{path.rstrip('/')}/manifest"
+
+    def versions(self) -> list[int]:
+        return [int(n.removesuffix(".json")) for n in names_in(self.spark, self.path) if re.fullmatch(r"\d+\.json", n)]
+
+    def read(self, version: int | None = None) -> dict | None:
+        """The document of a version, of the latest by default; None if there is none."""
+        have = self.versions()
+        if not have:
+            return None
+        fs, target = _file_system(self.spark, f"{self.path}/{have[-1] if version is None else version:010d}.json")
+        stream = fs.open(target)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def publish(self, version: int, document: dict) -> None:
+        """Make ``document`` the version; FileExistsError if another writer was first."""
+        jvm, name = self.spark.sparkContext._jvm, f"{self.path}/{version:010d}.json"
+        fs, part = _file_system(self.spark, f"{self.path}/.{uuid.uuid4().hex}.part")
+        out = fs.create(part)
+        out.write(bytearray(json.dumps(document).encode()))
+        out.close()
+        target = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(name))
+        part = fs.makeQualified(part)
+        options = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+            context.rename(part, target, options)
+        except Exception as e:
+            fs.delete(part, False)
+            if "FileAlreadyExists" in str(e) or "already exists" in str(e):
+                raise FileExistsError(f"version {version} was written by another") from e
+            raise
 
 
 #: Bytes of a table for each core below which its rows are dealt out: a scan has no more tasks with rows than there are
@@ -39,8 +100,8 @@ DEAL_BYTES = 8 << 20
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet table; the rows of a small one, which may be a single row group, are dealt out to all cores."""
     rows, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    size = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+    fs, target = _file_system(spark, path)
+    size = fs.getContentSummary(target).getLength()
     return rows.repartition(cores) if size <= DEAL_BYTES * cores else rows
 
 

@@ -1,4 +1,4 @@
-"""Page snapshots as a stream, merged into the page table batch by batch."""
+"""Page snapshots as a stream, merged into the page table batch by batch: a batch rewrites the buckets of its titles."""
 
 from __future__ import annotations
 
@@ -9,43 +9,24 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import Settings
 from ..operators.merge import latest
 from ..plans.crawl import update
+from ..sources.pagetable import PageTable
 
-#: Versions before the latest one that stay for readers that are at work.
-KEPT = 2
-
-
-def versions(path: str, spark) -> list[int]:
-    """Numbers of the table's versions that are complete, in order."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop(path)):
-        return []
-    found = (s.getPath() for s in fs.listStatus(hadoop(path)))
-    return sorted(int(p.getName()[1:]) for p in found if p.getName()[1:].isdigit() and fs.exists(hadoop(f"{p.toString()}/_SUCCESS")))
+#: Versions that stay for readers that are at work.
+KEPT = 3
 
 
 def merge_batch(snapshots: DataFrame, batch: int, path: str, settings: Settings = Settings()) -> None:
-    """Merge one batch into a new version of the table; a batch that was merged before is not merged again."""
-    spark = snapshots.sparkSession
-    have = versions(path, spark)
-    if batch + 1 in have:
-        return
-    cached = spark.read.parquet(f"{path}/v{max(v for v in have if v <= batch)}")
-    fresh = latest(snapshots, "title", "revision_id")
-    merged, _ = update(cached, fresh, F.current_timestamp(), settings)
-    merged.write.mode("overwrite").parquet(f"{path}/v{batch + 1}")
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for v in have:
-        if v <= batch - KEPT:
-            fs.delete(hadoop(f"{path}/v{v}"), True)
+    """Merge one batch into the table; a batch that was merged before is not merged again."""
+    table = PageTable(snapshots.sparkSession, path)
+    table.merge(latest(snapshots, "title", "revision_id"), lambda old, new: update(old, new, F.current_timestamp(), settings)[0], batch)
+    table.remove_old(KEPT)
 
 
 def start_updates(snapshots: DataFrame, path: str, checkpoint: str, settings: Settings = Settings()) -> StreamingQuery:
-    """Run until all that has arrived is merged; ``path``/v0 holds the first version of the table.
+    """Run until all that has arrived is merged into the page table at ``path``, which must be there.
 
-    Versions are named after batches, so a batch that is run again after a
-    failure leaves the same table.
+    The table knows the last batch that it holds, so a batch that is run again
+    after a failure leaves the same table.
     """
     writer = snapshots.writeStream.foreachBatch(lambda rows, batch: merge_batch(rows, batch, path, settings))
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
