@@ -75,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "quality":
         found = files.read_markdown(spark, a.kb, None)
         for name, report in (("quality_report", reports.scan_report), ("deep_scan_report", reports.deep_report), ("auto_fix_report", reports.repair_log)):
-            files.write_report(reports.numbered(report(found)), f"{a.report}/{name}")
+            files.write_report(reports.numbered(report(found)), f"{a.report}/{name}.txt")
     else:
         files.clean_output(spark, a.cache if a.command == "clean-cache" else a.dir)
     return 0

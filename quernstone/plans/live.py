@@ -249,6 +249,6 @@ def save(result: jobs.Crawl, settings: Settings, now: Column | None = None) -> D
     done = materialize(files.export_files(own, root), "exported")
     exported = done.agg(F.count_if(F.col("error").isNull()).alias("exported_files"))
     skipped = render.export_counts(result.pages, result.files).select("skipped_files")
-    files.write_json(result.index, "entry", f"{root}/_index")
-    files.write_json(stats.run_document(result.counters, exported.join(F.broadcast(skipped), F.lit(True))), "json", f"{root}/_crawl_stats")  # one row each
+    files.write_json(result.index, "entry", f"{root}/_index.json", F.col("title"))
+    files.write_document(stats.run_document(result.counters, exported.join(F.broadcast(skipped), F.lit(True))), "json", f"{root}/_crawl_stats.json", F.col("json"))  # one row each
     return done

@@ -456,10 +456,11 @@ def table_counts(spark, sf_dir):
     return stats.table_counts(filters.tag_pages(fx.wiki_pages(spark, sf_dir)), categories)
 
 
-@query(PARSED + """, k AS (SELECT (row_number() OVER (ORDER BY page_id, title) - 1) // 20 AS batch_no, title, page_id FROM parsed)
-  SELECT CAST(batch_no AS BIGINT) AS batch_no, count(*) AS n_titles, string_agg(title, '|' ORDER BY page_id) AS titles FROM k GROUP BY batch_no""")
+@query(PARSED + """, k AS (SELECT (row_number() OVER (ORDER BY nullif(page_id, page_id // 9 * 9) NULLS LAST, title) - 1) // 20 AS batch_no, title, nullif(page_id, page_id // 9 * 9) AS page_id FROM parsed)
+  SELECT CAST(batch_no AS BIGINT) AS batch_no, count(*) AS n_titles, string_agg(title, '|' ORDER BY page_id NULLS LAST, title) AS titles FROM k GROUP BY batch_no""")
 def batches_of_20(spark, sf_dir):
-    return merge.batches(fx.wiki_pages(spark, sf_dir))
+    """Batches of all titles; every ninth has no page id and comes after those that have one."""
+    return merge.batches(fx.wiki_pages(spark, sf_dir).select("title", F.when(F.col("page_id") % 9 != 0, F.col("page_id")).alias("page_id")))
 
 
 # ── graph, listings ─────────────────────────────────────────────────────────

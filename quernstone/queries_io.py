@@ -18,7 +18,7 @@ from .functions.rules import quote, sql_strip
 from .operators import filters, index, merge, postings, quality, render, reports, stats
 from .operators.postings import StoredIndex
 from .plans import fixtures as fx
-from .plans import live
+from .plans import images, live
 from .queries import (
     SEARCHES, _COUNTERS, _EMOJI_SQL, _FILES, _FLAWED, _INDEX, _REPAIR, _TAGGED, PARSED, _cut_sql, _counters, _docs, _files, _flawed_files, _index, _score_sql, query,
 )
@@ -200,6 +200,28 @@ def crawl_order(spark, sf_dir):
     return live.wanted_titles(p.select("title"), cached)
 
 
+def _image_answer(url: str) -> tuple[int, dict, str]:
+    """Answers of all three hops, by the number at the end of a title or of an image's name."""
+    asked = parse_qs(urlsplit(url).query)
+    name, k = asked["titles"][0], int(re.search(r"(\d+)$", asked["titles"][0])[1])
+    if asked["prop"] == ["pageimages"]:
+        return (404, {}, "") if k % 7 == 0 else (200, {}, json.dumps({"query": {"pages": {"1": {"original": {"source": f"http://e.com/own{k}"}} if k % 7 == 1 else {}}}}))
+    if asked["prop"] == ["images"]:
+        names = {2: ["a.SVG 1", f"Site Logo {k}", "icon 1", f"late {k}"], 3: [f"good {k}"], 4: [f"bad {k}", f"good {k}"], 5: [f"none {k}", f"good {k}"], 6: [f"bad {k}", f"x.svg {k}", f"good {k}"]}.get(k % 7, [])
+        return (404, {}, "") if k % 14 == 7 else (200, {}, json.dumps({"query": {"pages": {"1": {"images": [{"title": x} for x in names]}}}}))
+    if name.startswith("bad"):
+        return 404, {}, ""
+    return 200, {}, json.dumps({"query": {"pages": {"1": {"imageinfo": [{"url": f"http://e.com/{name.replace(' ', '-')}"}] if name.startswith("good") else [{}]}}}})
+
+
+@query("""SELECT 't ' || doc_id AS title, CASE WHEN doc_id % 7 = 1 THEN 'http://e.com/own' || doc_id WHEN doc_id % 7 IN (3, 4, 6) THEN 'http://e.com/good-' || doc_id END AS image,
+  CASE WHEN doc_id % 7 = 1 THEN 1 WHEN doc_id % 7 IN (3, 4, 6) THEN 3 END AS hop FROM documents""")
+def image_lookup(spark, sf_dir):
+    """Images of pages by three hops of requests: the page's own, none, no picture among the first three, the first, the next after a failed request, none in an answer."""
+    titles = _docs(spark, sf_dir).select(F.concat(F.lit("t "), F.col("doc_id").cast("string")).alias("title"))
+    return images.find_images(titles, f"{__name__}:_image_answer", _QUICK)
+
+
 # ── files in and out ────────────────────────────────────────────────────────
 
 
@@ -224,6 +246,16 @@ def read_tree(spark, sf_dir):
     return found.select("directory", F.concat_ws("/", "directory", "file_name").alias("path"), "raw")
 
 
+@query(PARSED + """ SELECT row_number() OVER (ORDER BY display_title, page_id) - 1 AS place, display_title AS title, revision_id AS revision FROM parsed WHERE redirect_target IS NULL AND markdown <> ''""")
+def index_document(spark, sf_dir):
+    """The index written as one array in order, and read back by place."""
+    p, path = fx.parsed_pages(spark, sf_dir), f"{_folder(spark)}/index.json"  # scans take names that begin with an underscore for hidden
+    entries = render.index_json(p.withColumn("display_title", F.concat("display_title", F.lit("\t"), F.format_string("%012d", "page_id"))))
+    files.write_json(entries, "entry", path, F.col("title"))
+    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", "array<struct<title:string,revision:bigint>>")).alias("place", "e"))
+    return whole.select(F.col("place").cast("long").alias("place"), F.substring_index("e.title", "\t", 1).alias("title"), "e.revision")
+
+
 @query("SELECT CASE doc_id % 10 WHEN 0 THEN '../x' || doc_id WHEN 1 THEN '/abs' || doc_id WHEN 2 THEN NULL ELSE 'd/' || doc_id || '.md' END AS path, CASE WHEN doc_id % 10 < 3 THEN 'outside' WHEN doc_id % 10 = 3 THEN 'no content' END AS error FROM documents")
 def export_results(spark, sf_dir):
     """A batch with bad paths and without contents: each has its error, the others are written."""

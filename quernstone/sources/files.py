@@ -6,6 +6,7 @@ import os
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -19,6 +20,8 @@ from ..functions.names import percent_decode
 #: Parts of names of images that are no pictures of the subject, and how many images of a page are looked at: fixed values.
 NO_PICTURE, IMAGES_TRIED = (".svg", "logo", "icon", "symbol"), 3
 LARGE_FILE = 20 << 20
+#: Files that a commit moves at a time.
+MOVES = 32
 #: Files that are uploaded by name, and folders that a manifest leaves out.
 UPLOADED = (".gitignore", "LICENSE", "README.md", "requirements.txt", "requirements-dev.txt")
 IGNORED = (".git", "__pycache__", ".pytest_cache", "node_modules", ".venv")
@@ -96,8 +99,8 @@ def read_markdown(spark: SparkSession, root: str, dirs: tuple[str, ...] | None =
 
 
 class _Done(WriterCommitMessage):
-    def __init__(self, files: int):
-        self.files = files
+    def __init__(self, folder: str):
+        self.folder = folder
 
 
 def inside(path: str | None) -> str:
@@ -128,6 +131,12 @@ def get(root: str, path: str) -> bytes:
         return f.read()
 
 
+def count_files(root: str, folder: str, ending: str) -> int:
+    """How many files of a folder below ``root`` end so; 0 if there is no such folder."""
+    fs, base = _file_system(root)
+    return sum(f.base_name.endswith(ending) for f in fs.get_file_info(pafs.FileSelector(f"{base}/{inside(folder)}", allow_not_found=True)))
+
+
 def remove(root: str, path: str) -> bool:
     """Delete a file below ``root``; whether it was there."""
     fs, base = _file_system(root)
@@ -146,17 +155,42 @@ def _file_system(root: str) -> tuple[pafs.FileSystem, str]:
 
 
 class FileWriter(DataSourceWriter):
-    """Writes rows (path, content) as files under a root; a file is complete or absent, and a retried task writes the same."""
+    """Writes rows (path, content) as files under a root, all of them or none.
+
+    Tasks write into folders of their own below a staging folder; when all have
+    succeeded, their files are moved to their places. After a failure nothing
+    is left, and what an attempt has written that did not count is dropped.
+    """
 
     def __init__(self, options: dict, overwrite: bool):
-        self.root = options["path"]
+        self.root, self.staging = options["path"], f".staging-{uuid.uuid4().hex}"
 
     def write(self, rows: Iterator) -> WriterCommitMessage:
-        n = 0
+        own = uuid.uuid4().hex
         for row in rows:
-            put(self.root, row["path"], row["content"])
-            n += 1
-        return _Done(n)
+            put(f"{self.root}/{self.staging}/{own}", row["path"], row["content"])
+        return _Done(own)
+
+    def commit(self, messages: list[_Done]) -> None:
+        fs, base = _file_system(self.root)
+
+        def move(path: str, to: str) -> None:
+            fs.create_dir(to.rsplit("/", 1)[0], recursive=True)
+            fs.move(path, to)
+
+        with ThreadPoolExecutor(MOVES) as pool:
+            for m in messages:
+                top = f"{base}/{self.staging}/{m.folder}"
+                found = fs.get_file_info(pafs.FileSelector(top, recursive=True, allow_not_found=True))
+                list(pool.map(lambda f: move(f.path, f"{base}/{f.path[len(top) + 1 :]}"), [f for f in found if f.type == pafs.FileType.File]))
+        self._drop(fs, base)
+
+    def abort(self, messages: list) -> None:
+        self._drop(*_file_system(self.root))
+
+    def _drop(self, fs: pafs.FileSystem, base: str) -> None:
+        if fs.get_file_info(f"{base}/{self.staging}").type == pafs.FileType.Directory:
+            fs.delete_dir(f"{base}/{self.staging}")
 
 
 class FilesSource(DataSource):
@@ -242,19 +276,53 @@ def clean_output(spark: SparkSession, root: str) -> None:
     hadoop(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop(root), True)
 
 
+def write_document(rows: DataFrame, column: str, path: str, *order: Column, head: str = "", between: str = "\n", tail: str = "\n") -> None:
+    """Texts of a column as one file, in order: ``head``, the texts with ``between`` between them, ``tail``.
+
+    Spark sorts by ranges and writes the ranges in parallel; the driver then
+    appends the parts to each other as streams of bytes. The file is complete
+    or as it was before.
+    """
+    spark, parts = rows.sparkSession, f"{path}.parts-{uuid.uuid4().hex}"
+    rows.orderBy(*order).select(column).write.option("lineSep", between).text(parts)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(conf)
+    found = sorted((s.getPath().getName(), s.getLen()) for s in fs.listStatus(hadoop(parts)))
+    found = [(n, size) for n, size in found if n.startswith("part-") and size]
+    out = fs.create(hadoop(f"{parts}/whole"))
+    out.write(bytearray(head.encode()))
+    for i, (name, size) in enumerate(found):
+        into = fs.open(hadoop(f"{parts}/{name}"))
+        jvm.org.apache.commons.io.IOUtils.copyLarge(into, out, 0, size - len(between.encode()) * (i == len(found) - 1))
+        into.close()
+    out.write(bytearray(tail.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    options[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    target = fs.makeQualified(hadoop(path))
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(fs.makeQualified(hadoop(f"{parts}/whole")), target, options)
+    fs.delete(hadoop(parts), True)
+
+
 def write_report(lines: DataFrame, path: str) -> None:
-    """(line_no, line) as one text file; reports are a few lines long."""
-    lines.orderBy("line_no").select("line").coalesce(1).write.mode("overwrite").text(path)
+    """(line_no, line) as one text file, however many lines there are."""
+    write_document(lines, "line", path, F.col("line_no"))
+
+
+def write_json(rows: DataFrame, column: str, path: str, *order: Column) -> None:
+    """JSON texts as one array."""
+    write_document(rows, column, path, *order, head="[\n", between=",\n", tail="\n]\n")
 
 
-def write_json(rows: DataFrame, column: str, path: str) -> None:
-    """JSON texts as a folder of lines, in parallel."""
-    rows.select(column).write.mode("overwrite").text(path)
+def is_picture(title: Column) -> Column:
+    """Whether an image's name may be a picture of the subject."""
+    return ~F.exists(F.lit(list(NO_PICTURE)), lambda s: F.contains(F.lower(title), s))
 
 
 def image_choice(page_image: Column, images: Column) -> Column:
     """The page's own image, else the first of its first three that is a picture; null if there is none."""
-    fits = F.filter(F.slice(images, 1, IMAGES_TRIED), lambda t: ~F.exists(F.lit(list(NO_PICTURE)), lambda s: F.contains(F.lower(t), s)))
+    fits = F.filter(F.slice(images, 1, IMAGES_TRIED), is_picture)
     return F.coalesce(F.nullif(page_image, F.lit("")), F.get(fits, F.lit(0)))
 
 

@@ -1,6 +1,7 @@
 """Names, filters, search, cards, merges, repair, files: worked examples."""
 
 import datetime
+import json
 
 import pytest
 import yaml
@@ -257,7 +258,8 @@ def test_crawl_by_command_line(spark, tmp_path, monkeypatch):
     assert (shown["成功爬取"], shown["失败"]) == ("11", "1")
     assert sorted(p.name for p in (tmp_path / "out/乐队").iterdir()) == [f"Band_{i}.md" for i in range(7)] + ["Overview.md"]
     assert "About Band 1." in (tmp_path / "out/乐队/Band_1.md").read_text()
-    assert len(list((tmp_path / "out").glob("_crawl_stats/part-*"))) == 1
+    assert json.loads((tmp_path / "out/_crawl_stats.json").read_text())["exported_files"] == 11
+    assert [x["title"] for x in json.loads((tmp_path / "out/_index.json").read_text())] == sorted([f"Band {i}" for i in range(7)] + ["Overview", "Song 0", "Song 1", "Song 2"])
     assert {(r["title"], r["error"]) for r in cli.cached_pages(spark, cache).where("status = 'failed'").collect()} == {("Song 3", "missing")}
     assert {r["action"]: r["n_pages"] for r in cli.update(spark, client, cache, settings).collect()} == {"unchanged": 11}
     pages = cli.cached_pages(spark, cache)

@@ -268,3 +268,62 @@ def test_empty_files_are_seen(spark, tmp_path):
 def test_small_tables_are_dealt_out(spark, sf_dir):
     counts = [r["count"] for r in fx.wiki_pages(spark, sf_dir).groupBy(F.spark_partition_id()).count().collect()]
     assert len(counts) == spark.sparkContext.defaultParallelism and max(counts) <= 2 * sum(counts) / len(counts)
+
+
+def listing_wiki(url):
+    """Listings of three pages; each request is noted, and the second page fails while ``broken`` is there."""
+    parts = urlsplit(url)
+    folder, mark = parts.path.rsplit("/", 1)[0], int(parse_qs(parts.query).get("pagefrom", ["1"])[0].split()[-1])
+    if mark == 2 and os.path.exists(f"{folder}/broken"):
+        return 404, {}, ""
+    with open(f"{folder}/log", "a") as f:
+        f.write(f"{parts.path.rsplit('/', 1)[1]} {mark}\n")
+    more = f'<a href="/x?pagefrom=m+{mark + 1}">下一页</a>' if mark < 3 else ""
+    return 200, {}, f'<div id="mw-pages"><ul><li><a title="P{mark}">p</a></li></ul></div>{more}'
+
+
+def test_a_listing_stream_goes_on_after_its_last_page(spark, tmp_path):
+    from quernstone.sources import listing, listing_stream
+
+    settings = C.Settings(base_url=str(tmp_path), rate_limit=0, jitter=0)
+
+    def run():
+        pages = listing_stream.stream_listings(spark, ["Category:A", "Category:B"], "tests.test_stores:listing_wiki", str(tmp_path / "state"), settings)
+        out = listing.members(pages).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).start()
+        try:
+            out.processAllAvailable()
+        finally:
+            out.stop()
+
+    (tmp_path / "broken").touch()
+    with pytest.raises(Exception, match="404"):
+        run()
+    assert sorted((tmp_path / "log").read_text().split("\n")[:-1]) == ["Category:A 1", "Category:B 1"]
+    (tmp_path / "broken").unlink()
+    run()
+    run()
+    asked = (tmp_path / "log").read_text().split("\n")[:-1]
+    assert sorted(asked) == [f"Category:{c} {i}" for c in "AB" for i in (1, 2, 3)]
+    rows = sorted((r["parent"], r["title"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert rows == [(f"Category:{c}", f"P{i}") for c in "AB" for i in (1, 2, 3)]
+
+
+def test_a_failed_write_leaves_nothing(spark, tmp_path):
+    rows = spark.createDataFrame([(f"d{i % 3}/f{i}.md", "x") for i in range(20)] + [("../bad.md", "x")], "path string, content string").repartition(4)
+    with pytest.raises(Exception, match="outside"):
+        files.write_files(rows, str(tmp_path / "root"))
+    assert [p for p in (tmp_path / "root").rglob("*")] == []
+    files.write_files(rows.where("path NOT LIKE '..%'"), str(tmp_path / "root"))
+    assert len([p for p in (tmp_path / "root").rglob("*.md")]) == 20 and not list((tmp_path / "root").glob(".staging*"))
+
+
+def test_documents_are_joined_in_order(spark, tmp_path):
+    lines = spark.range(5000).select(F.col("id").alias("line_no"), F.concat(F.lit("line "), F.col("id").cast("string")).alias("line")).repartition(7)
+    files.write_report(lines, f"{tmp_path}/report.txt")
+    assert (tmp_path / "report.txt").read_text() == "".join(f"line {i}\n" for i in range(5000))
+    files.write_json(lines.select("line_no", F.to_json(F.struct("line_no")).alias("j")), "j", f"{tmp_path}/a.json", F.col("line_no"))
+    files.write_json(lines.select("line_no", F.to_json(F.struct("line_no")).alias("j")), "j", f"{tmp_path}/a.json", F.col("line_no"))
+    assert [x["line_no"] for x in json.loads((tmp_path / "a.json").read_text())] == list(range(5000))
+    files.write_json(lines.limit(0), "line", f"{tmp_path}/none.json", F.col("line_no"))
+    assert json.loads((tmp_path / "none.json").read_text()) == []
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["a.json", "none.json", "report.txt"]
