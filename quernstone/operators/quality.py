@@ -91,7 +91,7 @@ def file_metrics(files: DataFrame) -> DataFrame:
     Empty files are flagged and have no other flag.
     """
     parts = fm.split_file(F.col("raw"))
-    f = files.withColumn("parts", parts).withColumn("body", F.col("parts.body")).withColumn("front", F.coalesce("parts.front", F.lit("")))
+    f = files.withColumn("parts", parts).withColumn("body", F.col("parts.body")).withColumn("front", F.coalesce("parts.front", F.lit(""))).withColumn("words", word_count(F.col("body")))
     empty = strip(F.col("raw")) == ""
     body, stripped = F.col("body"), strip(F.col("body"))
     plain = F.length(without_headings(body))
@@ -103,8 +103,8 @@ def file_metrics(files: DataFrame) -> DataFrame:
     return f.select(
         "path", "file_name", "directory",
         empty.alias("is_empty"),
-        word_count(body).alias("words"),
-        flag(word_count(body) < SHORT_WORDS).alias("is_short"),
+        "words",
+        flag(F.col("words") < SHORT_WORDS).alias("is_short"),
         flag(F.length(strip(without_first_h1(body))) < TITLE_ONLY).alias("is_title_only"),
         flag(plain < EMPTY_BODY).alias("is_empty_body"),
         flag(has(stripped, REFERENCE_HEADING) & (plain < REFERENCE_ONLY)).alias("is_reference_only"),
@@ -228,7 +228,3 @@ def llm_candidates(files: DataFrame, prompt: str = "{content}") -> DataFrame:
     before, after = prompt.split("{content}", 1)
     f = files.withColumn("p", fm.split_file(F.col("raw"))).withColumn("content", strip(F.col("p.body"))).where(F.length("content") >= LLM_LEAST)
     return f.select("path", F.coalesce("p.front", F.lit("")).alias("front"), "content", F.concat(F.lit(before), F.substring("content", 1, LLM_CHARS), F.lit(after)).alias("request"))
-
-
-def without_removed_categories(categories: Column) -> Column:
-    return F.filter(categories, lambda c: ~c.isin(*REMOVED_CATEGORIES))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import frontmatter as fm
 from ..functions.rules import java, strip
+from ..storage import materialize
 from . import quality
 
 RULE = "=" * 60
@@ -52,11 +53,11 @@ def _sized(n: Column) -> Column:
 
 def scan_report(files: DataFrame) -> DataFrame:
     """Empty, title-only and short files, leftover markup, copies, equal names, files by directory."""
-    m = quality.file_metrics(files)
+    m = materialize(quality.file_metrics(files), "metrics")  # all branches read what is measured once
     path, named = F.col("path"), quality.groups(m, "file_name")
     copies, left = quality.duplicate_totals(m), quality.residue(files).groupBy("path").agg(F.collect_list("pattern").alias("found"))
     order = F.array(*(F.lit(n) for n, _ in quality.RESIDUE))
-    left = left.select("path", F.filter(order, lambda n: F.array_contains("found", n)).alias("found"))
+    left = materialize(left.select("path", F.filter(order, lambda n: F.array_contains("found", n)).alias("found")), "left")
     edges = list(zip(quality.SHORT_EDGES[:-1], quality.SHORT_EDGES[1:], strict=True))
     counts = m.agg(
         F.count("*").alias("files"), F.count_if("is_empty").alias("empty"), F.count_if("is_title_only").alias("title_only"), F.count_if("is_short").alias("short"),
@@ -94,9 +95,9 @@ def scan_report(files: DataFrame) -> DataFrame:
 
 def deep_report(files: DataFrame) -> DataFrame:
     """Empty bodies, pages of references alone, wiki links, front-matter faults, cut texts, near-copies."""
-    m = quality.file_metrics(files)
+    m = materialize(quality.file_metrics(files), "metrics")
     path = F.col("path")
-    links = quality.wiki_links_left(files.join(m.where("NOT is_empty").select("path"), "path", "left_semi"))
+    links = materialize(quality.wiki_links_left(files.join(m.where("NOT is_empty").select("path"), "path", "left_semi")), "links")
     near = quality.groups(m, "fingerprint")
     one = m.agg(*(F.count_if(c).alias(c) for c in ("is_empty_body", "is_reference_only", "has_dangling", "is_truncated")))
     for extra in (links.agg(F.count("*").alias("links")), near.agg(F.count("*").alias("near"))):
@@ -120,7 +121,7 @@ def repair_log(files: DataFrame) -> DataFrame:
     """What the repair did: dashes removed, pages deleted, placeholders added."""
     title = F.regexp_extract(strip(fm.split_file(F.col("raw"))["body"]), java(r"(?m)^#\s+([^\n]+)"), 1)
     done = quality.repair(files).select("path", "raw", "action", "fixed_dashes").join(files.select("path", "file_name"), "path")
-    done = done.withColumn("title", F.coalesce(F.nullif(title, F.lit("")), F.col("file_name")))
+    done = materialize(done.select("path", "action", "fixed_dashes", F.coalesce(F.nullif(title, F.lit("")), F.col("file_name")).alias("title")), "done")
     path, deleted, added = F.col("path"), F.col("action") == "delete", F.col("action") == "placeholder"
     one = done.agg(F.count_if("fixed_dashes").alias("dashes"), F.count_if(deleted).alias("deleted"), F.count_if(added).alias("added"))
     head = [
