@@ -8,10 +8,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quernstone.llm import divergence, embeddings, queries, repair
+from quernstone.llm import decontaminate, divergence, embeddings, queries, repair
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -299,3 +300,41 @@ def test_planted_rows_by_queries_and_sql(spark, tmp_path):
         cols = sorted(got.columns)
         want = con.execute(f"SELECT {', '.join(cols)} FROM ({queries.oracle_sql()[name]})").fetchall()
         assert Counter(map(tuple, got.select(*cols).collect())) == Counter(want), name
+
+
+# ── 2 ───────────────────────────────────────────────────────────────────────
+
+
+@pytest.mark.parametrize(("letters", "window"), [(2, 13), (3, 5), (30, 13), (2, 1)])
+def test_automaton_over_word_numbers(letters, window):
+    """Few words make many failure links; long texts cross many lanes; items and texts share no words but by chance."""
+    rng = random.Random(letters)
+
+    def some(n):
+        return " ".join(f"w{rng.randrange(letters)}" for _ in range(n))
+
+    items = tuple((rng.choice([None, str(k)]), some(rng.choice([0, 1, 3, window, 40]))) for k in range(12))
+    texts = [some(n) for n in (0, 1, 2, 127, 128, 129, 1000)] + [None, "?!", some(500) + " other " + items[3][1].upper() + " Other"]
+    found = list(decontaminate.hits(pa.array(texts), decontaminate.automaton(items, window)))
+    for text, (n, spans, ids) in zip(texts, found, strict=True):
+        words = re.findall("[0-9a-z]+", (text or "").lower())
+        hit, expected = set(), set()
+        for item_id, item in items:
+            w = item.split()
+            size = min(window, len(w))
+            grams = {tuple(w[k : k + size]) for k in range(len(w) - size + 1)} if w else set()
+            at = [k for k in range(len(words) - size + 1) if tuple(words[k : k + size]) in grams]
+            hit.update(x for k in at for x in range(k, k + size))
+            expected.update([item_id] if at else [])
+        assert (n, {x for a, b in spans for x in range(a, b)}, ids) == (len(words), hit, expected)
+        assert all(b < c for (_, b), (c, _) in itertools.pairwise(spans))
+
+
+def test_automaton_is_small():
+    """A node takes 14 bytes, so a megabyte of items with no common windows takes less than 40 MB."""
+    rng = random.Random(3)
+    items = tuple((str(k), " ".join(f"{rng.randrange(30000):05x}" for _ in range(170))) for k in range(1000))
+    machine = decontaminate.automaton(items, 13)
+    assert sum(x.nbytes for x in machine if hasattr(x, "nbytes")) < 40e6
+    ((n, spans, ids),) = decontaminate.hits(pa.array([items[7][1] + " x " + items[9][1][6:]]), machine)
+    assert (n, spans, ids) == (340, [(0, 170), (171, 340)], {"7", "9"})
