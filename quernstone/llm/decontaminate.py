@@ -13,6 +13,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,7 +58,8 @@ class Automaton(NamedTuple):
     it takes 8 bytes, and a node 14 in all.
     """
 
-    numbers: dict[bytes, int]
+    #: the words of the items; a word's number is its place from 1
+    words: pa.Array
     #: parent * size + word of each node but the root; ends in a value above all
     edges: np.ndarray
     #: the root's child by word, 0 if it has none
@@ -126,7 +128,7 @@ def _automaton(items: Items, window: int) -> Automaton | None:
     longest = np.zeros(levels[-1], np.uint16 if window < 1 << 16 else np.int32)
     longest[node] = length
     edges = np.concatenate([*edges, [np.iinfo(np.int64).max]])
-    out = Automaton(numbers, edges, first, np.zeros(levels[-1], np.int32), longest, ending // len(items), (ending % len(items)).astype(np.int32), [i for i, _ in items], depth)
+    out = Automaton(pa.array(list(numbers), pa.large_binary()), edges, first, np.zeros(levels[-1], np.int32), longest, ending // len(items), (ending % len(items)).astype(np.int32), [i for i, _ in items], depth)
     for a, b in zip(levels[1:-1], levels[2:], strict=True):
         parent, word = np.divmod(edges[a - 1 : b - 1], size)
         out.fail[a:b] = out.step(out.fail[parent], word)
@@ -135,12 +137,11 @@ def _automaton(items: Items, window: int) -> Automaton | None:
 
 
 def _numbered(words: Words, machine: Automaton) -> np.ndarray:
-    """The number of each word, 0 if no item has it. Each different word is looked up once."""
+    """The number of each word, 0 if no item has it."""
     at = np.concatenate([[0], np.cumsum(words.end - words.start)])
     body = np.ascontiguousarray(words.data[words.data != 0])
-    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words.start), [None, pa.py_buffer(at), pa.py_buffer(body)]).dictionary_encode()
-    numbers = np.array([machine.numbers.get(w, 0) for w in coded.dictionary.to_pylist()], np.int64)
-    return numbers[coded.indices.to_numpy()]
+    own = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words.start), [None, pa.py_buffer(at), pa.py_buffer(body)])
+    return pc.fill_null(pc.index_in(own, machine.words), -1).to_numpy().astype(np.int64) + 1
 
 
 def _read(sequence: np.ndarray, machine: Automaton) -> tuple[np.ndarray, np.ndarray]:
