@@ -7,6 +7,8 @@ nested lists keep their indentation and definition lists are recognised.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ PLAIN_LINK = (r"\[\[([^\]|]+)\]\]", r"\1")
 BARE_URL_LINK = (r"\[(https?://[^\s\]]+)\s+\]", r"[\1](\1)")
 URL_LINK = (r"\[(https?://[^\s\]]+)\s+([^\]]*)\]", r"[\2](\1)")
 RULER = (r"(?m)^-{4,}$", "---")
-#: Marks around term and definition, so that white space at their ends can go.
+#: Marks around term and definition, so that white space at their ends can go; a text's own marks are kept apart by ``free_of_marks``.
 _TERM, _TERM_END, _MEANING_END = "\x02", "\x03", "\x04"
 DEFINITIONS = (
     (r"(?m)^;(.+?):\s*(.+)$", rf"{_TERM}\1{_TERM_END}\2{_MEANING_END}"),
@@ -53,6 +55,30 @@ HEADING_LEVELS = 9
 HEADINGS: tuple[Rule, ...] = tuple((rf"(?m)^={{{n}}}\s*(.+?)\s*={{{n}}}\s*$", rf"\n\n{'#' * n} \1\n\n".replace(r"\n", "\n")) for n in range(HEADING_LEVELS, 0, -1))
 
 
+#: The marks of definitions and sections, and the sign that stands before the digit of an escaped one.
+_MARKS, _ESCAPE = "\x01\x02\x03\x04", "\x05"
+_ESCAPED = tuple((mark, f"{_ESCAPE}{digit}") for digit, mark in enumerate(_ESCAPE + _MARKS))
+
+
+def free_of_marks(text: Column, work: Callable[[Column], Column], back: Callable[[Column, Callable[[Column], Column]], Column] = lambda made, plain: plain(made)) -> Column:
+    """``work`` done on ``text`` whose own mark characters are escaped meanwhile; ``back`` undoes the escapes in what comes out.
+
+    Texts without such characters, nearly all, are worked on as they are.
+    """
+
+    def escape(t: Column) -> Column:
+        for mark, written in _ESCAPED:
+            t = F.replace(t, F.lit(mark), F.lit(written))
+        return t
+
+    def plain(t: Column) -> Column:
+        for mark, written in reversed(_ESCAPED):
+            t = F.replace(t, F.lit(written), F.lit(mark))
+        return t
+
+    return let(text, lambda t: F.when(F.regexp_like(t, F.lit(r"[\x01-\x05]")), back(work(escape(t)), plain)).otherwise(work(t)))
+
+
 def remove_unwanted(text: Column) -> Column:
     return apply_rules(text, UNWANTED)
 
@@ -105,7 +131,7 @@ def convert_rulers(text: Column) -> Column:
 
 def convert_definitions(text: Column) -> Column:
     """``;term : definition`` lines."""
-    return apply_rules(text, DEFINITIONS)
+    return free_of_marks(text, lambda t: apply_rules(t, DEFINITIONS))
 
 
 def _rstrip_lines(text: Column) -> Column:
@@ -161,7 +187,7 @@ def _sections(markdown: Column, level: int) -> Column:
         first = F.filter(F.array(F.struct(none.alias("heading"), strip(F.get(parts, F.lit(0))).alias("text"))), lambda x: x["text"] != "")
         return F.concat(first, F.transform(F.slice(parts, F.lit(2), F.size(parts)), section))
 
-    parts = F.split(replace_all(markdown, rf"(?m)^({sign}.+)$", _MARK + r"\1"), _MARK, -1)
+    parts = free_of_marks(markdown, lambda md: F.split(replace_all(md, rf"(?m)^({sign}.+)$", _MARK + r"\1"), _MARK, -1), F.transform)
     whole = F.array(F.struct(none.alias("heading"), markdown.alias("text")))
     return let(let(parts, all_of), lambda found: F.when(F.size(found) > 0, found).otherwise(whole)).cast(_SECTIONS)
 

@@ -107,3 +107,16 @@ def test_invariants(spark, texts):
     for out in column(spark, texts, w.parse_markdown):
         assert "<!--" not in out or "-->" not in out.split("<!--", 1)[1]
         assert all(line == line.rstrip() for line in out.split("\n"))
+
+
+def test_control_characters_stay_in_place(spark):
+    """Characters that the rules use as marks are text like any other when a page holds them."""
+    texts = ["x\x02 y", "a \x03 b\x04", "; t\x02 : d\x03\n\x050\x05", "\x01\x01"]
+    assert column(spark, texts[:2] + texts[3:], w.convert_definitions) == texts[:2] + texts[3:]
+    assert column(spark, [";t\x02 : d\x03 \n\x050\x05"], w.convert_definitions) == ["**t\x02**: d\x03\n\x050\x05"]
+    assert column(spark, [";t : d \nx"], w.convert_definitions) == ["**t**: d\nx"]
+    plain = "before\n## A\none\n## B\ntwo"
+    marked = plain.replace("o", "o\x01\x054")
+    for level in (2, 3):
+        parts = [column(spark, [x], lambda c, n=level: w.split_by_heading(c, n))[0] for x in (plain, marked)]
+        assert [tuple(x and x.replace("o", "o\x01\x054") for x in p) for p in parts[0]] == [tuple(p) for p in parts[1]]
