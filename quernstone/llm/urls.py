@@ -19,6 +19,9 @@ WORDS_IN_BLOCK = 4
 #: it pass more, never less; the join stays exact.
 MOST_BLOCKS = 1 << 17
 RULES_PER_BLOCK = 16
+#: Bytes of hosts and paths up to which the rules go to all tasks; more are joined by a shuffle, in which a rule's URLs
+#: are dealt out to some parts, as ``net`` may stand above a third of all URLs.
+BROADCAST_BYTES, PARTS = 8 << 20, 16
 DEFAULT = "allow"
 
 
@@ -72,7 +75,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     listed = rules.where("host IS NOT NULL AND path IS NOT NULL").select(_key(F.col("host"), F.col("path")).alias("key"), F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), F.col("verdict").alias("rule_verdict"))
     # repeated rules: the strictest verdict ("block" after "allow" in code-point order)
     listed = listed.groupBy("key", "rule_host", "rule_path").agg(F.max("rule_verdict").alias("rule_verdict"))
-    seen = listed.agg(F.count("*").alias("n"), F.collect_set(F.length("rule_path")).alias("lengths")).first()
+    seen = listed.agg(F.count("*").alias("n"), F.sum(F.octet_length("key")).alias("bytes"), F.collect_set(F.length("rule_path")).alias("lengths")).first()
     blocks = max(1, min(MOST_BLOCKS, seen["n"] // RULES_PER_BLOCK))
     bloom = bloom_filter(listed, "key", blocks)
 
@@ -85,7 +88,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     keys = F.flatten(F.transform("parents", lambda h: F.transform("starts", lambda n: _key(h, F.substring(F.col("p"), F.lit(1), n)))))
     tries = urls.select("url", F.explode(keys).alias("key")).withColumn("block", _block(F.xxhash64("key"), blocks))
     possible = tries.join(F.broadcast(bloom), "block").where(_may_hold(F.col("key"))).select("url", "key")
-    exact = possible.join(listed, "key")
+    if (seen["bytes"] or 0) <= BROADCAST_BYTES:
+        exact = possible.join(F.broadcast(listed), "key")
+    else:
+        dealt = listed.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        exact = possible.withColumn("part", F.pmod(F.xxhash64("url"), F.lit(PARTS)).cast("int")).join(dealt, ["key", "part"])
     size = F.length("rule_host") + F.length("rule_path")
     best = exact.groupBy("url").agg(F.max(F.struct(size, F.length("rule_host"), "rule_host", "rule_path", "rule_verdict")).alias("best"))
     best = best.select(F.col("url").alias("judged_url"), F.concat("best.rule_host", "best.rule_path").alias("rule"), F.col("best.rule_verdict").alias("verdict"))
