@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize
+from .common import hashed, materialize
 
 #: Weights of the sources in code-point order, repeating; null comes last.
 WEIGHTS = (5, 2, 1)
@@ -226,12 +226,13 @@ def repeat_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     """
     copies = mix(docs, id_col, source_col, text_col=text_col).groupBy("id", "source", "key").agg(F.sum("copies").alias("all"), F.count("*").alias("n"))
     copies = materialize(copies, "copies")
+    n_copies = copies.count()
     repeated = not copies.where("n > 1").isEmpty()
     tail = "_" * (1 + max(map(len, docs.columns)))
     copies = copies.select(*(F.col(c).alias(f"{c}{tail}") for c in copies.columns)).where(F.col(f"all{tail}") > 0)
     own, i, src, key, n, k, times = (F.col(f"{x}{tail}") for x in ("own", "id", "source", "key", "n", "k", "times"))
     rows = docs.withColumn(f"own{tail}", F.xxhash64(text_col))
-    rows = rows.join(copies.hint("shuffle_hash"), F.col(id_col).eqNullSafe(i) & (own == key) & F.col(source_col).eqNullSafe(src))
+    rows = rows.join(hashed(copies, n_copies), F.col(id_col).eqNullSafe(i) & (own == key) & F.col(source_col).eqNullSafe(src))
     number = F.row_number().over(Window.partitionBy(id_col, f"own{tail}", source_col).orderBy(F.xxhash64(*docs.columns)))
     rows = rows.withColumn(f"k{tail}", F.when(n > 1, number).otherwise(1) if repeated else F.lit(1))
     rows = rows.withColumn(f"times{tail}", F.floor((F.col(f"all{tail}") + n - k) / n).cast("int")).where(times > 0)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch
+from .common import hashed, materialize, scratch
 from .words import FOLD, chunks, frugal, mix, words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -278,7 +278,7 @@ def _classes(slim: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
     pairs = shared.join(leaders, "key").where("rank != leader").select(F.col("node").alias("u"), F.col("leader.node").alias("v"))
     pairs = materialize(_once(pairs), "pairs")
     proposed = shared.select("node").distinct().join(nodes.select("node", "id", "text_hash"), "node").select("node", F.col("id").alias("own_id"), F.col("text_hash").alias("own_hash"))
-    texts = slim.join(proposed.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
+    texts = slim.join(hashed(proposed, rank.count()), F.col("id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
     texts = (texts.dropDuplicates(["own_id", "own_hash"]) if _repeats(signed) else texts).select("node", "text")
     multisets = materialize(_multisets(texts), "multisets")
     links = materialize(_verify(pairs, multisets, threshold), "links")
@@ -363,5 +363,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     of_class = found.where("class_node IS NOT NULL").groupBy("class_node").agg(F.min(F.struct("id", "text_hash")).alias("row")).select("row.id", "row.text_hash")
     alone = found.where("class_node IS NULL").select("id", "text_hash").distinct()
     kept = materialize(of_class.unionByName(alone).select(F.col("id").alias(own), F.col("text_hash").alias(own_hash)), "kept")
-    rows = docs.join(kept.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col(own)) & (F.xxhash64(text_col) == F.col(own_hash)))
+    rows = docs.join(hashed(kept, kept.count()), F.col(id_col).eqNullSafe(F.col(own)) & (F.xxhash64(text_col) == F.col(own_hash)))
     return (rows.dropDuplicates([own, own_hash]) if repeated else rows).select(*docs.columns)

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quernstone.llm import chat, decontaminate, langid, license_texts, licenses, mixing, neardup, quality, queries, repeats, sharding, urls
+from quernstone.llm import chat, common, decontaminate, langid, license_texts, licenses, mixing, neardup, quality, queries, repeats, sharding, urls
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 ODD_TEXTS = [None, "", " \n\t ", "!!! ???", "one", "a b c d e f g h i j k l m n o p", "é " * 30, "word " * 5000, "word " * 5000]
@@ -337,6 +337,11 @@ def test_sharding_query(spark, sf_dir):
         assert (r["size"], r["text_crc32"]) == (len(text[r["doc_id"]].encode()) + 1, zlib.crc32(text[r["doc_id"]].encode()))
     assert len(rows) == len(text) and set(by) <= set(range(16)) and all(len(s) == 1 for s in same.values())
     assert all(sorted(s) == list(range(len(s))) for s in by.values())
+    loads, groups = Counter(), Counter()
+    for r in rows:
+        loads[r["shard"]] += r["size"]
+        groups[text[r["doc_id"]]] += r["size"]
+    assert len(loads) == 16 and max(loads.values()) <= sum(loads.values()) / 16 + max(groups.values())  # no capacity needs more
 
 
 def test_sharding_odd_rows(spark):
@@ -430,6 +435,25 @@ def test_pivotal_rounding_is_fair_and_keeps_sums():
     assert np.allclose(total, 0.3 * size.sum()) and np.abs(mean - 0.3).max() < 0.05
 
 
+def test_repeated_rows_of_a_mix_do_not_depend_on_the_join(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i if i % 7 else None, prose(rng, rng.randrange(1, 60)), "en", rng.choice("abc"), 1) for i in range(200)]
+    docs = spark.createDataFrame(rows + rows[:50], DOC)
+    plain = Counter(mixing.repeat_rows(docs).collect())
+    monkeypatch.setattr(common, "HASH_ROWS", 0)
+    assert Counter(mixing.repeat_rows(docs).collect()) == plain
+
+
+def test_only_a_bounded_side_is_held_in_memory(spark, monkeypatch):
+    left, right = spark.range(10).withColumnRenamed("id", "a"), spark.range(10).withColumnRenamed("id", "b")
+    plan = lambda: left.hint("merge").join(common.hashed(right, 10), F.col("a") == F.col("b"))._jdf.queryExecution().sparkPlan().toString()
+    monkeypatch.setattr(common, "HASH_ROWS", 10)
+    assert "shuffle_hash" in common.hashed(right, 40)._jdf.queryExecution().logical().toString()
+    monkeypatch.setattr(common, "HASH_ROWS", 2)
+    assert "shuffle_hash" not in common.hashed(right, 10)._jdf.queryExecution().logical().toString()
+    assert "SortMergeJoin" in plan()
+
+
 def test_mix_odd_rows(spark):
     docs = odd_docs(spark)
     assert mixing.mix(docs).count() == docs.count()
@@ -441,7 +465,9 @@ def test_mix_odd_rows(spark):
 # ── 6 ───────────────────────────────────────────────────────────────────────
 
 
-def test_urls_against_brute_force(spark):
+@pytest.mark.parametrize("most", [0, urls.BROADCAST_BYTES])
+def test_urls_against_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(urls, "BROADCAST_BYTES", most)
     rng = random.Random(8)
     part = lambda: rng.choice("abc")
     rules = [(".".join(part() for _ in range(rng.randrange(1, 4))), "/" + "/".join(part() for _ in range(rng.randrange(3))), rng.choice(["block", "allow"])) for _ in range(300)]
@@ -607,7 +633,9 @@ def near_docs():
     return docs
 
 
-def test_near_duplicates_against_brute_force(spark):
+@pytest.mark.parametrize("rows", [0, common.HASH_ROWS])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, rows):
+    monkeypatch.setattr(common, "HASH_ROWS", rows)
     docs = near_docs()
     rows = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()
     assert {r["doc_id"]: r["class_id"] for r in rows} == brute_classes(docs)
