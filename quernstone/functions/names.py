@@ -114,7 +114,11 @@ def truncate(text: Column, most: int = 100) -> Column:
 
 
 def output_path(title: Column, directory: Column, root: str, suffix: Column | None = None, normalize: bool = True) -> Column:
-    name = sanitize_filename(title, normalize=normalize)
+    return named_path(sanitize_filename(title, normalize=normalize), directory, root, suffix)
+
+
+def named_path(name: Column, directory: Column, root: str, suffix: Column | None = None) -> Column:
+    """The path of a file whose ``name`` :func:`sanitize_filename` has given."""
     return F.concat(F.lit(root + "/"), directory, F.lit("/"), name if suffix is None else F.concat(name, suffix), F.lit(".md"))
 
 

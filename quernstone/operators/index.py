@@ -22,16 +22,19 @@ def bucket_of(directory: Column) -> Column:
 def build_index(files: DataFrame) -> DataFrame:
     """Entries from files (directory, file_name, path, raw): only directories of the index count.
 
-    dir_rank and file_name order equal scores.
+    dir_rank and file_name order equal scores. Front matter and preview come out
+    of a generator: filters on them stay above it and compute neither again,
+    filters on directories go below both.
     """
     dirs = F.lit(list(C.INDEX_DIRS))
     rows = files.where(F.col("directory").isin(*C.INDEX_DIRS) & F.endswith("file_name", F.lit(".md")))
     rows = rows.withColumn("parts", fm.split_file(F.col("raw"))).withColumn("front", fm.parse(F.col("parts.front")))
+    rows = rows.select("directory", "path", "file_name", "parts", F.inline(F.array(F.struct("front", fm.preview(F.col("parts.body")).alias("preview")))))
     return rows.select(
         F.coalesce("front.title", F.regexp_replace("file_name", r"\.md\z", "")).alias("title"),
         F.col("path").alias("filepath"),
         F.coalesce("front.categories", F.array().cast("array<string>")).alias("categories"),
-        fm.preview(F.col("parts.body")).alias("preview"),
+        "preview",
         bucket_of(F.col("directory")).alias("category_dir"),
         F.coalesce("front.image", F.lit("")).alias("image"),
         F.array_position(dirs, F.col("directory")).cast("int").alias("dir_rank"),

@@ -35,16 +35,18 @@ def render_files(pages: DataFrame, threshold: int = 5000, root: str = "output",
 
     ``pages`` has title, display_title, url, revision_id, updated, categories,
     redirect_target and markdown. ``plain_yaml`` keeps the front matter in the
-    JVM, for values that YAML does not quote.
+    JVM, for values that YAML does not quote. A name is made once for a page:
+    it comes out of a generator, above which filters on paths stay.
     """
-    p = pages.where("redirect_target IS NULL")
+    p = pages.where("redirect_target IS NULL").withColumn("file_stem", names.sanitize_filename(F.col("display_title"), normalize=normalize))
+    p = p.select(*pages.columns, F.explode(F.array("file_stem")).alias("file_stem"))
     p = p.withColumn("directory", directory if directory is not None else directory_of(F.col("categories")))
     chunks = split_long_pages(p, threshold if split else (1 << 31) - 1, skip_empty=True)
     dump = fm.dump_plain if plain_yaml else fm.dump
     front = dump(F.col("chunk_title"), F.col("url"), F.col("revision_id"), names.short_date(F.col("updated")), F.col("categories"))
     content = F.concat(F.lit("---\n"), front, F.lit("---\n\n# "), F.col("chunk_title"), F.lit("\n\n"), F.col("chunk_markdown"), F.lit("\n"))
     suffix = F.when(F.col("n_chunks") > 1, F.concat(F.lit("_"), F.col("chunk_no").cast("string"))).otherwise("")
-    path = names.output_path(F.col("display_title"), F.col("directory"), root, suffix, normalize)
+    path = names.named_path(F.col("file_stem"), F.col("directory"), root, suffix)
     return chunks.select("title", "chunk_no", "n_chunks", "directory", path.alias("path"), content.alias("content"))
 
 

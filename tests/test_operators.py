@@ -8,6 +8,7 @@ import yaml
 from pyspark.sql import functions as F
 
 from quernstone import config as C
+from quernstone import queries
 from quernstone.functions import frontmatter as fm
 from quernstone.functions import names
 from quernstone.operators import filters, graph, index, merge, quality, render, stats
@@ -331,3 +332,11 @@ def test_sqlite_round_trip(spark, tmp_path):
     assert {r["status"]: r["n_pages"] for r in stats.status_counts(sqlite.read_pages(spark, path)).collect()} == {"completed": 17, "failed": 3}
     sqlite.clean(path)
     assert sqlite.read_pages(spark, path).count() == 0
+
+
+def test_python_runs_once_for_each_value(spark, sf_dir):
+    """A search parses front matter once and names each page once; the bucket is picked before any of it is parsed."""
+    plan = queries.search_bucket(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2 and plan.count("parse(") == plan.count("_nfc(") == 1
+    lines = plan.split("\n")
+    assert next(i for i, x in enumerate(lines) if "Filter" in x and "角色" in x) > next(i for i, x in enumerate(lines) if "parse(" in x)
