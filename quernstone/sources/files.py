@@ -6,69 +6,131 @@ import os
 import re
 import uuid
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.window import Window
 
 from .. import config as C
-from ..functions.names import percent_decode
+from ..storage import materialize
 
 #: Parts of names of images that are no pictures of the subject, and how many images of a page are looked at: fixed values.
 NO_PICTURE, IMAGES_TRIED = (".svg", "logo", "icon", "symbol"), 3
 LARGE_FILE = 20 << 20
-#: Files that a commit moves at a time.
-MOVES = 32
+#: Names of staging folders begin so; the file in them that names the tasks' folders that count.
+STAGING, COUNTED = ".staging-", "counted"
+#: Files or folders for a task; rows of a batch of a listing; bytes of a batch of contents.
+DEALT, LISTED, READ_BYTES = 4096, 2048, 4 << 20
 #: Files that are uploaded by name, and folders that a manifest leaves out.
 UPLOADED = (".gitignore", "LICENSE", "README.md", "requirements.txt", "requirements-dev.txt")
 IGNORED = (".git", "__pycache__", ".pytest_cache", "node_modules", ".venv")
 
 
-class _Folder(InputPartition):
-    def __init__(self, path: str, deep: bool):
-        super().__init__(path)
-        self.path, self.deep = path, deep
+def _children(fs: pafs.FileSystem, folder: str) -> Iterator[tuple[str, bool]]:
+    """(name, is_folder) of what a folder holds: a stream where the file system is local, elsewhere what one request gives."""
+    if isinstance(fs, pafs.LocalFileSystem):
+        with os.scandir(folder) as found:
+            for f in found:
+                if f.is_dir() or f.is_file():
+                    yield f.name, f.is_dir()
+    else:
+        for f in fs.get_file_info(pafs.FileSelector(folder)):
+            if f.type in (pafs.FileType.Directory, pafs.FileType.File):
+                yield f.base_name, f.type == pafs.FileType.Directory
 
 
-class ListingReader(DataSourceReader):
-    """Names and sizes of the files of a tree: a task for each folder below the root, and one for the files in it."""
+def _below(fs: pafs.FileSystem, folder: str) -> Iterator[str]:
+    """The paths of all files below a folder, as a stream."""
+    for name, is_folder in _children(fs, folder):
+        if is_folder:
+            yield from (f"{name}/{p}" for p in _below(fs, f"{folder}/{name}"))
+        else:
+            yield name
 
-    def __init__(self, options: dict):
-        self.root = options["path"]
 
-    def partitions(self) -> list[InputPartition]:
-        fs, base = _file_system(self.root)
-        found = fs.get_file_info(pafs.FileSelector(base))
-        return [_Folder("", False), *(_Folder(f.base_name, True) for f in sorted(found, key=lambda f: f.path) if f.type == pafs.FileType.Directory)]
+def _deal(rows: DataFrame, n: int) -> DataFrame:
+    """``n`` rows dealt out evenly: tasks for all cores, more of them with more rows."""
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, -(-n // DEALT)))
 
-    def read(self, partition: _Folder) -> Iterator[tuple]:
-        fs, base = _file_system(self.root)
-        for f in fs.get_file_info(pafs.FileSelector(f"{base}/{partition.path}".rstrip("/"), recursive=partition.deep)):
-            if f.type == pafs.FileType.File:
-                yield (f.path[len(base) + 1 :], f.size)
 
+def _levels(spark: SparkSession, root: str, folders: list[str], deep: bool = True) -> list[tuple[DataFrame, int]]:
+    """(path, is_folder) of what lies in ``folders`` below ``root``, and so on down: a table for each level and its number of folders.
 
-class ListingSource(DataSource):
-    """``spark.read.format("quernstone_listing").load(root)``: path below the root and size of all files, empty ones included."""
+    Each level's folders are dealt out to tasks, which pass names on as they come: neither the driver nor a task holds a
+    tree, and there are no more tasks for many small folders than for one large.
+    """
 
-    @classmethod
-    def name(cls) -> str:
-        return "quernstone_listing"
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, base = _file_system(root)
+        rows: list[tuple[str, bool]] = []
+        for batch in batches:
+            for folder in batch["path"]:
+                for name, is_folder in _children(fs, f"{base}/{folder}".rstrip("/")):
+                    if not name.startswith(STAGING):
+                        rows.append((f"{folder}/{name}".lstrip("/"), is_folder))
+                    if len(rows) >= LISTED:
+                        yield pd.DataFrame(rows, columns=["path", "is_folder"])
+                        rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=["path", "is_folder"])
+
+    levels, above, n = [], spark.createDataFrame([(f,) for f in folders], "path string"), len(folders)
+    while n:
+        level = materialize(_deal(above, n).mapInPandas(run, "path string, is_folder boolean"), "listing")
+        above = level.where("is_folder").select("path")
+        n = above.count() if deep else 0
+        levels.append((level, n))
+    return levels
+
+
+def _files_of(levels: list[tuple[DataFrame, int]]) -> DataFrame:
+    """(path) of the files of all levels."""
+    rows = levels[0][0]
+    for level, _ in levels[1:]:
+        rows = rows.unionByName(level)
+    return rows.where("NOT is_folder").select("path")
 
-    def schema(self) -> str:
-        return "path string, size long"
 
-    def reader(self, schema) -> DataSourceReader:
-        return ListingReader(self.options)
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, size) of all files below ``root``, contents unread, empty ones included; names are taken when it is called, sizes when it is read."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, base = _file_system(root)
+        for batch in batches:
+            for i in range(0, len(batch), LISTED):
+                found = fs.get_file_info([f"{base}/{p}" for p in batch["path"][i : i + LISTED]])
+                rows = [(f.path[len(base) + 1 :], f.size) for f in found if f.type == pafs.FileType.File]
+                yield pd.DataFrame(rows, columns=["path", "size"]).astype({"size": "int64"})
 
+    names = _files_of(_levels(spark, root, [""]))
+    return _deal(names, names.count()).mapInPandas(run, "path string, size long")
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, size) of all files below ``root``, contents unread; Spark's own scans leave out files of no bytes."""
-    spark.dataSource.register(ListingSource)
-    return spark.read.format("quernstone_listing").load(root)
+
+def _contents(names: DataFrame, root: str) -> DataFrame:
+    """(path, raw) of files (path) below ``root``; batches end at ``READ_BYTES``, whatever the number of files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = _file_system(root)
+        paths, texts, size = [], [], 0
+        schema = pa.schema([("path", pa.string()), ("raw", pa.binary())])
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with fs.open_input_stream(f"{base}/{path}", compression=None) as f:
+                    text = f.read()
+                paths.append(path)
+                texts.append(text)
+                size += len(text) + len(path)
+                if size >= READ_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(texts, pa.binary())], schema=schema)
+                    paths, texts, size = [], [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(texts, pa.binary())], schema=schema)
+
+    return _deal(names, names.count()).mapInArrow(run, "path string, raw binary").select("path", F.col("raw").cast("string").alias("raw"))
 
 
 def read_markdown(spark: SparkSession, root: str, dirs: tuple[str, ...] | None = C.INDEX_DIRS) -> DataFrame:
@@ -76,25 +138,19 @@ def read_markdown(spark: SparkSession, root: str, dirs: tuple[str, ...] | None =
 
     With ``dirs`` only these folders count, without their sub-folders; those
     that are missing are left out, but a missing root is an error. With None
-    the whole tree is read. Empty files are rows with an empty text: scans
-    pass them over, so they are added from a listing.
+    the whole tree is read. Empty files are rows with an empty text. Names are
+    listed and dealt out first, so tasks are as many as the files need and the
+    driver holds no listing.
     """
-    schema = "path string, directory string, file_name string, raw string"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop(root)):
+    fs, base = _file_system(root)
+    if fs.get_file_info(base).type != pafs.FileType.Directory:
         raise FileNotFoundError(root)
-    paths = [root] if dirs is None else [f"{root}/{d}" for d in dirs if fs.exists(hadoop(f"{root}/{d}"))]
-    if not paths:
-        return spark.createDataFrame([], schema)
-    rows = spark.read.text(paths, wholetext=True, pathGlobFilter="*.md", recursiveFileLookup=dirs is None)
-    path = percent_decode(F.col("_metadata.file_path"))
-    rows = rows.select(F.regexp_replace(path, "^file:/+", "/").alias("path"), F.col("value").alias("raw"))
-    empty = list_files(spark, root).where((F.col("size") == 0) & F.endswith("path", F.lit(".md")))
-    if dirs is not None:
-        empty = empty.where(F.substring_index("path", "/", 1).isin(*dirs) & (F.size(F.split("path", "/")) == 2))
+    folders = [""] if dirs is None else [d for d in dirs if fs.get_file_info(f"{base}/{d}").type == pafs.FileType.Directory]
+    if not folders:
+        return spark.createDataFrame([], "path string, directory string, file_name string, raw string")
+    names = _files_of(_levels(spark, root, folders, deep=dirs is None)).where(F.endswith("path", F.lit(".md")))
     top = F.lit(re.sub("^file:/+", "/", root).rstrip("/") + "/")
-    rows = rows.unionByName(empty.select(F.concat(top, F.col("path")).alias("path"), F.lit("").alias("raw")))
+    rows = _contents(names, root).select(F.concat(top, F.col("path")).alias("path"), "raw")
     return rows.select("path", F.element_at(F.split("path", "/"), -2).alias("directory"), F.substring_index("path", "/", -1).alias("file_name"), "raw")
 
 
@@ -155,46 +211,46 @@ def _file_system(root: str) -> tuple[pafs.FileSystem, str]:
 
 
 class FileWriter(DataSourceWriter):
-    """Writes rows (path, content) as files under a root, all of them or none.
+    """Writes rows (path, content) as files into the staging folder that ``write_files`` names, each task into a folder of its own.
 
-    Tasks write into folders of their own below a staging folder; when all have
-    succeeded, their files are moved to their places. After a failure nothing
-    is left, and what an attempt has written that did not count is dropped.
+    When all have succeeded, the folders that count are named in ``COUNTED``;
+    after a failure nothing is left.
     """
 
     def __init__(self, options: dict, overwrite: bool):
-        self.root, self.staging = options["path"], f".staging-{uuid.uuid4().hex}"
+        self.staging = options["path"]
 
     def write(self, rows: Iterator) -> WriterCommitMessage:
         own = uuid.uuid4().hex
+        fs, base = _file_system(f"{self.staging}/{own}")
+        made = _maker(fs)
         for row in rows:
-            put(f"{self.root}/{self.staging}/{own}", row["path"], row["content"])
+            full = f"{base}/{inside(row['path'])}"
+            made(full.rsplit("/", 1)[0])
+            with fs.open_output_stream(full, compression=None) as f:
+                f.write(row["content"].encode())
         return _Done(own)
 
     def commit(self, messages: list[_Done]) -> None:
-        fs, base = _file_system(self.root)
+        put(self.staging, COUNTED, "\n".join(m.folder for m in messages))
+
+    def abort(self, messages: list) -> None:
+        _drop(self.staging)
 
-        def move(path: str, to: str) -> None:
-            fs.create_dir(to.rsplit("/", 1)[0], recursive=True)
-            fs.move(path, to)
 
-        with ThreadPoolExecutor(MOVES) as pool:
-            for m in messages:
-                top = f"{base}/{self.staging}/{m.folder}"
-                found = fs.get_file_info(pafs.FileSelector(top, recursive=True, allow_not_found=True))
-                list(pool.map(lambda f: move(f.path, f"{base}/{f.path[len(top) + 1 :]}"), [f for f in found if f.type == pafs.FileType.File]))
-        self._drop(fs, base)
+def _maker(fs: pafs.FileSystem) -> Callable[[str], None]:
+    """Makes folders, none twice in a row."""
+    return lru_cache(maxsize=256)(lambda folder: fs.create_dir(folder, recursive=True))
 
-    def abort(self, messages: list) -> None:
-        self._drop(*_file_system(self.root))
 
-    def _drop(self, fs: pafs.FileSystem, base: str) -> None:
-        if fs.get_file_info(f"{base}/{self.staging}").type == pafs.FileType.Directory:
-            fs.delete_dir(f"{base}/{self.staging}")
+def _drop(folder: str) -> None:
+    fs, base = _file_system(folder)
+    if fs.get_file_info(base).type == pafs.FileType.Directory:
+        fs.delete_dir(base)
 
 
 class FilesSource(DataSource):
-    """``df.write.format("quernstone_files").save(root)`` for (path, content); the root is a folder that all executors share."""
+    """``df.write.format("quernstone_files").save(staging)`` for (path, content); the folder is one that all executors share."""
 
     @classmethod
     def name(cls) -> str:
@@ -208,9 +264,38 @@ class FilesSource(DataSource):
 
 
 def write_files(files: DataFrame, root: str) -> None:
-    """Write (path, content), each path below ``root``."""
-    files.sparkSession.dataSource.register(FilesSource)
-    files.select("path", "content").write.format("quernstone_files").mode("append").save(root)
+    """Write (path, content), each path below ``root``: none of them if a task fails.
+
+    Tasks write below a staging folder; when all have succeeded, tasks again
+    move what they wrote to its place. What an attempt has written that did
+    not count is dropped.
+    """
+    spark, staging = files.sparkSession, f"{root.rstrip('/')}/{STAGING}{uuid.uuid4().hex}"
+
+    def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, base = _file_system(root)
+        made = _maker(fs)
+        for batch in batches:
+            for own in batch["own"]:
+                top, n = f"{_file_system(staging)[1]}/{own}", 0
+                for path in _below(fs, top) if fs.get_file_info(top).type == pafs.FileType.Directory else ():
+                    made(f"{base}/{path}".rsplit("/", 1)[0])
+                    try:
+                        fs.move(f"{top}/{path}", f"{base}/{path}")
+                    except FileNotFoundError:  # another attempt of this task was first
+                        if fs.get_file_info(f"{base}/{path}").type != pafs.FileType.File:
+                            raise
+                    n += 1
+                _drop(f"{staging}/{own}")
+                yield pd.DataFrame({"own": [own], "n": [n]})
+
+    spark.dataSource.register(FilesSource)
+    try:
+        files.select("path", "content").write.format("quernstone_files").mode("append").save(staging)
+        own = get(staging, COUNTED).decode().split("\n")
+        spark.createDataFrame([(o,) for o in own], "own string").repartition(len(own)).mapInPandas(move, "own string, n long").agg(F.sum("n")).collect()
+    finally:
+        _drop(staging)
 
 
 def export_files(files: DataFrame, root: str) -> DataFrame:
@@ -272,6 +357,24 @@ def download_images(wanted: DataFrame, client: str, root: str) -> DataFrame:
 
 
 def clean_output(spark: SparkSession, root: str) -> None:
+    """Delete a tree: its files by tasks, then its folders, the deepest first; the driver deletes what is left of it, an empty folder."""
+    fs, base = _file_system(root)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, top = _file_system(root)
+        for batch in batches:
+            for path, is_folder in zip(batch["path"], batch["is_folder"], strict=True):
+                try:
+                    (own.delete_dir if is_folder else own.delete_file)(f"{top}/{path}")
+                except FileNotFoundError:  # by an earlier attempt
+                    pass
+            yield batch[["path"]]
+
+    if fs.get_file_info(base).type == pafs.FileType.Directory:
+        for level, n in reversed(_levels(spark, root, [""])):
+            for kind in (~F.col("is_folder"), F.col("is_folder")):
+                gone = level.where(kind)
+                _deal(gone, gone.count()).mapInPandas(run, "path string").agg(F.count("*")).collect()
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     hadoop(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop(root), True)
 
@@ -279,12 +382,12 @@ def clean_output(spark: SparkSession, root: str) -> None:
 def write_document(rows: DataFrame, column: str, path: str, *order: Column, head: str = "", between: str = "\n", tail: str = "\n") -> None:
     """Texts of a column as one file, in order: ``head``, the texts with ``between`` between them, ``tail``.
 
-    Spark sorts by ranges and writes the ranges in parallel; the driver then
-    appends the parts to each other as streams of bytes. The file is complete
-    or as it was before.
+    Rows are made once, then Spark sorts them by ranges, for which it reads them
+    twice, and writes the ranges in parallel; the driver then appends the parts
+    to each other as streams of bytes. The file is complete or as it was before.
     """
     spark, parts = rows.sparkSession, f"{path}.parts-{uuid.uuid4().hex}"
-    rows.orderBy(*order).select(column).write.option("lineSep", between).text(parts)
+    materialize(rows, "unsorted").orderBy(*order).select(column).write.option("lineSep", between).text(parts)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     hadoop = jvm.org.apache.hadoop.fs.Path
     fs = hadoop(path).getFileSystem(conf)
@@ -315,6 +418,19 @@ def write_json(rows: DataFrame, column: str, path: str, *order: Column) -> None:
     write_document(rows, column, path, *order, head="[\n", between=",\n", tail="\n]\n")
 
 
+def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(place, value) of an array that :func:`write_json` wrote, from place 0; a line is an element, so that tasks read parts of the file.
+
+    Lines are numbered within each part of the file, and parts by the lines before them.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_block_start").alias("part"))
+    lines = materialize(lines.where("value NOT IN ('[', ']', '')").withColumn("id", F.monotonically_increasing_id()), "lines")
+    parts = lines.groupBy("part").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = lines.join(F.broadcast(parts.select("part", "first", before.alias("before"))), "part")  # a row for each block of the file
+    return rows.select((F.col("id") - F.col("first") + F.col("before")).alias("place"), F.from_json(F.regexp_replace("value", ",$", ""), schema).alias("value"))
+
+
 def is_picture(title: Column) -> Column:
     """Whether an image's name may be a picture of the subject."""
     return ~F.exists(F.lit(list(NO_PICTURE)), lambda s: F.contains(F.lower(title), s))

@@ -327,3 +327,77 @@ def test_documents_are_joined_in_order(spark, tmp_path):
     files.write_json(lines.limit(0), "line", f"{tmp_path}/none.json", F.col("line_no"))
     assert json.loads((tmp_path / "none.json").read_text()) == []
     assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["a.json", "none.json", "report.txt"]
+
+
+def _tree(root, paths):
+    for p in paths:
+        (root / p).parent.mkdir(parents=True, exist_ok=True)
+        (root / p).write_text("x" * len(p))
+
+
+def test_many_small_folders_make_few_tasks(spark, tmp_path):
+    paths = {f"d{i}/a.py" for i in range(300)} | {"top.txt", "d1/e/f/deep.txt"}
+    _tree(tmp_path, paths)
+    found = files.list_files(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert {(r["path"], r["size"]) for r in found.collect()} == {(p, len(p)) for p in paths}
+
+
+def test_files_of_one_folder_are_dealt_out(spark, tmp_path):
+    _tree(tmp_path, [f"output/f{i}.txt" for i in range(200)])
+    found = files.list_files(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(found) == spark.sparkContext.defaultParallelism and max(r["count"] for r in found) < 100
+
+
+def test_reading_many_files_makes_few_tasks(spark, tmp_path):
+    names = [f"f{i}.md" for i in range(198)] + [".dotted.md", "100%41 + b.md"]  # scans of Spark take a dotted name for hidden
+    _tree(tmp_path, [f"角色/{n}" for n in names])
+    for found in (files.read_markdown(spark, str(tmp_path), None), files.read_markdown(spark, str(tmp_path))):
+        assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+        assert sorted(map(tuple, found.collect())) == sorted((f"{tmp_path}/角色/{n}", "角色", n, "x" * (len(n) + 3)) for n in names)
+
+
+def test_a_tree_is_deleted_by_tasks(spark, tmp_path):
+    _tree(tmp_path, ["out/a/b/c.md", "out/a/d.txt", "out/e.md", "kept.md"])
+    (tmp_path / "out/empty").mkdir()
+    tracker, group = spark.sparkContext.statusTracker(), "deleting"
+    spark.sparkContext.setJobGroup(group, group)
+    files.clean_output(spark, f"{tmp_path}/out")
+    files.clean_output(spark, f"{tmp_path}/out")
+    jobs = tracker.getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("other", "other")
+    assert jobs and [p.name for p in tmp_path.iterdir()] == ["kept.md"]
+
+
+def test_a_json_document_is_read_back_in_parts(spark, tmp_path):
+    rows = spark.range(3000).select("id", F.to_json(F.struct("id", F.repeat(F.lit("é,\n"), (F.col("id") % 40).cast("int")).alias("t"))).alias("j")).repartition(7)
+    files.write_json(rows, "j", f"{tmp_path}/a.json", F.desc("id"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        back = files.read_json(spark, f"{tmp_path}/a.json", "id long, t string")
+        assert spark.read.text(f"{tmp_path}/a.json").rdd.getNumPartitions() > 4
+        got = sorted((r["place"], r["value"]["id"], r["value"]["t"]) for r in back.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [(i, 2999 - i, "é,\n" * ((2999 - i) % 40)) for i in range(3000)]
+    files.write_json(rows.limit(0), "j", f"{tmp_path}/none.json", F.col("id"))
+    assert files.read_json(spark, f"{tmp_path}/none.json", "id long").count() == 0
+
+
+def _runs(spark):
+    """An accumulator and a column function that adds to it for each row."""
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        runs.add(1)
+        return text
+
+    return runs, counted
+
+
+def test_a_document_makes_its_rows_once(spark, tmp_path):
+    runs, counted = _runs(spark)
+    files.write_json(spark.range(0, 100, 1, 5).select("id", F.to_json(F.struct(counted(F.col("id").cast("string")).alias("x"))).alias("j")), "j", f"{tmp_path}/a.json", F.col("id"))
+    assert runs.value == 100
