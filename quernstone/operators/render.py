@@ -63,8 +63,13 @@ def export_counts(pages: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def index_rows(pages: DataFrame) -> DataFrame:
-    """Entries of the index document: no redirects, no empty pages; a missing date stays as null."""
-    p = pages.where("redirect_target IS NULL AND markdown IS NOT NULL AND markdown <> ''")
+    """Entries of the index document: no redirects, no empty pages; a missing date stays as null.
+
+    Empty pages are left out by a generator: a filter would go below what makes the text, and make it once for each
+    mention besides.
+    """
+    p = pages.where("redirect_target IS NULL")
+    p = p.select("display_title", "url", "categories", "revision_id", "updated", F.explode(F.filter(F.array(F.length("markdown")), lambda n: n > 0)).alias("n_chars"))
     return p.select(
         F.col("display_title").alias("title"), "url", "categories", F.col("revision_id").alias("revision"),
         names.short_date(F.col("updated")).alias("updated"), directory_of(F.col("categories")).alias("directory"),

@@ -252,8 +252,8 @@ def index_document(spark, sf_dir):
     p, path = fx.parsed_pages(spark, sf_dir), f"{_folder(spark)}/index.json"  # scans take names that begin with an underscore for hidden
     entries = render.index_json(p.withColumn("display_title", F.concat("display_title", F.lit("\t"), F.format_string("%012d", "page_id"))))
     files.write_json(entries, "entry", path, F.col("title"))
-    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", "array<struct<title:string,revision:bigint>>")).alias("place", "e"))
-    return whole.select(F.col("place").cast("long").alias("place"), F.substring_index("e.title", "\t", 1).alias("title"), "e.revision")
+    found = files.read_json(spark, path, "title string, revision bigint")
+    return found.select("place", F.substring_index("value.title", "\t", 1).alias("title"), "value.revision")
 
 
 @query("SELECT CASE doc_id % 10 WHEN 0 THEN '../x' || doc_id WHEN 1 THEN '/abs' || doc_id WHEN 2 THEN NULL ELSE 'd/' || doc_id || '.md' END AS path, CASE WHEN doc_id % 10 < 3 THEN 'outside' WHEN doc_id % 10 = 3 THEN 'no content' END AS error FROM documents")

@@ -120,3 +120,18 @@ def test_control_characters_stay_in_place(spark):
     for level in (2, 3):
         parts = [column(spark, [x], lambda c, n=level: w.split_by_heading(c, n))[0] for x in (plain, marked)]
         assert [tuple(x and x.replace("o", "o\x01\x054") for x in p) for p in parts[0]] == [tuple(p) for p in parts[1]]
+
+
+def test_pages_are_parsed_once_for_the_index_document(spark):
+    from quernstone.operators import render
+
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def parse(text):
+        runs.add(1)
+        return text
+
+    pages = spark.range(0, 40, 1, 2).select(F.lit("t").alias("display_title"), F.lit("u").alias("url"), F.array(F.lit("c")).alias("categories"), F.col("id").alias("revision_id"), F.lit("2026-01-02").alias("updated"),
+                                            F.lit(None).cast("string").alias("redirect_target"), parse(F.when(F.col("id") > 3, F.when(F.col("id") > 7, "x").otherwise(""))).alias("markdown"))
+    assert len(render.index_rows(pages).collect()) == 32 and runs.value == 40
