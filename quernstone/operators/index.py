@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from .. import config as C
 from ..functions import frontmatter as fm
 from ..functions.rules import strip
+from ..storage import materialize
 
 SUMMARY_MARK = "简介"
 DETAIL_SCORE = 20
@@ -115,9 +116,9 @@ def image_candidates(entries: DataFrame) -> DataFrame:
 def resolve_images(entries: DataFrame, images: DataFrame) -> DataFrame:
     """(title, category_dir, image): the first candidate in ``images`` (path), empty if none is there."""
     listed = images.select(F.col("path").alias("candidate")).distinct()
-    best = image_candidates(entries.select("title", "category_dir").distinct()).join(listed, "candidate")
+    keys = materialize(entries.select("title", "category_dir").distinct(), "keys")
+    best = image_candidates(keys).join(listed, "candidate")
     best = best.groupBy("title", "category_dir").agg(F.min_by("candidate", "image_rank").alias("image"))
-    keys = entries.select("title", "category_dir").distinct()
     return keys.join(best, ["title", "category_dir"], "left").withColumn("image", F.coalesce("image", F.lit("")))
 
 

@@ -401,3 +401,11 @@ def test_a_document_makes_its_rows_once(spark, tmp_path):
     runs, counted = _runs(spark)
     files.write_json(spark.range(0, 100, 1, 5).select("id", F.to_json(F.struct(counted(F.col("id").cast("string")).alias("x"))).alias("j")), "j", f"{tmp_path}/a.json", F.col("id"))
     assert runs.value == 100
+
+
+def test_images_are_resolved_with_entries_made_once(spark):
+    runs, counted = _runs(spark)
+    entries = spark.range(50).select(counted(F.concat(F.lit("t"), F.col("id").cast("string"))).alias("title"), F.lit("角色").alias("category_dir"))
+    found = index.resolve_images(entries, spark.createDataFrame([("images/character/t7.png",)], "path string"))
+    assert {(r["title"], r["image"]) for r in found.where("image <> ''").collect()} == {("t7", "images/character/t7.png")} and found.count() == 50
+    assert runs.value == 50
