@@ -9,6 +9,7 @@ feeds only, there are no back references and no look-around.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,6 +37,17 @@ def apply_rules(col: Column, rules: tuple[Rule, ...]) -> Column:
     return col
 
 
+def apply_needed(col: Column, rules: tuple[Rule, ...], needed: dict[Rule, str]) -> Column:
+    """:func:`apply_rules`; a rule is left out for texts without the characters that all its matches hold, as ``needed`` says."""
+
+    def one(rule: Rule) -> Callable[[Column], Column]:
+        return lambda t: F.when(F.contains(t, F.lit(needed[rule])), replace_all(t, *rule)).otherwise(t)
+
+    for rule in rules:
+        col = let(col, one(rule)) if rule in needed else replace_all(col, *rule)
+    return col
+
+
 def quote(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -50,17 +62,21 @@ def sql_rules(text: str, rules: tuple[Rule, ...]) -> str:
     return text
 
 
+#: All white space of Unicode, which is what ``(?U)\\s`` matches; trimming looks at a text's ends only, a pattern at all of it.
+SPACE = "\t\n\v\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(col: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(col, F.lit(r"(?U)^\s+|\s+\z"), F.lit(""))
+    return F.btrim(col, F.lit(SPACE))
 
 
 def lstrip(col: Column) -> Column:
-    return F.regexp_replace(col, F.lit(r"(?U)^\s+"), F.lit(""))
+    return F.ltrim(col, F.lit(SPACE))
 
 
 def rstrip(col: Column) -> Column:
-    return F.regexp_replace(col, F.lit(r"(?U)\s+\z"), F.lit(""))
+    return F.rtrim(col, F.lit(SPACE))
 
 
 #: White space for RE2, whose ``\\s`` is ASCII only.

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import REDIRECT
-from .rules import Rule, apply_rules, java, let, lstrip, quote, replace_all, rstrip, sql_lstrip, sql_replace, sql_rstrip, sql_rules, sql_strip, strip
+from .rules import Rule, apply_needed, apply_rules, java, let, lstrip, quote, replace_all, rstrip, sql_lstrip, sql_replace, sql_rstrip, sql_rules, sql_strip, strip
 
 # The patterns of the markup.
 COMMENT = (r"(?s)<!--.*?-->", "")
@@ -53,6 +53,12 @@ LINKS: tuple[Rule, ...] = (NAMESPACE_LINK, PIPED_LINK, PLAIN_LINK, BARE_URL_LINK
 #: Headings have one rule for each level, the deepest first; beyond these levels rules are made for the levels that a text has.
 HEADING_LEVELS = 9
 HEADINGS: tuple[Rule, ...] = tuple((rf"(?m)^={{{n}}}\s*(.+?)\s*={{{n}}}\s*$", rf"\n\n{'#' * n} \1\n\n".replace(r"\n", "\n")) for n in range(HEADING_LEVELS, 0, -1))
+#: What every match of a rule holds: most lines of a page have no markup, and to look for a word costs little.
+NEEDED: dict[Rule, str] = (
+    {COMMENT: "<!--", REF_PAIR: "<ref", REF_SINGLE: "<ref", INVOKE: "{{#", TEMPLATE: "{{", TABLE: "{|", ATTRIBUTE: "|", HTML_TAG: "<", BOLD: "'''", ITALIC: "''", RULER: "----", BLANK_LINES: "\n\n\n"}
+    | dict.fromkeys((CATEGORY_LINK, FILE_LINK, NAMESPACE_LINK, PIPED_LINK, PLAIN_LINK), "[[") | dict.fromkeys((BARE_URL_LINK, URL_LINK), "[http")
+    | {DEFINITIONS[0]: ";"} | {rule: "=" * n for rule, n in zip(HEADINGS, range(HEADING_LEVELS, 0, -1), strict=True)}
+)
 
 
 #: The marks of definitions and sections, and the sign that stands before the digit of an escaped one.
@@ -80,15 +86,15 @@ def free_of_marks(text: Column, work: Callable[[Column], Column], back: Callable
 
 
 def remove_unwanted(text: Column) -> Column:
-    return apply_rules(text, UNWANTED)
+    return apply_needed(text, UNWANTED, NEEDED)
 
 
 def convert_emphasis(text: Column) -> Column:
-    return apply_rules(text, EMPHASIS)
+    return apply_needed(text, EMPHASIS, NEEDED)
 
 
 def convert_links(text: Column) -> Column:
-    return apply_rules(text, LINKS)
+    return apply_needed(text, LINKS, NEEDED)
 
 
 def convert_lists(text: Column, strict: bool = True) -> Column:
@@ -100,7 +106,7 @@ def convert_lists(text: Column, strict: bool = True) -> Column:
         marks = F.regexp_extract(own, item, 1)
         indent = F.repeat(F.lit("  "), F.length(marks) - 1)
         sign = F.when(F.contains(marks, F.lit("#")), "1. ").when(F.contains(marks, F.lit("*")), "- ").otherwise("")
-        fits = F.regexp_like(own, F.lit(item))
+        fits = F.substring(own, 1, 1).isin(*"*#;:") & F.regexp_like(own, F.lit(item))
         if not strict:
             fits = fits & ~F.regexp_like(own, F.lit(r"^(\*\*[^*\s]|\*[^*\s]+\*|;.+:)"))
         return F.when(fits, F.concat(indent, sign, strip(F.regexp_extract(own, item, 2)))).otherwise(raw)
@@ -122,16 +128,23 @@ def convert_headings(text: Column) -> Column:
         return F.aggregate(F.sequence(longest, F.lit(HEADING_LEVELS + 1), F.lit(-1)), t, one)
 
     deep = let(text, lambda t: F.when(F.contains(t, F.lit("=" * (HEADING_LEVELS + 1))), deeper(t)).otherwise(t))
-    return apply_rules(deep, HEADINGS)
+    return apply_needed(deep, HEADINGS, NEEDED)
 
 
 def convert_rulers(text: Column) -> Column:
-    return apply_rules(text, (RULER,))
+    return apply_needed(text, (RULER,), NEEDED)
 
 
 def convert_definitions(text: Column) -> Column:
-    """``;term : definition`` lines."""
-    return free_of_marks(text, lambda t: apply_rules(t, DEFINITIONS))
+    """``;term : definition`` lines. Marks and the white space at them are on one line, so only lines with a mark are looked at again."""
+
+    def line(one: Column) -> Column:
+        return F.when(F.contains(one, F.lit(_TERM)), apply_rules(one, DEFINITIONS[1:])).otherwise(one)
+
+    def work(t: Column) -> Column:
+        return let(apply_needed(t, DEFINITIONS[:1], NEEDED), lambda m: F.when(F.contains(m, F.lit(_TERM)), F.array_join(F.transform(F.split(m, "\n", -1), line), "\n")).otherwise(m))
+
+    return free_of_marks(text, work)
 
 
 def _rstrip_lines(text: Column) -> Column:
@@ -140,7 +153,7 @@ def _rstrip_lines(text: Column) -> Column:
 
 def tidy(text: Column, strict: bool = True) -> Column:
     """Collapse blank lines, drop leading blanks, empty items and blanks at line ends."""
-    text = apply_rules(text, (BLANK_LINES, LEADING_BLANKS, EMPTY_ITEM) if strict else (BLANK_LINES, EMPTY_ITEM))
+    text = apply_needed(text, (BLANK_LINES, LEADING_BLANKS, EMPTY_ITEM) if strict else (BLANK_LINES, EMPTY_ITEM), NEEDED)
     return strip(_rstrip_lines(text))
 
 
@@ -156,7 +169,7 @@ FALLBACK: tuple[Rule, ...] = (COMMENT, REF_PAIR, REF_SINGLE, CATEGORY_LINK, FILE
 
 
 def fallback_clean(text: Column) -> Column:
-    return strip(apply_rules(text, FALLBACK))
+    return strip(apply_needed(text, FALLBACK, NEEDED))
 
 
 # ── sections ────────────────────────────────────────────────────────────────

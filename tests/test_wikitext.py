@@ -122,6 +122,30 @@ def test_control_characters_stay_in_place(spark):
         assert [tuple(x and x.replace("o", "o\x01\x054") for x in p) for p in parts[0]] == [tuple(p) for p in parts[1]]
 
 
+def test_trimming_takes_the_white_space_that_a_pattern_takes(spark):
+    from quernstone.functions.rules import lstrip, rstrip, strip
+
+    texts = spark.createDataFrame([(f"{chr(c)}\n a {chr(c)} b\u3000{chr(c)}",) for c in range(1, 0xD800)] + [("",), (" \u2028",), (None,)], "t string")
+    same = [strip(F.col("t")).eqNullSafe(F.regexp_replace("t", F.lit(r"(?U)^\s+|\s+\z"), F.lit(""))), lstrip(F.col("t")).eqNullSafe(F.regexp_replace("t", F.lit(r"(?U)^\s+"), F.lit(""))),
+            rstrip(F.col("t")).eqNullSafe(F.regexp_replace("t", F.lit(r"(?U)\s+\z"), F.lit("")))]
+    assert texts.where(~(same[0] & same[1] & same[2])).count() == 0
+
+
+def test_rules_left_out_change_nothing(spark):
+    import itertools
+    import random
+
+    from quernstone.functions import wikitext as w
+    from quernstone.functions.rules import apply_rules
+
+    draw, bits = random.Random(5), ["<!--", "-->", "<ref", ">", "</ref>", "/>", "[[", "]]", "|", "File:", "Category:x", "{{", "}}", "#invoke:", "{|", "|}", "a=", "'''", "''", "[http://e", " ", "]", "----", "=", "==", "===", ";", ":", "-", "*", "\n", "\n", "\n\n\n", "x", "\u3000", "\t"]
+    texts = spark.createDataFrame([("".join(draw.choices(bits, k=draw.randint(1, 30))),) for _ in range(4000)], "t string").repartition(4)
+    t = F.col("t")
+    assert not set(w.NEEDED) - set(itertools.chain(w.UNWANTED, w.EMPHASIS, w.LINKS, w.HEADINGS, w.DEFINITIONS, (w.RULER, w.BLANK_LINES)))
+    for made, plain in ((w.remove_unwanted(t), w.UNWANTED), (w.convert_emphasis(t), w.EMPHASIS), (w.convert_links(t), w.LINKS), (w.convert_headings(t), w.HEADINGS), (w.convert_rulers(t), (w.RULER,)), (w.convert_definitions(t), w.DEFINITIONS)):
+        assert texts.where(~made.eqNullSafe(apply_rules(t, plain))).count() == 0
+
+
 def test_pages_are_parsed_once_for_the_index_document(spark):
     from quernstone.operators import render
 
