@@ -450,7 +450,7 @@ def cache_summary(spark, sf_dir):
 @query(_COUNTERS + ", d AS (SELECT count(*) FILTER (redirect_target IS NULL AND trim(markdown) <> '') AS exported_files, count(*) FILTER (redirect_target IS NOT NULL OR trim(markdown) = '') AS skipped_files FROM tagged WHERE skip_reason IS NULL) SELECT k.*, d.* FROM k, d")
 def run_document(spark, sf_dir):
     """The statistics document, read back from its JSON."""
-    p = filters.tag_pages(fx.parsed_pages(spark, sf_dir)).where("skip_reason IS NULL")
+    p = materialize(filters.tag_pages(fx.parsed_pages(spark, sf_dir)).where("skip_reason IS NULL").drop("wikitext"), "pages")  # both counts read it
     exported = render.export_counts(p, render.render_files(p, threshold=1 << 30, plain_yaml=True))
     found = stats.run_document(_counters(spark, sf_dir), exported)
     return found.select(F.from_json("json", ", ".join(f"{n} bigint" for n in (*stats.COUNTERS, "exported_files", "skipped_files"))).alias("d")).select("d.*")

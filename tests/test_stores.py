@@ -409,3 +409,10 @@ def test_images_are_resolved_with_entries_made_once(spark):
     found = index.resolve_images(entries, spark.createDataFrame([("images/character/t7.png",)], "path string"))
     assert {(r["title"], r["image"]) for r in found.where("image <> ''").collect()} == {("t7", "images/character/t7.png")} and found.count() == 50
     assert runs.value == 50
+
+
+def test_run_document_parses_pages_once(spark, sf_dir):
+    from quernstone.queries import queries
+
+    plan = queries()["run_document"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("documents.parquet") == 1  # the counters, which parse nothing
