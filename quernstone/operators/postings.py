@@ -8,7 +8,7 @@ So the lists of a query's tokens give all entries whose score can be above
 zero, and only these are scored.
 
 Both tables are cut into folders, postings by a checksum of the token and
-entries by their number, so that a search reads the folders of its tokens and
+entries by their chunk of numbers, so that a search reads the folders of its tokens and
 of its candidates. Building writes a new version; a manifest makes it current.
 """
 
@@ -18,6 +18,8 @@ import uuid
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,23 +38,58 @@ def folder_of(token: str) -> int:
     return zlib.crc32(token.encode()) % FOLDERS
 
 
-def _grams(text: Column, n: int, kind: str) -> Column:
-    places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.concat(F.lit(kind), F.substring(text, i, F.lit(n))))
+def _part(entry: Column) -> Column:
+    """The folder of an entry: neighbours share it, so a task that writes a few chunks writes a few files and not one in every folder."""
+    return F.pmod(F.hash(F.shiftright(entry, CHUNK.bit_length() - 1)), F.lit(FOLDERS)).cast("int")
 
 
-def tokens_of(title: Column, categories: Column, preview: Column) -> Column:
-    """The tokens of an entry, each once; nulls have none."""
-    title, preview = F.lower(F.coalesce(title, F.lit(""))), F.lower(F.coalesce(preview, F.lit("")))
-    fields = F.concat(F.array(title, preview), F.transform(F.coalesce(categories, F.array().cast("array<string>")), F.lower))
-    inside = F.flatten(F.transform(fields, lambda f: F.concat(_grams(f, 1, LETTER), _grams(f, 2, PAIR))))
-    return F.array_distinct(F.concat(_grams(title, 1, TITLE_LETTER), F.array(F.concat(F.lit(TITLE), title)), inside))
+#: What stands for the second letter of a token of one letter: no code point is so large. Bits of a code point and of a row's number.
+_LETTER, _TITLE_LETTER, _BITS = 0x1FFFFF, 0x1FFFFE, 21
+
+
+def _letters(texts: list[str], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of all texts, the row that each belongs to, and whether the next one is in the same text."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.int64)
+    text = np.repeat(np.arange(len(texts)), lengths)
+    return points, rows[text], text[:-1] == text[1:]
+
+
+def _lists(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+    """The posting rows of a chunk's entries of one directory; each (token, entry) is one number, and they are sorted once."""
+    group = group.sort_by("entry")
+    entries, titles, previews, categories = (group[c].combine_chunks() for c in ("entry", "title", "preview", "categories"))
+    numbers, rows = entries.to_numpy(zero_copy_only=False), np.arange(len(group))
+    named, owners = categories.flatten().to_pylist(), np.repeat(rows, categories.value_lengths().to_numpy(zero_copy_only=False))
+    title_texts = titles.to_pylist()
+    points, row, joined = _letters(title_texts + previews.to_pylist() + named, np.concatenate([rows, rows, owners]))
+    own, own_row, _ = _letters(title_texts, rows)
+    found = [(own, np.full(len(own), _TITLE_LETTER), own_row), (points, np.full(len(points), _LETTER), row), (points[:-1][joined], points[1:][joined], row[:-1][joined])]
+    found = np.unique(np.concatenate([((a << _BITS | b) << _BITS) | r for a, b, r in found]))
+    tokens, places = found >> _BITS, found & ((1 << _BITS) - 1)
+    starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else tokens
+    written = []
+    for first, second in zip((tokens[starts] >> _BITS).tolist(), (tokens[starts] & ((1 << _BITS) - 1)).tolist(), strict=True):
+        written.append(TITLE_LETTER + chr(first) if second == _TITLE_LETTER else LETTER + chr(first) if second == _LETTER else PAIR + chr(first) + chr(second))
+    order = np.array(sorted(rows, key=title_texts.__getitem__), np.int64)
+    ahead = [i for i, r in enumerate(order) if i == 0 or title_texts[r] != title_texts[order[i - 1]]]
+    written += [TITLE + title_texts[order[i]] for i in ahead]
+    offsets = np.concatenate([starts, len(found) + np.array(ahead, np.int64), [len(found) + len(order)]]).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(numbers[np.concatenate([places, order])], pa.int64()))
+    return pa.table({"token": pa.array(written, pa.string()), "category_dir": pa.array([key[0].as_py()] * len(written), pa.string()), "chunk": pa.array([key[1].as_py()] * len(written), pa.int64()), "entries": lists})
 
 
 def postings_of(entries: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(token, category_dir, chunk, entries): lists in rows of bounded length, so a token of half the entries is no large group."""
-    rows = entries.select("category_dir", "entry", F.explode(tokens_of(F.col("title"), F.col("categories"), F.col("preview"))).alias("token"))
-    rows = rows.groupBy("token", "category_dir", F.expr(f"entry div {chunk}").alias("chunk")).agg(F.sort_array(F.collect_list("entry")).alias("entries"))
+    """(token, category_dir, chunk, entries): lists in rows of bounded length, so a token of half the entries is no large group.
+
+    Entries are grouped, not their tokens: a group has ``chunk`` entries at most, and only its finished lists leave it.
+    """
+    if not 0 < chunk <= 1 << 20:
+        raise ValueError(f"a chunk has 1 to {1 << 20} entries, not {chunk}")
+    title, preview = (F.lower(F.coalesce(c, F.lit(""))).alias(c) for c in ("title", "preview"))
+    named = F.filter(F.transform(F.coalesce("categories", F.array().cast("array<string>")), F.lower), F.isnotnull).alias("categories")
+    rows = entries.select("category_dir", F.expr(f"entry div {chunk}").alias("chunk"), "entry", title, preview, named)
+    rows = rows.groupBy("category_dir", "chunk").applyInArrow(_lists, POSTING)
     return rows.withColumn("folder", (F.crc32(F.col("token").cast("binary")) % FOLDERS).cast("int"))
 
 
@@ -63,7 +100,7 @@ def build(entries: DataFrame, path: str) -> int:
     version = max(manifests.versions(), default=-1) + 1
     root = f"{path.rstrip('/')}/data-{version}-{uuid.uuid4().hex[:8]}"
     numbered = entries.withColumn("entry", F.monotonically_increasing_id())
-    numbered.withColumn("part", F.pmod("entry", F.lit(FOLDERS)).cast("int")).write.partitionBy("part").parquet(f"{root}/entries")
+    numbered.withColumn("part", _part(F.col("entry"))).write.partitionBy("part").parquet(f"{root}/entries")
     stored = spark.read.schema(numbered.schema).parquet(f"{root}/entries")
     postings_of(stored).hint("rebalance", "folder").sortWithinPartitions("folder", "token").write.partitionBy("folder").parquet(f"{root}/postings")
     manifests.publish(version, {"data": root.rsplit("/", 1)[1], "entries": numbered.schema.jsonValue()})
@@ -113,7 +150,7 @@ class StoredIndex:
 
     def _entries_of(self, candidates: DataFrame) -> DataFrame:
         """The entries of candidates: the driver learns which folders they are in, at most ``FOLDERS``, so that no other is read."""
-        parts = [r["part"] for r in candidates.select(F.pmod("entry", F.lit(FOLDERS)).cast("int").alias("part")).distinct().collect()]
+        parts = [r["part"] for r in candidates.select(_part(F.col("entry")).alias("part")).distinct().collect()]
         from pyspark.sql.types import IntegerType, StructType
 
         schema = StructType(list(self.schema.fields)).add("part", IntegerType())

@@ -124,6 +124,23 @@ def test_stored_search_finds_what_a_scan_finds(spark, tmp_path):
         assert stored.get_by_title(t).collect() == index.get_by_title(whole, t).drop("entry").collect()
 
 
+def test_posting_lists_are_those_of_plain_python(spark):
+    """Every token of every entry, each once, in lists of a chunk's entries in order; entries are grouped, not tokens."""
+    rows = [("Abba", ["Xy", None, ""], "ab\U0001f3b8b", "角色"), ("", None, None, "角色"), (None, [], "b", "歌曲"), ("简介", ["简"], "", "角色"), ("abba", ["q"], "\x00z", "角色"), ("İ", ["é"], "Ab\nb", "其它")]
+    whole = entries(spark, rows).coalesce(1).withColumn("entry", F.monotonically_increasing_id() + 5)
+    expected = {}
+    for entry, (title, categories, preview, directory) in enumerate(whole.select(F.lower("title"), F.transform("categories", F.lower), F.lower("preview"), "category_dir").collect(), 5):
+        title, fields = title or "", [title or "", preview or "", *(c or "" for c in categories or [])]
+        tokens = {postings.TITLE + title} | {postings.TITLE_LETTER + c for c in title}
+        tokens |= {postings.LETTER + c for f in fields for c in f} | {postings.PAIR + f[i : i + 2] for f in fields for i in range(len(f) - 1)}
+        for t in tokens:
+            expected.setdefault((t, directory, entry // 3), []).append(entry)
+    made = postings.postings_of(whole, 3)
+    got = [(r["token"], r["category_dir"], r["chunk"], r["entries"], r["folder"]) for r in made.collect()]
+    assert sorted(got) == sorted((*k, v, postings.folder_of(k[0])) for k, v in expected.items())
+    assert "token" not in "".join(re.findall(r"hashpartitioning\([^)]*\)", plan(made))) and "explode" not in plan(made)
+
+
 def test_a_search_reads_folders_of_its_tokens_and_candidates(spark, tmp_path):
     whole = entries(spark, [(f"title {i}", ["c"], "p" * 40, "角色") for i in range(500)] + [("Q9 zy", ["c"], "p" * 40, "角色")])
     postings.build(whole, str(tmp_path))
@@ -135,6 +152,15 @@ def test_a_search_reads_folders_of_its_tokens_and_candidates(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[.*part.* = ", plan(hit)) and [r["title"] for r in hit.collect()] == ["Q9 zy"]
 
 
+def test_a_task_writes_neighbours_into_one_folder(spark, tmp_path):
+    """A few chunks of entries make a few files, not one in each folder."""
+    whole = entries(spark, [(f"title {i}", ["c"], "p" * 40, "角色") for i in range(300)]).coalesce(1)
+    postings.build(whole, str(tmp_path))
+    stored = postings.StoredIndex(spark, str(tmp_path))
+    assert len(stored.entries().inputFiles()) == 1 and stored.entries().count() == 300
+    assert stored.get_by_title("Title 7").first()["title"] == "title 7" and stored.search("title 299").first()["title"] == "title 299"
+
+
 def test_an_index_is_built_once_and_reloaded(spark, tmp_path):
     from quernstone.services import Engine
 
