@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .rules import apply_rules, replace_all, strip
+from .rules import SPACE, apply_rules, let, lstrip, replace_all, strip
 
 PREVIEW_CHARS, CONTENT_CHARS = 200, 1500
 #: Types are objects, not text: executors import this module without a session.
@@ -55,9 +55,12 @@ def dump_plain(title: Column, url: Column, revision: Column, updated: Column, ca
 
 def split_file(raw: Column) -> Column:
     """(front, body, has) of a file's text; without front matter the body is all of it."""
-    parts = F.split(raw, "---", 3)
-    has = F.startswith(raw, F.lit("---")) & (F.size(parts) >= 3)
-    return F.struct(F.when(has, F.get(parts, F.lit(1))).alias("front"), F.when(has, F.get(parts, F.lit(2))).otherwise(raw).alias("body"), has.alias("has"))
+
+    def of(parts: Column) -> Column:
+        has = F.startswith(raw, F.lit("---")) & (F.size(parts) >= 3)
+        return F.struct(F.when(has, F.get(parts, F.lit(1))).alias("front"), F.when(has, F.get(parts, F.lit(2))).otherwise(raw).alias("body"), has.alias("has"))
+
+    return let(F.split(raw, "---", 3), of)
 
 
 def _text(value) -> str | None:
@@ -89,13 +92,26 @@ def parse(front: pd.Series) -> pd.DataFrame:
 
 
 def preview(body: Column, chars: int = PREVIEW_CHARS) -> Column:
-    """The first characters of a body without its first heading line, blank lines and heading marks."""
-    out = F.regexp_replace(strip(body), F.lit(r"(?d)\A#.*\n"), F.lit(""))
-    return strip(F.substring(apply_rules(out, ((r"\n{2,}", " "), (r"#+\s", ""))), 1, chars))
+    """The first characters of a body without its first heading line, blank lines and heading marks.
+
+    Made from the body's beginning where that gives enough: it gives what the whole body gives, but for blanks and heading
+    marks at its end, which what follows may change, and a heading line that doesn't end in it.
+    """
+
+    def plain(text: Column) -> Column:
+        return apply_rules(F.regexp_replace(text, F.lit(r"(?d)\A#.*\n"), F.lit("")), ((r"\n{2,}", " "), (r"#+\s", "")))
+
+    def of(head: Column) -> Column:
+        whole_line = ~F.startswith(head, F.lit("#")) | F.contains(head, F.lit("\n"))
+        enough = lambda made: whole_line & (F.length(made) >= chars)
+        return let(F.rtrim(plain(head), F.lit("#" + SPACE)), lambda made: strip(F.substring(F.when(enough(made), made).otherwise(plain(strip(body))), 1, chars)))
+
+    return let(F.substring(lstrip(body), 1, chars * 8), of)
 
 
 def content(body: Column, chars: int = CONTENT_CHARS) -> Column:
-    return F.substring(strip(body), 1, chars)
+    """The first characters of a body; only one whose beginning ends in a blank is looked at as a whole, as blanks at its own end don't count."""
+    return let(F.substring(lstrip(body), 1, chars), lambda head: F.when(strip(F.substring(head, -1, 1)) == "", F.substring(strip(body), 1, chars)).otherwise(head))
 
 
 def clean(text: Column) -> Column:

@@ -9,7 +9,9 @@ feeds only, there are no back references and no look-around.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from functools import partial
+from itertools import groupby
+from os.path import commonprefix
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,14 +40,22 @@ def apply_rules(col: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def apply_needed(col: Column, rules: tuple[Rule, ...], needed: dict[Rule, str]) -> Column:
-    """:func:`apply_rules`; a rule is left out for texts without the characters that all its matches hold, as ``needed`` says."""
+    """:func:`apply_rules`; a rule is left out for texts without the characters that all its matches hold, as ``needed`` says.
 
-    def one(rule: Rule) -> Callable[[Column], Column]:
-        return lambda t: F.when(F.contains(t, F.lit(needed[rule])), replace_all(t, *rule)).otherwise(t)
+    Neighbours whose characters begin alike are asked for that beginning together: a text without it is looked through once.
+    """
 
-    for rule in rules:
-        col = let(col, one(rule)) if rule in needed else replace_all(col, *rule)
-    return col
+    def nest(text: Column, rules: tuple[Rule, ...], known: str) -> Column:
+        for _, run in groupby(rules, lambda r: needed.get(r, "")[: len(known) + 1]):
+            run = tuple(run)
+            mark = commonprefix([needed.get(r, "") for r in run])
+            text = apply_rules(text, run) if mark == known else let(text, partial(asked, run, mark))
+        return text
+
+    def asked(run: tuple[Rule, ...], mark: str, t: Column) -> Column:
+        return F.when(F.contains(t, F.lit(mark)), nest(t, run, mark)).otherwise(t)
+
+    return nest(col, rules, "")
 
 
 def quote(text: str) -> str:

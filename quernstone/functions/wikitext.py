@@ -154,7 +154,7 @@ def _rstrip_lines(text: Column) -> Column:
 def tidy(text: Column, strict: bool = True) -> Column:
     """Collapse blank lines, drop leading blanks, empty items and blanks at line ends."""
     text = apply_needed(text, (BLANK_LINES, LEADING_BLANKS, EMPTY_ITEM) if strict else (BLANK_LINES, EMPTY_ITEM), NEEDED)
-    return strip(_rstrip_lines(text))
+    return let(_rstrip_lines(text), lambda t: F.when(F.endswith(t, F.lit("\n")), strip(t)).otherwise(lstrip(t)))  # lines end without blanks
 
 
 def parse_markdown(wikitext: Column, strict: bool = True) -> Column:

@@ -121,7 +121,7 @@ def stored_title_lookup(spark, sf_dir):
 SELECT c AS letter, category_dir, count(*) AS entries FROM (SELECT category_dir, unnest(letters) AS c FROM t) GROUP BY ALL""")
 def posting_counts(spark, sf_dir):
     """How many entries the posting lists of the titles' letters hold."""
-    index_ = _index(spark, sf_dir).withColumn("entry", F.monotonically_increasing_id())
+    index_ = _index(spark, sf_dir).select("title", "categories", "preview", "category_dir", F.monotonically_increasing_id().alias("entry"))
     lists = postings.postings_of(materialize(index_, "numbered")).where(F.startswith("token", F.lit(postings.TITLE_LETTER)))
     return lists.groupBy(F.substring("token", 2, 1).alias("letter"), "category_dir").agg(F.sum(F.size("entries")).alias("entries"))
 
