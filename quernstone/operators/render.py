@@ -113,12 +113,17 @@ def random_card(title: Column, bucket: Column, content: Column) -> Column:
 
 def result_list(results: DataFrame, query: str, bucket: str = "") -> DataFrame:
     """(text): numbered results with short previews; a sentence if there are none."""
+    return results.agg(list_text(query, bucket).alias("text"))
+
+
+def list_text(query: str, bucket: str = "") -> Column:
+    """The text of :func:`result_list`, as an aggregate of results."""
     pv = fm.short_preview(F.col("preview"), 100)
     item = F.concat(F.lit("  "), F.col("rank").cast("string"), F.lit(". "), F.col("title"), F.when(pv != "", F.concat(F.lit("\n     "), pv)).otherwise(""))
-    rows = results.agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("rank", item.alias("item")))).alias("items"))
-    found = F.concat(F.lit(f"🔍 **「{query}」** — 共 "), F.col("n").cast("string"), F.lit(" 条结果\n\n"), F.array_join(F.transform("items", lambda x: x["item"]), "\n"), F.lit("\n" + SEARCH_FOOT))
+    n, items = F.count("*"), F.array_sort(F.collect_list(F.struct("rank", item.alias("item"))))
+    found = F.concat(F.lit(f"🔍 **「{query}」** — 共 "), n.cast("string"), F.lit(" 条结果\n\n"), F.array_join(F.transform(items, lambda x: x["item"]), "\n"), F.lit("\n" + SEARCH_FOOT))
     none = f"🔍 搜索 **「{query}」**（{bucket or '全部'} · 本地）\n\n未找到相关结果。\n\n试试：缩短关键词  换用中文/日文  用 `/随机{bucket}` 浏览"
-    return rows.select(F.when(F.col("n") > 0, found).otherwise(none).alias("text"))
+    return F.when(n > 0, found).otherwise(none)
 
 
 def error_text(message: str) -> str:

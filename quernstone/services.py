@@ -21,25 +21,28 @@ Index = DataFrame | StoredIndex
 
 
 def _row(index: Index, mode: str, text: str) -> DataFrame:
-    return index.sparkSession.createDataFrame([(mode, text, "")], "mode string, text string, image string")
+    return index.sparkSession.range(1).select(F.lit(mode).alias("mode"), F.lit(text).alias("text"), F.lit("").alias("image"))  # no Python for a fixed row
 
 
 def entry_query(index: Index, name: str, bucket: str) -> DataFrame:
-    """The best entry's card if its score is high enough, else a list, else a sentence; help for a blank name."""
+    """The best entry's card if its score is high enough, else a list, else a sentence; help for a blank name.
+
+    Card and list are aggregates of the same results, so the index is searched once.
+    """
     if not name.strip():
         return _row(index, "help", render.HELP)
     results = ix.search(index, name, bucket, 5)
-    best = results.where("rank = 1").select(
+    best = F.struct(
         F.when(F.col("score") >= ix.DETAIL_SCORE, "detail").otherwise("list").alias("mode"),
         render.detail_card(F.col("title"), F.col("category_dir"), F.col("content")).alias("card"),
         "image",
     )
-    listed = render.result_list(results, name, bucket)
-    out = listed.join(best, F.lit(True), "left")  # one row, and one or none
+    out = results.agg(render.list_text(name, bucket).alias("listed"), F.max(F.when(F.col("rank") == 1, best)).alias("best"))
+    mode = F.col("best.mode")
     return out.select(
-        F.coalesce("mode", F.lit("none")).alias("mode"),
-        F.when(F.col("mode") == "detail", F.col("card")).when(F.col("mode") == "list", F.col("text")).otherwise(render.not_found_text(name, bucket)).alias("text"),
-        F.when(F.col("mode") == "detail", F.col("image")).otherwise("").alias("image"),
+        F.coalesce(mode, F.lit("none")).alias("mode"),
+        F.when(mode == "detail", F.col("best.card")).when(mode == "list", F.col("listed")).otherwise(render.not_found_text(name, bucket)).alias("text"),
+        F.when(mode == "detail", F.col("best.image")).otherwise("").alias("image"),
     )
 
 

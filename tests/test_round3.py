@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quernstone import queries
+from quernstone import queries, queries_io, services
 from quernstone.functions import frontmatter as fm
 from quernstone.functions import wikitext as w
 from quernstone.functions.rules import apply_rules, strip
@@ -54,3 +54,9 @@ def test_a_text_without_marks_is_looked_through_once_for_each_kind(spark):
 def test_numbered_entries_hold_what_lists_are_made_of(spark, sf_dir):
     made = queries.queries()["posting_counts"](spark, sf_dir)
     assert set(spark.read.parquet(*made.inputFiles()).columns) == {"title", "categories", "preview", "category_dir", "entry"}
+
+
+def test_an_entry_query_searches_once(spark, sf_dir):
+    idx = queries.materialize(queries._index(spark, sf_dir), "index")
+    for q, bucket in queries_io.ASKED:
+        assert plan(services.entry_query(idx, q, bucket)).count("FileScan") == (1 if q.strip() else 0)
